@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import byte_bpe, exact_dedup, packing, secret_scan, simhash, token_counts
+from tarnflow.llm import byte_bpe, exact_dedup, packing, quality_gam, secret_scan, simhash, tiff, token_counts, warc
 from tarnflow.session import read_table
 
 #: Documents with more tokens than this are over the limit in op1.
@@ -23,14 +23,28 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.text_media(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), ["doc_id"])
 
 
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_gam.score(docs, model, ["doc_id"]).select("doc_id", quality_gam.held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -45,8 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts,
         op3_exact_dedup,
+        op4_warc,
         op5_simhash,
+        op6_tiff,
         op7_byte_bpe,
+        op8_quality_gam,
         op9_packing,
         op10_secret_scan,
     )
@@ -62,4 +79,14 @@ ORACLE_SQL: dict[str, str] = {
                row_number() over (partition by text_sha256 order by doc_id desc nulls last) = 1 as kept, text_sha256
         from t window w as (partition by text_sha256)
     """,
+    "op4_warc": """
+        with p as (
+            select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+        ),
+        w as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) else page_id end as stored from p)
+        select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+               case when stored = page_id then 'response' else 'revisit' end as record_type,
+               case when stored <> page_id then stored end as refers_to
+        from w
+    """,
 }
