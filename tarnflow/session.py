@@ -65,11 +65,14 @@ def _hadoop(spark: SparkSession, name: str) -> tuple:
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``by`` names a string column of few values that gets a folder for each, so that readers of one skip the rest.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
