@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import byte_bpe, exact_dedup, packing, quality_gam, secret_scan, simhash, tiff, token_counts, warc
+from tarnflow.llm import byte_bpe, exact_dedup, packing, quality_gam, secret_scan, simhash, substring_dedup, tiff, token_counts, warc
 from tarnflow.session import read_table
 
 #: Documents with more tokens than this are over the limit in op1.
@@ -19,6 +19,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_substring_dedup,
         op3_exact_dedup,
         op4_warc,
         op5_simhash,

@@ -139,14 +139,15 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
+def masked(docs: DataFrame, text: str = "text", mask: str = "[secret]", length: str | None = None) -> DataFrame:
     """All rows and columns of ``docs``, with every span of ``scan`` in the text replaced by ``mask``.
 
-    Overlapping spans become one mask. Texts without secrets, null and empty ones stay as they are.
+    Overlapping spans become one mask. Texts without secrets, null and empty ones stay as they are. A column
+    named by ``length`` gets the new number of code points where a text changes.
     """
     own = [c for c in docs.columns if c != text]
-    source = docs.select(*own, F.col(text).alias("__text"))
-    found = scan(source, [*own, "__text"], "__text")
+    renamed = docs.select(*(F.col(c).alias(f"__own{i}") for i, c in enumerate(own)), F.col(text).alias("__text"))
+    found = scan(renamed, renamed.columns, "__text")
     pairs = F.transform(F.split("spans", ","), lambda s: F.transform(F.slice(F.split(s, ":"), 2, 2), lambda x: x.cast("int")))
 
     def step(acc: Column, s: Column) -> Column:
@@ -158,5 +159,9 @@ def masked(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataF
 
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col("__text"), acc["at"] + 1, F.length("__text")))
     cut = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    new = F.when(F.coalesce(F.col("spans"), F.lit("")) == "", F.col("__text")).otherwise(cut)
-    return found.withColumn(text, new).select(*docs.columns)
+    changed = F.col("spans") != ""
+    new = found.withColumn("__new", F.when(changed, cut).otherwise(F.col("__text")))
+    columns = {c: F.col(f"__own{i}") for i, c in enumerate(own)} | {text: F.col("__new")}
+    if length:
+        columns[length] = F.when(changed, F.length("__new")).otherwise(columns[length]).cast(docs.schema[length].dataType)
+    return new.select(*(columns[c].alias(c) for c in docs.columns))
