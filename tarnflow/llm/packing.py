@@ -23,7 +23,9 @@ from tarnflow.session import stage
 CAPACITY, END = 4096, 1
 NEARLY = 0.98  # of the capacity: fuller bins are final at every level
 ITEMS = 100_000  # bins that one task of a level gets, about
-CACHED, LONGEST = 400_000, 40
+CACHED, LONGEST = 1_000_000, 40
+#: Marks that may end a word, and a character that stands between words which the library gets together.
+POINTS, MARK = ",.;:!?", "\x01"
 #: Separators that Python's split takes for white space and the Unicode property doesn't (fixed values).
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
@@ -37,6 +39,7 @@ class WordIds:
         self.library = _tokenizer(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.mark: int | None = None
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -58,36 +61,67 @@ class WordIds:
         return text.lower().split()
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, by the library alone."""
         out = []
         for i in range(0, len(texts), 2000):
             made = self.library.encode_batch_fast(texts[i : i + 2000], add_special_tokens=False)
             out += [np.array(e.ids, "<u4").tobytes() for e in made]
         return out
 
+    def singly(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space. Many go to the library in one text, between marks that have an id of their own."""
+        if self.mark is None:
+            ids = self.library.encode(MARK, add_special_tokens=False).ids
+            self.mark = ids[0] if len(ids) == 1 else -1
+        if self.mark < 0 or any(MARK in w for w in words):
+            return self.whole(words)
+        out = []
+        for i in range(0, len(words), 500):
+            part = words[i : i + 500]
+            ids = np.array(self.library.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.mark) * 4).tolist()
+            code = ids.tobytes()
+            out += [code[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(code)], strict=True)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        get, parts, missing = self.cache.get, [], {}
+        get, parts, new, ended = self.cache.get, [], {}, {}
         for text in texts:
             words = self.words(text)
             found = None if words is None else list(map(get, words))
+            gaps = []
             if found is not None and None in found:
-                for w, x in zip(words, found, strict=True):
-                    if x is None:
-                        missing[w] = b""
-            parts.append((words, found))
-        new = list(missing)
-        odd = {w for w in new if not w.isascii() and not unicodedata.is_normalized("NFC", w)}
-        missing = dict(zip(new, self.whole(new), strict=True))
+                k = found.index(None)
+                for _ in range(found.count(None) - 1):
+                    gaps.append((k, words[k]))
+                    k = found.index(None, k + 1)
+                gaps.append((k, words[k]))
+                for _, w in gaps:
+                    if w[-1] in POINTS and w[-2:-1].isalpha():  # a mark after a letter is a token of its own
+                        ended[w] = w[:-1]
+                        new[w[-1]] = new[w[:-1]] = b""
+                    else:
+                        new[w] = b""
+            parts.append((found, gaps))
+        known = {w: x for w in new if (x := get(w)) is not None}
+        ask = [w for w in new if w not in known]
+        odd = {w for w in ask if not w.isascii() and not unicodedata.is_normalized("NFC", w)}
+        new = dict(zip(ask, self.singly(ask), strict=True)) | known
+        new |= {w: new[core] + new[w[-1]] for w, core in ended.items()}
+        odd |= {w for w, core in ended.items() if core in odd}
         out = []
-        for text, (words, found) in zip(texts, parts, strict=True):
-            if found is None or odd and not odd.isdisjoint(words):
+        for text, (found, gaps) in zip(texts, parts, strict=True):
+            if found is None or odd and any(w in odd for _, w in gaps):
                 out.append(self.whole([text])[0])
             else:
-                out.append(b"".join(missing[w] if x is None else x for w, x in zip(words, found, strict=True)) if None in found else b"".join(found))
-        if len(self.cache) + len(missing) > CACHED:  # short words recur most
-            middle = sorted(map(len, self.cache))[len(self.cache) // 3] if self.cache else 0
+                for k, w in gaps:
+                    found[k] = new[w]
+                out.append(b"".join(found))
+        if len(self.cache) + len(new) > CACHED:  # short words recur most
+            middle = sorted(map(len, self.cache))[len(self.cache) // 2] if self.cache else 0
             self.cache = {k: v for k, v in self.cache.items() if len(k) < middle}
-        self.cache.update((w, x) for w, x in missing.items() if len(w) <= LONGEST and w not in odd)
+        self.cache.update((w, x) for w, x in new.items() if len(w) <= LONGEST and w not in odd)
         return out
 
 
