@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnflow.plans import metadata_queries, read_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
+_MODULES = [read_queries, metadata_queries]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
