@@ -131,10 +131,10 @@ def units(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, _SCHEMA)
 
 
-def _candidates(nodes: DataFrame, full: int) -> DataFrame:
-    """Pairs ``u``, ``v`` of nodes that share a band: all of a small bucket, members and leaders of a crowded one."""
+def _candidates(banded: DataFrame, full: int) -> DataFrame:
+    """Pairs ``u``, ``v`` of ``rep`` that share a band: all of a small bucket, members and leaders of a crowded one."""
     key = ["band", "value"]
-    rows = nodes.select("rep", F.posexplode("bands").alias("band", "value"))
+    rows = banded.select("rep", F.posexplode("bands").alias("band", "value"))
     leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
     buckets = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *leaders).where("n > 1")
     met = stage(rows.join(buckets, key), "repeats-bands")
@@ -157,7 +157,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     ``kind`` paragraph: a line of at least 40 words in a component of such lines, linked at the similarity,
     that reaches another document. ``kind`` window: a longest stretch of words covered by windows that other
     documents have as well. Words count from 0 over the whole lower-cased text, the end is exclusive.
-    ``kept`` is true in the document with the least id of the class, whose passage stays. Null texts are
+    ``class_id`` is the least paragraph of the component, or a hash of a window. ``kept`` is true in the document with the least id of the class, whose passage stays. Null texts are
     empty; rows with a null id have no passages. An id that repeats is one document; a passage that only
     its own document repeats is not reported. No other column is read; an empty table gives no rows.
     """
@@ -166,11 +166,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     digest = ["d1", "d2"]
 
     lines = made.where("kind = 'paragraph'")
-    first = [F.first("bands").alias("bands"), F.first("shingles").alias("shingles")]  # equal for equal digests
-    nodes = stage(lines.groupBy(*digest).agg(F.min("uid").alias("rep"), *span, *first), "repeats-nodes")
-    pairs = _candidates(nodes, full)
-    sets = nodes.select("rep", "shingles")
-    left, right = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
+    nodes = stage(lines.groupBy(*digest).agg(F.min("uid").alias("rep"), *span), "repeats-nodes")
+    banded = lines.select(F.col("uid").alias("rep"), "bands").join(nodes.select("rep"), "rep", "left_semi")
+    pairs = stage(_candidates(banded, full), "repeats-pairs")
+    asked = pairs.select(F.col("u").alias("uid")).unionAll(pairs.select(F.col("v").alias("uid"))).distinct()
+    sets = stage(lines.select("uid", "shingles").join(asked, "uid", "left_semi"), "repeats-sets")
+    left, right = sets.select(F.col("uid").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("uid").alias("v"), F.col("shingles").alias("b"))
     alike = pairs.join(left, "u").join(right, "v").where(_jaccard(F.col("a"), F.col("b")) >= similarity)
     roots = components(alike.select("u", "v"), "repeats-components")
     named = nodes.select(*digest, "rep", "low", "high").join(roots, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("root", "rep"))
@@ -179,9 +180,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     paragraphs = lines.select("doc", "from", "to", *digest).join(known, digest)
     out = paragraphs.select(F.col("doc").alias(id_col), F.lit("paragraph").alias("kind"), F.col("from").alias("from_word"), F.col("to").alias("to_word"), F.col("class").alias("class_id"), (F.col("doc") == F.col("keeper")).alias("kept"))
 
-    windows = made.where("kind = 'window'").select("uid", "doc", "from", "to", *digest)
-    shared = windows.groupBy(*digest).agg(F.min("uid").alias("class"), *span).where("low < high").drop("high")
-    hits = windows.join(shared, digest).select("doc", "from", "to", "class", (F.col("doc") == F.col("low")).alias("kept"))
+    windows = made.where("kind = 'window'").select("doc", "from", *digest)
+    shared = windows.groupBy(*digest).agg(*span).where("low < high").drop("high")
+    hits = windows.join(shared, digest).select("doc", "from", (F.col("from") + WINDOW).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
     order = Window.partitionBy("doc", "kept").orderBy("from", "to")  # a document's own windows
     reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = hits.withColumn("new", F.coalesce(F.col("from") > reach, F.lit(True)).cast("int")).withColumn("island", F.sum("new").over(order))
