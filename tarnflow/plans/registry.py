@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnflow.plans import metadata_queries, read_queries
+from tarnflow.plans import feature_queries, metadata_queries, read_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [read_queries, metadata_queries]
+_MODULES = [read_queries, metadata_queries, feature_queries]
 
 
 def queries() -> dict[str, Query]:
