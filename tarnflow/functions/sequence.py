@@ -9,6 +9,18 @@ from pyspark.sql import Column, functions as F
 from tarnflow.schema import BASES, COMPLEMENT, IUPAC
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: lambdas would compute an outer expression for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words(seq: Column, k: int, step: int = 1) -> Column:
+    """The upper-cased words of k letters at every ``step``; none for shorter sequences."""
+    starts = F.sequence(F.lit(1), F.length(seq) - k + 1, F.lit(step))
+    found = let(F.upper(seq), lambda u: F.transform(starts, lambda i: F.substr(u, i, F.lit(k))))
+    return F.when(F.length(seq) >= k, found).otherwise(F.array().cast("array<string>"))
+
+
 def base_at(seq: Column, pos: Column | int) -> Column:
     """The letter at a position from 0; empty beyond the end."""
     return F.substr(seq, F.lit(pos) + 1 if isinstance(pos, int) else pos + 1, F.lit(1))
@@ -27,20 +39,16 @@ def mean_quality(qual: Column) -> Column:
 
 def complexity(seq: Column) -> Column:
     """Share of the 16 two-letter words that occur; letters beyond ACGT count too. 0 below two letters."""
-    words = F.transform(F.sequence(F.lit(1), F.length(seq) - 1), lambda i: F.substr(F.upper(seq), i, F.lit(2)))
-    return F.when(F.length(seq) < 2, F.lit(0.0)).otherwise(F.size(F.array_distinct(words)) / F.lit(16.0))
+    return F.size(F.array_distinct(words(seq, 2))) / F.lit(16.0)
 
 
 def entropy(seq: Column) -> Column:
     """Shannon entropy in bits over A, C, G and T; 0 without any."""
-    counts = [count_letter(seq, b) for b in BASES]
-    total = sum(counts[1:], counts[0])
-
-    def term(n: Column) -> Column:
-        p = n / F.nullif(total, F.lit(0))
-        return F.when(n > 0, -p * F.log2(p)).otherwise(F.lit(0.0))
-
-    return sum(map(term, counts[1:]), term(counts[0]))
+    counts = let(F.upper(seq), lambda u: F.array(*[F.length(u) - F.length(F.replace(u, F.lit(b), F.lit(""))) for b in BASES]))
+    present = F.filter(counts, lambda n: n > 0)
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    bits = lambda a: let(total(a), lambda t: F.aggregate(a, F.lit(0.0), lambda x, n: x - n / t * F.log2(n / t)))
+    return let(present, lambda a: F.when(F.size(a) == 0, F.lit(0.0)).otherwise(bits(a)))
 
 
 def reverse_complement(seq: Column) -> Column:

@@ -43,7 +43,7 @@ def reject_histogram(reads: DataFrame, by: list[str], check_quality: bool = True
 
 def dereplicate(reads: DataFrame, by: list[str], least: int = 1) -> DataFrame:
     """Unique upper-cased sequences with their number, the header of the first read, and those of at least ``least`` reads."""
-    label = F.min_by("header", "read_idx").alias("header")
+    label = F.min_by("header", F.struct("read_idx", "header")).alias("header")
     found = reads.groupBy(*by, F.upper("seq").alias("seq")).agg(F.count(F.lit(1)).alias("size"), F.min("read_idx").alias("first_idx"), label)
     return found.where(F.col("size") >= least) if least > 1 else found
 

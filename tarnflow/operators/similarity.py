@@ -7,8 +7,11 @@ don't bring pairs. Candidates are verified with the JVM's bounded edit distance.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarnflow.functions import sequence as S
 from tarnflow.session import drop_staged, stage
 
 WORD = 16
@@ -19,18 +22,20 @@ def _edits(length: Column, identity: float) -> Column:
     return F.floor(length * (1 - identity) + 1e-9).cast("int")
 
 
-def similar_pairs(queries: DataFrame, targets: DataFrame, by: list[str], identity: float, same: bool = False) -> DataFrame:
-    """``q``, ``t`` and ``edits`` of all pairs with at least the identity, 1 - edits / the longer length.
+def similar_pairs(queries: DataFrame, targets: DataFrame, by: list[str], identity: float, same: bool = False, most_edits: int | None = None) -> DataFrame:
+    """``q``, ``t`` and ``edits`` of all pairs with at least the identity, 1 - edits / the longer length, and, if it is
+    given, at most ``most_edits``.
 
     Both sides have ``by`` columns, ``id`` and ``seq``. No pair of sequences of 2 * WORD letters or more is
     missed; of shorter ones those with fewer parts than edits are only found by equal words. ``same`` leaves
     out pairs of a sequence with itself.
     """
-    words = lambda step: F.transform(F.sequence(F.lit(1), F.length("seq") - WORD + 1, F.lit(step)), lambda i: F.substr(F.upper("seq"), i, F.lit(WORD)))
+    words = lambda step: S.words(F.col("seq"), WORD, step)
+    allowed = lambda length: _edits(length, identity) if most_edits is None else F.least(_edits(length, identity), F.lit(most_edits))
     long_enough = F.length("seq") >= WORD
     index = targets.where(long_enough).select(*by, F.col("id").alias("t"), F.explode(F.array_distinct(words(1))).alias("word"))
     held = index.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
-    parts = queries.where(long_enough).select(*by, F.col("id").alias("q"), _edits(F.length("seq") / identity, identity).alias("most"), F.explode(F.array_distinct(words(WORD))).alias("word"))
+    parts = queries.where(long_enough).select(*by, F.col("id").alias("q"), allowed(F.length("seq") / identity).alias("most"), F.explode(F.array_distinct(words(WORD))).alias("word"))
     ranked = parts.join(held, [*by, "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy(*by, "q").orderBy(F.coalesce("n", F.lit(0)), "word")))
     seeds = ranked.where((F.col("rank") <= F.col("most") + 1) & F.col("n").isNotNull()).select(*by, "q", "word")
     pairs = seeds.join(index, [*by, "word"]).select(*by, "q", "t").distinct()
@@ -39,8 +44,9 @@ def similar_pairs(queries: DataFrame, targets: DataFrame, by: list[str], identit
     a = queries.select(*by, F.col("id").alias("q"), F.upper("seq").alias("qs"))
     b = targets.select(*by, F.col("id").alias("t"), F.upper("seq").alias("ts"))
     longer = F.greatest(F.length("qs"), F.length("ts"))
-    rows = pairs.join(a, [*by, "q"]).join(b, [*by, "t"]).withColumn("most", _edits(longer, identity)).where(F.abs(F.length("qs") - F.length("ts")) <= F.col("most"))
-    return rows.withColumn("edits", F.levenshtein("qs", "ts")).where(F.col("edits") <= F.col("most")).select(*by, "q", "t", "edits", (1 - F.col("edits") / longer).alias("identity"))
+    rows = pairs.join(a, [*by, "q"]).join(b, [*by, "t"]).withColumn("most", allowed(longer)).where(F.abs(F.length("qs") - F.length("ts")) <= F.col("most"))
+    close = F.call_function("levenshtein", F.col("qs"), F.col("ts"), F.col("most"))  # -1 beyond the bound
+    return rows.withColumn("edits", close).where("edits >= 0").select(*by, "q", "t", "edits", (1 - F.col("edits") / longer).alias("identity"))
 
 
 def best_hits(pairs: DataFrame, by: list[str]) -> DataFrame:
@@ -99,7 +105,7 @@ def cluster_otus(seqs: DataFrame, by: list[str], identity: float = 0.97) -> Data
     return ranked.join(greedy_centroids(order, links, by, "otu").drop("rank"), [*by, "id"])
 
 
-def denoise(seqs: DataFrame, by: list[str], least: int = 2, alpha: float = 2.0, precluster: float = 0.99, most_edits: int = 8) -> DataFrame:
+def denoise(seqs: DataFrame, by: list[str], least: int = 2, alpha: float = 2.0, precluster: float = 0.99) -> DataFrame:
     """Denoised sequences with their reads: sizes of at least ``least``, a 99 % precluster, then merging of each sequence
     into an earlier one from which it may have come by error.
 
@@ -110,7 +116,10 @@ def denoise(seqs: DataFrame, by: list[str], least: int = 2, alpha: float = 2.0,
     merged = near.groupBy(*by, F.col("centroid").alias("id")).agg(F.sum("size").alias("total"))
     first = stage(_ranked(near.select(*by, "id", "seq").join(merged, [*by, "id"]).withColumnRenamed("total", "size"), by), "denoise-first")
     order = first.select(*by, "id", "rank", "size")
-    pairs = similar_pairs(first, first, by, 0.9, same=True).where(F.col("edits") <= most_edits).select(*by, F.col("q").alias("u"), F.col("t").alias("v"), "edits")
+    largest, smallest = first.agg(F.max("size"), F.min("size")).first()
+    # No pair's ratio is beyond that of the largest to the smallest, which bounds the edits that can be errors.
+    bound = int(max(0.0, (math.log2(largest / smallest) - 1) / alpha)) if largest else 0
+    pairs = similar_pairs(first, first, by, 0.9, same=True, most_edits=bound).select(*by, F.col("q").alias("u"), F.col("t").alias("v"), "edits")
     sized = pairs.join(order.withColumnsRenamed({"id": "u", "rank": "ur", "size": "us"}), [*by, "u"]).join(order.withColumnsRenamed({"id": "v", "rank": "vr", "size": "vs"}), [*by, "v"])
     links = sized.where((F.col("vr") < F.col("ur")) & (F.col("us") / F.col("vs") <= F.pow(F.lit(2.0), -(F.col("edits") * alpha + 1))))
     found = first.join(greedy_centroids(order.drop("size"), links, by, "denoise").drop("rank"), [*by, "id"])

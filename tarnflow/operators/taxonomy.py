@@ -6,7 +6,7 @@ sequence is scored by joins and sums, so neither the reference nor the k-mers ha
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tarnflow.functions import sequence as S
 
@@ -14,21 +14,14 @@ K_ORIENT, K_CLASS = 12, 8
 CONFIDENCE = 0.7
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All words of k letters, none for shorter sequences."""
-    upper = F.upper(seq)
-    found = F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), lambda i: F.substr(upper, i, F.lit(k)))
-    return F.when(F.length(seq) >= k, found).otherwise(F.array().cast("array<string>"))
-
-
 def oriented(seqs: DataFrame, references: DataFrame, k: int = K_ORIENT) -> DataFrame:
     """``seqs`` (``id``, ``seq``) turned the way that shares more words with the references; without any: dropped.
 
     Equal votes keep the given direction.
     """
-    known = references.select(F.explode(F.array_distinct(kmers(F.col("seq"), k))).alias("word")).distinct()
+    known = references.select(F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word")).distinct()
     both = F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(F.col("seq")).alias("s")))
-    words = seqs.select("id", F.explode(both).alias("x")).select("id", F.col("x.strand").alias("strand"), F.explode(F.array_distinct(kmers(F.col("x.s"), k))).alias("word"))
+    words = seqs.select("id", F.explode(both).alias("x")).select("id", F.col("x.strand").alias("strand"), F.explode(F.array_distinct(S.words(F.col("x.s"), k))).alias("word"))
     votes = words.join(known, "word", "left_semi").groupBy("id").agg(F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
     rows = seqs.join(votes, "id")
     return rows.withColumn("seq", F.when(F.col("minus") > F.col("plus"), S.reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
@@ -37,7 +30,7 @@ def oriented(seqs: DataFrame, references: DataFrame, k: int = K_ORIENT) -> DataF
 def train(references: DataFrame, k: int = K_CLASS, smoothing: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """Tables of the model from ``seq`` and ``taxon`` (ranks joined by semicolons): log weights of words that a taxon
     has, and by taxon the log weight of any other word and the log prior (uniform, so 0 by default)."""
-    words = references.select("taxon", F.explode(kmers(F.col("seq"), k)).alias("word")).groupBy("taxon", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = references.select("taxon", F.explode(S.words(F.col("seq"), k)).alias("word")).groupBy("taxon", "word").agg(F.count(F.lit(1)).alias("n"))
     vocabulary = float(4**k)
     sums = words.groupBy("taxon").agg(F.sum("n").alias("all")).withColumn("other", F.log(F.lit(smoothing) / (F.col("all") + smoothing * vocabulary)))
     gains = words.join(sums, "taxon").select("taxon", "word", (F.log((F.col("n") + smoothing) / (F.col("all") + smoothing * vocabulary)) - F.col("other")).alias("gain"))
@@ -50,7 +43,7 @@ def classify(seqs: DataFrame, model: tuple[DataFrame, DataFrame], k: int = K_CLA
     Sequences that share no word with the references are Unassigned.
     """
     gains, sums = model
-    words = seqs.select("id", F.explode(kmers(F.col("seq"), k)).alias("word")).groupBy("id", "word").agg(F.count(F.lit(1)).alias("m"))
+    words = seqs.select("id", F.explode(S.words(F.col("seq"), k)).alias("word")).groupBy("id", "word").agg(F.count(F.lit(1)).alias("m"))
     sizes = words.groupBy("id").agg(F.sum("m").alias("size"))
     gained = words.join(gains, "word").groupBy("id", "taxon").agg(F.sum(F.col("m") * F.col("gain")).alias("g"))
     scored = gained.join(sizes, "id").join(sums, "taxon").select("id", "taxon", (F.col("g") + F.col("size") * F.col("other")).alias("log"))
@@ -75,9 +68,9 @@ def place_near(seqs: DataFrame, tips: DataFrame, k: int = K_ORIENT, least: float
 
     A stand-in for placement in a tree's likelihood: it attaches to tips only.
     """
-    words = seqs.select("id", F.explode(F.array_distinct(kmers(F.col("seq"), k))).alias("word"))
+    words = seqs.select("id", F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word"))
     sizes = words.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
-    index = tips.select(F.col("id").alias("tip"), F.explode(F.array_distinct(kmers(F.col("seq"), k))).alias("word"))
+    index = tips.select(F.col("id").alias("tip"), F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word"))
     shared = words.join(index, "word").groupBy("id", "tip").agg(F.count(F.lit(1)).alias("n")).join(sizes, "id").withColumn("share", F.col("n") / F.col("size"))
     best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("share"), "tip"))
     return shared.withColumn("__n", best).where((F.col("__n") == 1) & (F.col("share") >= least)).select(F.col("id").alias("feature_id"), "tip", F.round("share", 6).alias("share"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnflow.session import read_table
+from tarnflow.session import read_table, stage
 
 HEX = "0123456789abcdef"
 _DNA = "ACGTACGTACGTACGT"
@@ -71,9 +71,19 @@ def sql(template: str) -> str:
     return f"({template.format(**named)})"
 
 
+_STAGED: dict[tuple, DataFrame] = {}
+
+
 def frame(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
-    """Spark's form of a relation."""
+    """Spark's form of a relation. Reads are written to Parquet once a session and folder, as reads come from files
+    in real use; otherwise the optimizer would push operators into the long expressions that make them up."""
+    key = (spark.sparkContext.applicationId, sf_dir, template)
+    if key in _STAGED:
+        return _STAGED[key]
     named = {t: read_table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer") if f"{{{t}}}" in template}
     if "{reads}" in template:
         named["reads"] = frame(spark, sf_dir, READS)
-    return spark.sql(template, **named)
+    made = spark.sql(template, **named)
+    if template in (READS, MATES):
+        made = _STAGED[key] = stage(made, "derived-reads")
+    return made

@@ -334,7 +334,7 @@ _QFILTER = f"""
 """
 
 ORACLE_SQL = {
-    "dereplicate": f"select project, upper(seq) as seq, count(*) as size, min(read_idx) as first_idx, arg_min(header, read_idx) as header from {READS_SQL} group by project, upper(seq)",
+    "dereplicate": f"select project, upper(seq) as seq, count(*) as size, min(read_idx) as first_idx, (list(header order by read_idx, header))[1] as header from {READS_SQL} group by project, upper(seq)",
     "singleton_filter": f"select project, upper(seq) as seq, count(*) as size from {READS_SQL} group by project, upper(seq) having count(*) >= 2",
     "read_scores": f"select read_idx, seq_len, round(avg_q, 6) as avg_q, round(cast(complexity as double), 6) as complexity, round(entropy, 6) as entropy, n_count from ({_SCORES})",
     "read_quality_gate": f"select read_idx, sample_id from {_GATED}",
