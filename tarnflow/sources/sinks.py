@@ -32,7 +32,7 @@ def processed(table: DataFrame, path: str, project: str = "BioProject") -> None:
 def merged_csv(table: DataFrame, path: str, bom: bool = True) -> None:
     """One CSV file for people, its header marked with a byte order mark; for tables of a person's size."""
     named = table.select(*[F.col(f"`{c}`").alias(("\ufeff" + c) if bom and i == 0 else c) for i, c in enumerate(table.columns)])
-    named.coalesce(1).write.mode("overwrite").csv(path, header=True, encoding="UTF-8", quoteAll=True)
+    named.coalesce(1).write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
 
 
 def status_tsv(report: DataFrame, path: str) -> None:
