@@ -12,6 +12,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -26,7 +27,7 @@ PRETOKEN = (
 #: Code points up to here have the same classes in every Unicode version that the libraries use.
 STABLE = 0x377
 FREQUENT = 16_384  # entries of the broadcast table
-CACHED = 250_000  # entries of a worker's cache, which is emptied when full
+CACHED = 800_000  # entries of a worker's cache; when it is full, its longer half goes
 LONGEST = 64  # characters of a pre-token that is worth remembering
 FAN_IN = 32  # summaries that one merge task reads
 
@@ -84,7 +85,9 @@ class Summary:
             self.cut()
 
     def cut(self) -> None:
-        """Lower all counts by the first one that finds no room, as a run of decrements would."""
+        """Lower all counts by the first one that finds no room, as a run of decrements would; long items go."""
+        if any(len(x) > LONGEST for x in self.counts):
+            self.counts = Counter({k: v for k, v in self.counts.items() if len(k) <= LONGEST})
         if len(self.counts) > self.size:
             least = sorted(self.counts.values(), reverse=True)[self.size]
             self.counts = Counter({k: v - least for k, v in self.counts.items() if v > least})
@@ -106,7 +109,7 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", size: int = FREQUENT
         summary, find = Summary(size), regex.compile(PRETOKEN).findall
         for part in slices(batches, "t"):
             for t in texts_of(part, "t"):
-                summary.add(x for x in find(t) if len(x) <= LONGEST)
+                summary.add(find(t))
         yield row(TaskContext.get().partitionId(), summary)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
@@ -142,7 +145,7 @@ class Counting:
 
     def __init__(self, path: str, frequent: dict[str, int]):
         self.library, self.frequent, self.cache = _tokenizer(path), frequent, {}
-        self.find = regex.compile(PRETOKEN).findall
+        self.find, self.line = regex.compile(PRETOKEN).findall, None
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
@@ -153,11 +156,27 @@ class Counting:
         return cls.held[1]
 
     def encode(self, items: list[str]) -> list[int]:
+        """Tokens of each text, by the library alone."""
         out = []
         for i in range(0, len(items), 2000):
             out += [len(e.ids) for e in self.library.encode_batch_fast(items[i : i + 2000], add_special_tokens=False)]
         return out
 
+    def encode_pretokens(self, items: list[str]) -> list[int]:
+        """Tokens of each pre-token. Many go to the library in one text, a line each: a line break always stands alone
+        between pre-tokens that aren't white space, so its id marks their ends."""
+        if self.line is None:
+            ids = self.library.encode("\n", add_special_tokens=False).ids
+            self.line = ids[0] if len(ids) == 1 else -1
+        if self.line < 0 or any(x.isspace() for x in items):
+            return self.encode(items)
+        out = []
+        for i in range(0, len(items), 500):
+            text = "\n".join(["", *items[i : i + 500], ""])
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+            out += (np.diff(np.flatnonzero(ids == self.line)) - 1).tolist()
+        return out
+
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text. Special strings in a text count as one token, as is the library's default."""
         totals, missed, first, second = [0] * len(texts), [], self.frequent.get, self.cache.get
@@ -173,21 +192,29 @@ class Counting:
                     whole.append(i)
                     break
                 lengths = list(map(first, items))
-                if None in lengths:
-                    rest = [x for x, n in zip(items, lengths, strict=True) if n is None]
-                    more = list(map(second, rest))
-                    if None in more:
-                        missed += [(i, x) for x, n in zip(rest, more, strict=True) if n is None]
-                    totals[i] += sum(filter(None, more))
-                totals[i] += sum(filter(None, lengths))
+                k = -1
+                for _ in range(lengths.count(None)):
+                    k = lengths.index(None, k + 1)
+                    known = second(items[k])
+                    if known is None:
+                        missed.append((i, items[k]))
+                        known = 0
+                    lengths[k] = known
+                totals[i] += sum(lengths)
         new = list(dict.fromkeys(x for _, x in missed))
-        found = dict(zip(new, self.encode(new), strict=True))
+        blank = [x for x in new if x.isspace()]
+        found = dict(zip(blank, self.encode(blank), strict=True))
+        words = [x for x in new if x not in found]
+        found |= zip(words, self.encode_pretokens(words), strict=True)
         for i, x in missed:
             totals[i] += found[x]
         for i in dict.fromkeys(whole):
             totals[i] = self.encode([texts[i]])[0]
-        if len(self.cache) + len(found) > CACHED:
+        if len(self.cache) + len(found) > CACHED:  # short pre-tokens recur most
+            middle = sorted(map(len, self.cache))[len(self.cache) // 2] if self.cache else 0
+            kept = {x: n for x, n in self.cache.items() if len(x) < middle}
             self.cache.clear()
+            self.cache.update(kept)
         self.cache.update((x, n) for x, n in found.items() if len(x) <= LONGEST)
         return totals
 
