@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # The three base patterns and the least lengths of their matches.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ASSIGN_HINT = r"""(?i:passw|secret|token|api_?key)["'or]*d?["']?\x20*[:=]"""
+#: What every match of ASSIGN begins with; texts without it need no further look.
+ASSIGN_HINT = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # maximal runs of 16 characters or more
 HEX = r"[0-9a-f]{32,}"
