@@ -12,6 +12,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tarnflow.llm.survivors import surviving
 from tarnflow.session import stage
 
 #: Share of all rows above which a digest is surely split off; 1 / SUPPORT digests are broadcast at most.
@@ -60,13 +61,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sup
     Only ids and digests take part in the decision; whole rows move once, by id and digest, to drop losers.
     """
     made = stage(decisions(docs, id_col, text, support), "exact-decisions")
-    lost = made.where(~F.col("kept")).select(
-        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__d"), F.col(id_col).eqNullSafe(F.col("keep_id")).alias("__again")
-    )
-    rows = docs.withColumn("__digest", F.sha2(normalised(F.col(text)), 256))
-    same = rows[id_col].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d"))
-    kept = rows.join(lost.select("__id", "__d"), same, "left_anti")
-    if lost.where("__again").head(1):  # rows that repeat a winner's id and text: one of each stays
-        again = lost.where("__again").select("__id", "__d").distinct()
-        kept = kept.unionByName(rows.join(again, same, "left_semi").dropDuplicates([id_col, "__digest"]))
-    return kept.drop("__digest")
+    key = F.sha2(normalised(F.col(text)), 256)
+    return surviving(docs, id_col, key, made.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("key"), "kept"))

@@ -9,18 +9,17 @@ def surviving(docs: DataFrame, id_col: str, key: Column, made: DataFrame) -> Dat
     """The rows of ``docs`` whose (id, key) is kept in ``made``, with all columns.
 
     ``made`` has one row per row of ``docs``: ``id``, ``key`` (the same expression, never null) and
-    ``kept``. Of rows that repeat the id and key of a kept row, as many stay as are kept. Whole rows are
-    joined with the lost ids only, usually the smaller side.
+    ``kept``. Of rows that repeat the id and key of a kept row one stays. Whole rows are joined with the lost
+    ids only, usually the smaller side.
     """
     lost = made.where(~F.col("kept")).select("id", "key").distinct()
     both = made.where("kept").select("id", "key").distinct()
     match = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.key") == F.col("b.key"))
     again = lost.alias("a").join(both.alias("b"), match, "left_semi").select("a.id", "a.key")
-    rows = docs.withColumn("__key", key)
-    ids = lost.select(F.col("id").alias("__id"), F.col("key").alias("__lost"))
-    same = rows[id_col].eqNullSafe(F.col("__id")) & (rows["__key"] == F.col("__lost"))
-    kept = rows.join(ids, same, "left_anti")
+    # The row as one column: no name of its own columns can clash with the two beside it.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("own_id"), key.alias("own_key"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key"))
+    kept = rows.join(lost, same, "left_anti")
     if again.head(1):
-        twice = again.select(F.col("id").alias("__id"), F.col("key").alias("__lost"))
-        kept = kept.unionByName(rows.join(twice, same, "left_semi").dropDuplicates([id_col, "__key"]))
-    return kept.drop("__key")
+        kept = kept.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["own_id", "own_key"]))
+    return kept.select("row.*")
