@@ -74,7 +74,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+
+def _matches(pattern: str, group: int, least: int) -> str:
+    """Spans of a pattern's matches by the texts between them: a list of start, end and matched text."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""(
+        select doc_id, list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
+                   's': cast(list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as bigint), 'm': m[i], 'g': g[i]}}),
+                 lambda x: length(x.g) >= {least}) as found
+        from (select doc_id, regexp_extract_all(text, {p}) as m, regexp_extract_all(text, {p}, {group}) as g, string_split_regex(text, {p}) as b from docs))"""
+
+
+def _secret_sql() -> str:
+    kinds = {"assign": (secret_scan.ASSIGN, 2, secret_scan.ASSIGN_LEAST), "access": (secret_scan.ACCESS, 0, 0), "hex": (secret_scan.HEX, 0, 0)}
+    base = " union all ".join(f"select doc_id, {k} as rank, '{n}' as kind, unnest(found) as x from {_matches(*v)}" for k, (n, v) in enumerate(kinds.items()))
+    hexes, mixed = secret_scan.CLASSES["hex"], secret_scan.CLASSES["mixed"]
+    allowed = secret_scan.ALLOWED.replace(r"|^(.)\1+$", "").replace("'", "''")  # one letter alone has no digit beside it
+    counts = "list_transform(list_distinct(w), lambda c: len(list_filter(w, lambda y: y = c)))"
+    entropy = f"list_sum(list_transform({counts}, lambda n: -(n / cast(width as double)) * log2(n / cast(width as double))))"
+    return f"""
+        with docs as (select doc_id, coalesce(text, '') as text from documents),
+        base as (select doc_id, rank, kind, x.s as s, x.s + length(x.m) as e from ({base})),
+        strings as (
+          select doc_id, x.s as s, x.m as m, regexp_matches(x.m, '{hexes[0]}') as hex from (select doc_id, unnest(found) as x from {_matches(secret_scan.CANDIDATE, 0, 0)})
+          where regexp_matches(x.m, '[A-Za-z]') and regexp_matches(x.m, '[0-9]') and not regexp_matches(x.m, '{allowed}')),
+        free as (select *, case when hex then {hexes[1]} else {mixed[1]} end as width, case when hex then {hexes[2]} else {mixed[2]} end as bits from strings c
+          where not exists (select 1 from base b where b.doc_id = c.doc_id and b.s < c.s + length(c.m) and c.s < b.e)),
+        windows as (select doc_id, s, width, bits, i, string_split(substr(m, cast(i + 1 as int), width), '') as w from (select *, unnest(range(0, length(m) - width + 1)) as i from free)),
+        added as (select doc_id, 3 as rank, 'entropy' as kind, s + min(i) as s, s + max(i) + any_value(width) as e from windows where {entropy} >= bits - 1e-9 group by doc_id, s),
+        spans as (select * from base union all select * from added),
+        joined as (select doc_id, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (where rank < 3) as base, string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans,
+                          {", ".join(f"count(*) filter (where kind = '{k}') as n_{k}" for k in (*kinds, "entropy"))} from spans group by doc_id)
+        select d.doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in (*kinds, "entropy"))}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+        from docs d left join joined j on j.doc_id = d.doc_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_secret_scan": _secret_sql(),
     "op3_exact_dedup": """
         with t as (
             select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256

@@ -77,3 +77,16 @@ def test_entry_has_all(spark):
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
+
+
+def test_secret_sql_on_a_fixture(spark, tmp_path):
+    """The SQL recounts each window; the operator moves counts along."""
+    import random
+
+    import pandas as pd
+    from test_corpus_ops import SECRETS, odd_texts
+
+    draw = random.Random(4)
+    many = [*SECRETS, None, "", " ".join(SECRETS), *[" ".join(draw.sample(SECRETS, 4)) for _ in range(60)], *odd_texts(60)]
+    pd.DataFrame({"doc_id": range(len(many)), "text": many}).to_parquet(tmp_path / "documents.parquet")
+    same(queries.QUERIES["op10_secret_scan"](spark, str(tmp_path)), connection(str(tmp_path)), queries.ORACLE_SQL["op10_secret_scan"])
