@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 
 from pyspark.sql import Column, functions as F
@@ -39,7 +41,14 @@ def mean_quality(qual: Column) -> Column:
 
 def complexity(seq: Column) -> Column:
     """Share of the 16 two-letter words that occur; letters beyond ACGT count too. 0 below two letters."""
-    return F.size(F.array_distinct(words(seq, 2))) / F.lit(16.0)
+    pairs = [a + b for a in BASES + "N" for b in BASES + "N"]
+
+    def share(upper: Column) -> Column:
+        usual = functools.reduce(operator.add, [F.contains(upper, F.lit(p)).cast("int") for p in pairs])  # no list of words is made
+        plain = F.length(F.translate(upper, BASES + "N", "")) == 0
+        return F.when(plain, usual).otherwise(F.size(F.array_distinct(words(upper, 2)))) / F.lit(16.0)
+
+    return let(F.upper(seq), share)
 
 
 def entropy(seq: Column) -> Column:
