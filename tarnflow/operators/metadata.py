@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarnflow.functions.text import camel, norm_null
 from tarnflow.schema import CONTENT_PATTERNS, PRIORITY_COLUMNS, ROUTES, RUN
+from tarnflow.session import stage
 
 # ---- identifiers -----------------------------------------------------------------------------------------------
 
@@ -31,8 +32,9 @@ def has_runs(table: DataFrame, by: list[str], run: str = "Run") -> DataFrame:
 
 
 def keep_first(table: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
-    """The first row of each key by an explicit order."""
-    return table.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where("__n = 1").drop("__n")
+    """The first row of each key by an explicit order, found by an aggregate that combines before it shuffles."""
+    row = F.struct(*[F.col(f"`{c}`") for c in table.columns])
+    return table.groupBy(*keys).agg(F.min_by(row, order).alias("__row")).select("__row.*")
 
 
 def id_list(lines: DataFrame) -> DataFrame:
@@ -197,14 +199,16 @@ def dual_strategy_merge(left: DataFrame, right: DataFrame, order: str) -> tuple[
 def numbered(table: DataFrame, order: str, name: str = "pos") -> DataFrame:
     """Row numbers from 1 in a global order, without one task that gets all rows: range partitions, then offsets.
 
-    The offsets are one row a partition.
+    The sorted table is written out once, so that row numbers within partitions and the offsets (one row a
+    partition) agree whatever the range sampling does in another run.
     """
-    spread = table.repartitionByRange(F.col(order)).withColumn("__p", F.spark_partition_id())
-    local = spread.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(order)))
-    sizes = local.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
-    before = sizes.withColumn("__b", F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)))
-    joined = local.join(F.broadcast(before.select("__p", F.coalesce("__b", F.lit(0)).alias("__b"))), "__p")
-    return joined.withColumn(name, (F.col("__b") + F.col("__i")).cast("long")).drop("__p", "__i", "__b")
+    spread = table.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__m", F.monotonically_increasing_id())
+    held = stage(spread, "numbered")
+    part = F.shiftright("__m", 33)
+    sizes = held.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
+    before = sizes.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
+    joined = held.withColumn("__p", part).join(F.broadcast(before), "__p")
+    return joined.withColumn(name, F.col("__b") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("__p", "__m", "__b")
 
 
 def zipped(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:

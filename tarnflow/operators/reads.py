@@ -138,6 +138,21 @@ def quality_filtered(reads: DataFrame, least_q: int, share: float, most_n: int,
     return cut.where((F.col("__keep") >= F.col("__len") * share) & (S.count_letter(F.col("seq"), "N") <= most_n)).drop("__len", "__keep")
 
 
+#: Least score, least share of the length and most N by route (fixed values).
+FILTERS = {"ls454": (0, 0.85, None), "ion_torrent": (0, 0.85, 0), "illumina_degraded": (0, 0.85, 1), "pacbio": (0, 0.9, None), "illumina": (20, 0.75, 0)}
+
+
+def filtered_for(reads: DataFrame, route: str, by: list[str]) -> DataFrame:
+    """``quality_filtered`` with a route's values; where no number of N is fixed it is the group's 95th percentile."""
+    least, share, most = FILTERS[route]
+    if most is not None:
+        return quality_filtered(reads, least, share, most)
+    counts = reads.groupBy(*by, S.count_letter(F.col("seq"), "N").alias("n")).agg(F.count(F.lit(1)).alias("reads"))
+    limits = counts.groupBy(*by).agg(F.floor(F.percentile("n", 0.95, F.col("reads")) + 1e-9).alias("__most"))
+    kept = quality_filtered(reads, least, share, 1 << 30).join(limits, by)
+    return kept.where(S.count_letter(F.col("seq"), "N") <= F.col("__most")).drop("__most")
+
+
 def fastq_integrity(lines: DataFrame, file: str = "file") -> DataFrame:
     """Files of text lines: their number, and whether it is positive and a multiple of four."""
     n = F.count(F.lit(1))

@@ -25,6 +25,17 @@ class Phases:
         return self.spark.read.parquet(path)
 
 
+def milestones(done: int, before: int, total: int, step: int = 25) -> list[int]:
+    """The percentages, by steps, that a count passed on its way from ``before`` to ``done``."""
+    at = lambda n: n * 100 // total // step
+    return [k * step for k in range(at(before) + 1, at(done) + 1)] if total else []
+
+
+def outcome_counts(log: DataFrame) -> DataFrame:
+    """Data sets by outcome, one row; skipped ones have a state of their own."""
+    return log.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "failed", "skipped", "low_quality")])
+
+
 def harvest(phases: Phases, ids: DataFrame, sra: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Run metadata of the asked projects joined with their samples and standardized, and a state for each id.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarnflow.operators import features as T, legacy as L, pairs as Q, reads as R, similarity as Y, taxonomy as N
+from tarnflow.operators import error_model as E, features as T, legacy as L, pairs as Q, reads as R, similarity as Y, taxonomy as N
 from tarnflow.plans.derived import FEATURES, MATES, META, READS, frame, sql
 from tarnflow.session import read_table, stage
 
@@ -109,6 +109,10 @@ def unoise(spark, sf_dir):
     return Y.denoise(_unique(spark, sf_dir), BY)
 
 
+def error_model(spark, sf_dir):
+    return E.variants(E.denoise(_unique(spark, sf_dir, 2), BY), BY).select("project", "id", "reads")
+
+
 def chimera(spark, sf_dir):
     seqs = _unique(spark, sf_dir, 2)
     top = seqs.withColumn("k", F.row_number().over(T.Window.partitionBy("project").orderBy(F.desc("size"), "id"))).where("k <= 40")
@@ -218,7 +222,7 @@ def layout_by_counts(spark, sf_dir):
 
 NAMES = (
     "feature_totals sample_totals merge_feature_tables overlapping_samples merge_rep_seqs min_freq_filter synced_rep_seqs table_summary otu_pivot otu_unpivot "
-    "feature_prefix abundance_order prefix_primer heavy_prefixes similar_pairs read_mapping97 otu_cluster97 unoise chimera merge_pairs adapter_removal adapter_search "
+    "feature_prefix abundance_order prefix_primer heavy_prefixes similar_pairs read_mapping97 otu_cluster97 unoise error_model chimera merge_pairs adapter_removal adapter_search "
     "merge_gate orient nb_taxonomy placement_split nearest_tip source_tally prefix_routes attribute_synonyms joined_stats count_trim anchor_trim first_of_first_files "
     "plain_file_names layout_by_counts"
 ).split()

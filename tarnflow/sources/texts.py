@@ -116,6 +116,17 @@ def otu_tsv(spark: SparkSession, path: str) -> DataFrame:
     return unpivoted(rows.select(*[cells[i].alias(c) for i, c in enumerate(names)]), "id")
 
 
+def biom_json(spark: SparkSession, path: str) -> DataFrame:
+    """Long form of feature tables in the JSON layout of BIOM 1.0, sparse or dense, one file a table."""
+    schema = "rows array<struct<id: string>>, columns array<struct<id: string>>, data array<array<double>>, matrix_type string"
+    table = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t")).select("t.*")
+    cells = table.select("rows", "columns", "matrix_type", F.posexplode("data").alias("i", "d"))
+    sparse = cells.where("matrix_type = 'sparse'").select("rows", "columns", F.col("d")[0].cast("int").alias("r"), F.col("d")[1].cast("int").alias("c"), F.col("d")[2].alias("v"))
+    dense = cells.where("matrix_type = 'dense'").select("rows", "columns", F.col("i").alias("r"), F.posexplode("d").alias("c", "v"))
+    long = sparse.unionByName(dense).where("v > 0")
+    return long.select(F.get("rows", F.col("r"))["id"].alias("feature_id"), F.get("columns", F.col("c"))["id"].alias("sample_id"), F.col("v").cast("long").alias("count"))
+
+
 def seven_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``pos``, ``reads`` and quantiles of a seven-number table, whose first line has the positions."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).where("trim(line) <> ''")

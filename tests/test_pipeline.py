@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tarnflow.operators import metadata as M
+from tarnflow.operators import metadata as M, reads as R
 from tarnflow.pipeline import cli
-from tarnflow.pipeline.runner import Phases, combine, harvest, process_reads
+from tarnflow.pipeline.runner import Phases, combine, harvest, milestones, outcome_counts, process_reads
 from tarnflow.streaming import ingest
 
 
@@ -50,6 +50,17 @@ def test_reads_to_features_to_taxa(spark, tmp_path, reads, platform):
     assert out["placed"].count() + out["unplaced"].count() == out["table"].count()
 
 
+def test_progress_and_outcomes(spark):
+    assert milestones(30, 20, 100) == [25] and milestones(100, 0, 100) == [25, 50, 75, 100] and milestones(0, 0, 0) == []
+    log = spark.createDataFrame([("a", "success"), ("b", "skipped"), ("c", "success")], "dataset_id string, status string")
+    assert tuple(outcome_counts(log).first()) == (2, 0, 1, 0)
+
+
+def test_route_filters(spark):
+    reads = spark.createDataFrame([("g", i, "A" * 20 + "N" * (i % 3), "I" * (20 + i % 3)) for i in range(30)], "g string, read_idx int, seq string, qual string")
+    assert {r: R.filtered_for(reads, r, ["g"]).count() for r in ("ls454", "ion_torrent", "illumina_degraded")} == {"ls454": 30, "ion_torrent": 10, "illumina_degraded": 20}
+
+
 def test_command_line_checks():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["process", "--reads", "r", "--dataset", "d", "--out", "o", "--least", "0"])

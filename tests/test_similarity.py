@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tarnflow.operators import pairs as Q, similarity as Y, taxonomy as N
+from tarnflow.operators import error_model as E, pairs as Q, similarity as Y, taxonomy as N
 
 RANDOM = random.Random(5)
 
@@ -69,6 +69,26 @@ def test_denoise_merges_errors_and_keeps_reads(spark):
     assert sum(r["size"] for r in out) == 4000 + 60
 
 
+def test_error_model_finds_variants_that_errors_do_not_explain(spark):
+    true = [dna(100) for _ in range(2)]
+    variant = mutated(true[0], 1)
+    rows = [("g", "t0", true[0], 2000), ("g", "t1", true[1], 1500), ("g", "v0", variant, 600)]
+    rows += [("g", f"e{i}{k}", s, RANDOM.randint(1, 3)) for i, t in enumerate(true) for k in range(40) if (s := mutated(t, 1)) != variant]
+    rows = list({r[2]: r for r in reversed(rows)}.values())
+    found = E.denoise(spark.createDataFrame(rows, "g string, id string, seq string, size long"), ["g"])
+    got = {r.id: r.reads for r in E.variants(found, ["g"]).collect()}
+    assert set(got) == {"t0", "t1", "v0"}
+    assert sum(got.values()) == sum(r[3] for r in rows)
+    assert {r.centre for r in found.where("id like 'e1%'").collect()} == {"t1"}
+
+
+def test_abundance_probability():
+    assert E.abundance_p(1, 0.5) == 1.0
+    assert abs(E.abundance_p(2, 0.5) - (1 - 1.5 * 2.718281828459045**-0.5) / (1 - 2.718281828459045**-0.5)) < 1e-12
+    assert E.abundance_p(50, 0.01) < 1e-100
+    assert E.abundance_p(5, 0.0) == 0.0
+
+
 def test_chimeras(spark):
     a, b = dna(100), dna(100)
     rows = [("g", "a", a, 100), ("g", "b", b, 90), ("g", "c", a[:40] + b[40:], 10), ("g", "d", dna(100), 10), ("g", "weak", a[:50] + b[50:], 80)]

@@ -91,6 +91,14 @@ def test_otu_and_seven_numbers(spark, tmp_path):
     assert [(r.pos, r.reads, r.q25) for r in texts.seven_numbers(spark, seven).orderBy("pos").collect()] == [(0, 10, 30.0), (1, 9, 29.0)]
 
 
+def test_biom_json(spark, tmp_path):
+    head = '"rows": [{"id": "f1"}, {"id": "f2"}], "columns": [{"id": "S1"}, {"id": "S2"}]'
+    put(tmp_path / "a.biom", '{%s, "matrix_type": "sparse", "data": [[0, 1, 5], [1, 0, 2.0]]}' % head)
+    put(tmp_path / "b.biom", '{%s, "matrix_type": "dense", "data": [[0, 5], [2, 0]]}' % head)
+    for name in "ab":
+        assert sorted(map(tuple, texts.biom_json(spark, str(tmp_path / f"{name}.biom")).collect())) == [("f1", "S2", 5), ("f2", "S1", 2)]
+
+
 def test_file_report(spark, tmp_path):
     path = put(tmp_path / "f.tsv", "run_accession\tfastq_ftp\nSRR1\th/SRR1.fastq.gz;h/SRR1_1.fastq.gz;h/SRR1_2.fastq.gz\nSRR2\th/SRR2.fastq.gz\n")
     files = texts.chosen_files(texts.file_report(spark, path))
