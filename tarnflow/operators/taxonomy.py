@@ -66,11 +66,18 @@ def split_by_placement(table: DataFrame, tips: DataFrame) -> tuple[DataFrame, Da
 def place_near(seqs: DataFrame, tips: DataFrame, k: int = K_ORIENT, least: float = 0.5) -> DataFrame:
     """``feature_id`` and the ``tip`` with which each sequence shares most words, if it shares enough of its own.
 
-    A stand-in for placement in a tree's likelihood: it attaches to tips only.
+    A sequence of n words that shares m of them with a tip shares one of its n - m + 1 rarest; only those look for
+    candidates, so words that all sequences have don't. A stand-in for placement in a tree's likelihood: it
+    attaches to tips only.
     """
-    words = seqs.select("id", F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word"))
-    sizes = words.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
-    index = tips.select(F.col("id").alias("tip"), F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word"))
-    shared = words.join(index, "word").groupBy("id", "tip").agg(F.count(F.lit(1)).alias("n")).join(sizes, "id").withColumn("share", F.col("n") / F.col("size"))
+    listed = seqs.select("id", F.array_distinct(S.words(F.col("seq"), k)).alias("words")).where(F.size("words") > 0)
+    known = tips.select(F.col("id").alias("tip"), F.array_distinct(S.words(F.col("seq"), k)).alias("tip_words"))
+    index = known.select("tip", F.explode("tip_words").alias("word"))
+    held = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(0)), "word"))
+    rare = listed.select("id", F.size("words").alias("size"), F.explode("words").alias("word")).join(held, "word", "left").withColumn("rank", rank)
+    seeds = rare.where((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * least) + 1) & F.col("n").isNotNull())
+    pairs = seeds.join(index, "word").select("id", "tip").distinct()
+    shared = pairs.join(listed, "id").join(known, "tip").withColumn("share", F.size(F.array_intersect("words", "tip_words")) / F.size("words"))
     best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("share"), "tip"))
-    return shared.withColumn("__n", best).where((F.col("__n") == 1) & (F.col("share") >= least)).select(F.col("id").alias("feature_id"), "tip", F.round("share", 6).alias("share"))
+    return shared.where(F.col("share") >= least).withColumn("__n", best).where("__n = 1").select(F.col("id").alias("feature_id"), "tip", F.round("share", 6).alias("share"))

@@ -271,6 +271,28 @@ ORACLE_SQL = {
         with t as (select * from {_UNIQUE} where size >= 2), q as (select project, id, left(seq, 30) || 'A' || substr(seq, 32) as seq from t where length(seq) >= 48),
         p as (select q.project, q.id as q, t.id as t, q.seq as qs, t.seq as ts, greatest(length(q.seq), length(t.seq)) as n from q join t on t.project = q.project and abs(length(q.seq) - length(t.seq)) <= 4)
         select project, q, t, levenshtein(qs, ts) as edits, round(1 - levenshtein(qs, ts) / cast(n as double), 6) as identity from p where levenshtein(qs, ts) <= floor(n * (1 - 0.97) + 1e-9)""",
+    "read_mapping97": f"""
+        with u as (select * from {_UNIQUE}), t as (select * from u where size >= 2),
+        p as (select u.project, u.id as q, t.id as t, u.seq as qs, t.seq as ts, greatest(length(u.seq), length(t.seq)) as n from u join t on t.project = u.project and abs(length(u.seq) - length(t.seq)) <= 3),
+        d as (select project, q, t, n, levenshtein(qs, ts) as e from p),
+        b as (select project, q, t from d where e <= floor(n * (1 - 0.97) + 1e-9) qualify row_number() over (partition by project, q order by 1 - e / cast(n as double) desc, t) = 1)
+        select f.project, b.t as feature_id, f.sample_id, cast(sum(f.n) as bigint) as n from {_F} f join b on b.project = f.project and b.q = f.feature_id group by all""",
+    "chimera": f"""
+        with top as (select project, id, seq, size, row_number() over (partition by project order by size desc, id) as k from {_UNIQUE} where size >= 2 qualify k <= 40),
+        made as (select a.project, left(a.seq, 30) || right(b.seq, 25) as seq from top a join top b on b.project = a.project and b.k = a.k + 1 where a.k % 2 = 1),
+        s as (select project, id, seq, size from top union all select project, md5(seq), seq, 1 from made),
+        pairs as (select q.project, q.id, q.size, q.seq as qs, p.seq as ps, p.id as parent, p.size as psize from s q join s p on p.project = q.project and p.id <> q.id and p.size >= 2 * q.size),
+        r as (select *, unnest(range(1, length(qs) + 1)) as l from pairs),
+        front as (select project, id, arg_max(parent, {{'l': l, 's': psize, 'p': parent}}) as fp, max(l) as fl from r where left(qs, cast(l as int)) = left(ps, cast(l as int)) and length(ps) >= l group by all),
+        back as (select project, id, arg_max(parent, {{'l': l, 's': psize, 'p': parent}}) as bp, max(l) as bl from r where right(qs, cast(l as int)) = right(ps, cast(l as int)) and length(ps) >= l group by all)
+        select s.project, s.id, s.size, coalesce(fl + bl >= length(s.seq) and fp <> bp, false) as chimera
+        from s left join front f on f.project = s.project and f.id = s.id left join back b on b.project = s.project and b.id = s.id""",
+    "adapter_removal": f"select read_idx, left(seq1, 30) as seq1, reverse(translate(left(seq1, 30), 'ACGTN', 'TGCAN')) as seq2 from {_OVER} where read_idx % 4 = 0",
+    "nearest_tip": f"""
+        with u as (select distinct id, seq, list_distinct(list_transform(range(1, length(seq) - 10), lambda i: substr(seq, i, 12))) as words from {_UNIQUE}),
+        q as (select id, len(words) as size, unnest(words) as word from u), i as (select id as tip, unnest(words) as word from u where length(seq) > 90),
+        c as (select q.id, tip, count(*) / cast(size as double) as share from q join i on i.word = q.word group by q.id, tip, size)
+        select id as feature_id, tip, round(share, 6) as share from c where share >= 0.5 qualify row_number() over (partition by id order by share desc, tip) = 1""",
     "adapter_search": f"""
         with r as (select read_idx, qual, case when read_idx % 3 = 0 then left(seq, 40) || 'AGATCGGAAGAGCACACG' else seq end as seq from {_R}), c as (select *, instr(upper(seq), 'AGATCGGAAGAG') as hit from r)
         select read_idx, case when hit > 0 then left(seq, cast(hit - 1 as int)) else seq end as seq, case when hit > 0 then least(length(qual), hit - 1) else length(qual) end as qual_len from c""",

@@ -271,14 +271,13 @@ def _match(reads: str) -> str:
 
 
 _GATED = f"(select project, sample_id, read_idx, seq, qual from ({_SCORES}) where {_REASON} = 'kept')"
-_DETECT = f"""
-select project, detected, primer, trim, reason from (
-  select b.project, reason in ('known', 'unknown') as detected, case reason when 'known' then name when 'unknown' then 'unknown' end as primer,
+_DETECTED = f"""(
+  select b.project, b.consensus, reason in ('known', 'unknown') as detected, case reason when 'known' then name when 'unknown' then 'unknown' end as primer,
          case reason when 'known' then m.trim when 'unknown' then boundary else 0 end as trim, reason
   from (select *, case when boundary = 0 then 0.0 else (boundary - length(replace(substr(states, 1, cast(boundary as int)), 'D', ''))) / cast(boundary as double) end as share from {_boundary(_GATED)}) b
   left join {_match(_GATED)} m on m.project = b.project,
-  lateral (select case when m.name is not null then 'known' when boundary >= 30 then 'ceiling' when share > 0.25 then 'degenerate' when boundary > 0 then 'unknown' else 'none' end as reason))
-"""
+  lateral (select case when m.name is not null then 'known' when boundary >= 30 then 'ceiling' when share > 0.25 then 'degenerate' when boundary > 0 then 'unknown' else 'none' end as reason))"""
+_DETECT = f"select project, detected, primer, trim, reason from {_DETECTED}"
 _FIRST = f"(select project, read_idx, seq1, seq2, seq1 as seq from {MATES_SQL})"
 _MIXED = f"""(
   with m as (select project, pos, list_reverse_sort([f_a, f_c, f_g, f_t]) as o, f_a, f_c, f_g, f_t from {_matrix(_FIRST)} where pos < 15),
@@ -345,6 +344,8 @@ ORACLE_SQL = {
     "primer_boundary": f"select project, states, consensus, boundary from {_boundary(READS_SQL)}",
     "primer_db_match": f'select project, name, "offset", round(identity, 6) as identity, trim from {_match(READS_SQL)}',
     "primer_detection": _DETECT,
+    "primer_info": f"""
+        select project, '{{"mode":"SE","forward_primer":{{' || coalesce('"name":"' || primer || '",', '') || '"consensus":"' || consensus || '","length":' || trim || ',"detected":' || detected || '}}}}' as primer_info from {_DETECTED}""",
     "primer_trimmed": f"select read_idx, substr(seq, cast(trim + 1 as int)) as seq, length(substr(qual, cast(trim + 1 as int))) as qual_len from {READS_SQL} r join ({_DETECT}) d on d.project = r.project",
     "orientation_bimodal": f"select * from {_MIXED}",
     "orientation_split": f"select f.project, count(*) filter (where substr(upper(seq), cast(best_pos + 1 as int), 1) = minor) as minority, count(*) as reads from {_FIRST} f join {_MIXED} m on m.project = f.project group by f.project",
