@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarnflow.functions import sequence as S
-from tarnflow.schema import BASES
+from tarnflow.schema import BASES, COMPLEMENT
 
 MATRIX, CEILING, LEAST = 60, 30, 10
 IDENTITY, INFORMATIVE, D_SHARE = 0.85, 0.5, 0.25
@@ -124,7 +124,7 @@ def mixed_orientation(matrix: DataFrame, by: list[str]) -> DataFrame:
 
 def split_orientation(reads: DataFrame, mixed: DataFrame, by: list[str]) -> DataFrame:
     """``reads`` with ``minority``: whether the base at the best position is the second one; short reads are not."""
-    rows = reads.join(F.broadcast(mixed.select(*by, "best_pos", "minor")) if not by else mixed.select(*by, "best_pos", "minor"), by)
+    rows = reads.join(mixed.select(*by, "best_pos", "minor"), by)
     return rows.withColumn("minority", F.coalesce(S.base_at(F.upper("seq"), F.col("best_pos").cast("int")) == F.col("minor"), F.lit(False))).drop("best_pos", "minor")
 
 
@@ -157,16 +157,12 @@ def extract_region(seqs: DataFrame, forward: str, reverse: str, lengths: tuple[i
 
     Sequences without both primers, or with a stretch of another length, drop out; ``region`` is the stretch.
     """
-    from pyspark.sql.functions import regexp_extract
-
     pattern = f"{S.iupac_regex(forward)}([A-Za-z]*?){S.iupac_regex(_reverse_complement(reverse))}"
-    plus = regexp_extract(F.upper("seq"), pattern, 1)
-    minus = regexp_extract(F.upper(S.reverse_complement(F.col("seq"))), pattern, 1)
+    plus = F.regexp_extract(F.upper("seq"), pattern, 1)
+    minus = F.regexp_extract(F.upper(S.reverse_complement(F.col("seq"))), pattern, 1)
     region = F.when(plus != "", plus).otherwise(minus)
     return seqs.withColumn("region", region).where(F.length("region").between(*lengths))
 
 
 def _reverse_complement(primer: str) -> str:
-    from tarnflow.schema import COMPLEMENT
-
     return primer.translate(str.maketrans(*COMPLEMENT))[::-1]

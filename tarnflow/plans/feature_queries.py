@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tarnflow.operators import error_model as E, features as T, legacy as L, pairs as Q, reads as R, similarity as Y, taxonomy as N
 from tarnflow.plans.derived import FEATURES, MATES, META, READS, frame, sql
@@ -115,7 +115,7 @@ def error_model(spark, sf_dir):
 
 def chimera(spark, sf_dir):
     seqs = _unique(spark, sf_dir, 2)
-    top = seqs.withColumn("k", F.row_number().over(T.Window.partitionBy("project").orderBy(F.desc("size"), "id"))).where("k <= 40")
+    top = seqs.withColumn("k", F.row_number().over(Window.partitionBy("project").orderBy(F.desc("size"), "id"))).where("k <= 40")
     a, b = top.where("k % 2 = 1"), top.where("k % 2 = 0").select("project", (F.col("k") - 1).alias("k"), F.col("seq").alias("other"))
     made = a.join(b, ["project", "k"]).select("project", F.concat(F.left("seq", F.lit(30)), F.right("other", F.lit(25))).alias("seq")).select("project", F.md5("seq").alias("id"), "seq", F.lit(1).cast("long").alias("size"))
     return Y.chimeras(top.select("project", "id", "seq", "size").unionByName(made), BY).select("project", "id", "size", "chimera")
@@ -304,6 +304,18 @@ ORACLE_SQL = {
         w as (select id, strand, unnest(list_distinct(list_transform(range(1, length(s) - 10), lambda i: substr(s, i, 12)))) as word from b),
         v as (select id, count(*) filter (where strand = '+') as plus, count(*) filter (where strand = '-') as minus from w where word in (select word from k) group by id)
         select m.id, plus, minus, case when minus > plus then reverse(translate(seq, 'ACGTN', 'TGCAN')) else seq end as seq from m join v on v.id = m.id""",
+    "nb_taxonomy": f"""
+        with refs as (select distinct seq, 'd__B;p__' || substr(seq, 17, 1) || ';g__' || substr(seq, 17, 3) as taxon from {_UNIQUE} where size >= 2),
+        rw as (select taxon, word, count(*) as n from (select taxon, unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) as word from refs) group by all),
+        sums as (select taxon, sum(n) as total, ln(0.01 / (sum(n) + 0.01 * 65536)) as other from rw group by taxon),
+        gains as (select rw.taxon, word, ln((n + 0.01) / (total + 0.01 * 65536)) - other as gain from rw join sums on sums.taxon = rw.taxon),
+        q as (select id, word, count(*) as m from (select read_idx as id, unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(upper(seq), i, 8))) as word from {_R} where read_idx % 50 = 9) group by all),
+        sizes as (select id, sum(m) as size from q group by id),
+        scored as (select g.id, g.taxon, g.total + size * other as lp from (select id, taxon, sum(m * gain) as total from q join gains on gains.word = q.word group by all) g join sizes on sizes.id = g.id join sums on sums.taxon = g.taxon),
+        p as (select id, taxon, exp(lp - max(lp) over (partition by id)) as w from scored),
+        r as (select id, depth, array_to_string(string_split(taxon, ';')[1:depth], ';') as name, sum(w) / total as p from (select *, sum(w) over (partition by id) as total, unnest([1, 2, 3]) as depth from p) group by id, depth, name, total),
+        b as (select id, name, p from r where p >= 0.7 qualify row_number() over (partition by id order by depth desc, p desc, name desc) = 1)
+        select i.read_idx as id, coalesce(name, 'Unassigned') as taxon, round(coalesce(p, 0.0), 6) as confidence from (select read_idx from {_R} where read_idx % 50 = 9) i left join b on b.id = i.read_idx""",
     "placement_split": f"""
         with p as (select distinct feature_id from {_F} where n > 1)
         select case when feature_id in (select feature_id from p) then 'kept' else 'removed' end as part, count(*) as rows, cast(sum(n) as bigint) as reads from {_F} group by all""",

@@ -169,9 +169,9 @@ def checked_files(files: DataFrame, sums: DataFrame) -> DataFrame:
 
 def dataset_folders(spark: SparkSession, folder: str, needed: list[str]) -> DataFrame:
     """Data sets below a folder that have all the needed parts, by the layout ``dataset_id=X/part``."""
-    path, files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder), None
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()] if files.exists(path) else []
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    rows = [(n.removeprefix("dataset_id="), all(files.exists(jpath(f"{folder}/{n}/{p}")) for p in needed)) for n in sorted(names) if n.startswith("dataset_id=")]
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = path_of(folder)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(top) if s.isDirectory()] if files.exists(top) else []
+    rows = [(n.removeprefix("dataset_id="), all(files.exists(path_of(f"{folder}/{n}/{p}")) for p in needed)) for n in sorted(names) if n.startswith("dataset_id=")]
     return spark.createDataFrame(rows, "dataset_id string, whole boolean")
