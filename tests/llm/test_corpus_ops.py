@@ -402,3 +402,19 @@ def test_repeated_passages(spark, full):
     assert out[1].text == rows[1] and out[6].text is None and out[0].text == rows[0]
     assert " ".join(shared[:40]).upper() not in out[2].text
     assert substring_dedup.repeats(frame.limit(0)).count() == 0
+
+
+def test_null_and_repeated_ids(spark):
+    same_text = prose(40)
+    rows = [(None, same_text), (3, same_text), (3, same_text), (None, "only here " + prose(30)), (None, None), (8, prose(25)), (8, prose(25))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.near_duplicates(frame).collect()
+    assert len(got) == len(rows)
+    assert {r.component_id for r in got if int(r.fingerprint, 16) == reference_fingerprint(same_text)} == {3}
+    assert sum(r.component_id is None for r in got) == 2
+    kept = [r.text for r in simhash.near_dedup(frame).collect()]
+    assert kept.count(same_text) == 1 and len(kept) >= 3
+    assert packing.pack(frame, public_tokenizers.path("word_bpe_49k.json")).where("doc_id is null").count() == 3
+    assert tiff.text_media(frame, ["doc_id"]).count() == byte_bpe.round_trip(frame, public_tokenizers.path("byte_bpe_50k.tiktoken"), ["doc_id"]).count() == len(rows)
+    assert secret_scan.scan(frame, ["doc_id"]).count() == len(rows)
+    assert exact_dedup.decisions(frame).where("kept").count() == 5
