@@ -17,13 +17,14 @@ CONFIDENCE = 0.7
 def oriented(seqs: DataFrame, references: DataFrame, k: int = K_ORIENT) -> DataFrame:
     """``seqs`` (``id``, ``seq``) turned the way that shares more words with the references; without any: dropped.
 
-    Equal votes keep the given direction.
+    Equal votes keep the given direction. Equal sequences are looked at once; votes of an id that repeats add up.
     """
     known = references.select(F.explode(F.array_distinct(S.words(F.col("seq"), k))).alias("word")).distinct()
     both = F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(F.col("seq")).alias("s")))
-    words = seqs.select("id", F.explode(both).alias("x")).select("id", F.col("x.strand").alias("strand"), F.explode(F.array_distinct(S.words(F.col("x.s"), k))).alias("word"))
-    votes = words.join(known, "word", "left_semi").groupBy("id").agg(F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
-    rows = seqs.join(votes, "id")
+    unique = seqs.select("seq").distinct()
+    words = unique.select("seq", F.explode(both).alias("x")).select("seq", F.col("x.strand").alias("strand"), F.explode(F.array_distinct(S.words(F.col("x.s"), k))).alias("word"))
+    votes = words.join(known, "word", "left_semi").groupBy("seq").agg(F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
+    rows = seqs.join(seqs.select("id", "seq").join(votes, "seq").groupBy("id").agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus")), "id")
     return rows.withColumn("seq", F.when(F.col("minus") > F.col("plus"), S.reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
 
 
