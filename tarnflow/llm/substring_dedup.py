@@ -11,8 +11,9 @@ an anchor, and the 32 words from each anchor are a window. A passage of 51 words
 window wherever it stands, with the same anchor. Windows are equal if two independent 64-bit hashes of
 their words are.
 
-A band value that more than ``FULL`` different paragraphs share is not expanded into pairs: each paragraph
-is verified against several leaders, drawn by independent hash orders, so work stays in proportion.
+A band value that more than ``FULL`` different paragraphs share is first verified against several leaders,
+drawn by independent hash orders. Where that leaves its paragraphs in several components, all pairs of
+different components are verified as well, in salted blocks of bounded size, so no link is missed.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -31,7 +33,7 @@ from tarnflow.session import stage
 MIN_WORDS, SHINGLE, SIMILARITY = 40, 5, 0.8
 BANDS, IN_BAND = 8, 3
 WINNOW, WINDOW = 20, 32
-FULL, LEADERS = 32, 4
+FULL, LEADERS, BLOCK, CHUNK = 32, 4, 256, 4096
 _DRAW = np.random.default_rng(20240229)
 _odd = lambda n: _DRAW.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHINGLE_BY, PERMUTE, SHIFT, WINDOW_BY = _odd(SHINGLE), _odd(BANDS * IN_BAND), _odd(BANDS * IN_BAND), _odd(2 * WINDOW).reshape(2, WINDOW)
@@ -131,8 +133,11 @@ def units(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, _SCHEMA)
 
 
-def _candidates(banded: DataFrame, full: int) -> DataFrame:
-    """Pairs ``u``, ``v`` of ``rep`` that share a band: all of a small bucket, members and leaders of a crowded one."""
+def _candidates(banded: DataFrame, full: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``u``, ``v`` of ``rep`` that share a band: all of a small bucket, members and leaders of a crowded one.
+
+    Second, the rows ``band``, ``value`` and ``rep`` of the crowded buckets, whose other pairs are still to be verified.
+    """
     key = ["band", "value"]
     rows = banded.select("rep", F.posexplode("bands").alias("band", "value"))
     leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
@@ -143,7 +148,59 @@ def _candidates(banded: DataFrame, full: int) -> DataFrame:
     pairs = a.join(b, key).where("u < v").select("u", "v")
     led = met.where(F.col("n") > full).select(F.col("rep").alias("u"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("v"))
     led = led.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    return pairs.unionAll(led).distinct()
+    return pairs.unionAll(led).distinct(), met.where(F.col("n") > full).select(*key, "rep")
+
+
+def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Links ``u``, ``v`` of roots that connect what the similar pairs between the two blocks connect."""
+    left, right = (block[block["block"] == block[side].iat[0]] for side in ("i", "j"))
+    roots, codes = np.unique(np.concatenate([left["root"], right["root"]]), return_inverse=True)
+    sets = [*left["shingles"], *right["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(sets)), sizes), times[token] > 1
+    _, token = np.unique(token[shared], return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    token, owner, n = token[order], owner[shared][order], len(left)
+    common = np.zeros((n, len(right)), np.float32)
+    for start in range(0, len(token) and int(token[-1]) + 1, CHUNK):
+        a, b = np.searchsorted(token, [start, start + CHUNK])
+        has = np.zeros((len(sets), CHUNK), np.float32)
+        has[owner[a:b], token[a:b] - start] = 1
+        common += has[:n] @ has[n:].T
+    common = common.astype(np.float64)
+    alike = common / (sizes[:n, None] + sizes[None, n:] - common) >= similarity
+    label, was = np.arange(len(roots)), None
+    while was is None or (label != was).any():
+        was, own = label.copy(), label[codes]
+        own = np.concatenate([np.where(alike, own[None, n:], own[:n, None]).min(axis=1), np.where(alike, own[:n, None], own[None, n:]).min(axis=0)])
+        np.minimum.at(label, codes, own)
+    moved = label != np.arange(len(roots))
+    return pd.DataFrame({"u": roots[moved], "v": roots[label[moved]]})
+
+
+def _rest(crowded: DataFrame, roots: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Links ``u``, ``v`` of roots by the pairs of crowded buckets that are in different components so far.
+
+    The members of a bucket's most frequent component are only compared with the others.
+    """
+    key = ["band", "value"]
+    rows = stage(crowded.join(roots, F.col("rep") == F.col("node"), "left").select(*key, "rep", F.coalesce("root", "rep").alias("root")), "repeats-crowded")
+    most = rows.groupBy(*key).agg(F.mode("root").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*key, "main")
+    left = stage(rows.join(most, key).withColumn("is_main", F.col("root") == F.col("main")), "repeats-open")
+    blocks = lambda is_main: F.ceil(F.count_if(F.col("is_main") == is_main) / BLOCK)
+    dealt = left.join(left.groupBy(*key).agg(blocks(False).alias("others"), blocks(True).alias("mains")), key)
+    salt = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
+    met = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
+    dealt = dealt.withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+    dealt = dealt.select(*key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "root")
+    sets = lines.select("uid", "shingles").join(dealt.select(F.col("rep").alias("uid")).distinct(), "uid", "left_semi")
+    whole = dealt.join(sets, F.col("rep") == F.col("uid")).select(*key, "i", "j", "block", "root", "shingles")
+
+    def linked(block: pd.DataFrame) -> pd.DataFrame:
+        return _linked(block, similarity)
+
+    return stage(whole.groupBy(*key, "i", "j").applyInPandas(linked, "u long, v long"), "repeats-rest")
 
 
 def _jaccard(a: Column, b: Column) -> Column:
@@ -168,13 +225,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     lines = made.where("kind = 'paragraph'")
     nodes = stage(lines.groupBy(*digest).agg(F.min("uid").alias("rep"), *span), "repeats-nodes")
     banded = lines.select(F.col("uid").alias("rep"), "bands").join(nodes.select("rep"), "rep", "left_semi")
-    pairs = stage(_candidates(banded, full), "repeats-pairs")
+    candidates, crowded = _candidates(banded, full)
+    pairs = stage(candidates, "repeats-pairs")
     asked = pairs.select(F.col("u").alias("uid")).unionAll(pairs.select(F.col("v").alias("uid"))).distinct()
     sets = stage(lines.select("uid", "shingles").join(asked, "uid", "left_semi"), "repeats-sets")
     left, right = sets.select(F.col("uid").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("uid").alias("v"), F.col("shingles").alias("b"))
     alike = pairs.join(left, "u").join(right, "v").where(_jaccard(F.col("a"), F.col("b")) >= similarity)
     roots = components(alike.select("u", "v"), "repeats-components")
-    named = nodes.select(*digest, "rep", "low", "high").join(roots, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("root", "rep"))
+    named = nodes.select(*digest, "rep", "low", "high").join(roots, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("root", "rep")).drop("node", "root")
+    if crowded.head(1):
+        joined = components(_rest(crowded, roots, lines, similarity), "repeats-components")
+        named = named.join(joined, F.col("class") == F.col("node"), "left").withColumn("class", F.coalesce("root", "class"))
     classes = named.groupBy("class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("class", F.col("low").alias("keeper"))
     known = named.select(*digest, "class").join(classes, "class")
     paragraphs = lines.select("doc", "from", "to", *digest).join(known, digest)

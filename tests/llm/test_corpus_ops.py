@@ -404,6 +404,31 @@ def test_repeated_passages(spark, full):
     assert substring_dedup.repeats(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("words", "block"), [(60, 256), (100, 16)])
+def test_crowded_bands_lose_no_link(spark, monkeypatch, words, block):
+    """Variants of one template: similar pairs in one band are in one component, whoever leads the band."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    draw, template = random.Random(words), passage(words)
+    texts = []
+    for k in range(400):
+        line = list(template)
+        for at in draw.sample(range(words), 2):
+            line[at] = f"w{draw.randrange(10**6)}"
+        texts.append(" ".join(line))
+    made = substring_dedup.Units(texts).paragraphs()
+    sets, bands = [set(s.tolist()) for s in made["shingles"]], made["bands"]
+    pairs = [(u, v) for v in range(len(texts)) for u in range(v) if (bands[u] == bands[v]).any() and len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])]
+    assert len(pairs) > 10
+    root = list(range(len(texts)))
+    for u, v in pairs:
+        a, b = root[u], root[v]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    found = {r.doc_id: r.class_id for r in substring_dedup.repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).where("kind = 'paragraph'").collect()}
+    expected = {i for i, r in enumerate(root) if root.count(r) > 1}
+    assert set(found) == expected
+    assert len(set(found.values())) == len({root[i] for i in expected}) == len({(found[i], root[i]) for i in expected})
+
+
 def test_null_and_repeated_ids(spark):
     same_text = prose(40)
     rows = [(None, same_text), (3, same_text), (3, same_text), (None, "only here " + prose(30)), (None, None), (8, prose(25)), (8, prose(25))]
