@@ -1,7 +1,7 @@
 """Operators on similar sequences: candidates by exact words, verification by edit distance, greedy choices by rounds.
 
 Two sequences within e edits share a whole part if one of them is cut into e + 1 parts. Queries are cut into
-words of 16; the e + 1 words that fewest targets have are enough, so words that all sequences of a gene share
+words of 16, or shorter ones if that gives fewer than e + 1 parts; the e + 1 words that fewest targets have are enough, so words that all sequences of a gene share
 don't bring pairs. Candidates are verified with the JVM's bounded edit distance.
 """
 
@@ -26,16 +26,20 @@ def similar_pairs(queries: DataFrame, targets: DataFrame, by: list[str], identit
     """``q``, ``t`` and ``edits`` of all pairs with at least the identity, 1 - edits / the longer length, and, if it is
     given, at most ``most_edits``.
 
-    Both sides have ``by`` columns, ``id`` and ``seq``. No pair of sequences of 2 * WORD letters or more is
-    missed; of shorter ones those with fewer parts than edits are only found by equal words. ``same`` leaves
-    out pairs of a sequence with itself.
+    Both sides have ``by`` columns, ``id`` and ``seq``. No pair is missed: each query has more
+    parts than it may have edits, and targets are indexed at each length of part that a query of their group
+    has. ``same`` leaves out pairs of a sequence with itself.
     """
-    words = lambda step: S.words(F.col("seq"), WORD, step)
     allowed = lambda length: _edits(length, identity) if most_edits is None else F.least(_edits(length, identity), F.lit(most_edits))
-    long_enough = F.length("seq") >= WORD
-    index = targets.where(long_enough).select(*by, F.col("id").alias("t"), F.explode(F.array_distinct(words(1))).alias("word"))
+    most = allowed(F.length("seq") / identity)
+    cut = queries.select(*by, F.col("id").alias("q"), "seq", most.alias("most")).withColumn("k", F.greatest(F.lit(1), F.least(F.lit(WORD), F.floor(F.length("seq") / (F.col("most") + 1)).cast("int"))))
+    asked = cut.select(*by, "k").distinct()
+    sized = targets.select(*by, F.col("id").alias("t"), "seq")
+    sized = sized.join(asked, by) if by else sized.crossJoin(asked)
+    words = lambda step: F.explode(F.array_distinct(S.words(F.col("seq"), F.col("k"), step))).alias("word")
+    index = sized.select(*by, "t", words(1))
     held = index.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
-    parts = queries.where(long_enough).select(*by, F.col("id").alias("q"), allowed(F.length("seq") / identity).alias("most"), F.explode(F.array_distinct(words(WORD))).alias("word"))
+    parts = cut.select(*by, "q", "most", words(F.col("k")))
     ranked = parts.join(held, [*by, "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy(*by, "q").orderBy(F.coalesce("n", F.lit(0)), "word")))
     seeds = ranked.where((F.col("rank") <= F.col("most") + 1) & F.col("n").isNotNull()).select(*by, "q", "word")
     pairs = seeds.join(index, [*by, "word"]).select(*by, "q", "t").distinct()

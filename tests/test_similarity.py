@@ -49,6 +49,23 @@ def test_pairs_are_complete(spark):
     assert got == want
 
 
+def test_pairs_with_as_many_edits_as_words(spark):
+    """An edit in each word of 16 letters leaves no such word whole, yet the pair counts."""
+    seqs = [dna(n) for n in (12, 20, 33, 40, 40, 75, 111)]
+    flip = str.maketrans("ACGT", "CATG")
+    for s in seqs[:]:
+        spots = range(7, len(s), 16)
+        seqs += ["".join(c.translate(flip) if i in spots else c for i, c in enumerate(s)), s[:8] + s[9:]]
+    table = frame(spark, seqs)
+    got = {(r.q, r.t): r.edits for r in Y.similar_pairs(table, table, ["g"], 0.9, same=True).collect()}
+    want = {(f"s{i:03d}", f"s{j:03d}"): d for i, a in enumerate(seqs) for j, b in enumerate(seqs) if i != j and (d := edits(a, b)) <= int(max(len(a), len(b)) * (1 - 0.9) + 1e-9)}
+    assert got == want
+    parent, child = seqs[3], seqs[3][:7] + seqs[3][7].translate(flip) + seqs[3][8:23] + seqs[3][23].translate(flip) + seqs[3][24:]
+    rows = [("g", "parent", parent, 640), ("g", "child", child, 20)]
+    out = Y.denoise(spark.createDataFrame(rows, "g string, id string, seq string, size long"), ["g"]).collect()
+    assert [(r.id, r["size"]) for r in out] == [("parent", 660)]
+
+
 def test_greedy_clusters_equal_the_sequential_algorithm(spark):
     seqs = family()
     got = {r.id: r.centroid for r in Y.cluster_otus(frame(spark, seqs), ["g"]).collect()}
