@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +10,29 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text that one slice holds at most, unless a single row is longer.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
+
+#: What this Python worker keeps between tasks, at most one thing: see ``held``.
+_HELD: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]):
+    """What ``make`` made for ``key`` in this worker, kept for later tasks of the same operator; anything else is let go.
+
+    Workers outlive queries, so without this the vocabularies and caches of all operators would add up.
+    """
+    release(key)
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release(but: Hashable = None) -> None:
+    """Let go of what earlier operators kept in this worker."""
+    if any(k != but for k in _HELD):
+        for k in [k for k in _HELD if k != but]:
+            del _HELD[k]
+        pa.default_memory_pool().release_unused()
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -39,10 +61,12 @@ def map_slices(
     fields: list[T.StructField],
     make: Callable[[], Callable[[pa.RecordBatch], list]],
     most: int = SLICE_BYTES,
+    keeps: Hashable = None,
 ) -> DataFrame:
     """Keep ``columns`` of ``df`` (without the text unless listed) and add one value per row for each field.
 
-    ``make`` runs once in each task and returns the function from a slice to the lists of new values.
+    ``make`` runs once in each task and returns the function from a slice to the lists of new values; it may use
+    what the worker has ``held`` for ``keeps``.
     Only ``columns`` and ``text`` go to Python. New fields take names that ``columns`` may not have.
     """
     kept = [df.schema[c] for c in columns]
@@ -50,6 +74,7 @@ def map_slices(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keeps)
         apply = make()
         for part in slices(batches, text, most):
             made = apply(part)

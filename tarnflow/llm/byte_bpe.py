@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from tarnflow.llm.batches import map_slices, texts_of
+from tarnflow.llm.batches import held, map_slices, texts_of
 
 O, L, N, J, W, E, A1, A2, SEP = range(9)  # other, letter, number, joining space, white space, last white space, contractions
 # States: nothing open, in letters, in numbers, in others, after a joining space, in white space, in a contraction with 2 or 1 letters to come.
 FREE, LETTERS, NUMBERS, OTHERS, JOINED, WHITE, TWO, ONE = range(8)
 BLOCK = 512
-CACHED = 400_000
+CACHED = 400_000  # pre-tokens that a worker keeps: some 65 MB, 150 MB if all are of the longest
 LONGEST = 48
 #: White space code points (fixed values of the Unicode property).
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -166,8 +166,6 @@ def pretokens(texts: list[str]) -> list[list[str]]:
 class Ranks:
     """A vocabulary of byte sequences by rank, with a cache of merged pre-tokens."""
 
-    held: dict[str, Ranks] = {}
-
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
@@ -182,9 +180,11 @@ class Ranks:
 
     @classmethod
     def of(cls, path: str) -> Ranks:
-        if path not in cls.held:
-            cls.held[path] = cls(path)
-        return cls.held[path]
+        return held(cls.key(path), lambda: cls(path))
+
+    @staticmethod
+    def key(path: str) -> tuple:
+        return ("ranks", path)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: the adjacent pair of least rank, the leftmost of equals, merges first."""
@@ -278,7 +278,7 @@ def encode(docs: DataFrame, ranks: str, keep: list[str], text: str = "text") ->
         return apply
 
     whole = T.ArrayType(T.LongType(), False)
-    return map_slices(docs, keep, text, [T.StructField("ids", whole), T.StructField("offsets", whole)], make, 1_000_000)
+    return map_slices(docs, keep, text, [T.StructField("ids", whole), T.StructField("offsets", whole)], make, keeps=Ranks.key(ranks))
 
 
 def decode(encoded: DataFrame, ranks: str, keep: list[str], ids: str = "ids") -> DataFrame:
@@ -309,4 +309,4 @@ def round_trip(docs: DataFrame, ranks: str, keep: list[str], text: str = "text")
         return apply
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return map_slices(docs, keep, text, fields, make)
+    return map_slices(docs, keep, text, fields, make, keeps=Ranks.key(ranks))

@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tarnflow.llm.batches import slices, texts_of
+from tarnflow.llm.batches import held, slices, texts_of
 from tarnflow.llm.token_counts import _UNSURE, STABLE, _tokenizer
 from tarnflow.session import stage
 
 CAPACITY, END = 4096, 1
 NEARLY = 0.98  # of the capacity: fuller bins are final at every level
 ITEMS = 100_000  # bins that one task of a level gets, about
-CACHED, LONGEST = 1_000_000, 40
+CACHED, LONGEST = 400_000, 40  # words that a worker keeps: some 65 MB, 150 MB if all are of the longest
 #: Marks that may end a word, and a character that stands between words which the library gets together.
 POINTS, MARK = ",.;:!?", "\x01"
 #: Separators that Python's split takes for white space and the Unicode property doesn't (fixed values).
@@ -33,20 +33,12 @@ ODD_SPACES = "\x1c\x1d\x1e\x1f"
 class WordIds:
     """Ids of texts by a vocabulary that drops white space: ids of words are cached, whole texts never are."""
 
-    held: dict[str, WordIds] = {}
-
     def __init__(self, path: str):
         self.library = _tokenizer(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.mark: int | None = None
 
-    @classmethod
-    def of(cls, path: str) -> WordIds:
-        if path not in cls.held:
-            cls.held[path] = cls(path)
-        return cls.held[path]
-
     def words(self, text: str) -> list[str] | None:
         """Lower-cased words of the normalised text; None if only the library can tell."""
         if not text.isascii():
@@ -149,80 +141,109 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(used, np.int64)
 
 
-_PACKED = [("sequence_id", T.LongType()), ("offset", T.LongType()), ("closed", T.BooleanType()), ("used", T.LongType())]
+_PIECE = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, items: int = ITEMS) -> DataFrame:
-    """One row per piece: the id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset``.
+def _local(docs: DataFrame, vocabulary: str, text: str, capacity: int, nearly: int, items: int) -> DataFrame:
+    """Pieces of all documents in the bins of their task: best fit over rounds of some ``items`` pieces.
 
-    A document is the ids of its whole text (null: empty) and id 1, so each has a piece at least. Longer ones
-    are cut into pieces of ``capacity``. Pieces of one sequence lie without gaps from offset 0. Rows are packed
-    each on its own, repeated or not, whatever their id, null too; an empty table gives an empty result and
-    other columns are not read. Equal lengths keep the order in which a task reads them.
+    A round's pieces are columns of numbers, so a task's memory doesn't grow with its partition.
     """
-    schema = T.StructType(
-        [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
-        + [T.StructField(n, t) for n, t in _PACKED]
-    )
+    schema = T.StructType([docs.schema[0], *(T.StructField(n, t) for n, t in _PIECE), T.StructField("used", T.LongType())])
     arrow = to_arrow_schema(schema)
-    nearly = int(capacity * NEARLY)
-
-    def numbered(level: int, count: int) -> np.ndarray:
-        from pyspark import TaskContext
 
-        return (level << 56) + (TaskContext.get().partitionId() << 32) + np.arange(count, dtype=np.int64)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, ids, rows = WordIds.of(vocabulary), [], []
-        end = np.array([END], "<u4").tobytes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = held(("words", vocabulary), lambda: WordIds(vocabulary))
+        end, name = np.array([END], "<u4").tobytes(), _first_name(0)
+        ids, pieces, waiting = [], [], 0
         for part in slices(batches, text):
+            rows, of = [], []
             for k, code in enumerate(coder.encode(texts_of(part, text))):
                 code += end
                 for p, at in enumerate(range(0, len(code), 4 * capacity)):
                     cut = code[at : at + 4 * capacity]
-                    ids.append(part.column(0)[k].as_py())
+                    of.append(k)
                     rows.append((p, at // 4, len(cut) // 4, zlib.crc32(cut)))
-        if not rows:
-            return
-        table = np.array(rows, np.int64)
+            ids.append(part.column(0).take(pa.array(of, pa.int64())))
+            pieces.append(np.array(rows, np.int64).reshape(-1, 4))
+            waiting += len(rows)
+            if waiting >= items:
+                yield from packed(ids, pieces, name)
+                ids, pieces, name, waiting = [], [], name + waiting, 0
+        if waiting:
+            yield from packed(ids, pieces, name)
+
+    def packed(ids: list, pieces: list, name: int) -> Iterator[pa.RecordBatch]:
+        table = np.concatenate(pieces)
         bins, offsets, used = best_fit(table[:, 2], capacity)
-        names, full = numbered(0, len(used)), used >= nearly
-        made = [pa.array(ids, arrow.field(0).type), table[:, 0].astype(np.int32), *(table[:, i] for i in (1, 2, 3)), names[bins], offsets, full[bins], used[bins]]
-        whole = pa.RecordBatch.from_arrays([pa.array(x, arrow.field(i).type) for i, x in enumerate(made)], schema=arrow)
+        columns = [pa.concat_arrays(ids), table[:, 0].astype(np.int32), table[:, 1], table[:, 2], table[:, 3], name + bins, offsets, used[bins]]
+        whole = pa.RecordBatch.from_arrays([c if i == 0 else pa.array(c, arrow.field(i).type) for i, c in enumerate(columns)], schema=arrow)
         for at in range(0, whole.num_rows, 20_000):
             yield whole.slice(at, 20_000)
 
-    def again(level: int, last: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            got = [b for b in batches if b.num_rows]
-            if not got:
-                return
-            table = pa.Table.from_batches(got)  # some ``items`` bins
-            old = table.column("sequence_id").to_numpy()
-            bin_ids, at, member = np.unique(old, return_index=True, return_inverse=True)
-            bins, offsets, used = best_fit(table.column("used").to_numpy()[at], capacity)
-            names, new = numbered(level, len(used)), bins[member]
-            columns = [*table.columns[:5], names[new], table.column("offset").to_numpy() + offsets[member], (used >= nearly)[new] | last, used[new]]
-            yield from pa.table(dict(zip(arrow.names, columns, strict=True))).cast(arrow).to_batches(20_000)
-
-        return run
-
-    level = stage(docs.select(id_col, text).mapInArrow(first, schema), "packing-0")
-    done = [level.where("closed")]
-    left, number, before = level.where("not closed"), 1, None
+    return docs.mapInArrow(run, schema)
+
+
+def _first_name(level: int) -> int:
+    """The least name of a task's bins: names are made of the level, the partition and a running number."""
+    from pyspark import TaskContext
+
+    return (level << 56) + (TaskContext.get().partitionId() << 32)
+
+
+def _merged(bins: DataFrame, level: int, capacity: int) -> DataFrame:
+    """Where each bin (``bin``, ``used``) goes: ``to``, the bin that holds it, ``at`` in it, and ``to_used`` of that one."""
+    schema = "bin long, to long, at long, to_used long"
+    arrow = pa.schema([(n, pa.int64()) for n in ("bin", "to", "at", "to_used")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches([b for b in batches if b.num_rows], schema=pa.schema([("bin", pa.int64()), ("used", pa.int64())]))
+        if not table.num_rows:  # two numbers for each of some ``items`` bins
+            return
+        table = table.sort_by("bin")
+        at_bin, at, used = best_fit(table.column("used").to_numpy(), capacity)
+        columns = [table.column("bin").combine_chunks(), _first_name(level) + at_bin, at, used[at_bin]]
+        yield from pa.table(dict(zip(arrow.names, columns, strict=True)), schema=arrow).to_batches(20_000)
+
+    return bins.select("bin", "used").mapInArrow(run, schema)
+
+
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, items: int = ITEMS) -> DataFrame:
+    """One row per piece: the id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset``.
+
+    A document is the ids of its whole text (null: empty) and id 1, so each has a piece at least. Longer ones,
+    however long, are cut into pieces of ``capacity``. Pieces of one sequence lie without gaps from offset 0. Rows
+    are packed each on its own, repeated or not, whatever their id, null too; an empty table gives an empty result
+    and other columns are not read. Pieces of equal length keep the order in which a task reads them.
+
+    Only bins, two numbers each, go up the tree; pieces are joined to the bin that holds theirs at the end.
+    """
+    nearly = int(capacity * NEARLY)
+    local = stage(_local(docs.select(id_col, text), vocabulary, text, capacity, nearly, items), "packing-0")
+    open_ = F.col("used") < nearly
+    left = local.where(open_ & (F.col("offset") == 0)).select(F.col("sequence_id").alias("bin"), "used")
+    where, level, before = None, 1, None
     while True:
-        bins = left.agg(F.count_distinct("sequence_id")).first()[0]
+        bins = left.count()
         if not bins:
             break
         groups = -(-bins // items)
         last = groups == 1 or before is not None and bins > 0.95 * before
-        spread = left.repartition(groups, F.xxhash64("sequence_id") % groups) if groups > 1 else left.coalesce(1) if left.rdd.getNumPartitions() <= 64 else left.repartition(1)
-        level = stage(spread.mapInArrow(again(number, last), schema), f"packing-{number}")
-        done.append(level.where("closed"))
-        left, number, before = level.where("not closed"), number + 1, bins
+        spread = left.repartition(groups, F.xxhash64("bin") % groups) if groups > 1 else left.repartition(1)
+        made = stage(_merged(spread, level, capacity), f"packing-{level}")
+        step = made.select(F.col("bin").alias("from"), F.col("to").alias("next"), F.col("at").alias("more"), "to_used")
+        if where is None:
+            where = made
+        else:  # bins that were full at the level below stay where they are
+            moved = where.join(step.drop("to_used"), F.col("to") == F.col("from"), "left")
+            where = moved.select("bin", F.coalesce("next", "to").alias("to"), (F.col("at") + F.coalesce("more", F.lit(0))).alias("at"))
+        left = made.where((F.col("at") == 0) & (F.col("to_used") < nearly)).select(F.col("to").alias("bin"), F.col("to_used").alias("used"))
+        level, before = level + 1, bins
         if last:
             break
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionAll(x)
-    return out.drop("closed", "used")
+    columns = [id_col, *(n for n, _ in _PIECE[:-2])]
+    done = local.where(~open_).select(*columns, "sequence_id", "offset")
+    if where is None:
+        return done
+    rest = local.where(open_).join(where.select("bin", "to", "at"), F.col("sequence_id") == F.col("bin"))
+    return done.unionAll(rest.select(*columns, F.col("to").alias("sequence_id"), (F.col("offset") + F.col("at")).alias("offset")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tarnflow.llm.batches import map_slices, slices, texts_of
+from tarnflow.llm.batches import held, map_slices, release, slices, texts_of
 
 #: The pattern of byte-level pre-tokens (fixed value). \s is spelled as the Unicode property.
 PRETOKEN = (
@@ -27,7 +27,7 @@ PRETOKEN = (
 #: Code points up to here have the same classes in every Unicode version that the libraries use.
 STABLE = 0x377
 FREQUENT = 16_384  # entries of the broadcast table
-CACHED = 800_000  # entries of a worker's cache; when it is full, its longer half goes
+CACHED = 600_000  # entries of a worker's cache, some 75 MB; when it is full, its longer half goes
 LONGEST = 64  # characters of a pre-token that is worth remembering
 FAN_IN = 32  # summaries that one merge task reads
 
@@ -106,6 +106,7 @@ def frequent_pretokens(docs: DataFrame, text: str = "text", size: int = FREQUENT
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release()
         summary, find = Summary(size), regex.compile(PRETOKEN).findall
         for part in slices(batches, "t"):
             for t in texts_of(part, "t"):
@@ -141,8 +142,6 @@ def _tokenizer(path: str):
 class Counting:
     """Lengths of texts in tokens, with the two tiers; one of these lives in each Python worker."""
 
-    held: tuple | None = None
-
     def __init__(self, path: str, frequent: dict[str, int]):
         self.library, self.frequent, self.cache = _tokenizer(path), frequent, {}
         self.find, self.line = regex.compile(PRETOKEN).findall, None
@@ -151,9 +150,11 @@ class Counting:
 
     @classmethod
     def of(cls, path: str, frequent: dict[str, int], token: str) -> Counting:
-        if cls.held is None or cls.held[0] != (path, token):
-            cls.held = ((path, token), cls(path, frequent))
-        return cls.held[1]
+        return held(cls.key(path, token), lambda: cls(path, frequent))
+
+    @staticmethod
+    def key(path: str, token: str) -> tuple:
+        return ("lengths", path, token)
 
     def encode(self, items: list[str]) -> list[int]:
         """Tokens of each text, by the library alone."""
@@ -242,4 +243,4 @@ def token_counts(docs: DataFrame, vocabulary: str, keep: list[str], text: str =
         return apply
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
-    return map_slices(docs, keep, text, fields, make)
+    return map_slices(docs, keep, text, fields, make, keeps=Counting.key(vocabulary, token))
