@@ -139,6 +139,13 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _bare(description: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(description)
+
+
 class Counting:
     """Lengths of texts in tokens, with the two tiers; one of these lives in each Python worker."""
 
