@@ -12,6 +12,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tarnflow.functions.sequence import let
+
 # The three base patterns and the least lengths of their matches.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: What every match of ASSIGN begins with; texts without it need no further look.
@@ -31,24 +33,51 @@ ALLOWED = (
 SCALE = 1 << 20
 
 
+#: Matches that are gone through before their results are set aside; appending to a list copies it.
+BLOCK = 256
+PART = 1024  # code points of a part of a text that is masked
+SPAN = "struct<start:int,end:int,rank:int,text:string>"
+
+
+def _scan(cells: Column, start: Column, step, of: str) -> Column:
+    """What ``step(state, cell)``, a struct of the next ``state`` and an array ``out``, gives along ``cells``, in one array.
+
+    Blocks of cells are gone through each on its own, so that the copies made by appending stay small.
+    """
+    none, nones = F.array().cast(f"array<{of}>"), F.array().cast(f"array<array<{of}>>")
+
+    def one(acc: Column, cell: Column) -> Column:
+        return let(step(acc["state"], cell), lambda x: F.struct(x["state"].alias("state"), F.concat(acc["out"], x["out"]).alias("out")))
+
+    def block(all_: Column):
+        def run(acc: Column, i: Column) -> Column:
+            part = F.aggregate(F.slice(all_, i, F.lit(BLOCK)), F.struct(acc["state"].alias("state"), none.alias("out")), one)
+            return let(part, lambda x: F.struct(x["state"].alias("state"), F.concat(acc["out"], F.array(x["out"])).alias("out")))
+
+        return run
+
+    def whole(all_: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_), F.lit(BLOCK))
+        return F.flatten(F.aggregate(starts, F.struct(start.alias("state"), nones.alias("out")), block(all_))["out"])
+
+    return let(cells, lambda all_: F.when(F.size(all_) > 0, whole(all_)).otherwise(none))
+
+
 def _spans(kind: str, text: Column, pattern: str, good=None) -> Column:
-    """Array of (start, end, kind) of the pattern's leftmost non-overlapping matches, in code points."""
+    """Array of (start, end, kind, text) of the pattern's leftmost non-overlapping matches, in code points."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(good[0])) if good else None
-    cells = F.arrays_zip(whole.alias("m"), F.slice(between, F.lit(1), F.size(whole)).alias("b"), (checked if good else whole).alias("g"))
-    none = F.array().cast("array<struct<start:int,end:int,rank:int,text:string>>")
+    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(good[0])) if good else whole
     rank = ["assign", "access", "hex", "entropy"].index(kind)
+    cells = let(whole, lambda m: F.arrays_zip(m.alias("m"), F.slice(between, F.lit(1), F.size(m)).alias("b"), (checked if good else m).alias("g")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["b"])
+    def step(pos: Column, x: Column) -> Column:
+        start = pos + F.length(x["b"])
         end = start + F.length(x["m"])
         one = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rank).alias("rank"), x["m"].alias("text")))
-        out = F.concat(acc["out"], one)
-        return F.struct(end.alias("pos"), (F.when(F.length(x["g"]) >= good[1], out).otherwise(acc["out"]) if good else out).alias("out"))
+        return F.struct(end.alias("state"), (F.filter(one, lambda _: F.length(x["g"]) >= good[1]) if good else one).alias("out"))
 
-    start = F.struct(F.lit(0).alias("pos"), none.alias("out"))
-    return F.when(F.size(whole) > 0, F.aggregate(cells, start, step)["out"]).otherwise(none)
+    return _scan(cells, F.lit(0), step, SPAN)
 
 
 def _high_window(text: Column, width: int, bits: float) -> Column:
@@ -56,40 +85,61 @@ def _high_window(text: Column, width: int, bits: float) -> Column:
     table = F.array(*[F.lit(round(c * math.log2(c) * SCALE) if c else 0).cast("long") for c in range(width + 1)])
     most = round(width * math.log2(width) * SCALE)
     least = most - math.floor((math.log2(width) - bits) * width * SCALE)  # most - sum >= least
-    chars = F.split(text, "")
-    events = F.sequence(F.lit(0), F.length(text) * 2 - 1)
     cells = F.repeat(F.lit(chr(1)), 128)
 
-    def step(acc: Column, k: Column) -> Column:
-        i = F.floor(k / 2).cast("int")
-        enters = k % 2 == 1
-        at = F.when(enters, i).otherwise(i - width)
-        code = F.ascii(F.get(chars, at))
-        was = F.ascii(F.substring(acc["cells"], code + 1, F.lit(1))) - 1
-        now = was + F.when(enters, 1).otherwise(-1)
-        total = acc["total"] + F.get(table, now) - F.get(table, was)
-        high = enters & (i >= width - 1) & (F.lit(most) - total >= least)
-        moved = F.struct(
-            F.overlay(acc["cells"], F.chr(now + 1), code + 1, F.lit(1)).alias("cells"),
-            total.alias("total"),
-            F.when(high & (acc["first"] < 0), i - width + 1).otherwise(acc["first"]).alias("first"),
-            F.when(high, i + 1).otherwise(acc["last"]).alias("last"),
-        )
-        return F.when(at >= 0, moved).otherwise(acc)
-
-    start = F.struct(cells.alias("cells"), F.lit(0).cast("long").alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(events, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+    def over(chars: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            i = F.floor(k / 2).cast("int")
+            enters = k % 2 == 1
+            at = F.when(enters, i).otherwise(i - width)
+
+            def moved(code: Column) -> Column:
+                was = F.ascii(F.substring(acc["cells"], code + 1, F.lit(1))) - 1
+                now = was + F.when(enters, 1).otherwise(-1)
+                total = acc["total"] + F.get(table, now) - F.get(table, was)
+                high = enters & (i >= width - 1) & (F.lit(most) - total >= least)
+                return F.struct(
+                    F.overlay(acc["cells"], F.chr(now + 1), code + 1, F.lit(1)).alias("cells"),
+                    total.alias("total"),
+                    F.when(high & (acc["first"] < 0), i - width + 1).otherwise(acc["first"]).alias("first"),
+                    F.when(high, i + 1).otherwise(acc["last"]).alias("last"),
+                )
+
+            return F.when(at >= 0, let(F.ascii(F.get(chars, at)), moved)).otherwise(acc)
+
+        events = F.sequence(F.lit(0), F.size(chars) * 2 - 1)
+        start = F.struct(cells.alias("cells"), F.lit(0).cast("long").alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+        return F.aggregate(events, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+
+    return let(F.split(text, ""), over)  # split once a candidate
+
+
+def _clear_of(found: Column, base: Column) -> Column:
+    """The candidates that no base span overlaps, by a pass along all of them in order and one back."""
+    event = "struct<start:int,is_free:int,end:int,text:string>"
+
+    def events(spans: Column, is_free: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(is_free).alias("is_free"), s["end"].alias("end"), s["text"].alias("text")))
+
+    def ahead(reach: Column, e: Column) -> Column:
+        base_ = e["is_free"] == 0
+        state = F.when(base_, F.greatest(reach, e["end"])).otherwise(reach)
+        return F.struct(state.alias("state"), F.filter(F.array(e), lambda _: base_ | (reach <= e["start"])).alias("out"))
+
+    def back(next_: Column, e: Column) -> Column:
+        base_ = e["is_free"] == 0
+        state = F.when(base_, e["start"]).otherwise(next_)
+        return F.struct(state.alias("state"), F.filter(F.array(e), lambda _: ~base_ & (next_ >= e["end"])).alias("out"))
+
+    ordered = F.array_sort(F.concat(events(base, 0), events(found, 1)))
+    kept = _scan(F.reverse(_scan(ordered, F.lit(0), ahead, event)), F.lit(2**31 - 1), back, event)
+    return F.transform(kept, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), F.lit(3).alias("rank"), e["text"].alias("text")))
 
 
 def _entropy(found: Column, base: Column) -> Column:
     """Spans of the candidates' high windows, without allowed candidates and those that a base span covers."""
-    free = F.filter(
-        found,
-        lambda c: c["text"].rlike("[A-Za-z]")
-        & c["text"].rlike("[0-9]")
-        & ~c["text"].rlike(ALLOWED)
-        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
+    likely = F.filter(found, lambda c: c["text"].rlike("[A-Za-z]") & c["text"].rlike("[0-9]") & ~c["text"].rlike(ALLOWED))
+    free = let(likely, lambda c: F.when((F.size(base) > 0) & (F.size(c) > 0), _clear_of(c, base)).otherwise(c))
 
     def window(c: Column) -> Column:
         hexes, mixed = CLASSES["hex"], CLASSES["mixed"]
@@ -116,10 +166,12 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     ``base`` and ``spans`` list ``kind:start:end`` by start, then kind, comma-joined; offsets are code points,
     ends exclusive. ``base`` has the three patterns' spans, ``spans`` those and the entropy spans. Null and
     empty texts have no spans (empty strings). Rows are independent: repeated rows each get their result,
-    an empty table an empty one. Columns not in ``keep`` are not read. One map without any shuffle.
+    an empty table an empty one. Columns not in ``keep`` are not read. One map without any shuffle. Whole texts are
+    read however long they are; work grows in proportion to the text, long candidates and many matches included.
+    Where spans of several kinds begin at one place, they are listed in the order of kinds.
     """
     t = F.col("__t")
-    none = F.array().cast("array<struct<start:int,end:int,rank:int,text:string>>")
+    none = F.array().cast(f"array<{SPAN}>")
     lists = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__t")).select(
         *keep,
         F.when(t.rlike(ASSIGN_HINT), _spans("assign", t, ASSIGN, (2, ASSIGN_LEAST))).otherwise(none).alias("__a"),
@@ -150,16 +202,22 @@ def masked(docs: DataFrame, text: str = "text", mask: str = "[secret]", length:
     renamed = docs.select(*(F.col(c).alias(f"__own{i}") for i, c in enumerate(own)), F.col(text).alias("__text"))
     found = scan(renamed, renamed.columns, "__text")
     pairs = F.transform(F.split("spans", ","), lambda s: F.transform(F.slice(F.split(s, ":"), 2, 2), lambda x: x.cast("int")))
+    parts = F.regexp_extract_all("__text", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))  # no character is looked for from the text's begin
+
+    def between(parts: Column, a: Column, b: Column) -> Column:
+        within = F.sequence(F.floor(a / PART), F.floor((b - 1) / PART))
+        cut = lambda i: F.substring(F.get(parts, i.cast("int")), F.greatest(a - i * PART, F.lit(0)).cast("int") + 1, F.least(b - F.greatest(a, i * PART), F.lit(PART)).cast("int"))
+        return F.when(a < b, F.array_join(F.transform(within, cut), "")).otherwise("")
+
+    def replaced(parts: Column) -> Column:
+        def step(at: Column, s: Column) -> Column:
+            new = F.array(F.concat(between(parts, at, s[0]), F.lit(mask)))
+            return F.struct(F.greatest(at, s[1]).alias("state"), F.filter(new, lambda _: s[0] >= at).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("__text"), acc["at"] + 1, s[0] - acc["at"])
-        fresh = s[0] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s[1]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out")
-        )
+        end = F.array_max(F.transform(pairs, lambda s: s[1]))
+        return F.concat(F.array_join(_scan(pairs, F.lit(0), step, "string"), ""), between(parts, end, F.length("__text")))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("__text"), acc["at"] + 1, F.length("__text")))
-    cut = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
+    cut = let(parts, replaced)
     changed = F.col("spans") != ""
     new = found.withColumn("__new", F.when(changed, cut).otherwise(F.col("__text")))
     columns = {c: F.col(f"__own{i}") for i, c in enumerate(own)} | {text: F.col("__new")}
