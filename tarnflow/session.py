@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app_name: str = "tarnflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,14 +39,15 @@ _FOLDERS: dict[tuple, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder of this application below ``spark.checkpoint.dir``; below a temporary one only if that is unset (tests).
+    """A folder of this application below ``spark.checkpoint.dir``; below a temporary one if that is unset and
+    one machine does all the work; on a cluster that is an error.
 
     The JVM deletes it when the application ends.
     """
     app = spark.sparkContext.applicationId
     named = spark.conf.get("spark.checkpoint.dir", None)
     if (app, named) not in _FOLDERS:
-        top = named.rstrip("/") if named else f"file://{_own_folder()}"
+        top = named.rstrip("/") if named else f"file://{_own_folder(spark)}"
         _FOLDERS[app, named] = f"{top}/tarnflow-{app}"
         path, files = _hadoop(spark, _FOLDERS[app, named])
         files.mkdirs(path)
@@ -54,7 +55,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _FOLDERS[app, named]
 
 
-def _own_folder() -> str:
+def _own_folder(spark: SparkSession) -> str:
+    master = spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share; the master is {master}")
     folder = tempfile.mkdtemp(prefix="tarnflow-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
@@ -76,6 +80,15 @@ def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that may be broadcast: some 40 MB in an executor.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(staged: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged frame of short rows, marked for broadcast only if it has at most ``most``; the count comes from its files."""
+    return F.broadcast(staged) if staged.count() <= most else staged
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the folder behind a staged frame once nothing that still has to run reads it."""
     for name in df.inputFiles()[:1]:
