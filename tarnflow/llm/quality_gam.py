@@ -8,13 +8,14 @@ best pairs. Scoring looks up and adds. Features are counted over whole texts.
 from __future__ import annotations
 
 import operator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tarnflow.llm.batches import map_slices
+from tarnflow.llm.batches import map_slices, release, slices
 
 #: Rows that a model is fitted on at most, picked by a hash of the id among all labelled rows that may be used.
 SAMPLE = 20_000
@@ -181,12 +182,14 @@ def held_out(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> Model:
     """Fit on up to ``sample`` labelled rows that aren't held out; features are counted on the executors.
 
-    Rows with a null id or label don't count; of several labels of an id the largest holds.
+    Rows with a null id or label don't count; of several labels of an id the largest holds, of several texts of an id
+    the least value of each feature, so the driver gets ``sample`` rows at most.
     """
     usable = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~held_out(doc_id))
     picked = usable.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    few = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")  # ``sample`` rows at most
-    rows = _with_features(few, ["id", "y"], "text").orderBy("id").select("y", *NAMES).toPandas()
+    few = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")  # ``sample`` ids at most
+    found = _with_features(few, ["id", "y"], "text").groupBy("id", "y").agg(*[F.min(n).alias(n) for n in NAMES])  # an id may repeat
+    rows = found.orderBy("id").select("y", *NAMES).toPandas()
     return fit(rows[list(NAMES)].to_numpy(float), (rows["y"] > 0).to_numpy(float))
 
 
@@ -201,6 +204,28 @@ def _with_features(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
     return map_slices(docs, keep, text, [T.StructField(n, T.DoubleType()) for n in NAMES], make)
 
 
+def _probabilities(model: Model, texts: pa.Array) -> np.ndarray:
+    x = np.array([features(t or b"") for t in texts.cast(pa.binary()).to_pylist()], float).reshape(-1, len(NAMES))
+    return model.score(x)
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score at least the threshold; by the rules of ``score``.
+
+    Only texts go to Python and only verdicts come back; rows wait in the JVM, whatever their columns' names.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(model)
+
+    def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
+        own = table.value
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays([batch], ["text"])
+            yield pa.array(np.concatenate([np.empty(0, bool), *(_probabilities(own, part.column(0)) >= threshold for part in slices([named], "text"))]))
+
+    return docs.where(F.arrow_udf(good, "boolean")(F.col(text)))
+
+
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns of every row with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on).
 
@@ -213,8 +238,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", th
         own = table.value
 
         def apply(part: pa.RecordBatch) -> list:
-            x = np.array([features(t or b"") for t in part.column(text).cast(pa.binary()).to_pylist()], float).reshape(-1, len(NAMES))
-            p = own.score(x)
+            p = _probabilities(own, part.column(text))
             return [p, (p >= threshold).astype(np.int32)]
 
         return apply

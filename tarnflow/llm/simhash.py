@@ -10,6 +10,10 @@ of their number. The fingerprints that meet such a table entry are instead index
 lists the 65 values within distance 1, and two of them are linked exactly if they list a common value
 (those within distance 2 always do). A value is listed by 65 fingerprints at most, all of them within
 distance 2 of each other, so it is enough to link them to the least.
+
+A distance of 2 only finds copies with very few edits. De-duplication at a given Jaccard similarity therefore has a wider
+radius: ``near_dedup`` looks up five segments of 12 bits by balls of radius 1 on either side, so segments within two bits
+meet, and verifies candidates exactly.
 """
 
 from __future__ import annotations
@@ -19,12 +23,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tarnflow.llm import similar_sets
 from tarnflow.llm.batches import map_slices
 from tarnflow.llm.components import components
+from tarnflow.llm.similar_sets import SHINGLE_BY, SIMILARITY, mixed, odd, shingled
 from tarnflow.llm.survivors import surviving
-from tarnflow.session import stage
+from tarnflow.session import broadcast_if_small, stage
 
 SHINGLE, SEED, DISTANCE, FULL = 3, 42, 2, 64
+SEGMENTS, BITS = 5, 12  # of the fingerprint over distinct five-word shingles
+ORDER_BY, ORDER_ADD = odd(SEGMENTS), odd(SEGMENTS)
 #: For each byte value, its bits in the eight bytes of a word, so that sums of up to 255 bytes don't overflow.
 SPREAD = np.array([sum(((b >> i) & 1) << 8 * i for i in range(8)) for b in range(256)], np.uint64)
 
@@ -109,12 +117,92 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return _grouped(found, full).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", full: int = FULL) -> DataFrame:
-    """The rows of ``docs`` that stay, with all columns: of each component the row with the least id."""
-    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), key.alias("key"), F.monotonically_increasing_id().alias("r"))
-    found = stage(fingerprints(source, ["id", "key", "r"]), "simhash-fingerprints")
-    grouped = _grouped(found, full)
+def _kept(docs: DataFrame, id_col: str, key: Column, grouped: DataFrame) -> DataFrame:
+    """Of each ``component`` of ``grouped`` (``id``, ``key``, ``r``) the row with the least id, with all columns of ``docs``."""
     best = grouped.groupBy("component").agg(F.min(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "r")).alias("w"))
     made = grouped.join(best, grouped["component"].eqNullSafe(best["component"])).select("id", "key", (F.col("r") == F.col("w.r")).alias("kept"))
     return surviving(docs, id_col, key, stage(made, "simhash-decisions"))
+
+
+def _source(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, Column]:
+    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), key.alias("key"), F.monotonically_increasing_id().alias("r")), key
+
+
+def fingerprint_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", full: int = FULL) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: of each component of ``near_duplicates`` the row with the least id."""
+    source, key = _source(docs, id_col, text)
+    return _kept(docs, id_col, key, _grouped(stage(fingerprints(source, ["id", "key", "r"]), "simhash-fingerprints"), full))
+
+
+def _hashed_words(text: bytes) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in text.lower().split()], np.uint64)
+
+
+def _shingle_set(words: np.ndarray) -> np.ndarray:
+    """Distinct shingles; a shorter text is one shingle, a text without words has none."""
+    if not len(words):
+        return words
+    found = shingled(words)
+    return np.unique(found) if len(found) else mixed(np.add.reduce(words * SHINGLE_BY[: len(words)], keepdims=True))
+
+
+def neighbourhoods(words: np.ndarray) -> np.ndarray:
+    """The keys of a text: for each segment of its fingerprint, the values within one bit of it, with the segment's anchor.
+
+    The fingerprint is made of the distinct shingles. A segment's anchor is the shingle that comes first in the
+    segment's own order: a segment alone has too few values to keep unrelated documents apart, whatever their number.
+    """
+    found = _shingle_set(words)
+    if not len(found):
+        return np.empty(0, np.int64)
+    lanes = SPREAD[found.view(np.uint8).reshape(-1, 8)]
+    groups = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
+    ones = groups.view(np.uint8).reshape(len(groups), 64).sum(axis=0, dtype=np.int64)
+    value = np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0]
+    shifts = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(BITS)
+    segments = (value >> shifts) & np.uint64((1 << BITS) - 1)
+    balls = segments[:, None] ^ np.concatenate([[0], 1 << np.arange(BITS)]).astype(np.uint64)
+    anchors = np.array([mixed(found * by + add).min() for by, add in zip(ORDER_BY, ORDER_ADD, strict=True)])
+    return mixed(anchors[:, None] + mixed(balls + np.uint64(1))).view(np.int64).ravel()
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, full: int = similar_sets.FULL) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: of each group of near-duplicates the row with the least id.
+
+    Documents are linked whose sets of five-word shingles (A-Z lower-cased, words end at ASCII white space) have a Jaccard
+    similarity of ``similarity`` or more. Two candidates have segments of their fingerprints within two bits and one
+    anchor; candidates are verified on their whole sets, and groups are the components of the links. At a similarity
+    of 0.8 a pair becomes a candidate with probability 0.99, more above.
+
+    Texts of the same words are one group, texts without words (null, empty) are too; a text of fewer than five
+    words is one shingle. Rows with a null id rank last in their group, repeated rows are in one group, of which one
+    row stays. Very long texts are read whole. Columns of ``docs`` may have any names; an empty table gives an empty one.
+    """
+    source, key = _source(docs, id_col, text)
+
+    def make():
+        def apply(part: pa.RecordBatch) -> list:
+            words = [_hashed_words(t or b"") for t in part.column("text").cast(pa.binary()).to_pylist()]
+            digests = [xxhash.xxh3_128_intdigest(w.tobytes()) for w in words]
+            return [[(d >> 64) - (1 << 63) for d in digests], [(d & (1 << 64) - 1) - (1 << 63) for d in digests], [neighbourhoods(w) for w in words]]
+
+        return apply
+
+    def make_sets():
+        return lambda part: [[_shingle_set(_hashed_words(t or b"")).view(np.int64) for t in part.column("text").cast(pa.binary()).to_pylist()]]
+
+    fields = [T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    found = stage(map_slices(source, ["id", "key", "r"], "text", fields, make), "near-keys")
+    first = F.min(F.struct("r", "id", "key")).alias("first")
+    nodes = stage(found.groupBy("d1", "d2").agg(first).select("d1", "d2", F.col("first.r").alias("rep"), "first.id", "first.key"), "near-nodes")
+    keyed = found.select(F.col("r").alias("rep"), "keys").join(nodes.select("rep"), "rep", "left_semi")
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        wanted = stage(nodes.join(asked, "rep", "left_semi").select("rep", F.col("id").alias("own_id"), F.col("key").alias("own_key")), "near-asked")
+        rows = source.drop("r").join(broadcast_if_small(wanted), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key")))
+        return map_slices(rows, ["rep"], "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], make_sets).dropDuplicates(["rep"])
+
+    roots = similar_sets.roots(keyed, sets_of, similarity, BITS + 1, "near", full)
+    classes = nodes.join(roots, F.col("rep") == F.col("node"), "left").select("d1", "d2", F.coalesce("root", "rep").alias("component"))
+    return _kept(docs, id_col, key, found.drop("keys").join(classes, ["d1", "d2"]))

@@ -2,18 +2,15 @@
 
 Paragraphs are the lines of at least ``MIN_WORDS`` words. Their five-word shingles are min-hashed; bands
 of three values bring paragraphs of Jaccard similarity 0.8 together with probability 0.997. Colliding
-paragraphs are verified on their whole shingle sets, and links are closed to components. Equal paragraphs
-are one node, so copies are never paired.
-
-A passage may also stand inside longer paragraphs that differ around it. Therefore each text's words are
-winnowed (Schleimer, Wilkerson and Aiken, 2003): of every 20 neighbouring shingles the one of least hash is
-an anchor, and the 32 words from each anchor are a window. A passage of 51 words or more holds a whole
-window wherever it stands, with the same anchor. Windows are equal if two independent 64-bit hashes of
-their words are.
-
-A band value that more than ``FULL`` different paragraphs share is first verified against several leaders,
-drawn by independent hash orders. Where that leaves its paragraphs in several components, all pairs of
-different components are verified as well, in salted blocks of bounded size, so no link is missed.
+paragraphs are verified on their whole shingle sets (64-bit hashes), made for them in a second pass, and links
+are closed to components. Equal paragraphs are one node, so copies are never paired.
+
+A passage may also stand inside longer paragraphs that differ around it, where paragraphs don't collide. Therefore
+each text's words are winnowed (Schleimer, Wilkerson and Aiken, 2003): of every 20 neighbouring shingles the one of
+least hash is an anchor, and the 32 words from each anchor are a window. A passage of 51 words or more holds a whole
+window wherever it stands, with the same anchor. Windows are equal if two independent 64-bit hashes of their words are.
+Where stretches of shared windows are short, a second pass looks at every run of 51 words in and around them, and only
+such runs count that another document has as well.
 """
 
 from __future__ import annotations
@@ -21,31 +18,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tarnflow.llm.batches import slices, texts_of
-from tarnflow.llm.components import components
-from tarnflow.session import stage
+from tarnflow.llm import similar_sets
+from tarnflow.llm.batches import release, slices, texts_of
+from tarnflow.llm.similar_sets import FULL, SHINGLE, SIMILARITY, mixed, odd, shingled
+from tarnflow.session import BROADCAST_ROWS, stage
 
-MIN_WORDS, SHINGLE, SIMILARITY = 40, 5, 0.8
+#: Shorter lines aren't paragraphs of their own; repeated ones are found as parts of a run.
+MIN_WORDS = 40
 BANDS, IN_BAND = 8, 3
 WINNOW, WINDOW = 20, 32
-FULL, LEADERS, BLOCK, CHUNK = 32, 4, 256, 4096
-_DRAW = np.random.default_rng(20240229)
-_odd = lambda n: _DRAW.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHINGLE_BY, PERMUTE, SHIFT, WINDOW_BY = _odd(SHINGLE), _odd(BANDS * IN_BAND), _odd(BANDS * IN_BAND), _odd(2 * WINDOW).reshape(2, WINDOW)
-BAND_BY = _odd(IN_BAND)
-_SCHEMA = "kind string, uid long, doc long, `from` int, `to` int, d1 long, d2 long, bands array<long>, shingles array<int>"
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64: every bit of the result hangs on every bit of the input."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+RUN = WINNOW + WINDOW - 1  # words of a run that surely holds a window
+PERMUTE, SHIFT, WINDOW_BY, RUN_BY = odd(BANDS * IN_BAND), odd(BANDS * IN_BAND), odd(2 * WINDOW).reshape(2, WINDOW), odd(2 * RUN).reshape(2, RUN)
+BAND_BY = odd(IN_BAND)
+_SCHEMA = "kind string, uid long, doc long, `from` int, `to` int, d1 long, d2 long, bands array<long>"
 
 
 def words_of(text: str) -> list[list[bytes]]:
@@ -53,6 +42,14 @@ def words_of(text: str) -> list[list[bytes]]:
     return [line.split() for line in text.lower().encode().split(b"\n")]
 
 
+def run_hashes(words: np.ndarray, at: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the run of words from each place in ``at``."""
+    hashes = np.zeros((2, len(at)), np.uint64)
+    for k in range(by.shape[1]):
+        hashes += words[at + k] * by[:, k : k + 1]
+    return mixed(hashes[0]).view(np.int64), mixed(hashes[1]).view(np.int64)
+
+
 class Units:
     """Paragraphs and windows of some texts, as columns."""
 
@@ -67,8 +64,7 @@ class Units:
         self.doc_from = self.doc_to - per_doc
         hashed = xxhash.xxh64_intdigest
         self.words = np.array([hashed(w) for doc in lines for line in doc for w in line], np.uint64)
-        n = max(0, len(self.words) - SHINGLE + 1)
-        self.shingles = mixed(sum((self.words[i : i + n] * SHINGLE_BY[i] for i in range(SHINGLE)), np.zeros(n, np.uint64)))
+        self.shingles = shingled(self.words)
 
     def paragraphs(self) -> dict:
         which = np.flatnonzero(self.line_to - self.line_from >= MIN_WORDS)
@@ -82,11 +78,10 @@ class Units:
                 p = band * IN_BAND + k
                 least = np.minimum.reduceat(mixed(self.shingles * PERMUTE[p] + SHIFT[p]), bounds)[::2]
                 bands[:, band] += least * BAND_BY[k]
-        sets = [np.unique((self.shingles[i : j - SHINGLE + 1] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for i, j in zip(a, b, strict=True)]
-        return {"doc": self.line_doc[which], "from": a, "to": b, "d1": [(d >> 64) - (1 << 63) for d in digests], "d2": [(d & (1 << 64) - 1) - (1 << 63) for d in digests], "bands": mixed(bands).view(np.int64), "shingles": sets}
+        return {"doc": self.line_doc[which], "from": a, "to": b, "d1": [(d >> 64) - (1 << 63) for d in digests], "d2": [(d & (1 << 64) - 1) - (1 << 63) for d in digests], "bands": mixed(bands).view(np.int64)}
 
     def windows(self) -> dict:
-        """One window per document and content, at the first anchor that begins it."""
+        """The window at every anchor."""
         if len(self.shingles) < WINNOW:
             at = np.empty(0, np.int64)
         else:
@@ -95,25 +90,21 @@ class Units:
         doc = np.searchsorted(self.doc_to, at, "right")
         whole = at + WINDOW <= self.doc_to[doc] if len(at) else np.empty(0, bool)
         at, doc = at[whole], doc[whole]
-        hashes = np.zeros((2, len(at)), np.uint64)
-        for k in range(WINDOW):
-            hashes += self.words[at + k] * WINDOW_BY[:, k : k + 1]
-        d1, d2 = mixed(hashes[0]).view(np.int64), mixed(hashes[1]).view(np.int64)
-        _, first = np.unique(np.stack([doc, d1, d2]), axis=1, return_index=True) if len(at) else (None, at)
-        first = np.sort(first)
-        return {"doc": doc[first], "from": at[first], "to": at[first] + WINDOW, "d1": d1[first], "d2": d2[first]}
+        d1, d2 = run_hashes(self.words, at, WINDOW_BY)
+        return {"doc": doc, "from": at, "to": at + WINDOW, "d1": d1, "d2": d2}
 
 
 def units(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """All paragraphs and windows with ids of their own; word positions count from the document's first word."""
     fields = [pa.field("kind", pa.string()), *(pa.field(n, t) for n, t in (("uid", pa.int64()), ("doc", pa.int64()), ("from", pa.int32()), ("to", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())))]
-    arrow = pa.schema([*fields, pa.field("bands", pa.list_(pa.int64())), pa.field("shingles", pa.list_(pa.int32()))])
+    arrow = pa.schema([*fields, pa.field("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release()
         next_id = TaskContext.get().partitionId() << 40
-        for part in slices(batches, "text", 1_000_000):
+        for part in slices(batches, "text"):
             ids = part.column("doc")
             made = Units(texts_of(part, "text"))
             for kind, found in (("paragraph", made.paragraphs()), ("window", made.windows())):
@@ -121,133 +112,118 @@ def units(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 if not n:
                     continue
                 start = made.doc_from[found["doc"]]
-                lists = [pa.nulls(n, arrow.field(i).type) for i in (7, 8)]
-                if kind == "paragraph":
-                    lists = [pa.array(list(found["bands"]), arrow.field(7).type), pa.array(found["shingles"], arrow.field(8).type)]
+                bands = pa.array(list(found["bands"]), arrow.field(7).type) if kind == "paragraph" else pa.nulls(n, arrow.field(7).type)
                 columns = [pa.array([kind] * n), pa.array(np.arange(next_id, next_id + n)), ids.take(pa.array(found["doc"])).cast(pa.int64())]
                 columns += [pa.array((found[x] - start).astype(np.int32)) for x in ("from", "to")]
                 columns += [pa.array(found[x], pa.int64()) for x in ("d1", "d2")]
                 next_id += n
-                yield pa.RecordBatch.from_arrays([*columns, *lists], schema=arrow)
+                yield pa.RecordBatch.from_arrays([*columns, bands], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, _SCHEMA)
 
 
-def _candidates(banded: DataFrame, full: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``u``, ``v`` of ``rep`` that share a band: all of a small bucket, members and leaders of a crowded one.
+def _with_asked(docs: DataFrame, asked: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``doc``, ``text`` and the list ``asked`` of all documents that ``asked`` (``doc`` and more) names."""
+    items = stage(asked, "repeats-asked")
+    by_doc = items.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in items.columns if c != "doc"])).alias("asked"))
+    by_doc = F.broadcast(by_doc) if items.count() <= BROADCAST_ROWS else by_doc
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text")).join(by_doc, "doc")
 
-    Second, the rows ``band``, ``value`` and ``rep`` of the crowded buckets, whose other pairs are still to be verified.
-    """
-    key = ["band", "value"]
-    rows = banded.select("rep", F.posexplode("bands").alias("band", "value"))
-    leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
-    buckets = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *leaders).where("n > 1")
-    met = stage(rows.join(buckets, key), "repeats-bands")
-    small = met.where(F.col("n") <= full)
-    a, b = small.select(*key, F.col("rep").alias("u")), small.select(*key, F.col("rep").alias("v"))
-    pairs = a.join(b, key).where("u < v").select("u", "v")
-    led = met.where(F.col("n") > full).select(F.col("rep").alias("u"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("v"))
-    led = led.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    return pairs.unionAll(led).distinct(), met.where(F.col("n") > full).select(*key, "rep")
-
-
-def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links ``u``, ``v`` of roots that connect what the similar pairs between the two blocks connect."""
-    left, right = (block[block["block"] == block[side].iat[0]] for side in ("i", "j"))
-    roots, codes = np.unique(np.concatenate([left["root"], right["root"]]), return_inverse=True)
-    sets = [*left["shingles"], *right["shingles"]]
-    sizes = np.array([len(x) for x in sets])
-    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner, shared = np.repeat(np.arange(len(sets)), sizes), times[token] > 1
-    _, token = np.unique(token[shared], return_inverse=True)
-    order = np.argsort(token, kind="stable")
-    token, owner, n = token[order], owner[shared][order], len(left)
-    common = np.zeros((n, len(right)), np.float32)
-    for start in range(0, len(token) and int(token[-1]) + 1, CHUNK):
-        a, b = np.searchsorted(token, [start, start + CHUNK])
-        has = np.zeros((len(sets), CHUNK), np.float32)
-        has[owner[a:b], token[a:b] - start] = 1
-        common += has[:n] @ has[n:].T
-    common = common.astype(np.float64)
-    alike = common / (sizes[:n, None] + sizes[None, n:] - common) >= similarity
-    label, was = np.arange(len(roots)), None
-    while was is None or (label != was).any():
-        was, own = label.copy(), label[codes]
-        own = np.concatenate([np.where(alike, own[None, n:], own[:n, None]).min(axis=1), np.where(alike, own[:n, None], own[None, n:]).min(axis=0)])
-        np.minimum.at(label, codes, own)
-    moved = label != np.arange(len(roots))
-    return pd.DataFrame({"u": roots[moved], "v": roots[label[moved]]})
-
-
-def _rest(crowded: DataFrame, roots: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Links ``u``, ``v`` of roots by the pairs of crowded buckets that are in different components so far.
-
-    The members of a bucket's most frequent component are only compared with the others.
-    """
-    key = ["band", "value"]
-    rows = stage(crowded.join(roots, F.col("rep") == F.col("node"), "left").select(*key, "rep", F.coalesce("root", "rep").alias("root")), "repeats-crowded")
-    most = rows.groupBy(*key).agg(F.mode("root").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*key, "main")
-    left = stage(rows.join(most, key).withColumn("is_main", F.col("root") == F.col("main")), "repeats-open")
-    blocks = lambda is_main: F.ceil(F.count_if(F.col("is_main") == is_main) / BLOCK)
-    dealt = left.join(left.groupBy(*key).agg(blocks(False).alias("others"), blocks(True).alias("mains")), key)
-    salt = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
-    met = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
-    dealt = dealt.withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
-    dealt = dealt.select(*key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "root")
-    sets = lines.select("uid", "shingles").join(dealt.select(F.col("rep").alias("uid")).distinct(), "uid", "left_semi")
-    whole = dealt.join(sets, F.col("rep") == F.col("uid")).select(*key, "i", "j", "block", "root", "shingles")
 
-    def linked(block: pd.DataFrame) -> pd.DataFrame:
-        return _linked(block, similarity)
+def paragraph_sets(docs: DataFrame, lines: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``rep`` and ``shingles`` (distinct 64-bit hashes) of the paragraphs ``lines`` (``rep``, ``doc``, ``from``, ``to``, digests)."""
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
-    return stage(whole.groupBy(*key, "i", "j").applyInPandas(linked, "u long, v long"), "repeats-rest")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for part in slices(batches, "text"):
+            reps, sets = [], []
+            for t, asked in zip(texts_of(part, "text"), part.column("asked").to_pylist(), strict=True):
+                words = np.array([xxhash.xxh64_intdigest(w) for w in t.lower().encode().split()], np.uint64)
+                shingles = shingled(words)
+                for x in asked:
+                    a, b = x["from"], x["to"]
+                    digest = xxhash.xxh3_128_intdigest(words[a:b].tobytes())
+                    if ((digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)) == (x["d1"], x["d2"]):  # ids may repeat
+                        reps.append(x["rep"])
+                        sets.append(np.unique(shingles[a : b - SHINGLE + 1]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, schema.field(1).type)], schema=schema)
+
+    return _with_asked(docs, lines.select("doc", "rep", "from", "to", "d1", "d2"), id_col, text).mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
+
+
+def runs_in(docs: DataFrame, zones: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Every run of ``RUN`` words in the ``zones`` (``doc``, ``from``, ``to``): ``doc``, ``from`` and its digest."""
+    schema = pa.schema([("doc", pa.int64()), ("from", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for part in slices(batches, "text"):
+            for doc, t, asked in zip(part.column("doc").to_pylist(), texts_of(part, "text"), part.column("asked").to_pylist(), strict=True):
+                words = np.array([xxhash.xxh64_intdigest(w) for w in t.lower().encode().split()], np.uint64)
+                spans = [np.arange(max(0, x["from"]), min(len(words), x["to"]) - RUN + 1) for x in asked]
+                at = np.unique(np.concatenate(spans)).astype(np.int64)
+                d1, d2 = run_hashes(words, at, RUN_BY)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(at.astype(np.int32)), pa.array(d1), pa.array(d2)], schema=schema)
 
-def _jaccard(a: Column, b: Column) -> Column:
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
+    return _with_asked(docs, zones, id_col, text).mapInArrow(run, "doc long, `from` int, d1 long, d2 long")
+
+
+def _islands(hits: DataFrame, own: list[str]) -> DataFrame:
+    """``hits`` (``from``, ``to``) with ``island``: stretches without a gap among the rows that agree in ``own``, a document's."""
+    order = Window.partitionBy(*own).orderBy("from", "to")
+    reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return hits.withColumn("new", F.coalesce(F.col("from") > reach, F.lit(True)).cast("int")).withColumn("island", F.sum("new").over(order)).drop("new")
+
+
+def _shared(runs: DataFrame, words: int) -> DataFrame:
+    """The runs that several documents have, with ``class`` and ``kept``; each digest is looked up by its least and largest document."""
+    digest = ["d1", "d2"]
+    shared = runs.groupBy(*digest).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").drop("high")
+    return runs.join(shared, digest).select("doc", "from", (F.col("from") + words).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, full: int = FULL) -> DataFrame:
     """One row per repeated passage: the id, ``kind``, ``from_word``, ``to_word``, ``class_id`` and ``kept``.
 
     ``kind`` paragraph: a line of at least 40 words in a component of such lines, linked at the similarity,
-    that reaches another document. ``kind`` window: a longest stretch of words covered by windows that other
-    documents have as well. Words count from 0 over the whole lower-cased text, the end is exclusive.
-    ``class_id`` is the least paragraph of the component, or a hash of a window. ``kept`` is true in the document with the least id of the class, whose passage stays. Null texts are
-    empty; rows with a null id have no passages. An id that repeats is one document; a passage that only
-    its own document repeats is not reported. No other column is read; an empty table gives no rows.
+    that reaches another document. ``kind`` window: a longest stretch of words covered by runs that other documents
+    have as well, 51 words or longer each; where shared windows of 32 words join up to 70 words or more, by these.
+    A passage that stands in a document several times is listed each time. Words count from 0 over the whole
+    lower-cased text, however long, and the end is exclusive.
+    ``class_id`` is the least paragraph of the component, or the least hash of the stretch's runs. ``kept`` is true in
+    the document with the least id of the class, whose passage stays; ties can't arise, as an id that repeats is one
+    document. Null texts are empty; rows with a null id have no passages. A passage that only its own document repeats
+    is not reported. No other column is read; an empty table gives no rows.
     """
-    made = stage(units(docs.where(F.col(id_col).isNotNull()), id_col, text), "repeats-units", by="kind")
+    known_ids = docs.where(F.col(id_col).isNotNull())
+    made = stage(units(known_ids, id_col, text), "repeats-units", by="kind")
     span = [F.min("doc").alias("low"), F.max("doc").alias("high")]
     digest = ["d1", "d2"]
 
     lines = made.where("kind = 'paragraph'")
-    nodes = stage(lines.groupBy(*digest).agg(F.min("uid").alias("rep"), *span), "repeats-nodes")
-    banded = lines.select(F.col("uid").alias("rep"), "bands").join(nodes.select("rep"), "rep", "left_semi")
-    candidates, crowded = _candidates(banded, full)
-    pairs = stage(candidates, "repeats-pairs")
-    asked = pairs.select(F.col("u").alias("uid")).unionAll(pairs.select(F.col("v").alias("uid"))).distinct()
-    sets = stage(lines.select("uid", "shingles").join(asked, "uid", "left_semi"), "repeats-sets")
-    left, right = sets.select(F.col("uid").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("uid").alias("v"), F.col("shingles").alias("b"))
-    alike = pairs.join(left, "u").join(right, "v").where(_jaccard(F.col("a"), F.col("b")) >= similarity)
-    roots = components(alike.select("u", "v"), "repeats-components")
-    named = nodes.select(*digest, "rep", "low", "high").join(roots, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("root", "rep")).drop("node", "root")
-    if crowded.head(1):
-        joined = components(_rest(crowded, roots, lines, similarity), "repeats-components")
-        named = named.join(joined, F.col("class") == F.col("node"), "left").withColumn("class", F.coalesce("root", "class"))
+    place = F.min(F.struct("uid", "doc", "from", "to")).alias("at")
+    nodes = stage(lines.groupBy(*digest).agg(place, *span).select(F.col("at.uid").alias("rep"), "at.doc", "at.from", "at.to", *digest, "low", "high"), "repeats-nodes")
+    banded = lines.select(F.col("uid").alias("rep"), F.col("bands").alias("keys")).join(nodes.select("rep"), "rep", "left_semi")
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        return paragraph_sets(known_ids, nodes.join(asked, "rep", "left_semi"), id_col, text)
+
+    roots = similar_sets.roots(banded, sets_of, similarity, 1, "repeats", full)
+    named = nodes.join(roots, F.col("rep") == F.col("node"), "left").select(*digest, F.coalesce("root", "rep").alias("class"), "low", "high")
     classes = named.groupBy("class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("class", F.col("low").alias("keeper"))
     known = named.select(*digest, "class").join(classes, "class")
     paragraphs = lines.select("doc", "from", "to", *digest).join(known, digest)
     out = paragraphs.select(F.col("doc").alias(id_col), F.lit("paragraph").alias("kind"), F.col("from").alias("from_word"), F.col("to").alias("to_word"), F.col("class").alias("class_id"), (F.col("doc") == F.col("keeper")).alias("kept"))
 
-    windows = made.where("kind = 'window'").select("doc", "from", *digest)
-    shared = windows.groupBy(*digest).agg(*span).where("low < high").drop("high")
-    hits = windows.join(shared, digest).select("doc", "from", (F.col("from") + WINDOW).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
-    order = Window.partitionBy("doc", "kept").orderBy("from", "to")  # a document's own windows
-    reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    islands = hits.withColumn("new", F.coalesce(F.col("from") > reach, F.lit(True)).cast("int")).withColumn("island", F.sum("new").over(order))
-    merged = islands.groupBy("doc", "kept", "island").agg(F.min("from").alias("from_word"), F.max("to").alias("to_word"), F.min("class").alias("class_id"))
+    hits = stage(_islands(_shared(made.where("kind = 'window'").select("doc", "from", *digest), WINDOW), ["doc"]), "repeats-hits")
+    islands = hits.groupBy("doc", "island").agg(F.min("from").alias("first"), F.max("to").alias("end"))
+    short = F.col("end") - F.col("first") < RUN + WINNOW - 1
+    zones = islands.where(short).select("doc", (F.col("first") - WINNOW).alias("from"), (F.col("end") + WINNOW).alias("to"))
+    runs = stage(runs_in(known_ids, zones, id_col, text), "repeats-runs")
+    long = hits.join(islands.where(~short).select("doc", "island"), ["doc", "island"], "left_semi").drop("island")
+    own = ["doc", "kept"]
+    merged = _islands(long.unionByName(_shared(runs, RUN)), own).groupBy(*own, "island").agg(F.min("from").alias("from_word"), F.max("to").alias("to_word"), F.min("class").alias("class_id"))
     return out.unionByName(merged.select(F.col("doc").alias(id_col), F.lit("window").alias("kind"), "from_word", "to_word", "class_id", "kept"))
 
 
@@ -255,25 +231,31 @@ def without_repeats(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
     """All rows and columns of ``docs`` with the passages of ``repeats`` that aren't kept cut out of the text.
 
     Words between cuts keep their line breaks as single ones and their spaces as single spaces; texts without
-    a cut stay as they are, null too.
+    a cut stay as they are, null too. Rows that repeat an id are each cut at the same words. Columns of ``docs`` may
+    have any names; an empty table gives an empty result.
     """
-    cuts = passages.where("not kept").groupBy(F.col(id_col).alias("__id")).agg(F.collect_list(F.array("from_word", "to_word")).alias("__cuts"))
+    cuts = passages.where("not kept").groupBy(F.col(id_col).alias("id")).agg(F.sort_array(F.collect_list(F.array("from_word", "to_word"))).alias("cuts"))
     gone = F.udf(cut_words, "string", useArrow=True)
-    joined = docs.join(cuts, docs[id_col] == cuts["__id"], "left")
-    return joined.withColumn(text, F.when(F.col("__cuts").isNull(), F.col(text)).otherwise(gone(text, "__cuts"))).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(cuts, F.col(f"row.`{id_col}`") == F.col("id"), "left")
+    new = F.when(F.col("cuts").isNull(), F.col(f"row.`{text}`")).otherwise(gone(F.col(f"row.`{text}`"), "cuts"))
+    return joined.select(*[(new if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def cut_words(text: str | None, cuts) -> str | None:
     """The text without the words in the (from, to) ranges."""
     if text is None or cuts is None:
         return text
-    out, at, gone = [], 0, set()
+    lines = [line.encode().split() for line in text.split("\n")]
+    stays = np.ones(sum(map(len, lines)), bool)
     for first, end in cuts:
-        gone.update(range(first, end))
-    for line in text.split("\n"):
-        words = line.encode().split()
-        left = [w for k, w in enumerate(words, at) if k not in gone]
-        if left or not words:
-            out.append(b" ".join(left).decode() if len(left) < len(words) else line)
+        stays[first:end] = False
+    out, at = [], 0
+    for line, words in zip(text.split("\n"), lines, strict=True):
+        own = stays[at : at + len(words)]
         at += len(words)
+        if own.all():
+            out.append(line)
+        elif own.any():
+            out.append(b" ".join(w for w, s in zip(words, own.tolist(), strict=True) if s).decode())
     return "\n".join(out)

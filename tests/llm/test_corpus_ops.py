@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tarnflow.llm import byte_bpe, exact_dedup, packing, quality_gam, secret_scan, simhash, substring_dedup, tiff, token_counts, warc
+from tarnflow.llm import byte_bpe, exact_dedup, packing, quality_gam, secret_scan, similar_sets, simhash, substring_dedup, tiff, token_counts, warc
 from tarnflow.llm.components import components
 
 RANDOM = random.Random(11)
@@ -219,11 +219,54 @@ def test_simhash(docs, empty, texts, full):
     got = by_id(simhash.near_duplicates(docs, full=full))
     assert {i: (int(r.fingerprint, 16), r.component_id) for i, r in got.items()} == {i: (prints[i], want[i]) for i in prints}
     assert all(re.fullmatch("[0-9a-f]{16}", r.fingerprint) for r in got.values())
-    kept = simhash.near_dedup(docs, full=full)
+    kept = simhash.fingerprint_dedup(docs, full=full)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def similar_groups(texts, similarity=0.8):
+    """Components of Jaccard links over five-word shingles, by comparing all pairs: the root of each index."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in words]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    pairs = 0
+    for j in range(len(sets)):
+        for i in range(j):
+            a, b = sets[i], sets[j]
+            if min(len(a), len(b)) >= similarity * max(len(a), len(b)) and len(a & b) >= similarity * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+                pairs += a != b
+    return [find(i) for i in range(len(texts))], pairs
+
+
+@pytest.mark.parametrize("full", [32, 2])
+def test_near_dedup_by_brute_force(spark, docs, empty, texts, full):
+    """Copies with a few edits, of one base and of many, crowded keys or not: one of each true group stays."""
+    draw, many = random.Random(full), list(texts)
+    for n, copies in ((60, 80), (200, 40), *[(120, 2)] * 40):
+        base = passage(n)
+        for _ in range(copies):
+            words = list(base)
+            for at in draw.sample(range(n), draw.randint(0, max(1, n // 60))):
+                words[at] = f"w{draw.randrange(10**6)}"
+            many.append(" ".join(words))
+    frame = spark.createDataFrame([(i, t, -i, "clash", "k", "c") for i, t in enumerate(many)], SCHEMA).repartition(5)
+    kept = simhash.near_dedup(frame, full=full)
+    roots, pairs = similar_groups(many)
+    got, want = {r.doc_id for r in kept.collect()}, set(roots)
+    assert pairs > 500 and kept.columns == frame.columns
+    assert want <= got  # one of each group stays, and all that are like no other
+    assert len(got) <= len(want) + 0.02 * (len(many) - len(want))
+    assert simhash.near_dedup(empty).count() == 0
+
+
 @pytest.mark.parametrize("full", [64, 2])
 def test_simhash_links_by_brute_force(spark, full):
     centre = RANDOM.getrandbits(64)
@@ -432,7 +475,7 @@ def test_repeated_passages(spark, full):
 @pytest.mark.parametrize(("words", "block"), [(60, 256), (100, 16)])
 def test_crowded_bands_lose_no_link(spark, monkeypatch, words, block):
     """Variants of one template: similar pairs in one band are in one component, whoever leads the band."""
-    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    monkeypatch.setattr(similar_sets, "BLOCK", block)
     draw, template = random.Random(words), passage(words)
     texts = []
     for k in range(400):
@@ -441,7 +484,7 @@ def test_crowded_bands_lose_no_link(spark, monkeypatch, words, block):
             line[at] = f"w{draw.randrange(10**6)}"
         texts.append(" ".join(line))
     made = substring_dedup.Units(texts).paragraphs()
-    sets, bands = [set(s.tolist()) for s in made["shingles"]], made["bands"]
+    sets, bands = [set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for t in texts], made["bands"]
     pairs = [(u, v) for v in range(len(texts)) for u in range(v) if (bands[u] == bands[v]).any() and len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])]
     assert len(pairs) > 10
     root = list(range(len(texts)))
@@ -462,8 +505,9 @@ def test_null_and_repeated_ids(spark):
     assert len(got) == len(rows)
     assert {r.component_id for r in got if int(r.fingerprint, 16) == reference_fingerprint(same_text)} == {3}
     assert sum(r.component_id is None for r in got) == 2
-    kept = [r.text for r in simhash.near_dedup(frame).collect()]
-    assert kept.count(same_text) == 1 and len(kept) >= 3
+    for dedup in (simhash.fingerprint_dedup, simhash.near_dedup):
+        kept = [r.text for r in dedup(frame).collect()]
+        assert kept.count(same_text) == 1 and len(kept) >= 3
     assert packing.pack(frame, public_tokenizers.path("word_bpe_49k.json")).where("doc_id is null").count() == 3
     assert tiff.text_media(frame, ["doc_id"]).count() == byte_bpe.round_trip(frame, public_tokenizers.path("byte_bpe_50k.tiktoken"), ["doc_id"]).count() == len(rows)
     assert secret_scan.scan(frame, ["doc_id"]).count() == len(rows)
