@@ -17,7 +17,7 @@ from tarnflow.session import read_table, stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model, fitted on the labels, doesn't reject; empty texts are scored too."""
     model = quality_gam.train(docs, read_table(spark, sf_dir, "labels"))
-    return quality_gam.score(docs, model, docs.columns).where("predicted = 1").select(*docs.columns)
+    return quality_gam.accepted(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that SimHash links, the one with the smallest id."""
+    """Of each group of documents with similar five-word shingles (0.8 or more), the one with the smallest id."""
     return simhash.near_dedup(docs)
 
 
