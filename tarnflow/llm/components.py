@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tarnflow.llm.hot_keys import joined
 from tarnflow.session import drop_staged, stage
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the least of its neighbourhood."""
+def _large_star(edges: DataFrame, total: int, tag: str) -> tuple[DataFrame, DataFrame]:
+    """Each node links its larger neighbours to the least of its neighbourhood; a node of many is joined by broadcast.
+
+    Second, the staged frame that the result reads.
+    """
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), f"{tag}-least")
+    return joined(both.where("v > u"), least, ["u"], 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), least
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -39,8 +43,10 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     now = stage(clean, tag)
     was = _state(now)
     while was[0]:
-        new = stage(_small_star(_large_star(now)), tag)
+        large, least = _large_star(now, was[0], tag)
+        new = stage(_small_star(large), tag)
         drop_staged(now)
+        drop_staged(least)
         now, state = new, _state(new)
         if state == was:
             break

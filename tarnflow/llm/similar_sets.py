@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnflow.llm.components import components
+from tarnflow.llm.hot_keys import joined
 from tarnflow.session import drop_staged, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -58,8 +59,9 @@ def roots(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarit
     """
     rows = keyed.select("rep", F.posexplode("keys").alias("place", "key")).select("rep", F.floor(F.col("place") / per_band).cast("int").alias("band"), "key").distinct()
     leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
-    buckets = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), *leaders).where("n > 1")
-    met = stage(rows.join(buckets, ["band", "key"]), f"{tag}-bands")
+    buckets = stage(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), *leaders).where("n > 1").withColumn("size", F.col("n")), f"{tag}-buckets")
+    met = stage(joined(rows, buckets, ["band", "key"], buckets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).withColumnRenamed("size", "n"), f"{tag}-bands")
+    drop_staged(buckets)
     small, crowded = met.where(F.col("n") <= full), met.where(F.col("n") > full)
     a, b = small.select("band", "key", F.col("rep").alias("u")), small.select("band", "key", F.col("rep").alias("v"))
     led = crowded.select(F.col("rep").alias("u"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("v")).where("u <> v")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tarnflow.llm import similar_sets
 from tarnflow.llm.batches import release, slices, texts_of
+from tarnflow.llm.hot_keys import joined
 from tarnflow.llm.similar_sets import FULL, SHINGLE, SIMILARITY, mixed, odd, shingled
 from tarnflow.session import BROADCAST_ROWS, stage
 
@@ -179,8 +180,9 @@ def _islands(hits: DataFrame, own: list[str]) -> DataFrame:
 def _shared(runs: DataFrame, words: int) -> DataFrame:
     """The runs that several documents have, with ``class`` and ``kept``; each digest is looked up by its least and largest document."""
     digest = ["d1", "d2"]
-    shared = runs.groupBy(*digest).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").drop("high")
-    return runs.join(shared, digest).select("doc", "from", (F.col("from") + words).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
+    found = runs.groupBy(*digest).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"))
+    shared = stage(found.where("low < high").drop("high"), "repeats-shared")
+    return joined(runs, shared, digest, runs.count()).select("doc", "from", (F.col("from") + words).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, full: int = FULL) -> DataFrame:
@@ -203,17 +205,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
 
     lines = made.where("kind = 'paragraph'")
     place = F.min(F.struct("uid", "doc", "from", "to")).alias("at")
-    nodes = stage(lines.groupBy(*digest).agg(place, *span).select(F.col("at.uid").alias("rep"), "at.doc", "at.from", "at.to", *digest, "low", "high"), "repeats-nodes")
+    nodes = stage(lines.groupBy(*digest).agg(place, *span, F.count(F.lit(1)).alias("n")).select(F.col("at.uid").alias("rep"), "at.doc", "at.from", "at.to", *digest, "low", "high", "n"), "repeats-nodes")
     banded = lines.select(F.col("uid").alias("rep"), F.col("bands").alias("keys")).join(nodes.select("rep"), "rep", "left_semi")
 
     def sets_of(asked: DataFrame) -> DataFrame:
         return paragraph_sets(known_ids, nodes.join(asked, "rep", "left_semi"), id_col, text)
 
     roots = similar_sets.roots(banded, sets_of, similarity, 1, "repeats", full)
-    named = nodes.join(roots, F.col("rep") == F.col("node"), "left").select(*digest, F.coalesce("root", "rep").alias("class"), "low", "high")
+    named = nodes.join(roots, F.col("rep") == F.col("node"), "left").select(*digest, F.coalesce("root", "rep").alias("class"), "low", "high", "n")
     classes = named.groupBy("class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("class", F.col("low").alias("keeper"))
-    known = named.select(*digest, "class").join(classes, "class")
-    paragraphs = lines.select("doc", "from", "to", *digest).join(known, digest)
+    known = stage(named.select(*digest, "n", "class").join(classes, "class"), "repeats-known")
+    paragraphs = joined(lines.select("doc", "from", "to", *digest), known, digest, lines.count())
     out = paragraphs.select(F.col("doc").alias(id_col), F.lit("paragraph").alias("kind"), F.col("from").alias("from_word"), F.col("to").alias("to_word"), F.col("class").alias("class_id"), (F.col("doc") == F.col("keeper")).alias("kept"))
 
     hits = stage(_islands(_shared(made.where("kind = 'window'").select("doc", "from", *digest), WINDOW), ["doc"]), "repeats-hits")
