@@ -13,9 +13,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tarnflow.operators.letters import bytes_of
 from tarnflow.session import drop_staged, stage
 
 OMEGA = 1e-40
@@ -23,35 +24,42 @@ START = 0.002  # substitution rate before any is learned
 BASES = "ACGT"
 
 
-def abundance_p(size: int, expected: float) -> float:
-    """Probability of at least ``size`` reads, given that there is one, where errors make ``expected`` (Poisson)."""
-    if size <= 1:
-        return 1.0
-    if expected <= 0:
-        return 0.0
-    logs = [size * math.log(expected) - expected - math.lgamma(size + 1)]
-    for k in range(size + 1, size + 1 + max(50, int(expected) + 50)):
-        logs.append(logs[-1] + math.log(expected / k))
-    top = max(logs)
-    tail = top + math.log(sum(math.exp(x - top) for x in logs))
-    return min(1.0, math.exp(tail) / -math.expm1(-expected))
+def abundance_p(size: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Probability of at least ``size`` reads, given that there is one, where errors make ``expected`` (Poisson).
+
+    The tail is summed for all values at once until it no longer changes; far below what is expected it is 1.
+    """
+    size, expected = np.asarray(size, float), np.asarray(expected, float)
+    out = np.where(expected <= 0, 0.0, 1.0)
+    todo = (size > 1) & (expected > 0) & (expected < size + 12 * np.sqrt(expected) + 60)
+    s, e = size[todo], expected[todo]
+    first = s * np.log(e) - e - np.array([math.lgamma(x + 1) for x in s.tolist()])
+    total, term, k = np.ones_like(s), np.ones_like(s), 0
+    while len(s) and (term > total * 1e-18).any():
+        k += 1
+        term = term * (e / (s + k))
+        total = total + term
+    out[todo] = np.minimum(1.0, np.exp(first + np.log(total)) / -np.expm1(-e))
+    out[size <= 1] = 1.0
+    return out
+
+
+_CODE = np.full(256, 4, np.int64)
+_CODE[[ord(c) for c in BASES]] = range(4)
+
+
+def _pair_counts(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Counts of letter pairs of each two strings of one length, as 16 numbers a row."""
+    (x, at), (y, _) = bytes_of(a), bytes_of(b)
+    i, j, row = _CODE[x], _CODE[y], np.repeat(np.arange(len(a)), np.diff(at))
+    good = (i < 4) & (j < 4)
+    counts = np.bincount(row[good] * 16 + 4 * i[good] + j[good], minlength=16 * len(a))
+    return pa.ListArray.from_arrays(np.arange(0, 16 * len(a) + 1, 16, dtype=np.int32), pa.array(counts))
 
 
 def _substitutions(pairs: DataFrame) -> DataFrame:
     """Counts of letter pairs between ``centre_seq`` and ``seq`` as an array of 16, row by centre's letter."""
-
-    @F.pandas_udf("array<long>")
-    def counted(a: pd.Series, b: pd.Series) -> pd.Series:
-        code = np.full(256, 4, np.int64)
-        code[[ord(c) for c in BASES]] = range(4)
-        out = []
-        for x, y in zip(a, b, strict=True):
-            i, j = (code[np.frombuffer(s.encode(), np.uint8)] for s in (x, y))
-            good = (i < 4) & (j < 4)
-            out.append(np.bincount(4 * i[good] + j[good], minlength=16).tolist())
-        return pd.Series(out)
-
-    return pairs.withColumn("subs", counted("centre_seq", "seq"))
+    return pairs.withColumn("subs", F.arrow_udf(_pair_counts, "array<long>")("centre_seq", "seq"))
 
 
 def _rates(assigned: DataFrame) -> list[float]:
@@ -67,42 +75,38 @@ def _likelihood(pairs: DataFrame, rates: list[float]) -> DataFrame:
     return pairs.withColumn("log_p", sum(terms[1:], terms[0]))
 
 
-def denoise(seqs: DataFrame, by: list[str], omega: float = OMEGA, most_rounds: int = 200) -> DataFrame:
+def denoise(seqs: DataFrame, by: list[str], omega: float = OMEGA) -> DataFrame:
     """``seqs`` (``id``, ``seq``, ``size``) with ``centre``, the id of the sequence that each is taken to come from.
 
-    Sequences of another length than any centre are centres of their own. In each round each group gains one
-    centre at most, the one with the least p-value, so a group with n variants takes n rounds. The result doesn't
-    depend on row order.
+    Sequences of another length than any centre are centres of their own. In each round each centre's sequences
+    give one new centre at most, the one with the least p-value, so centres of a group may double in a round. Rounds go
+    on until no sequence stands out, however many that takes. The result doesn't depend on row order.
     """
     rows = stage(seqs.select(*by, "id", F.upper("seq").alias("seq"), "size").withColumn("len", F.length("seq")), "error-model")
     lane = [*by, "len"]
-    order = Window.partitionBy(*lane).orderBy(F.desc("size"), "id")
-    first = rows.withColumn("n", F.row_number().over(order)).where("n = 1").select(*lane, F.col("id").alias("centre"), F.col("seq").alias("centre_seq"))
+    most = rows.groupBy(*lane).agg(F.min_by(F.struct("id", "seq"), F.struct(-F.col("size"), "id")).alias("top"), F.count(F.lit(1)).alias("all"))
+    most = stage(most, "error-lanes")
+    first = most.select(*lane, F.col("top.id").alias("centre"), F.col("top.seq").alias("centre_seq"))
     rates = [1 - 3 * START if k % 5 == 0 else START for k in range(16)]
     pairs = stage(_substitutions(rows.join(first, lane)), "error-pairs")
     own = Window.partitionBy(*lane, "id").orderBy(F.desc("log_p"), "centre")
+    p_value = F.arrow_udf(lambda size, expected: pa.array(abundance_p(size.to_numpy(zero_copy_only=False), expected.to_numpy(zero_copy_only=False))), "double")
 
-    @F.pandas_udf("double")
-    def p_value(size: pd.Series, expected: pd.Series) -> pd.Series:
-        return pd.Series([abundance_p(int(s), float(e)) for s, e in zip(size, expected, strict=True)])
-
-    for _ in range(most_rounds):
+    while True:
         best = stage(_likelihood(pairs, rates).withColumn("n", F.row_number().over(own)).where("n = 1").drop("n"), "error-best")
         rates = _rates(best)
         reads = best.groupBy(*lane, "centre").agg(F.sum("size").alias("reads"))
         tested = best.where("id <> centre").join(reads, [*lane, "centre"])
         tested = _likelihood(tested.drop("log_p"), rates).withColumn("p", p_value("size", F.col("reads") * F.exp("log_p")))
-        total = rows.groupBy(*lane).agg(F.count(F.lit(1)).alias("all"))
-        odd = tested.join(total, lane).where(F.col("p") * F.col("all") < omega)
-        rank = Window.partitionBy(*lane).orderBy("p", F.desc("size"), "id")
-        new = stage(odd.withColumn("n", F.row_number().over(rank)).where("n = 1").select(*lane, F.col("id").alias("centre"), F.col("seq").alias("centre_seq")), "error-new")
+        odd = tested.join(most.select(*lane, "all"), lane).where(F.col("p") * F.col("all") < omega)
+        chosen = odd.groupBy(*lane, "centre").agg(F.min_by(F.struct("id", "seq"), F.struct("p", -F.col("size"), "id")).alias("new"))
+        new = stage(chosen.select(*lane, F.col("new.id").alias("centre"), F.col("new.seq").alias("centre_seq")), "error-new")
         if not new.head(1):
             return best.select(*by, "id", "seq", "size", "centre")
         more = stage(pairs.unionByName(_substitutions(rows.join(new, lane))), "error-pairs")
         for old in (pairs, best):
             drop_staged(old)
         pairs = more
-    return best.select(*by, "id", "seq", "size", "centre")
 
 
 def variants(denoised: DataFrame, by: list[str]) -> DataFrame:

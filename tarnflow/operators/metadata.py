@@ -331,6 +331,11 @@ def first_run(table: DataFrame, project: str, run: str, order: str = "ord") -> D
     return table.where(F.col(project).isNotNull()).groupBy(project).agg(F.min_by(run, order).alias(run))
 
 
+def distinct_submissions(table: DataFrame, submission: str, run: str) -> DataFrame:
+    """The submissions of runs of the second archive, each once, whose checksum lists have to be asked for."""
+    return table.where(F.col(run).startswith("CRR") & F.col(submission).isNotNull()).select(submission).distinct()
+
+
 def union_by_name(tables: list[DataFrame], required: str | None = None) -> DataFrame:
     """All rows with all columns, missing ones null; tables without the required column don't take part."""
     own = [t for t in tables if required is None or required in t.columns]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnflow.functions import sequence as S
+from tarnflow.operators import letters as L
 
 #: Least length, mean quality, complexity and entropy of a read that counts for primer detection.
 LEAST_LENGTH, LEAST_QUALITY, LEAST_COMPLEXITY, LEAST_ENTROPY = 50, 20, 0.3, 1.0
@@ -24,13 +25,17 @@ def scored(reads: DataFrame) -> DataFrame:
     )
 
 
+#: The gate's rules in the order in which they are tried: least value and name of what falls below it.
+RULES = {"length": (LEAST_LENGTH, "short"), "quality": (LEAST_QUALITY, "low_quality"), "complexity": (LEAST_COMPLEXITY, "low_complexity"), "entropy": (LEAST_ENTROPY, "low_entropy")}
+
+
 def reject_reason(check_quality: bool = True) -> Column:
-    """The first rule that a read breaks, or kept. The rules are tried in the order length to entropy."""
-    rule = F.when(F.length("seq") < LEAST_LENGTH, "short")
-    if check_quality:
-        rule = rule.when(S.mean_quality(F.col("qual")) < LEAST_QUALITY, "low_quality")
-    rule = rule.when(S.complexity(F.col("seq")) < LEAST_COMPLEXITY, "low_complexity")
-    return rule.when(S.entropy(F.col("seq")) < LEAST_ENTROPY, "low_entropy").otherwise("kept")
+    """The first rule that a read breaks, or kept. The rules are tried in the order length to entropy.
+
+    The scores are those of ``scored``, counted over whole Arrow batches at once.
+    """
+    least, names = ({k: v[i] for k, v in RULES.items()} for i in (0, 1))
+    return L.first_broken(F.col("seq"), F.col("qual") if check_quality else None, least, names)
 
 
 def quality_gate(reads: DataFrame, check_quality: bool = True) -> DataFrame:
@@ -48,40 +53,39 @@ def dereplicate(reads: DataFrame, by: list[str], least: int = 1) -> DataFrame:
     return found.where(F.col("size") >= least) if least > 1 else found
 
 
-def positions(reads: DataFrame, by: list[str], first: int = 60) -> DataFrame:
-    """One row per base among the first positions of the reads: ``pos`` from 0 and upper-cased ``base``."""
-    letters = F.split(F.upper(F.substring("seq", 1, first)), "")
-    return reads.where(F.length("seq") > 0).select(*by, F.posexplode(letters).alias("pos", "base"))
-
-
 def base_frequencies(reads: DataFrame, by: list[str], first: int = 60) -> DataFrame:
     """Shares of A, C, G and T at each of the first positions; 0.25 each where no read has one of them."""
-    counts = positions(reads, by, first).groupBy(*by, "pos").agg(*[F.count_if(F.col("base") == b).alias(f"n_{b}") for b in "ACGT"])
-    grid = reads.select(*by).distinct().withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(first - 1))))
+    is_base = lambda b: F.col("code").isin(ord(b), ord(b.lower()))
+    counts = L.letter_counts(reads, by, "seq", first).groupBy(*by, "pos").agg(*[F.coalesce(F.sum(F.when(is_base(b), F.col("n"))), F.lit(0)).alias(f"n_{b}") for b in "ACGT"])
+    grid = counts.where("pos = -1").select(*by).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(first - 1).cast("long"))))
     total = F.nullif(F.expr("n_A + n_C + n_G + n_T"), F.lit(0))
     shares = [F.coalesce(F.col(f"n_{b}") / total, F.lit(0.25)).alias(f"f_{b}") for b in "ACGT"]
-    return grid.join(counts, [*by, "pos"], "left").select(*by, F.col("pos").cast("long").alias("pos"), *shares)
+    return _on_grid(grid, counts, by).select(*by, "pos", *shares)
+
+
+def _on_grid(grid: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """``counts`` at all places of the grid, also where a group's key is null."""
+    same = [F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*by, "pos")]
+    rest = [c for c in counts.columns if c not in (*by, "pos")]
+    return grid.alias("g").join(counts.alias("c"), same, "left").select("g.*", *[f"c.{c}" for c in rest])
 
 
 def tail_profile(reads: DataFrame, by: list[str], window: int = 50) -> DataFrame:
     """Coverage and share of N at each position from the 3' end, 0 without coverage."""
-    letters = F.split(F.reverse(F.upper(F.right("seq", F.lit(window)))), "")
-    found = reads.where(F.length("seq") > 0).select(*by, F.posexplode(letters).alias("pos", "base"))
-    counts = found.groupBy(*by, "pos").agg(F.count(F.lit(1)).alias("coverage"), F.count_if(F.col("base") == "N").alias("n"))
-    grid = reads.select(*by).distinct().withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(window - 1))))
-    joined = grid.join(counts, [*by, "pos"], "left")
-    return joined.select(*by, F.col("pos").cast("long").alias("pos"), F.coalesce("coverage", F.lit(0)).alias("coverage"), F.coalesce(F.col("n") / F.col("coverage"), F.lit(0.0)).alias("n_freq"))
+    n = F.when(F.col("code").isin(ord("N"), ord("n")), F.col("n")).otherwise(0)
+    counts = L.letter_counts(reads, by, "seq", window, from_end=True).groupBy(*by, "pos").agg(F.sum("n").alias("coverage"), F.sum(n).alias("n"))
+    grid = counts.where("pos = -1").select(*by).withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(window - 1).cast("long"))))
+    return _on_grid(grid, counts, by).select(*by, "pos", F.coalesce("coverage", F.lit(0)).alias("coverage"), F.coalesce(F.col("n") / F.col("coverage"), F.lit(0.0)).alias("n_freq"))
 
 
 def quality_quantiles(reads: DataFrame, by: list[str]) -> DataFrame:
     """Exact quantiles of the Phred scores at each position (linear interpolation), and the reads that reach it."""
-    scores = reads.where(F.length("qual") > 0).select(*by, F.posexplode(F.split("qual", "")).alias("pos", "c")).withColumn("q", F.ascii("c") - 33)
     # Scores are small whole numbers: percentiles over counts by score keep the shuffle at a bounded number of rows.
-    counted = scores.groupBy(*by, "pos", "q").agg(F.count(F.lit(1)).alias("n"))
+    counted = L.letter_counts(reads, by, "qual").where("pos >= 0").groupBy(*by, "pos", (F.col("code") - 33).alias("q")).agg(F.sum("n").alias("n"))
     named = {"q02": 0.02, "q09": 0.09, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q91": 0.91, "q98": 0.98}
     quantiles = F.percentile("q", F.array(*map(F.lit, named.values())), F.col("n")).alias("all")
     out = counted.groupBy(*by, "pos").agg(F.sum("n").alias("reads"), quantiles)
-    return out.select(*by, F.col("pos").cast("long").alias("pos"), "reads", *[F.col("all")[i].alias(k) for i, k in enumerate(named)])
+    return out.select(*by, "pos", "reads", *[F.col("all")[i].alias(k) for i, k in enumerate(named)])
 
 
 def distinct_qualities(reads: DataFrame, by: list[str], file: str, files: int = 3, per_file: int = 1000) -> DataFrame:
@@ -163,6 +167,11 @@ def raw_counts(reads: DataFrame, sample: str = "sample_id") -> DataFrame:
     return reads.groupBy(sample).agg(F.count(F.lit(1)).alias("raw_reads"))
 
 
+def total_raw_reads(counts: DataFrame) -> DataFrame:
+    """All raw reads of the samples' counts, one row."""
+    return counts.agg(F.coalesce(F.sum("raw_reads"), F.lit(0)).alias("total_raw_reads"))
+
+
 def n_histogram(reads: DataFrame, by: list[str], first: int = 10) -> DataFrame:
     """Reads by their number of N for the ``first`` numbers that occur, with their share in percent."""
     counts = reads.groupBy(*by, S.count_letter(F.col("seq"), "N").cast("long").alias("n_count")).agg(F.count(F.lit(1)).alias("reads"))

@@ -1,17 +1,25 @@
 """Orientation against references and naive Bayes classification by k-mers.
 
-The classifier is the multinomial model over k-mers: its tables are counts by k-mer and taxon, and a
-sequence is scored by joins and sums, so neither the reference nor the k-mers have to fit one machine.
+The classifier is the multinomial model over k-mers: its tables are counts by k-mer and taxon. Small models are
+broadcast as a matrix, larger ones joined, so neither the reference nor the k-mers have to fit one machine.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tarnflow.functions import sequence as S
+from tarnflow.operators.letters import bytes_of
+from tarnflow.session import stage
 
 K_ORIENT, K_CLASS = 12, 8
 CONFIDENCE = 0.7
+MODEL_CELLS = 8_000_000  # words by taxa of a model that is broadcast: 64 MB
 
 
 def oriented(seqs: DataFrame, references: DataFrame, k: int = K_ORIENT) -> DataFrame:
@@ -38,23 +46,73 @@ def train(references: DataFrame, k: int = K_CLASS, smoothing: float = 0.01) -> t
     return gains, sums.select("taxon", "other")
 
 
-def classify(seqs: DataFrame, model: tuple[DataFrame, DataFrame], k: int = K_CLASS, confidence: float = CONFIDENCE) -> DataFrame:
+def _gained_by_product(seqs: DataFrame, gains: DataFrame, sums: DataFrame, k: int) -> DataFrame:
+    """``seq``, ``taxon`` and ``p`` (its probability, those above 1e-9) of each sequence that shares a word with the references.
+
+    The model is a matrix of words by taxa, small enough to be broadcast; a batch is scored by adding rows of it.
+    """
+    table = gains.toPandas()  # the size is checked by the caller
+    others = sums.orderBy("taxon").toPandas()
+    taxa, words = others["taxon"].to_numpy(), np.unique(table["word"].to_numpy(str))
+    weights = np.zeros((len(words) + 1, len(taxa)))
+    weights[np.searchsorted(words, table["word"].to_numpy(str)), np.searchsorted(taxa.astype(str), table["taxon"].to_numpy(str))] = table["gain"]
+    held = seqs.sparkSession.sparkContext.broadcast((words.astype(f"S{k}"), weights, taxa, others["other"].to_numpy(float)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, weights, taxa, other = held.value
+        at_once = max(1, min(1024, 4_000_000 // (300 * max(1, len(taxa)))))  # some 4 million cells
+        for batch in batches:
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
+                data, at = bytes_of(pc.utf8_upper(part.column("seq")))
+                sizes = np.maximum(np.diff(at) - k + 1, 0)
+                row = np.repeat(np.arange(part.num_rows), sizes)
+                place = at[row] + np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+                own = data[place[:, None] + np.arange(k)].reshape(-1, k).view(f"S{k}").ravel()
+                found = np.searchsorted(words, own)
+                known = words[np.minimum(found, len(words) - 1)] == own if len(words) else np.zeros(len(own), bool)
+                found = np.where(known, found, len(weights) - 1)
+                some = np.bincount(row, known, part.num_rows) > 0
+                score = np.zeros((part.num_rows, len(taxa)))
+                full = sizes > 0
+                if len(row):
+                    score[full] = np.add.reduceat(weights[found], (np.cumsum(sizes) - sizes)[full], axis=0)
+                score = score[some] + sizes[some, None] * other
+                p = np.exp(score - score.max(axis=1, keepdims=True)) if len(score) else score
+                p = p / p.sum(axis=1, keepdims=True)
+                i, j = np.nonzero(p > 1e-9)
+                seq = part.column("seq").take(pa.array(np.flatnonzero(some)[i]))
+                yield pa.RecordBatch.from_arrays([seq, pa.array(taxa[j], pa.string()), pa.array(p[i, j])], ["seq", "taxon", "p"])
+
+    return seqs.select("seq").mapInArrow(run, "seq string, taxon string, p double")
+
+
+def _gained_by_join(seqs: DataFrame, gains: DataFrame, sums: DataFrame, k: int) -> DataFrame:
+    """The same by joins, for models of any size."""
+    words = seqs.select("seq", F.explode(S.words(F.col("seq"), k)).alias("word")).groupBy("seq", "word").agg(F.count(F.lit(1)).alias("m"))
+    sizes = words.groupBy("seq").agg(F.sum("m").alias("size"))
+    gained = words.join(gains, "word").groupBy("seq", "taxon").agg(F.sum(F.col("m") * F.col("gain")).alias("g"))
+    scored = gained.join(sizes, "seq").join(sums, "taxon").select("seq", "taxon", (F.col("g") + F.col("size") * F.col("other")).alias("log"))
+    own = Window.partitionBy("seq")
+    return scored.withColumn("w", F.exp(F.col("log") - F.max("log").over(own))).select("seq", "taxon", (F.col("w") / F.sum("w").over(own)).alias("p"))
+
+
+def classify(seqs: DataFrame, model: tuple[DataFrame, DataFrame], k: int = K_CLASS, confidence: float = CONFIDENCE, cells: int = MODEL_CELLS) -> DataFrame:
     """``id``, ``taxon`` and ``confidence``: the deepest rank whose probability, summed over taxa, is high enough.
 
-    Sequences that share no word with the references are Unassigned.
+    Sequences that share no word with the references are Unassigned. Equal sequences are scored once. A model of at
+    most ``cells`` words by taxa is broadcast; a larger one is joined.
     """
-    gains, sums = model
-    words = seqs.select("id", F.explode(S.words(F.col("seq"), k)).alias("word")).groupBy("id", "word").agg(F.count(F.lit(1)).alias("m"))
-    sizes = words.groupBy("id").agg(F.sum("m").alias("size"))
-    gained = words.join(gains, "word").groupBy("id", "taxon").agg(F.sum(F.col("m") * F.col("gain")).alias("g"))
-    scored = gained.join(sizes, "id").join(sums, "taxon").select("id", "taxon", (F.col("g") + F.col("size") * F.col("other")).alias("log"))
-    own = Window.partitionBy("id")
-    weight = scored.withColumn("w", F.exp(F.col("log") - F.max("log").over(own))).withColumn("p", F.col("w") / F.sum("w").over(own))
+    gains, sums = (stage(x, "model") for x in model)
+    n_words, n_taxa = gains.agg(F.count_distinct("word")).first()[0], sums.count()
+    unique = seqs.select(F.upper("seq").alias("seq")).distinct()
+    by = _gained_by_product if (n_words + 1) * n_taxa <= cells else _gained_by_join
+    weight = by(unique, gains, sums, k)
     ranks = F.split("taxon", ";")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(ranks)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(ranks, F.lit(1), i), ";").alias("name")))
-    by_rank = weight.select("id", "p", F.explode(prefixes).alias("r")).groupBy("id", "r.depth", "r.name").agg(F.sum("p").alias("p"))
-    best = by_rank.where(F.col("p") >= confidence).groupBy("id").agg(F.max(F.struct("depth", "p", "name")).alias("b"))
-    out = seqs.select("id").join(best, "id", "left")
+    by_rank = weight.select("seq", "p", F.explode(prefixes).alias("r")).groupBy("seq", "r.depth", "r.name").agg(F.sum("p").alias("p"))
+    best = by_rank.where(F.col("p") >= confidence).groupBy("seq").agg(F.max(F.struct("depth", "p", "name")).alias("b"))
+    out = seqs.select("id", F.upper("seq").alias("seq")).join(best, "seq", "left")
     return out.select("id", F.coalesce("b.name", F.lit("Unassigned")).alias("taxon"), F.round(F.coalesce("b.p", F.lit(0.0)), 6).alias("confidence"))
 
 

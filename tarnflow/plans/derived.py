@@ -44,6 +44,20 @@ from (
 )
 """
 
+#: Long reads: a front, the amplified region between two primers' sites, and a back; every third is turned round.
+LONG = f"""
+select project, sample_id, sample_id || '.fastq.gz' as file, read_idx, '@' || sample_id || '.' || cast(read_idx as string) as header,
+       case when read_idx % 3 = 0 then reverse(translate(plain, 'ACGT', 'TGCA')) else plain end as seq, substr(repeat('I', 2100), 1, cast(length(plain) as int)) as qual
+from (
+  select 'PRJNA' || cast(o_custkey % 10 as string) as project, 'L' || cast(o_custkey % 50 as string) as sample_id, o_orderkey as read_idx,
+         substr({_hash("o_custkey", "f", _DNA)} || {_hash("o_custkey", "g", _DNA)}, 1, cast(20 + o_orderkey % 40 as int))
+         || case when o_orderkey % 7 = 0 then 'CCTACGGGNGGCTGCAG' when o_orderkey % 2 = 0 then 'CCTACGGGAGGCAGCAG' else 'CCTACGGGTGGCTGCAG' end
+         || substr(repeat({_hash("o_custkey", "m", _DNA)} || {_hash("o_orderkey", "n", _DNA)} || {_hash("o_custkey", "o", _DNA)}, 6), 1, cast(280 + o_custkey % 260 as int))
+         || 'GGATTAGATACCCTGGTAGTC' || substr(repeat({_hash("o_orderkey", "t", _DNA)}, 50), 1, cast(o_orderkey % 1600 as int)) as plain
+  from {{orders}}
+)
+"""
+
 #: Feature table: dereplicated sequences of samples, long form.
 FEATURES = """
 select project, md5(upper(seq)) as feature_id, sample_id, count(*) as n from {reads} group by project, md5(upper(seq)), sample_id
@@ -84,6 +98,6 @@ def frame(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     if "{reads}" in template:
         named["reads"] = frame(spark, sf_dir, READS)
     made = spark.sql(template, **named)
-    if template in (READS, MATES):
+    if template in (READS, MATES, LONG):
         made = _STAGED[key] = stage(made, "derived-reads")
     return made

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from tarnflow.functions import sequence as S
 from tarnflow.operators import error_model as E, features as T, legacy as L, pairs as Q, reads as R, similarity as Y, taxonomy as N
 from tarnflow.plans.derived import FEATURES, MATES, META, READS, frame, sql
 from tarnflow.session import read_table, stage
@@ -62,15 +63,20 @@ def table_summary(spark, sf_dir):
     return by_sample.unionByName(by_feature)
 
 
-_SAMPLES = ["S1", "S2", "S3"]
+def _samples(spark, sf_dir):
+    """The columns of the wide form: all samples."""
+    return [r[0] for r in _table(spark, sf_dir).select("sample_id").distinct().orderBy("sample_id").collect()]
 
 
 def otu_pivot(spark, sf_dir):
-    return T.pivoted(_table(spark, sf_dir).where(F.col("sample_id").isin(*_SAMPLES)), _SAMPLES)
+    samples = _samples(spark, sf_dir)
+    wide = T.pivoted(_table(spark, sf_dir), samples)
+    return wide.select("feature_id", F.concat_ws(" ", *[F.col(f"`{s}`").cast("string") for s in samples]).alias("counts"))
 
 
 def otu_unpivot(spark, sf_dir):
-    wide = otu_pivot(spark, sf_dir).withColumn("#OTU ID", F.concat("feature_id", F.lit(";size=3"))).select("#OTU ID", *_SAMPLES)
+    samples = _samples(spark, sf_dir)
+    wide = T.pivoted(_table(spark, sf_dir), samples).withColumn("#OTU ID", F.concat("feature_id", F.lit(";size=3"))).select("#OTU ID", *samples)
     return T.unpivoted(wide).withColumnRenamed("count", "n")
 
 
@@ -83,16 +89,16 @@ def abundance_order(spark, sf_dir):
 
 
 def prefix_primer(spark, sf_dir):
-    return T.prefix_share(frame(spark, sf_dir, READS), BY, 16)
+    return T.prefix_share(frame(spark, sf_dir, READS), BY)
 
 
 def heavy_prefixes(spark, sf_dir):
-    return T.heavy_prefixes(frame(spark, sf_dir, READS), BY, 24)
+    return T.heavy_prefixes(frame(spark, sf_dir, READS), BY)
 
 
 def similar_pairs(spark, sf_dir):
     seqs = _unique(spark, sf_dir, 2)
-    changed = seqs.where(F.length("seq") >= 48).withColumn("seq", F.concat(F.left("seq", F.lit(30)), F.lit("A"), F.substring("seq", 32, 1000)))
+    changed = seqs.withColumn("seq", F.concat(F.left("seq", F.lit(30)), F.lit("A"), F.substring("seq", 32, 1000)))
     pairs = Y.similar_pairs(changed, seqs, BY, 0.97)
     return pairs.select("project", "q", "t", F.col("edits").cast("long").alias("edits"), F.round("identity", 6).alias("identity"))
 
@@ -114,15 +120,16 @@ def error_model(spark, sf_dir):
 
 
 def chimera(spark, sf_dir):
-    seqs = _unique(spark, sf_dir, 2)
-    top = seqs.withColumn("k", F.row_number().over(Window.partitionBy("project").orderBy(F.desc("size"), "id"))).where("k <= 40")
+    seqs = _unique(spark, sf_dir)
+    top = seqs.withColumn("k", F.row_number().over(Window.partitionBy("project").orderBy(F.desc("size"), "id")))
     a, b = top.where("k % 2 = 1"), top.where("k % 2 = 0").select("project", (F.col("k") - 1).alias("k"), F.col("seq").alias("other"))
     made = a.join(b, ["project", "k"]).select("project", F.concat(F.left("seq", F.lit(30)), F.right("other", F.lit(25))).alias("seq")).select("project", F.md5("seq").alias("id"), "seq", F.lit(1).cast("long").alias("size"))
-    return Y.chimeras(top.select("project", "id", "seq", "size").unionByName(made), BY).select("project", "id", "size", "chimera")
+    both = top.select("project", "id", "seq", "size").unionByName(made.join(top.select("project", "id"), ["project", "id"], "left_anti").distinct())
+    return Y.chimeras(both, BY).select("project", "id", "size", "chimera")
 
 
 def _overlapping(spark, sf_dir):
-    rows = frame(spark, sf_dir, MATES).where("length(seq2) > 60").select("read_idx", F.substring("seq2", 21, 1000).alias("whole"))
+    rows = frame(spark, sf_dir, MATES).select("read_idx", F.substring("seq2", 21, 1000).alias("whole"))
     flipped = F.reverse(F.translate("whole", "ACGTN", "TGCAN"))
     return rows.select("read_idx", F.left("whole", F.lit(45)).alias("seq1"), F.left(flipped, F.lit(45)).alias("seq2")).withColumns({"qual1": F.repeat(F.lit("I"), F.length("seq1")), "qual2": F.repeat(F.lit("H"), F.length("seq2"))})
 
@@ -132,7 +139,7 @@ def merge_pairs(spark, sf_dir):
 
 
 def adapter_removal(spark, sf_dir):
-    pairs = _overlapping(spark, sf_dir).where("read_idx % 4 = 0")
+    pairs = _overlapping(spark, sf_dir)
     short = pairs.select("read_idx", *[F.concat(F.left(c, F.lit(30)) if i == 0 else F.left(F.reverse(F.translate(F.left("seq1", F.lit(30)), "ACGTN", "TGCAN")), F.lit(30)), F.lit("GATCGGAAGAGC")).alias(c) for i, c in enumerate(("seq1", "seq2"))])
     cut = Q.without_adapters(short.withColumns({"qual1": F.repeat(F.lit("I"), F.length("seq1")), "qual2": F.repeat(F.lit("I"), F.length("seq2"))}))
     return cut.select("read_idx", "seq1", "seq2")
@@ -156,8 +163,8 @@ def orient(spark, sf_dir):
 
 def nb_taxonomy(spark, sf_dir):
     unique = _unique(spark, sf_dir, 2).select("seq").distinct().withColumn("taxon", F.concat(F.lit("d__B;p__"), F.substring("seq", 17, 1), F.lit(";g__"), F.substring("seq", 17, 3)))
-    reads = frame(spark, sf_dir, READS).where("read_idx % 50 = 9").select(F.col("read_idx").alias("id"), "seq")
-    return N.classify(reads, N.train(unique))
+    reads = frame(spark, sf_dir, READS).groupBy(F.upper("seq").alias("seq")).agg(F.count(F.lit(1)).alias("reads")).withColumn("id", F.md5("seq"))
+    return N.classify(reads, N.train(unique)).join(reads.select("id", "reads"), "id")
 
 
 def placement_split(spark, sf_dir):
@@ -197,7 +204,8 @@ def joined_stats(spark, sf_dir):
 
 
 def count_trim(spark, sf_dir):
-    return L.trim_length(R.quality_quantiles(frame(spark, sf_dir, READS), BY), BY, 300)
+    by = ["mate"]
+    return L.trim_length(R.quality_quantiles(frame(spark, sf_dir, READS).withColumn("mate", S.mate_of_path(F.col("file"))), by), by)
 
 
 def anchor_trim(spark, sf_dir):
@@ -239,8 +247,7 @@ def _summary(by: str) -> str:
     return f"select '{by}' as of, count(*) as groups, cast(sum(n) as bigint) as reads, min(n) as least, {q}, max(n) as most from (select {by}, cast(sum(n) as bigint) as n from {_F} group by {by})"
 
 
-_PIVOT = f"(select feature_id, {', '.join(f'''cast(coalesce(sum(n) filter (where sample_id = '{s}'), 0) as bigint) as "{s}"''' for s in _SAMPLES)} from {_F} where sample_id in ('S1', 'S2', 'S3') group by feature_id)"
-_OVER = f"""(select read_idx, left(whole, 45) as seq1, left(reverse(translate(whole, 'ACGTN', 'TGCAN')), 45) as seq2 from (select read_idx, substr(seq2, 21) as whole from {_P} where length(seq2) > 60))"""
+_OVER = f"""(select read_idx, left(whole, 45) as seq1, left(reverse(translate(whole, 'ACGTN', 'TGCAN')), 45) as seq2 from (select read_idx, substr(seq2, 21) as whole from {_P}))"""
 
 
 def _prefixes(length: int, least: int) -> str:
@@ -257,18 +264,20 @@ ORACLE_SQL = {
     "min_freq_filter": f"select project, feature_id, sample_id, n from {_F} where feature_id in {_FREQUENT}",
     "synced_rep_seqs": f"select distinct md5(upper(seq)) as feature_id, upper(seq) as seq from {_R} where md5(upper(seq)) in {_FREQUENT}",
     "table_summary": f"{_summary('sample_id')} union all {_summary('feature_id')}",
-    "otu_pivot": f"select * from {_PIVOT}",
-    "otu_unpivot": f"select feature_id, sample_id, n from (unpivot {_PIVOT} on S1, S2, S3 into name sample_id value n) where n > 0",
+    "otu_pivot": f"""
+        with t as (select feature_id, sample_id, cast(sum(n) as bigint) as n from {_F} group by all), s as (select distinct sample_id from t), f as (select distinct feature_id from t)
+        select f.feature_id, string_agg(coalesce(t.n, 0), ' ' order by s.sample_id) as counts from f cross join s left join t on t.feature_id = f.feature_id and t.sample_id = s.sample_id group by f.feature_id""",
+    "otu_unpivot": f"select feature_id, sample_id, cast(sum(n) as bigint) as n from {_F} group by all",
     "feature_prefix": f"select 'ds1_' || feature_id as feature_id, cast(sum(n) as bigint) as n from {_F} group by feature_id",
     "abundance_order": f"""
         select project, row_number() over (partition by project order by size desc, first_idx) as rank, size, first_idx
         from (select project, count(*) as size, min(read_idx) as first_idx from {_R} group by project, upper(seq))""",
     "prefix_primer": f"""
-        select project, prefix, round(n / cast(total as double), 6) as share, cast(case when n / cast(total as double) > 0.5 then 16 else 0 end as bigint) as cut from {_prefixes(16, 16)}
+        select project, prefix, round(n / cast(total as double), 6) as share, cast(case when n / cast(total as double) > 0.5 then 20 else 0 end as bigint) as cut from {_prefixes(20, 20)}
         qualify row_number() over (partition by project order by n desc, prefix desc) = 1""",
-    "heavy_prefixes": f"select project, prefix, n from {_prefixes(24, 15)} where n > 0.01 * total",
+    "heavy_prefixes": f"select project, prefix, n from {_prefixes(40, 15)} where n > 0.01 * total",
     "similar_pairs": f"""
-        with t as (select * from {_UNIQUE} where size >= 2), q as (select project, id, left(seq, 30) || 'A' || substr(seq, 32) as seq from t where length(seq) >= 48),
+        with t as (select * from {_UNIQUE} where size >= 2), q as (select project, id, left(seq, 30) || 'A' || substr(seq, 32) as seq from t),
         p as (select q.project, q.id as q, t.id as t, q.seq as qs, t.seq as ts, greatest(length(q.seq), length(t.seq)) as n from q join t on t.project = q.project and abs(length(q.seq) - length(t.seq)) <= 4)
         select project, q, t, levenshtein(qs, ts) as edits, round(1 - levenshtein(qs, ts) / cast(n as double), 6) as identity from p where levenshtein(qs, ts) <= floor(n * (1 - 0.97) + 1e-9)""",
     "read_mapping97": f"""
@@ -278,16 +287,17 @@ ORACLE_SQL = {
         b as (select project, q, t from d where e <= floor(n * (1 - 0.97) + 1e-9) qualify row_number() over (partition by project, q order by 1 - e / cast(n as double) desc, t) = 1)
         select f.project, b.t as feature_id, f.sample_id, cast(sum(f.n) as bigint) as n from {_F} f join b on b.project = f.project and b.q = f.feature_id group by all""",
     "chimera": f"""
-        with top as (select project, id, seq, size, row_number() over (partition by project order by size desc, id) as k from {_UNIQUE} where size >= 2 qualify k <= 40),
-        made as (select a.project, left(a.seq, 30) || right(b.seq, 25) as seq from top a join top b on b.project = a.project and b.k = a.k + 1 where a.k % 2 = 1),
-        s as (select project, id, seq, size from top union all select project, md5(seq), seq, 1 from made),
-        pairs as (select q.project, q.id, q.size, q.seq as qs, p.seq as ps, p.id as parent, p.size as psize from s q join s p on p.project = q.project and p.id <> q.id and p.size >= 2 * q.size),
-        r as (select *, unnest(range(1, length(qs) + 1)) as l from pairs),
-        front as (select project, id, arg_max(parent, {{'l': l, 's': psize, 'p': parent}}) as fp, max(l) as fl from r where left(qs, cast(l as int)) = left(ps, cast(l as int)) and length(ps) >= l group by all),
-        back as (select project, id, arg_max(parent, {{'l': l, 's': psize, 'p': parent}}) as bp, max(l) as bl from r where right(qs, cast(l as int)) = right(ps, cast(l as int)) and length(ps) >= l group by all)
+        with top as (select project, id, seq, size, row_number() over (partition by project order by size desc, id) as k from {_UNIQUE}),
+        made as (select distinct a.project, left(a.seq, 30) || right(b.seq, 25) as seq from top a join top b on b.project = a.project and b.k = a.k + 1 where a.k % 2 = 1),
+        s as (select project, id, seq, size from top union all select project, md5(seq), seq, 1 from made where (project, md5(seq)) not in (select (project, id) from top)),
+        r as (select *, unnest(range(1, length(seq) + 1)) as l from s),
+        fronts as (select project, left(seq, cast(l as int)) as part, arg_max(id, {{'s': size, 'i': id}}) as parent, max(size) as psize from r group by all),
+        backs as (select project, right(seq, cast(l as int)) as part, arg_max(id, {{'s': size, 'i': id}}) as parent, max(size) as psize from r group by all),
+        front as (select r.project, r.id, arg_max(parent, l) as fp, max(l) as fl from r join fronts f on f.project = r.project and f.part = left(r.seq, cast(l as int)) where psize >= 2 * size group by all),
+        back as (select r.project, r.id, arg_max(parent, l) as bp, max(l) as bl from r join backs b on b.project = r.project and b.part = right(r.seq, cast(l as int)) where psize >= 2 * size group by all)
         select s.project, s.id, s.size, coalesce(fl + bl >= length(s.seq) and fp <> bp, false) as chimera
         from s left join front f on f.project = s.project and f.id = s.id left join back b on b.project = s.project and b.id = s.id""",
-    "adapter_removal": f"select read_idx, left(seq1, 30) as seq1, reverse(translate(left(seq1, 30), 'ACGTN', 'TGCAN')) as seq2 from {_OVER} where read_idx % 4 = 0",
+    "adapter_removal": f"select read_idx, left(seq1, 30) as seq1, reverse(translate(left(seq1, 30), 'ACGTN', 'TGCAN')) as seq2 from {_OVER}",
     "nearest_tip": f"""
         with u as (select distinct id, seq, list_distinct(list_transform(range(1, length(seq) - 10), lambda i: substr(seq, i, 12))) as words from {_UNIQUE}),
         q as (select id, len(words) as size, unnest(words) as word from u), i as (select id as tip, unnest(words) as word from u where length(seq) > 90),
@@ -305,17 +315,17 @@ ORACLE_SQL = {
         v as (select id, count(*) filter (where strand = '+') as plus, count(*) filter (where strand = '-') as minus from w where word in (select word from k) group by id)
         select m.id, plus, minus, case when minus > plus then reverse(translate(seq, 'ACGTN', 'TGCAN')) else seq end as seq from m join v on v.id = m.id""",
     "nb_taxonomy": f"""
-        with refs as (select distinct seq, 'd__B;p__' || substr(seq, 17, 1) || ';g__' || substr(seq, 17, 3) as taxon from {_UNIQUE} where size >= 2),
+        with all_reads as (select md5(upper(seq)) as id, upper(seq) as seq, count(*) as reads from {_R} group by upper(seq)), refs as (select distinct seq, 'd__B;p__' || substr(seq, 17, 1) || ';g__' || substr(seq, 17, 3) as taxon from {_UNIQUE} where size >= 2),
         rw as (select taxon, word, count(*) as n from (select taxon, unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) as word from refs) group by all),
         sums as (select taxon, sum(n) as total, ln(0.01 / (sum(n) + 0.01 * 65536)) as other from rw group by taxon),
         gains as (select rw.taxon, word, ln((n + 0.01) / (total + 0.01 * 65536)) - other as gain from rw join sums on sums.taxon = rw.taxon),
-        q as (select id, word, count(*) as m from (select read_idx as id, unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(upper(seq), i, 8))) as word from {_R} where read_idx % 50 = 9) group by all),
+        q as (select id, word, count(*) as m from (select id, unnest(list_transform(range(1, length(seq) - 6), lambda i: substr(seq, i, 8))) as word from all_reads) group by all),
         sizes as (select id, sum(m) as size from q group by id),
         scored as (select g.id, g.taxon, g.total + size * other as lp from (select id, taxon, sum(m * gain) as total from q join gains on gains.word = q.word group by all) g join sizes on sizes.id = g.id join sums on sums.taxon = g.taxon),
         p as (select id, taxon, exp(lp - max(lp) over (partition by id)) as w from scored),
         r as (select id, depth, array_to_string(string_split(taxon, ';')[1:depth], ';') as name, sum(w) / total as p from (select *, sum(w) over (partition by id) as total, unnest([1, 2, 3]) as depth from p) group by id, depth, name, total),
         b as (select id, name, p from r where p >= 0.7 qualify row_number() over (partition by id order by depth desc, p desc, name desc) = 1)
-        select i.read_idx as id, coalesce(name, 'Unassigned') as taxon, round(coalesce(p, 0.0), 6) as confidence from (select read_idx from {_R} where read_idx % 50 = 9) i left join b on b.id = i.read_idx""",
+        select i.id, i.reads, coalesce(name, 'Unassigned') as taxon, round(coalesce(p, 0.0), 6) as confidence from all_reads i left join b on b.id = i.id""",
     "placement_split": f"""
         with p as (select distinct feature_id from {_F} where n > 1)
         select case when feature_id in (select feature_id from p) then 'kept' else 'removed' end as part, count(*) as rows, cast(sum(n) as bigint) as reads from {_F} group by all""",
@@ -328,8 +338,8 @@ ORACLE_SQL = {
         select coalesce(a.sample_id, b.sample_id) as sample_id, raw_reads, kept from (select sample_id, count(*) as raw_reads from {_R} where length(seq) > 60 group by sample_id) a
         full join (select sample_id, count(*) as kept from {_R} where read_idx % 7 = 3 group by sample_id) b on a.sample_id = b.sample_id""",
     "count_trim": f"""
-        select project, coalesce(min(pos) filter (where reads < 300), max(pos)) as trim
-        from (select project, pos, count(*) as reads from {_R}, (select unnest(range(120)) as pos) where pos < length(qual) group by project, pos) group by project""",
+        select mate, coalesce(min(pos) filter (where reads < 9000), max(pos)) as trim
+        from (select cast(regexp_extract(file, '_R([12])', 1) as int) as mate, pos, count(*) as reads from {_R}, (select unnest(range(120)) as pos) where pos < length(qual) group by all) group by mate""",
     "anchor_trim": """
         with c as (select l_suppkey % 10 as g, l_partkey % 40 as start, count(*) as n, quantile_cont(l_orderkey % 25, 0.5) as cut from lineitem group by all),
         m as (select g, start, cut from c qualify row_number() over (partition by g order by n desc, start) = 1)

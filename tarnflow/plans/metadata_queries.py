@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tarnflow.functions import text as X
 from tarnflow.operators import metadata as M
+from tarnflow.pipeline.runner import outcome_counts
 from tarnflow.plans.derived import BIOSAMPLE, META, frame, sql
 from tarnflow.session import read_table
 
@@ -98,7 +99,7 @@ def file_names(spark, sf_dir):
 
 
 def formatted(spark, sf_dir):
-    row = _meta(spark, sf_dir).where("ord % 10 = 1")
+    row = _meta(spark, sf_dir)
     return row.select("ord", X.percent(F.col("ord") % 997, F.lit(997)).alias("share"), X.minutes_seconds(F.col("ord") % 7200).alias("took"), F.md5("run").alias("digest"), X.url_quoted(F.concat("run", F.lit(" a/b"))).alias("quoted"))
 
 
@@ -169,7 +170,7 @@ def se_manifest(spark, sf_dir):
 def status_report(spark, sf_dir):
     ids = _meta(spark, sf_dir).where("bioproject is not null").select(F.col("bioproject").alias("id")).distinct()
     stage = F.element_at(F.array(*map(F.lit, ("validation", "no_run", "no_data", "network"))), (F.col("user_id") % 4 + 1).cast("int"))
-    states = read_table(spark, sf_dir, "events").where("user_id < 30").select(F.concat(F.lit("PRJNA"), F.col("user_id").cast("string")).alias("id"), M.failure_state(stage).alias("status")).distinct()
+    states = read_table(spark, sf_dir, "events").select(F.concat(F.lit("PRJNA"), F.col("user_id").cast("string")).alias("id"), M.failure_state(stage).alias("status")).distinct()
     return M.status_report(ids, states)
 
 
@@ -197,7 +198,7 @@ def run_fallback(spark, sf_dir):
 
 def batch_platform(spark, sf_dir):
     table = _meta(spark, sf_dir).select((F.col("ord") % 500).alias("run_no"), "bioproject", "ord").where("bioproject is not null")
-    answers = read_table(spark, sf_dir, "customer").where("c_custkey < 600").select(F.col("c_custkey").alias("run_no"), F.col("c_mktsegment").alias("platform"))
+    answers = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_no"), F.col("c_mktsegment").alias("platform"))
     return M.last_project_of_run(table, answers, "run_no", "bioproject", "ord")
 
 
@@ -218,7 +219,7 @@ def first_run_of_dataset(spark, sf_dir):
 
 
 def distinct_submissions(spark, sf_dir):
-    return _meta(spark, sf_dir).where("run like 'CRR%'").select("bioproject").where("bioproject is not null").distinct().orderBy("bioproject")
+    return M.distinct_submissions(_meta(spark, sf_dir), "bioproject", "run")
 
 
 def union_by_name(spark, sf_dir):
@@ -250,7 +251,8 @@ def retention_gates(spark, sf_dir):
 
 def run_outcomes(spark, sf_dir):
     kinds = ("success", "failed", "skipped", "low_quality")
-    return read_table(spark, sf_dir, "events").agg(*[F.count_if(F.col("event_id") % 4 == i).alias(k) for i, k in enumerate(kinds)])
+    log = read_table(spark, sf_dir, "events").select(F.element_at(F.array(*map(F.lit, kinds)), (F.col("event_id") % 4 + 1).cast("int")).alias("status"))
+    return outcome_counts(log)
 
 
 NAMES = (
@@ -266,7 +268,7 @@ _KIND = "case when regexp_full_match(trim(id), 'SAM[CEDN][A-Z]?\\d+') then 'bios
 _SUBSET = f"(select * from {_M} where bioproject is not null qualify row_number() over (partition by bioproject order by ord) <= 2)"
 _STATUS = f"""
     select i.id, coalesce(s.status, 'unknown') as status from (select distinct bioproject as id from {_M} where bioproject is not null) i
-    left join (select distinct 'PRJNA' || user_id as id, ['invalid_format', 'no_run_info', 'no_data', 'download_error'][user_id % 4 + 1] as status from events where user_id < 30) s on s.id = i.id"""
+    left join (select distinct 'PRJNA' || user_id as id, ['invalid_format', 'no_run_info', 'no_data', 'download_error'][user_id % 4 + 1] as status from events) s on s.id = i.id"""
 _FILES = "(select *, '/data/' || sample || '_' || ord || '.fastq' as path from (select 'S' || (l_orderkey % 4000) as sample, 1 + l_linenumber % 2 as mate, l_orderkey * 8 + l_linenumber as ord from lineitem))"
 _LEFT = f"(select * from {_M} where biosample is not null and bioproject is not null)"
 _RIGHT = f"(select * from {_B} where biosample is not null)"
@@ -316,7 +318,7 @@ ORACLE_SQL = {
         select p_partkey, regexp_replace(left(regexp_replace(regexp_replace('[x] ' || p_name || ' / ' || p_type || '!!', '[^A-Za-z0-9.\\-]+', '_', 'g'), '_+', '_', 'g'), 80), '^_+|_+$', '', 'g') as name from part""",
     "formatted": f"""
         select ord, format('{{:.1f}}', round((ord % 997) * 100.0 / 997, 1)) || '%' as share, ((ord % 7200) // 60) || 'm ' || ((ord % 7200) % 60) || 's' as took, md5(run) as digest, run || '%20a%2Fb' as quoted
-        from {_M} where ord % 10 = 1""",
+        from {_M}""",
     "biosample_full_join": f"""
         select m.ord, m.run, coalesce(m.biosample, b.biosample) as biosample, m.bioproject, b.bioproject as bioproject_biosample, b.title
         from {_M} m full join {_B} b on m.biosample is not distinct from b.biosample""",
@@ -359,7 +361,7 @@ ORACLE_SQL = {
         select t.bioproject, run, ord from t join a on a.bioproject = t.bioproject qualify row_number() over (partition by t.bioproject order by case when run = asked then 0 else 1 end, ord) = 1""",
     "batch_platform": f"""
         select o.run_no, bioproject, c_mktsegment as platform from (select ord % 500 as run_no, arg_max(bioproject, ord) as bioproject from {_M} where bioproject is not null group by ord % 500) o
-        join customer on c_custkey = run_no where c_custkey < 600""",
+        join customer on c_custkey = run_no""",
     "dataset_list": f"select bioproject, first_ord, row_number() over (order by first_ord) as rank from (select bioproject, min(ord) as first_ord from {_M} where bioproject is not null group by bioproject)",
     "subset_two_per_project": f"select bioproject, run, ord from {_SUBSET}",
     "subset_tally": f"select count(distinct bioproject) as projects, count(*) as rows from {_SUBSET}",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators import primers as P, reads as R, trimming as T
-from tarnflow.plans.derived import MATES, READS, frame, sql
-from tarnflow.schema import FORWARD_PRIMERS
+from tarnflow.plans.derived import LONG, MATES, READS, frame, sql
+from tarnflow.schema import FORWARD_PRIMERS, REGION_LENGTHS, REGION_PRIMERS
 
 BY = ["project"]
 
@@ -165,7 +167,7 @@ def first_reads(spark, sf_dir):
 
 
 def long_read_gate(spark, sf_dir):
-    rows = R.long_read_share(_reads(spark, sf_dir), BY, first=100, length=70)
+    rows = R.long_read_share(frame(spark, sf_dir, LONG), BY)
     return rows.withColumn("share", F.round("share", 6))
 
 
@@ -180,19 +182,28 @@ def mate_layout(spark, sf_dir):
 
 
 def amplicon_region(spark, sf_dir):
-    rows = P.extract_region(_reads(spark, sf_dir), "YCAGCMGCCGCGGTAA", "ACGTN", (10, 60))
-    return rows.select("read_idx", "region")
+    return P.extract_region(frame(spark, sf_dir, LONG), *REGION_PRIMERS, REGION_LENGTHS).select("read_idx", "region")
+
+
+def total_raw_reads(spark, sf_dir):
+    return R.total_raw_reads(R.raw_counts(_reads(spark, sf_dir)))
+
+
+def route_filters(spark, sf_dir):
+    """Each route's filter over all reads."""
+    kept = [R.filtered_for(_reads(spark, sf_dir), route, BY).groupBy("project").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("seq")).alias("bases")).withColumn("route", F.lit(route)) for route in R.FILTERS]
+    return functools.reduce(DataFrame.unionByName, kept)
 
 
 NAMES = (
     "dereplicate singleton_filter read_scores read_quality_gate reject_histogram reverse_complement position_base_freq cdv_states primer_boundary "
     "primer_db_match primer_detection primer_info primer_trimmed orientation_bimodal orientation_split mixed_pair_trim tail_n_profile adaptive_trim "
     "quality_quantiles trim_positions quality_diversity degraded_preprocess sanitize_reads sanitize_pairs pair_reads n_histogram quality_filter "
-    "raw_read_counts read_numbering first_reads long_read_gate fastq_integrity mate_layout amplicon_region"
+    "raw_read_counts read_numbering first_reads long_read_gate fastq_integrity mate_layout amplicon_region total_raw_reads route_filters"
 ).split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
-READS_SQL, MATES_SQL = sql(READS), sql(MATES)
+READS_SQL, MATES_SQL, LONG_SQL = sql(READS), sql(MATES), sql(LONG)
 _N = "length(seq) - length(replace(upper(seq), 'N', ''))"
 
 
@@ -332,6 +343,18 @@ _QFILTER = f"""
   where keep >= n * 0.85 and keep - length(replace(upper(substr(seq, 1, cast(keep as int))), 'N', '')) <= 1
 """
 
+_REGION = "'CCTACGGG[ACGT]GGC[AT]GCAG([A-Za-z]*?)GGATTAGATACCC[CGT][AGT]GTAGTC'"
+
+
+def _route_filter(route: str, least: int, share: float, most: int | None) -> str:
+    """Reads cut before four scores in a row below ``least``, if enough is left and N are few."""
+    at = f"instr(array_to_string(list_transform(string_split(qual, ''), lambda c: case when ascii(c) - 33 < {least} then 'l' else 'h' end), ''), 'llll')"
+    cut = f"select project, length(seq) as whole, left(seq, cast(case when {at} = 0 then length(seq) else {at} - 1 end as int)) as seq from {READS_SQL}"
+    kept = f"select project, seq, {_N} as n from ({cut}) where length(seq) >= whole * {share}"
+    limit = f"(select project, floor(quantile_cont({_N}, 0.95) + 1e-9) as most from {READS_SQL} group by project)" if most is None else f"(select distinct project, {most} as most from {READS_SQL})"
+    return f"select k.project, count(*) as reads, cast(sum(length(seq)) as bigint) as bases, '{route}' as route from ({kept}) k join {limit} l on l.project = k.project where n <= most group by k.project"
+
+
 ORACLE_SQL = {
     "dereplicate": f"select project, upper(seq) as seq, count(*) as size, min(read_idx) as first_idx, (list(header order by read_idx, header))[1] as header from {READS_SQL} group by project, upper(seq)",
     "singleton_filter": f"select project, upper(seq) as seq, count(*) as size from {READS_SQL} group by project, upper(seq) having count(*) >= 2",
@@ -385,13 +408,14 @@ ORACLE_SQL = {
     "read_numbering": f"select read_idx, sample_id || '_' || row_number() over (partition by sample_id order by read_idx) || ';sample=' || sample_id || ';' as label from {READS_SQL}",
     "first_reads": f"select file, read_idx from {READS_SQL} qualify row_number() over (partition by file order by read_idx) <= 5",
     "long_read_gate": f"""
-        select project, round(avg(case when length(seq) > 70 then 1.0 else 0.0 end), 6) as share, avg(case when length(seq) > 70 then 1.0 else 0.0 end) > 0.5 as full_length
-        from (select * from {READS_SQL} qualify row_number() over (partition by project order by read_idx) <= 100) group by project""",
+        select project, round(avg(case when length(seq) > 1400 then 1.0 else 0.0 end), 6) as share, avg(case when length(seq) > 1400 then 1.0 else 0.0 end) > 0.5 as full_length
+        from (select * from {LONG_SQL} qualify row_number() over (partition by project order by read_idx) <= 1000) group by project""",
     "fastq_integrity": f"select file, count(*) as lines, count(*) % 4 = 0 as whole from {READS_SQL}, (select unnest([1, 2, 3, 4]) as line) where not (read_idx % 1000 = 1 and line = 4) group by file",
     "mate_layout": f"select distinct file, sample_id, cast(regexp_extract(file, '_R([12])', 1) as bigint) as mate from {READS_SQL}",
     "amplicon_region": f"""
         select read_idx, region from (
-          select read_idx, coalesce(nullif(regexp_extract(upper(seq), '[CT]CAGC[AC]GCCGCGGTAA([A-Za-z]*?)[ACGT]ACGT', 1), ''),
-                 regexp_extract(reverse(translate(upper(seq), 'ACGTN', 'TGCAN')), '[CT]CAGC[AC]GCCGCGGTAA([A-Za-z]*?)[ACGT]ACGT', 1)) as region from {READS_SQL})
-        where length(region) between 10 and 60""",
+          select read_idx, coalesce(nullif(regexp_extract(upper(seq), {_REGION}, 1), ''), regexp_extract(reverse(translate(upper(seq), 'ACGTN', 'TGCAN')), {_REGION}, 1)) as region from {LONG_SQL})
+        where length(region) between 300 and 500""",
+    "total_raw_reads": f"select count(*) as total_raw_reads from {READS_SQL}",
+    "route_filters": " union all ".join(_route_filter(*x) for x in (("ls454", 0, 0.85, None), ("ion_torrent", 0, 0.85, 0), ("illumina_degraded", 0, 0.85, 1), ("pacbio", 0, 0.9, None), ("illumina", 20, 0.75, 0))),
 }

@@ -6,8 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tarnflow.plans.derived import READS, frame
+from tarnflow.plans.read_queries import _REASON, _SCORES
 from tarnflow.session import read_table
-from tarnflow.streaming.ingest import windowed_counts
+from tarnflow.streaming.ingest import arriving, running_counts, windowed_counts
 
 
 def _events(spark, sf_dir):
@@ -24,7 +26,10 @@ def _finished(stream, mode):
 
 
 def stream_running_counts(spark, sf_dir):
-    return _finished(_events(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > 50).alias("large")), "complete")
+    """Reads as they arrive; the derived reads are files of the session's shared folder."""
+    reads = frame(spark, sf_dir, READS)
+    folder = reads.inputFiles()[0].rsplit("/", 1)[0]
+    return _finished(running_counts(arriving(spark, folder, reads.schema), ["project"]), "complete")
 
 
 def stream_windowed_counts(spark, sf_dir):
@@ -35,6 +40,6 @@ def stream_windowed_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (stream_running_counts, stream_windowed_counts)}
 ORACLE_SQL = {
-    "stream_running_counts": "select event_type, count(*) as n, count(*) filter (where value > 50) as large from events group by event_type",
+    "stream_running_counts": f"select project, count(*) as reads, count(*) filter (where {_REASON} <> 'kept') as rejected from ({_SCORES}) group by project",
     "stream_windowed_counts": "select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as n from events group by all",
 }

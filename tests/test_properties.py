@@ -1,5 +1,6 @@
 """Properties over the derived reads and over drawn values."""
 
+import pyarrow as pa
 from conftest import DATA
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def test_complement_is_an_involution(seq):
 def test_insert_length_of_exact_mates(whole, n):
     size = min(n, len(whole))
     first, second = whole[:size].encode(), flipped(whole)[:size].encode()
-    found = Q.insert_length(first, second)
+    found = Q._insert_lengths(pa.array([first.decode()]), pa.array([second.decode()]))[0].as_py()
     if 2 * size - len(whole) >= Q.LEAST_OVERLAP:
         assert found > 0
         a, b = whole[:size], whole[len(whole) - size :]
