@@ -22,7 +22,13 @@ from tarnflow.llm.batches import map_slices, slices
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_AT, SAMPLES, ROWS, STRIP_BYTES, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_AT, TILE_BYTES, SAMPLE_FORMAT = 317, 322, 323, 324, 325, 339
 PLAIN, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
-TYPES = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 6: "b", 7: "B", 8: "h", 9: "i", 10: "ii", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
+#: Field types as they are written, and those that hold whole numbers as they are read.
+TYPES = {3: "H", 4: "I"}
+WHOLE = {1: "u1", 3: "u2", 4: "u4", 6: "i1", 8: "i2", 9: "i4", 13: "u4", 16: "u8", 17: "i8", 18: "u8"}
+#: Tags that the decoder looks at.
+KNOWN = {WIDTH, HEIGHT, BITS, COMPRESSION, STRIP_AT, SAMPLES, ROWS, STRIP_BYTES, PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_AT, TILE_BYTES, SAMPLE_FORMAT}
+#: Bytes of a page's pixels at most: a cell can't hold much more.
+MOST_PIXELS = 1 << 30
 #: Payloads are filled up to a multiple of this many bytes, the width of a stored page.
 UNIT = 576
 PAGE_ROWS, STRIP_ROWS = 4096, 64
@@ -43,10 +49,13 @@ class Page:
     pixels: np.ndarray  # height x width x samples
 
 
-def unpack_bits(data: bytes) -> bytes:
-    """PackBits: a length byte n below 128 is followed by n + 1 bytes, above 128 by one to repeat 257 - n times."""
+def unpack_bits(data: bytes, need: int) -> bytes:
+    """PackBits: a length byte n below 128 is followed by n + 1 bytes, above 128 by one to repeat 257 - n times.
+
+    This and the other decoders stop once they have the bytes that are needed.
+    """
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < need:
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + n + 2]
@@ -58,11 +67,11 @@ def unpack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unpack_lzw(data: bytes) -> bytes:
+def unpack_lzw(data: bytes, need: int) -> bytes:
     """LZW with the most significant bit first, and codes that grow one code early."""
     clear, end = 256, 257
     table: list[bytes] = []
-    out, last = [], b""
+    out, last, made = [], b"", 0
     width, held, bits = 9, 0, 0
     for byte in data:
         held, bits = (held << 8) | byte, bits + 8
@@ -79,6 +88,9 @@ def unpack_lzw(data: bytes) -> bytes:
             raise DamagedImage("an LZW code out of range")
         word = table[code] if code < len(table) else last + last[:1]
         out.append(word)
+        made += len(word)
+        if made >= need:
+            break
         if last:
             table.append(last + word[:1])
         last = word
@@ -145,7 +157,15 @@ def pack_lzw(data: bytes) -> bytes:
 
 
 _PACK = {PLAIN: bytes, PACKBITS: pack_bits, LZW: pack_lzw, DEFLATE: lambda x: zlib.compress(x, 6)}
-_UNPACK = {PLAIN: bytes, PACKBITS: unpack_bits, LZW: unpack_lzw, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress}
+
+
+def _inflate(data: bytes, need: int) -> bytes:
+    return zlib.decompressobj().decompress(data, max(1, need))
+
+
+_UNPACK = {PLAIN: lambda x, need: x, PACKBITS: unpack_bits, LZW: unpack_lzw, DEFLATE: _inflate, OLD_DEFLATE: _inflate}
+#: Bytes that a byte of each form can stand for at most.
+RATIO = {PLAIN: 1, PACKBITS: 64, LZW: 2732, DEFLATE: 1040, OLD_DEFLATE: 1040}
 
 
 def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 2, tile: int = 0, strip_rows: int = STRIP_ROWS, order: str = "<") -> bytes:
@@ -196,23 +216,27 @@ def _directories(data: bytes) -> Iterator[tuple[str, dict[int, list]]]:
     big = struct.unpack_from(order + "H", data, 2)[0] == 43
     count, size, entry, room = ("Q", "Q", 20, 8) if big else ("H", "I", 12, 4)
     at, seen = struct.unpack_from(order + size, data, 8 if big else 4)[0], set()
+    step = struct.calcsize("=" + size)
     while at:
         if at in seen or at >= len(data):
             raise DamagedImage("the chain of directories is broken")
         seen.add(at)
         n = struct.unpack_from(order + count, data, at)[0]
-        at += struct.calcsize(count)
+        at += struct.calcsize("=" + count)
+        if n > (len(data) - at) // entry:
+            raise DamagedImage("a directory is longer than the file")
         tags = {}
         for i in range(at, at + n * entry, entry):
             tag, kind = struct.unpack_from(order + "HH", data, i)
             length = struct.unpack_from(order + size, data, i + 4)[0]
-            if kind not in TYPES:
+            if kind not in WHOLE or tag not in KNOWN:
                 continue
-            form = order + TYPES[kind] * length
-            place = i + 4 + struct.calcsize(size)
-            if struct.calcsize(form) > room:
+            form, place = np.dtype(order + WHOLE[kind]), i + 4 + step
+            if length * form.itemsize > room:
                 place = struct.unpack_from(order + size, data, place)[0]
-            tags[tag] = list(struct.unpack_from(form, data, place))
+            if place + length * form.itemsize > len(data):
+                raise DamagedImage(f"the values of tag {tag} are beyond the file's end")
+            tags[tag] = np.frombuffer(data, form, length, place).tolist()
         yield order, tags
         at = struct.unpack_from(order + size, data, at + n * entry)[0]
 
@@ -226,41 +250,71 @@ def _block(raw: bytes, height: int, width: int, samples: int, kind: np.dtype, pr
         summed = np.cumsum(rows.reshape(height, -1, samples), axis=1, dtype=np.uint8).reshape(height, -1)
         planes = summed.reshape(height, kind.itemsize, width * samples).transpose(0, 2, 1)
         return np.ascontiguousarray(planes).view(kind.newbyteorder(">")).reshape(height, width, samples).astype(kind)
-    values = np.frombuffer(raw, kind.newbyteorder(order), height * width * samples).astype(kind).reshape(height, width, samples)
-    return np.cumsum(values, axis=1, dtype=kind) if predictor == 2 else values
+    if predictor == 2:  # differences are of the stored bits, whatever they stand for
+        plain = np.dtype(f"u{kind.itemsize}")
+        values = np.frombuffer(raw, plain.newbyteorder(order), height * width * samples).astype(plain).reshape(height, width, samples)
+        return np.cumsum(values, axis=1, dtype=plain).view(kind)
+    return np.frombuffer(raw, kind.newbyteorder(order), height * width * samples).astype(kind).reshape(height, width, samples)
 
 
 def read_tiff(data: bytes) -> Iterator[Page]:
-    """The pages of a file in the order of its directories."""
-    for number, (order, tags) in enumerate(_directories(data)):
-        one = lambda tag, other=None, tags=tags: tags.get(tag, [other])[0]
-        width, height, samples, compression = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(COMPRESSION, PLAIN)
-        bits, predictor, planar = one(BITS, 1), one(PREDICTOR, 1), one(PLANAR, 1)
-        if compression not in _UNPACK or bits not in (8, 16, 32, 64) or None in (width, height):
-            raise DamagedImage(f"compression {compression} with {bits} bits isn't supported")
-        kind = np.dtype(f"{'uif'[one(SAMPLE_FORMAT, 1) - 1]}{bits // 8}")
-        tiled = TILE_AT in tags
-        ats, sizes = (tags[TILE_AT], tags[TILE_BYTES]) if tiled else (tags[STRIP_AT], tags[STRIP_BYTES])
-        step_y, step_x = (one(TILE_HEIGHT), one(TILE_WIDTH)) if tiled else (min(one(ROWS, height), height), width)
-        planes, inner = (samples, 1) if planar == 2 else (1, samples)
-        pixels = np.empty((height, width, samples), kind)
-        blocks = iter(zip(ats, sizes, strict=True))
-        for plane in range(planes):
-            for y in range(0, height, step_y):
-                for x in range(0, width, step_x):
-                    at, size = next(blocks)
-                    rows = step_y if tiled else min(step_y, height - y)
-                    got = _block(_UNPACK[compression](data[at : at + size]), rows, step_x, inner, kind, predictor, order)
-                    into = pixels[y : y + step_y, x : x + step_x, plane : plane + inner]
-                    into[:] = got[: into.shape[0], : into.shape[1]]
-        yield Page(number, width, height, samples, bits, compression, pixels)
+    """The pages of a file in the order of its directories; ``DamagedImage`` at the first that can't be read.
+
+    What a file claims is checked before anything is allocated for it.
+    """
+    try:
+        for number, (order, tags) in enumerate(_directories(data)):
+            yield _page(number, order, tags, data)
+    except (struct.error, zlib.error) as e:
+        raise DamagedImage(str(e)) from e
+
+
+def _page(number: int, order: str, tags: dict[int, list[int]], data: bytes) -> Page:
+    def one(tag: int, other: int | None = None) -> int:
+        found = tags.get(tag) or [other]
+        if found[0] is None:
+            raise DamagedImage(f"tag {tag} is missing")
+        return found[0]
+
+    width, height, samples, compression = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(COMPRESSION, PLAIN)
+    bits, predictor, planar, form = one(BITS, 1), one(PREDICTOR, 1), one(PLANAR, 1), one(SAMPLE_FORMAT, 1)
+    if compression not in _UNPACK or bits not in (8, 16, 32, 64) or len(set(tags.get(BITS, []))) > 1 or form not in (1, 2, 3) or form == 3 and bits == 8:
+        raise DamagedImage(f"compression {compression} with samples of {bits} bits and format {form} isn't supported")
+    if predictor not in (1, 2, 3) or predictor == 3 and form != 3 or planar not in (1, 2):
+        raise DamagedImage(f"predictor {predictor} with format {form} and layout {planar} isn't supported")
+    kind = np.dtype(f"{'uif'[form - 1]}{bits // 8}")
+    tiled = TILE_AT in tags
+    ats, sizes = (tags.get(TILE_AT, []), tags.get(TILE_BYTES, [])) if tiled else (tags.get(STRIP_AT, []), tags.get(STRIP_BYTES, []))
+    step_y, step_x = (one(TILE_HEIGHT), one(TILE_WIDTH)) if tiled else (min(one(ROWS, height), height), width)
+    if min(width, height, samples, step_y, step_x) < 1 or min([*ats, *sizes], default=0) < 0:
+        raise DamagedImage("sizes that aren't positive")
+    planes, inner = (samples, 1) if planar == 2 else (1, samples)
+    down, across = -(-height // step_y), -(-width // step_x)
+    if not len(ats) == len(sizes) == planes * down * across:
+        raise DamagedImage("another number of strips or tiles than the page needs")
+    need, block = height * width * samples * kind.itemsize, step_y * step_x * inner * kind.itemsize
+    stored = sum(min(size, max(0, len(data) - at)) for at, size in zip(ats, sizes, strict=True))
+    if max(need, block) > min(MOST_PIXELS, RATIO[compression] * stored + 1):
+        raise DamagedImage("more pixels than the stored bytes can hold, or than a page may have")
+    pixels, blocks = np.empty((height, width, samples), kind), iter(zip(ats, sizes, strict=True))
+    for plane in range(planes):
+        for y in range(0, height, step_y):
+            for x in range(0, width, step_x):
+                at, size = next(blocks)
+                rows = step_y if tiled else min(step_y, height - y)
+                raw = _UNPACK[compression](data[at : at + size], rows * step_x * inner * kind.itemsize)
+                got = _block(raw, rows, step_x, inner, kind, predictor, order)
+                into = pixels[y : y + step_y, x : x + step_x, plane : plane + inner]
+                into[:] = got[: into.shape[0], : into.shape[1]]
+    return Page(number, width, height, samples, bits, compression, pixels)
 
 
 def decode_pages(media: DataFrame, keep: list[str], content: str = "content") -> DataFrame:
     """One row per page: ``keep`` columns, the page's number, sizes, compression and its ``pixels`` as bytes.
 
-    Null or empty content has no pages; a damaged file gives one row with ``error`` and no page. Files may
-    repeat, an empty table gives an empty result, and columns not in ``keep`` are not read.
+    Null or empty content has no pages; a damaged file, or one whose page has more than ``MOST_PIXELS`` bytes, gives the
+    pages before the damage and one row with ``error`` and no page. Files of any length are read whole, may repeat, an
+    empty table gives an empty result, and columns not in ``keep`` are not read.
     """
     fields = "page int, width int, height int, samples int, bits int, compression int, pixels binary, error string"
     schema = T.StructType([media.schema[c] for c in keep] + list(T._parse_datatype_string(fields)))
@@ -276,7 +330,7 @@ def decode_pages(media: DataFrame, keep: list[str], content: str = "content") ->
                         yield pa.RecordBatch.from_arrays(
                             [*own, *(pa.array([x], pa.int32()) for x in row), pa.array([p.pixels.tobytes()], pa.binary()), pa.array([None], pa.string())], schema.names
                         )
-                except (DamagedImage, struct.error, zlib.error, KeyError, StopIteration) as e:
+                except DamagedImage as e:
                     yield pa.RecordBatch.from_arrays([*own, *(pa.array([None], pa.int32()) for _ in range(6)), pa.array([None], pa.binary()), pa.array([str(e)])], schema.names)
 
     return media.select(*dict.fromkeys([*keep, content])).mapInArrow(run, schema)
@@ -303,7 +357,8 @@ def text_media(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
 
     The text's UTF-8 bytes (null: none) are filled up with bytes 255 to a positive multiple of 576, stored,
     and read back by the page decoder; payload digests and features come from what was read. Equal texts have
-    equal values, repeated rows too; an empty table gives an empty result; other columns are not read.
+    equal values, repeated rows too; very long ones have more pages. An empty table gives an empty result; other
+    columns are not read.
     """
 
     def row(t: bytes) -> tuple:

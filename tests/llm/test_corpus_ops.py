@@ -396,6 +396,78 @@ def test_tiff_round_trip(compression, order):
                 assert all((g.pixels.reshape(p.shape) == p).all() for g, p in zip(got, pages, strict=True))
 
 
+def by_hand(pixels, tags, blocks, big=False, order="<"):
+    """A file of one page, put together field by field."""
+    import struct
+
+    head = b"II" if order == "<" else b"MM"
+    size, out = ("Q", bytearray(head + struct.pack(order + "HHHQ", 43, 8, 0, 0))) if big else ("I", bytearray(head + struct.pack(order + "HI", 42, 0)))
+    ats = []
+    for b in blocks:
+        ats.append(len(out))
+        out += b
+    fields = {256: [pixels.shape[1]], 257: [pixels.shape[0]], 258: [pixels.dtype.itemsize * 8] * pixels.shape[2], 277: [pixels.shape[2]], 273: ats, 279: [len(b) for b in blocks], **tags}
+    entries = b""
+    for tag, values in sorted(fields.items()):
+        data = struct.pack(f"{order}{len(values)}{size}", *values)
+        if len(values) > 1:
+            data, out = struct.pack(order + size, len(out)), out + data
+        entries += struct.pack(order + "HH" + size, tag, 16 if big else 4, len(values)) + data
+    struct.pack_into(order + size, out, 8 if big else 4, len(out))
+    return bytes(out + struct.pack(order + ("Q" if big else "H"), len(fields)) + entries + struct.pack(order + size, 0))
+
+
+def test_tiff_forms_by_hand():
+    draw = np.random.default_rng(5)
+    small = draw.integers(0, 255, (4, 6, 3)).astype(np.uint8)
+    for big in (False, True):
+        for order in "<>":
+            planar = [np.ascontiguousarray(small[y : y + 2, :, k]).tobytes() for k in range(3) for y in (0, 2)]
+            (page,) = tiff.read_tiff(by_hand(small, {284: [2], 278: [2]}, planar, big, order))
+            assert (page.pixels == small).all()
+    numbers = draw.normal(size=(3, 5, 1)).astype(np.float32)
+    planes = numbers.astype(">f4").view(np.uint8).reshape(3, 5, 4).transpose(0, 2, 1).reshape(3, 20)
+    steps = np.concatenate([planes[:, :1], np.diff(planes, axis=1)], axis=1).astype(np.uint8)
+    (page,) = tiff.read_tiff(by_hand(numbers, {317: [3], 339: [3], 259: [8]}, [zlib.compress(steps.tobytes())]))
+    assert (page.pixels == numbers).all()
+    # LZW codes by hand: clear, 7, 258, 8, 8, 258, 6, 6, end.
+    bits = "".join(f"{x:09b}" for x in (256, 7, 258, 8, 8, 258, 6, 6, 257))
+    coded = int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+    want = np.array([[7, 7, 7, 8, 8, 7, 7, 6, 6]], np.uint8)[..., None]
+    (page,) = tiff.read_tiff(by_hand(want, {259: [5]}, [coded]))
+    assert (page.pixels == want).all()
+    packed = bytes([0xFE, 0xAA, 0x02, 0x80, 0x00, 0x2A, 0xFD, 0xAA, 0x03, 0x80, 0x00, 0x2A, 0x22, 0xF7, 0xAA])
+    want = np.frombuffer(bytes.fromhex("AAAAAA80002AAAAAAAAA80002A22" + "AA" * 10), np.uint8).reshape(1, 24, 1)
+    (page,) = tiff.read_tiff(by_hand(want, {259: [32773]}, [packed]))
+    assert (page.pixels == want).all()
+
+
+def test_damaged_images_end_in_an_error(spark):
+    """Every byte of some files changed in several ways: pages or an error, in bounded time and memory."""
+    began = time.monotonic()
+    pages = [np.arange(520, dtype=np.uint16).reshape(130, 4).astype(np.uint8)]
+    files = [tiff.write_tiff(pages, c, p, tile) for c in (tiff.PLAIN, tiff.PACKBITS, tiff.LZW, tiff.DEFLATE) for p, tile in ((1, 0), (2, 16))]
+    bad = 0
+    for file in files:
+        for i in range(len(file)):
+            for value in (0, 1, 0x7F, 0xFF, file[i] ^ 0x10):
+                changed = bytearray(file)
+                changed[i] = value
+                try:
+                    list(tiff.read_tiff(bytes(changed)))
+                except tiff.DamagedImage:
+                    bad += 1
+        for end in range(0, len(file) - 4, 7):
+            with pytest.raises(tiff.DamagedImage):
+                list(tiff.read_tiff(file[:end]))
+    assert bad > 500 and time.monotonic() - began < 120
+    image = np.zeros((8, 4, 1), np.uint8)
+    wrong = [{278: [0]}, {278: [2]}, {257: [2**32 - 1]}, {256: [2**31]}, {339: [9]}, {317: [3]}, {258: [7]}, {284: [5]}, {259: [77]}]
+    rows = [(i, by_hand(image, {259: [8], **tags}, [zlib.compress(image.tobytes())])) for i, tags in enumerate(wrong)]
+    out = tiff.decode_pages(spark.createDataFrame([*rows, (99, by_hand(image, {}, [image.tobytes()]))], "file_id long, content binary"), ["file_id"]).collect()
+    assert {r.file_id for r in out if r.error} == set(range(len(wrong))) and [bytes(r.pixels) for r in out if not r.error] == [image.tobytes()]
+
+
 def test_tiff_pages_and_media(spark, docs, empty, texts):
     files = [(1, tiff.write_tiff([np.zeros((3, 4), np.uint8), np.ones((2, 2), np.uint8)]), "c"), (2, None, "c"), (3, b"junk", "c"), (4, tiff.write_tiff([np.zeros((3, 4), np.uint8)])[:60], "c")]
     rows = tiff.decode_pages(spark.createDataFrame(files, "file_id long, content binary, page string"), ["file_id"]).collect()
@@ -408,7 +480,9 @@ def test_tiff_pages_and_media(spark, docs, empty, texts):
         data = data or b"\xff" * 576
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((t or "").encode()), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-32:]))
-        assert f"sum={sum(data)};" in r.feature
+        upper = ",".join(map(str, np.bincount(np.frombuffer(data, np.uint8) >> 4, minlength=16)))
+        pages, rows = -(-len(data) // (576 * 4096)), len(data) // 576
+        assert r.feature == f"pages={pages};rows={rows};sum={sum(data)};squares={sum(b * b for b in data)};upper={upper}"
     assert (got[0].media_sha256, got[0].feature) == (got[1].media_sha256, got[1].feature)
     assert tiff.text_media(empty, ["doc_id"]).count() == 0
 
