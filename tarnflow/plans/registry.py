@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnflow.plans import feature_queries, metadata_queries, read_queries, stream_queries
+from tarnflow.plans import feature_queries, io_queries, metadata_queries, read_queries, stream_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [read_queries, metadata_queries, feature_queries, stream_queries]
+_MODULES = [read_queries, metadata_queries, feature_queries, io_queries, stream_queries]
 
 
 def queries() -> dict[str, Query]:

@@ -32,7 +32,7 @@ def processed(table: DataFrame, path: str, project: str = "BioProject") -> None:
 def merged_csv(table: DataFrame, path: str, bom: bool = True) -> None:
     """One CSV file for people, its header marked with a byte order mark; for tables of a person's size."""
     named = table.select(*[F.col(f"`{c}`").alias(("\ufeff" + c) if bom and i == 0 else c) for i, c in enumerate(table.columns)])
-    named.coalesce(1).write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
+    named.coalesce(1).write.mode("overwrite").csv(path, header=True, encoding="UTF-8", escape=chr(34))
 
 
 def status_tsv(report: DataFrame, path: str) -> None:
@@ -90,6 +90,26 @@ def feature_table(table: DataFrame, seqs: DataFrame, path: str) -> None:
     T.same_features(seqs, table).write.mode("overwrite").parquet(f"{path}/sequences")
 
 
+def biom_json(table: DataFrame, path: str) -> None:
+    """A feature table (``feature_id``, ``sample_id``, ``count``) in the sparse JSON layout of BIOM 1.0, for other tools.
+
+    The layout is one document, so this is for tables that other tools can open at all; Parquet is the engine's own form.
+    """
+    ids = {}
+    for key in ("feature_id", "sample_id"):
+        ids[key] = table.agg(F.array_sort(F.collect_set(key)).alias(f"{key}s"))
+    numbered = [ids[k].select(F.posexplode(f"{k}s").alias(n, k)) for k, n in (("feature_id", "i"), ("sample_id", "j"))]
+    cells = table.join(numbered[0], "feature_id").join(numbered[1], "sample_id").select(F.array(F.col("i").cast("long"), F.col("j").cast("long"), F.col("count").cast("long")).alias("cell"))
+    data = cells.agg(F.array_sort(F.collect_list("cell")).alias("data"))
+    named = lambda c: F.transform(c, lambda x: F.struct(x.alias("id")))
+    whole = data.crossJoin(ids["feature_id"]).crossJoin(ids["sample_id"])  # one row each
+    parts = F.struct(
+        F.lit("Biological Observation Matrix 1.0.0").alias("format"), F.lit("OTU table").alias("type"), F.lit("sparse").alias("matrix_type"), F.lit("int").alias("matrix_element_type"),
+        F.array(F.size("feature_ids"), F.size("sample_ids")).alias("shape"), named(F.col("feature_ids")).alias("rows"), named(F.col("sample_ids")).alias("columns"), "data",
+    )
+    whole.select(F.to_json(parts).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def finalize(spark: SparkSession, staging: str, final: str) -> None:
     """Put a finished folder in its place and drop the staging folder's rest."""
     source, files = _files(spark, f"{staging}/final")
@@ -124,9 +144,14 @@ class StateTable:
 
     def complete(self, folder: str) -> DataFrame:
         """Ids that are recorded as having data and whose file is there."""
-        done = self.read().where("status = 'has_data'")
-        rows = [(r["id"],) for r in done.select("id", "file").toLocalIterator() if r["file"] and _exists(self.spark, f"{folder}/{r['file']}")]
-        return self.spark.createDataFrame(rows, "id string")
+        done = self.read().where("status = 'has_data'").select("id", "file")
+        path, files = _files(self.spark, folder)
+        if not files.exists(path):
+            return done.select("id").limit(0)
+        # The folder is listed once, with its folders by project, however many ids there are.
+        names = [(s.getPath().getName(),) for s in files.listStatus(path)]
+        listed = self.spark.createDataFrame(names, "file string")
+        return done.join(listed, "file", "left_semi").select("id")
 
 
 def _exists(spark: SparkSession, name: str) -> bool:
