@@ -128,7 +128,7 @@ def split_orientation(reads: DataFrame, mixed: DataFrame, by: list[str]) -> Data
     return rows.withColumn("minority", F.coalesce(S.base_at(F.upper("seq"), F.col("best_pos").cast("int")) == F.col("minor"), F.lit(False))).drop("best_pos", "minor")
 
 
-def trim_mixed_pairs(pairs: DataFrame, mixed: DataFrame, by: list[str], forward: int, reverse: int) -> DataFrame:
+def trim_mixed_pairs(pairs: DataFrame, mixed: DataFrame, by: list[str], forward: Column | int, reverse: Column | int) -> DataFrame:
     """Pairs whose first mate has another base than the majority's at the best position are swapped, then both are cut.
 
     A first mate that doesn't reach the position is not swapped.
@@ -138,9 +138,9 @@ def trim_mixed_pairs(pairs: DataFrame, mixed: DataFrame, by: list[str], forward:
     flip = F.coalesce(long_enough & (S.base_at(F.upper("seq1"), F.col("best_pos").cast("int")) != F.col("major")), F.lit(False))
     rows = rows.withColumn("flipped", flip)
 
-    def pick(a: str, b: str, n: int) -> Column:
+    def pick(a: str, b: str, n: Column | int) -> Column:
         chosen = F.when(F.col("flipped"), F.col(b)).otherwise(F.col(a))
-        return F.substr(chosen, F.lit(n + 1), F.length(chosen))
+        return F.substr(chosen, F.lit(n) + 1 if isinstance(n, int) else n + 1, F.length(chosen))
 
     cut = {"seq1": pick("seq1", "seq2", forward), "qual1": pick("qual1", "qual2", forward), "seq2": pick("seq2", "seq1", reverse), "qual2": pick("qual2", "qual1", reverse)}
     return rows.withColumns(cut).drop("best_pos", "major")

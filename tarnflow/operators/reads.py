@@ -172,6 +172,11 @@ def total_raw_reads(counts: DataFrame) -> DataFrame:
     return counts.agg(F.coalesce(F.sum("raw_reads"), F.lit(0)).alias("total_raw_reads"))
 
 
+def total_raw_reads_by(reads: DataFrame, by: list[str]) -> DataFrame:
+    """Raw reads by group, mates counted each."""
+    return reads.groupBy(*by).agg(F.count(F.lit(1)).alias("raw_reads"))
+
+
 def n_histogram(reads: DataFrame, by: list[str], first: int = 10) -> DataFrame:
     """Reads by their number of N for the ``first`` numbers that occur, with their share in percent."""
     counts = reads.groupBy(*by, S.count_letter(F.col("seq"), "N").cast("long").alias("n_count")).agg(F.count(F.lit(1)).alias("reads"))

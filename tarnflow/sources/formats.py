@@ -2,7 +2,7 @@
 
 A file is one partition: compressed sequence files can't be split, and the number of a read in its file
 matters. The reads of a file are streamed in bounded batches. The path must be open to Python on the
-executors; for stores that only Spark reads, use ``read_fastq``, which goes through ``binaryFile``.
+executors; for stores that only Spark reads, and for large plain files, use ``read_fastq``.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ import os
 import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tarnflow.schema import FASTA, READS
+from tarnflow.session import stage
 
 BATCH = 10_000
 
@@ -204,26 +206,69 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(source)
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """FASTQ files by Spark's own reader, from any store; a file has to fit in a cell (2 GB)."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """Reads of files that are one split each: their lines follow each other, so four are a record. Streamed in batches."""
     arrow = to_arrow_schema(READS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, name, number, held = None, None, 0, []
+
+        def records(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal number, held
+            whole = len(held) if last else len(held) // 4 * 4
+            part, held = held[:whole], held[whole:]
+            rows = [(name, number + i, *r) for i, r in enumerate(fastq_records(part, name))]
+            number += len(rows)
+            if rows:
+                yield _batch(rows, arrow)
+
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = content.as_py()
-                raw = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-                rows = []
-                for i, record in enumerate(fastq_records(io.TextIOWrapper(raw, "ascii", errors="replace"), name)):
-                    rows.append((name, i, *record))
-                    if len(rows) == BATCH:
-                        yield _batch(rows, arrow)
-                        rows = []
-                if rows:
-                    yield _batch(rows, arrow)
+            files, values = batch.column("file"), batch.column("value").to_pylist()
+            marks = batch.column("path").dictionary_encode()
+            codes = marks.indices.to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                own = marks.dictionary[int(codes[a])].as_py()
+                if own != path:
+                    yield from records(True)
+                    path, name, number = own, files[a].as_py(), 0
+                held += values[a:b]
+                if len(held) >= 4 * BATCH:
+                    yield from records(False)
+        yield from records(True)
+
+    return lines.select("path", "file", "value").mapInArrow(run, READS)
+
+
+def _cut_records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Reads of files that are cut into splits: a line's number is its place in the split and the lines of the splits before."""
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = blocks.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
+    numbered = lines.join(F.broadcast(offsets), ["path", "block"]).withColumn("n", F.col("r") - F.col("first") + F.col("before"))
+    at = lambda k: F.max(F.when(F.col("n") % 4 == k, F.rtrim("value", F.lit("\r")))).alias(f"v{k}")
+    found = numbered.groupBy("path", "file", F.floor(F.col("n") / 4).alias("read_idx")).agg(*[at(k) for k in range(4)])
+    whole = F.col("v0").startswith("@") & F.col("v2").startswith("+") & (F.length("v1") == F.length("v3"))
+    blank = (F.coalesce("v0", F.lit("")) == "") & (F.coalesce("v1", "v2", "v3", F.lit("")) == "")
+    broken = F.raise_error(F.concat("file", F.lit(": record "), F.col("read_idx").cast("string"), F.lit(" isn't whole")))
+    checked = F.when(F.coalesce(whole, F.lit(False)), F.col("v0")).otherwise(broken.cast("string"))
+    return found.where(~blank).select("file", "read_idx", checked.alias("header"), F.col("v1").alias("seq"), F.col("v3").alias("qual"))
+
 
-    return files.mapInArrow(run, READS)
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """FASTQ files, plain or gzip, by Spark's own reader, from any store and of any size.
+
+    A gzip file is one stream and is read in order by one task. Plain files are split like any text; their lines are
+    numbered by the splits before theirs, so that large files are read by many tasks. Blank lines are only allowed at the
+    end of such a file. Two files of one name count as one in ``file``, but not in ``read_idx``.
+    """
+    text = spark.read.text(path)
+    lines = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("r"))
+    blocks = stage(lines.groupBy("path", "block").agg(F.min("r").alias("first"), F.count(F.lit(1)).alias("n")), "fastq-blocks")
+    cut = blocks.groupBy("path").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("path")
+    if not cut.head(1):
+        return _whole_records(lines)
+    rest = _whole_records(lines.join(F.broadcast(cut), "path", "left_anti"))
+    return rest.unionByName(_cut_records(lines.join(F.broadcast(cut), "path", "left_semi"), blocks.join(cut, "path", "left_semi")))
 
 
 def intact(path: str) -> bool:

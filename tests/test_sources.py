@@ -36,6 +36,26 @@ def test_fastq_source(spark, tmp_path):
     assert sum(1 for _ in spark.read.text(str(tmp_path / "text")).collect()) == 12
 
 
+def test_large_plain_files_are_split(spark, tmp_path):
+    """Plain files over many splits, beside a gzip file; a broken record is an error."""
+    rows = [(f"@r{i}", "ACGT" * (i % 9), "I" * (4 * (i % 9))) for i in range(4000)]
+    whole = "".join(f"{h}\n{s}\n+\n{q}\n" for h, s, q in rows)
+    put(tmp_path / "in" / "a.fastq", whole)
+    with gzip.open(tmp_path / "in" / "b.fastq.gz", "wt") as f:
+        f.write(whole)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        got = formats.read_fastq(spark, str(tmp_path / "in")).collect()
+        for name in ("a.fastq", "b.fastq.gz"):
+            assert [(r.header, r.seq, r.qual) for r in sorted((r for r in got if r.file == name), key=lambda r: r.read_idx)] == rows
+        put(tmp_path / "bad" / "c.fastq", whole + "@x\nAC\n+\nI\n")
+        with pytest.raises(Exception, match="isn't whole"):
+            formats.read_fastq(spark, str(tmp_path / "bad")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_broken_fastq(spark, tmp_path):
     with pytest.raises(formats.DamagedFile):
         list(formats.fastq_records(["@r", "ACG", "+", "II"], "x"))
