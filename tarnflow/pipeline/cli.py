@@ -6,18 +6,13 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from tarnflow.pipeline.runner import Phases, combine, harvest, process_reads
+from tarnflow.functions.sequence import mate_of_path, sample_of_path
+from tarnflow.pipeline.process import process_study
+from tarnflow.pipeline.runner import Phases, combine, harvest
 from tarnflow.session import build_session
 from tarnflow.sources import formats, sinks, texts
 
 
-def positive(value: str) -> int:
-    n = int(value)
-    if n <= 0:
-        raise argparse.ArgumentTypeError(f"{value} isn't positive")
-    return n
-
-
 def share(value: str) -> float:
     x = float(value)
     if not 0 <= x <= 1:
@@ -33,10 +28,8 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument(f"--{name}", required=True)
     two = sub.add_parser("process", help="reads to feature tables")
     two.add_argument("--reads", required=True)
-    two.add_argument("--dataset", required=True)
+    two.add_argument("--runs", required=True, help="CSV with the columns dataset_id, sample_id and platform")
     two.add_argument("--out", required=True)
-    two.add_argument("--platform", choices=["ILLUMINA", "LS454", "ION_TORRENT", "PACBIO_SMRT"], default="ILLUMINA")
-    two.add_argument("--least", type=positive, default=2, help="reads that a feature needs")
     three = sub.add_parser("combine", help="merge data sets and classify")
     for name in ("tables", "references", "out"):
         three.add_argument(f"--{name}", required=True)
@@ -54,11 +47,14 @@ def main(argv: list[str] | None = None) -> None:
         sinks.merged_csv(table, f"{args.out}/all_metadata_merged")
         sinks.status_tsv(states, f"{args.out}/status")
     elif args.command == "process":
-        reads = formats.read_fastq(spark, args.reads)
-        from tarnflow.functions.sequence import sample_of_path
-
-        named = reads.withColumns({"dataset_id": F.lit(args.dataset), "sample_id": sample_of_path(F.col("file"))})
-        process_reads(phases, named, platform=args.platform, least=args.least).write.mode("overwrite").partitionBy("dataset_id").parquet(f"{args.out}/tables")
+        runs = texts.metadata_csv(spark, args.runs).select("dataset_id", "sample_id", "platform")
+        reads = formats.read_fastq(spark, args.reads).withColumns({"sample_id": sample_of_path(F.col("file")), "mate": mate_of_path(F.col("file"))})
+        named = reads.join(runs.select("dataset_id", "sample_id").distinct(), "sample_id")
+        out = process_study(phases, named, runs.groupBy("dataset_id").agg(F.min("platform").alias("platform")))
+        out["table"].write.mode("overwrite").partitionBy("dataset_id").parquet(f"{args.out}/tables")
+        sinks.status_tsv(out["outcomes"], f"{args.out}/outcomes")
+        summary = out["summary"].select(F.col("dataset_id").alias("bioproject"), F.col("sample_id").alias("run"), F.col("sample_id").alias("sample"), "raw_reads", "final_reads")
+        sinks.append_summary(summary, f"{args.out}/summary")
     else:
         references = spark.read.parquet(args.references)
         for name, table in combine(phases, spark.read.parquet(args.tables), references, confidence=args.confidence).items():

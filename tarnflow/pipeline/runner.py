@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.operators import features as T, metadata as M, pairs as Q, primers as P, reads as R, similarity as Y, taxonomy as N, trimming as C
-from tarnflow.schema import FORWARD_PRIMERS
+from tarnflow.operators import features as T, metadata as M, taxonomy as N
 from tarnflow.sources import sinks
 
 
@@ -51,52 +50,6 @@ def harvest(phases: Phases, ids: DataFrame, sra: DataFrame, samples: DataFrame)
     return clean, states.select("id", status.alias("status"))
 
 
-def process_reads(phases: Phases, reads: DataFrame, by: str = "dataset_id", platform: str = "ILLUMINA", least: int = 2) -> DataFrame:
-    """Feature table (``dataset_id``, ``feature_id``, ``sample_id``, ``count``, ``seq``) of all data sets at once.
-
-    Reads have ``dataset_id``, ``sample_id``, ``file``, ``read_idx``, ``header``, ``seq`` and ``qual``. Primers are found
-    and cut; degraded reads are truncated; then sequences are denoised (454: clustered at 97 % after chimeras are
-    out), reads are mapped back, and rare features go. This is the denoising route for every platform that is
-    supported; it isn't the reference's error-model algorithm for paired Illumina, Ion Torrent and PacBio reads.
-    """
-    spark, keys = phases.spark, [by]
-
-    def trimmed() -> DataFrame:
-        gated = R.quality_gate(reads)
-        trims = P.detect(R.base_frequencies(gated, keys), keys, P.primer_table(spark, FORWARD_PRIMERS)).select(by, "trim")
-        return R.cut_front(reads.join(trims, by), F.col("trim").cast("int")).drop("trim")
-
-    cut = phases.run("trimmed", trimmed)
-
-    def prepared() -> DataFrame:
-        kinds = R.distinct_qualities(cut, keys, "file").select(by, "degraded")
-        rows = cut.join(kinds, by)
-        good = R.sanitized(rows.where("not degraded")).drop("degraded")
-        poor = C.degraded_preprocess(rows.where("degraded").drop("degraded"), keys, "file").where("verdict = 'kept'").drop("verdict", "trunc")
-        tailed = C.adaptive_tail_trim(good, keys)[0] if platform == "LS454" else good
-        return tailed.unionByName(poor)
-
-    ready = phases.run("prepared", prepared)
-    unique = phases.run("unique", lambda: R.dereplicate(ready, keys, 2).select(by, F.md5("seq").alias("id"), "seq", "size", "first_idx"))
-
-    def centroids() -> DataFrame:
-        if platform == "LS454":
-            clean = Y.non_chimeras(unique, keys)
-            found = Y.cluster_otus(clean, keys)
-            return found.where("id = centroid").select(by, "id", "seq", "size")
-        return Y.non_chimeras(Y.denoise(unique, keys), keys, 16.0)
-
-    chosen = phases.run("centroids", centroids)
-    counts = phases.run("mapped", lambda: Y.map_reads(ready, chosen, keys))
-    total = counts.groupBy(by, "feature_id").agg(F.sum("count").alias("n")).where(F.col("n") >= least)
-    return phases.run("table", lambda: counts.join(total.drop("n"), [by, "feature_id"], "left_semi").join(chosen.select(by, F.col("id").alias("feature_id"), "seq"), [by, "feature_id"]))
-
-
-def paired_route(pairs: DataFrame) -> DataFrame:
-    """Mates without adapters, merged where they overlap."""
-    return Q.merge_pairs(Q.without_adapters(pairs))
-
-
 def combine(phases: Phases, table: DataFrame, references: DataFrame, tips: DataFrame | None = None, confidence: float = N.CONFIDENCE) -> dict[str, DataFrame]:
     """Merge data sets, orient and classify their sequences, and split by what a tree has.
 

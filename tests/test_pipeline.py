@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tarnflow.operators import metadata as M, reads as R
 from tarnflow.pipeline import cli
-from tarnflow.pipeline.runner import Phases, combine, harvest, milestones, outcome_counts, process_reads
+from tarnflow.pipeline.process import process_study
+from tarnflow.pipeline.runner import Phases, combine, harvest, milestones, outcome_counts
 from tarnflow.streaming import ingest
 
 
@@ -33,7 +34,8 @@ def reads(spark):
     for i in range(600):
         seq = "CCAGCAGCCGCGGTAA" + true[i % 5 if i % 5 < 4 or i % 3 else 0]
         if i % 20 == 7:
-            seq = seq[:50] + ("A" if seq[50] != "A" else "C") + seq[51:]
+            at = r.randrange(20, 130)  # errors differ, as errors do
+            seq = seq[:at] + ("A" if seq[at] != "A" else "C") + seq[at + 1 :]
         rows.append(("ds", f"S{i % 3}", f"S{i % 3}.fastq", i, f"@r{i}", seq, "".join(r.choice("FGHI") for _ in seq)))
     return true, spark.createDataFrame(rows, "dataset_id string, sample_id string, file string, read_idx long, header string, seq string, qual string")
 
@@ -41,7 +43,8 @@ def reads(spark):
 @pytest.mark.parametrize("platform", ["ILLUMINA", "LS454"])
 def test_reads_to_features_to_taxa(spark, tmp_path, reads, platform):
     true, frame = reads
-    table = process_reads(Phases(spark, str(tmp_path / "p")), frame, platform=platform)
+    platforms = spark.createDataFrame([("ds", platform)], "dataset_id string, platform string")
+    table = process_study(Phases(spark, str(tmp_path / "p")), frame.withColumn("mate", F.lit(None).cast("int")), platforms)["table"]
     assert table.agg(F.sum("count")).first()[0] == 600
     assert {r.seq for r in table.select("seq").distinct().collect()} == set(true)
     refs = spark.createDataFrame([(s, f"d__B;g__{i}") for i, s in enumerate(true)], "seq string, taxon string")
@@ -63,11 +66,25 @@ def test_route_filters(spark):
 
 def test_command_line_checks():
     with pytest.raises(SystemExit):
-        cli.parser().parse_args(["process", "--reads", "r", "--dataset", "d", "--out", "o", "--least", "0"])
+        cli.parser().parse_args(["process", "--reads", "r", "--out", "o"])
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["combine", "--tables", "t", "--references", "r", "--out", "o", "--confidence", "1.5"])
 
 
+def test_process_command(spark, tmp_path, reads):
+    from tarnflow.sources import sinks
+
+    _, frame = reads
+    frame.where("sample_id = 'S1'").select(F.concat_ws("\n", "header", "seq", F.lit("+"), "qual").alias("value")).coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "raw"))
+    (tmp_path / "in").mkdir()
+    next((tmp_path / "raw").glob("*.gz")).rename(tmp_path / "in" / "S1.fastq.gz")
+    (tmp_path / "runs.csv").write_text("dataset_id,sample_id,platform\nds,S1,454\n")
+    cli.main(["process", "--reads", str(tmp_path / "in"), "--runs", str(tmp_path / "runs.csv"), "--out", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out" / "tables")).agg(F.sum("count")).first()[0] == 200
+    assert spark.read.csv(str(tmp_path / "out" / "outcomes"), sep="\t", header=True).first()["status"] == "success"
+    assert sinks.StateTable(spark, str(tmp_path / "none")).read().count() == 0
+
+
 def test_streaming_takes_each_file_once(spark, tmp_path, reads):
     _, frame = reads
     frame.coalesce(2).write.parquet(str(tmp_path / "in"))
