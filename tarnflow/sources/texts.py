@@ -57,12 +57,39 @@ def bioproject_xml(spark: SparkSession, path: str) -> DataFrame:
     ).where("accession is not null")
 
 
-def biosample_blocks(texts: DataFrame, text: str = "value") -> DataFrame:
-    """Records of BioSample text responses: accession, title, identifiers, organism and a map of attributes.
+def bioproject_answers(answers: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns with accession, title, description and organism of each project record in XML answers."""
+    record = F.explode(F.slice(F.split(text, "(?=<ProjectID>)"), 2, 1 << 20))
+    rows = answers.select(*keep, record.alias("x"))
+
+    def plain(pattern: str):
+        found = F.regexp_extract("x", pattern, 1)
+        for mark, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+            found = F.replace(found, F.lit(mark), F.lit(sign))
+        return F.nullif(F.trim(found), F.lit(""))
+
+    return rows.select(
+        *keep, plain(r"""<ArchiveID[^>]*accession=["']([^"']+)""").alias("accession"), plain("(?s)<Title>(.*?)</Title>").alias("title"),
+        plain("(?s)<Description>(.*?)</Description>").alias("description"), plain("(?s)<OrganismName>(.*?)</OrganismName>").alias("organism"),
+    ).where("accession is not null")
+
+
+def keyword_answers(answers: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns with the common names' values of tab-separated search answers; lines of another width are skipped."""
+    lines = answers.select(*keep, F.explode(F.split(text, "\r?\n")).alias("line"))
+    cells = F.split("line", "\t")
+    rows = lines.where(F.size(cells) == 4).select(*keep, *[F.trim(cells[i]).alias(n) for i, n in enumerate(("accession", "title", "description", "organism"))])
+    return rows.where("accession <> 'Accession'")
+
+
+def biosample_blocks(texts: DataFrame, text: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Records of BioSample text responses: accession, title, identifiers, organism, a map of attributes, the record's
+    ``uid``, its description and its keywords, beside the ``keep`` columns.
 
     A record begins with its number and a colon at the start of a line. An attribute that repeats keeps its first value.
     """
-    blocks = texts.select(F.explode(F.split(F.regexp_replace(text, "\r", ""), r"\n(?=\d+:\s+)")).alias("b")).where(F.trim("b") != "")
+    keep = keep or []
+    blocks = texts.select(*keep, F.explode(F.split(F.regexp_replace(text, "\r", ""), r"\n(?=\d+:\s+)")).alias("b")).where(F.trim("b") != "")
     b = F.col("b")
     keys = F.regexp_extract_all(b, F.lit(r'(?m)^\s*/([^=\n]+)="([^"]*)"'), F.lit(1))
     values = F.regexp_extract_all(b, F.lit(r'(?m)^\s*/([^=\n]+)="([^"]*)"'), F.lit(2))
@@ -72,8 +99,9 @@ def biosample_blocks(texts: DataFrame, text: str = "value") -> DataFrame:
     ids = found(r"(?m)^\s*Identifiers:\s*(.*)$")
     accession = F.coalesce(found(r"Accession:\s*(SAM\w+)"), found(r"BioSample:\s*(SAM\w+)"))
     return blocks.select(
-        accession.alias("biosample"), found(r"^\s*\d+:\s+(.*)").alias("title"), ids.alias("identifiers"), found(r"(?m)^\s*Organism:\s*(.*)$").alias("organism"),
+        *keep, accession.alias("biosample"), found(r"^\s*\d+:\s+(.*)").alias("title"), ids.alias("identifiers"), found(r"(?m)^\s*Organism:\s*(.*)$").alias("organism"),
         F.map_from_entries(F.transform(first, lambda x: F.struct(F.trim(x["k"]), F.trim(x["v"])))).alias("attributes"),
+        found(r"(?m)\bID:\s*(\d+)\s*$").alias("uid"), found(r"(?ms)^Description:\s*(.*?)(?=^\S+:|\z)").alias("description"), found(r"(?m)^Keywords:\s*(.*)$").alias("keywords"),
     )
 
 
