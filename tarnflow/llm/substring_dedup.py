@@ -26,7 +26,7 @@ from tarnflow.llm import similar_sets
 from tarnflow.llm.batches import release, slices, texts_of
 from tarnflow.llm.hot_keys import joined
 from tarnflow.llm.similar_sets import FULL, SHINGLE, SIMILARITY, mixed, odd, shingled
-from tarnflow.session import BROADCAST_ROWS, stage
+from tarnflow.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 #: Shorter lines aren't paragraphs of their own; repeated ones are found as parts of a run.
 MIN_WORDS = 40
@@ -178,11 +178,11 @@ def _islands(hits: DataFrame, own: list[str]) -> DataFrame:
 
 
 def _shared(runs: DataFrame, words: int) -> DataFrame:
-    """The runs that several documents have, with ``class`` and ``kept``; each digest is looked up by its least and largest document."""
+    """The runs that several documents have, with ``kept``; each digest is looked up by its least and largest document."""
     digest = ["d1", "d2"]
     found = runs.groupBy(*digest).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"))
     shared = stage(found.where("low < high").drop("high"), "repeats-shared")
-    return joined(runs, shared, digest, runs.count()).select("doc", "from", (F.col("from") + words).alias("to"), F.col("d1").alias("class"), (F.col("doc") == F.col("low")).alias("kept"))
+    return joined(runs, shared, digest, runs.count()).select("doc", "from", (F.col("from") + words).alias("to"), *digest, (F.col("doc") == F.col("low")).alias("kept"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, full: int = FULL) -> DataFrame:
@@ -221,11 +221,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similar
     hits = stage(_islands(_shared(made.where("kind = 'window'").select("doc", "from", *digest), WINDOW), ["doc"]), "repeats-hits")
     islands = hits.groupBy("doc", "island").agg(F.min("from").alias("first"), F.max("to").alias("end"))
     short = F.col("end") - F.col("first") < RUN + WINNOW - 1
-    zones = islands.where(short).select("doc", (F.col("first") - WINNOW).alias("from"), (F.col("end") + WINNOW).alias("to"))
+    # A window of a short stretch is looked at in all documents that have it, whatever stands around it there.
+    asked = stage(hits.join(islands.where(short).select("doc", "island"), ["doc", "island"], "left_semi").select(*digest).distinct(), "repeats-short")
+    near = hits.join(broadcast_if_small(asked), digest, "left_semi").select("doc", (F.col("from") - WINNOW).alias("from"), (F.col("to") + WINNOW).alias("to"))
+    zones = _islands(near, ["doc"]).groupBy("doc", "island").agg(F.min("from").alias("from"), F.max("to").alias("to")).drop("island")
     runs = stage(runs_in(known_ids, zones, id_col, text), "repeats-runs")
     long = hits.join(islands.where(~short).select("doc", "island"), ["doc", "island"], "left_semi").drop("island")
     own = ["doc", "kept"]
-    merged = _islands(long.unionByName(_shared(runs, RUN)), own).groupBy(*own, "island").agg(F.min("from").alias("from_word"), F.max("to").alias("to_word"), F.min("class").alias("class_id"))
+    merged = _islands(long.unionByName(_shared(runs, RUN)), own).groupBy(*own, "island").agg(F.min("from").alias("from_word"), F.max("to").alias("to_word"), F.min("d1").alias("class_id"))
     return out.unionByName(merged.select(F.col("doc").alias(id_col), F.lit("window").alias("kind"), "from_word", "to_word", "class_id", "kept"))
 
 
