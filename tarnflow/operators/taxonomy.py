@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators.letters import bytes_of
+from tarnflow.operators.similarity import map_reads
 from tarnflow.session import stage
 
 K_ORIENT, K_CLASS = 12, 8
@@ -122,6 +123,17 @@ def split_by_placement(table: DataFrame, tips: DataFrame) -> tuple[DataFrame, Da
     return table.join(placed, "feature_id", "left_semi"), table.join(placed, "feature_id", "left_anti")
 
 
+def closed_reference(reads: DataFrame, references: DataFrame, tips: DataFrame | None = None, identity: float = 0.97) -> tuple[DataFrame, DataFrame]:
+    """Counts of reads (``sample_id``, ``read_idx``, ``seq``) by the reference that each is most similar to, and the references' taxa.
+
+    ``references`` have ``id``, ``seq`` and ``taxon``. Reads without a similar reference drop out, and with ``tips`` those
+    of references that the tree doesn't have.
+    """
+    table = map_reads(reads, references.select("id", "seq"), [], identity)
+    kept = split_by_placement(table, tips)[0] if tips is not None else table
+    return kept, references.join(kept.select(F.col("feature_id").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("feature_id"), "taxon")
+
+
 def place_near(seqs: DataFrame, tips: DataFrame, k: int = K_ORIENT, least: float = 0.5) -> DataFrame:
     """``feature_id`` and the ``tip`` with which each sequence shares most words, if it shares enough of its own.
 

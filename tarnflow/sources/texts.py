@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import functools
+import io
+import re
+import zipfile
+from xml.etree import ElementTree
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators import metadata as M
@@ -119,19 +125,61 @@ def sheets(tables: dict[str, DataFrame], order: str = "ord") -> DataFrame:
     return out
 
 
+_SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+
+
+def workbook_rows(content: bytes) -> dict[str, list[list[str | None]]]:
+    """The cells of each sheet of a workbook as text, row by row; cells that a row leaves out are null."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        part = lambda name: ElementTree.fromstring(book.read(name))
+        joined = lambda e: "".join(t.text or "" for t in e.iter(f"{_SHEET}t"))
+        shared = [joined(e) for e in part("xl/sharedStrings.xml")] if "xl/sharedStrings.xml" in book.namelist() else []
+        targets = {e.get("Id"): e.get("Target").lstrip("/").removeprefix("xl/") for e in part("xl/_rels/workbook.xml.rels")}
+        out = {}
+        for sheet in part("xl/workbook.xml").iter(f"{_SHEET}sheet"):
+            rows = []
+            for row in part(f"xl/{targets[sheet.get(f'{_REL}id')]}").iter(f"{_SHEET}row"):
+                cells: list[str | None] = []
+                for cell in row.iter(f"{_SHEET}c"):
+                    letters = re.match("[A-Z]*", cell.get("r", ""))[0]
+                    place = functools.reduce(lambda n, x: 26 * n + ord(x) - 64, letters, 0) - 1 if letters else len(cells)
+                    cells += [None] * (place - len(cells))
+                    value = cell.find(f"{_SHEET}v")
+                    if cell.get("t") == "inlineStr":
+                        cells.append(joined(cell))
+                    elif value is None or value.text is None:
+                        cells.append(None)
+                    else:
+                        cells.append(shared[int(value.text)] if cell.get("t") == "s" else value.text)
+                rows.append(cells)
+            out[sheet.get("name")] = rows
+    return out
+
+
 def excel_sheets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The sheets of a workbook as tables of strings with ``ord``; needs the openpyxl library on the driver."""
-    import openpyxl  # not among the required libraries
+    """The sheets of one workbook as tables of strings with ``ord``, by the names in its first row.
 
+    A workbook is a project's answer of some thousand rows; it is read by the driver, from any file system.
+    """
+    content = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
     out = {}
-    for sheet in openpyxl.load_workbook(path, read_only=True).worksheets:
-        rows = sheet.iter_rows(values_only=True)
-        names = [str(x) for x in next(rows, ())]
-        schema = ", ".join(["ord long", *[f"`{n}` string" for n in names]])
-        out[sheet.title] = spark.createDataFrame([(i, *[None if v is None else str(v) for v in r]) for i, r in enumerate(rows)], schema)
+    for name, rows in workbook_rows(content).items():
+        names = [c or f"column{i}" for i, c in enumerate(rows[0])] if rows else []
+        schema = T.StructType([T.StructField("ord", T.LongType()), *(T.StructField(n, T.StringType()) for n in names)])
+        cells = [(i, *(r + [None] * len(names))[: len(names)]) for i, r in enumerate(rows[1:])]
+        out[name] = spark.createDataFrame(cells, schema)
     return out
 
 
+def attribute_dictionary(answers: DataFrame, text: str = "value") -> DataFrame:
+    """``name`` and ``synonym`` of each attribute in XML dictionaries: its harmonized name, its display name and synonyms."""
+    blocks = answers.select(F.explode(F.regexp_extract_all(text, F.lit("(?s)<Attribute>(.*?)</Attribute>"), F.lit(1))).alias("b"))
+    one = lambda tag: F.regexp_extract("b", f"(?s)<{tag}>(.*?)</{tag}>", 1)
+    words = F.concat(F.array(one("Name")), F.regexp_extract_all("b", F.lit("(?s)<Synonym>(.*?)</Synonym>"), F.lit(1)))
+    return blocks.select(one("HarmonizedName").alias("name"), F.explode(words).alias("synonym")).where("name <> '' and synonym <> ''")
+
+
 def otu_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Long form of a feature table in text, with or without comment lines before its header."""
     from tarnflow.operators.features import unpivoted

@@ -142,3 +142,14 @@ def test_orientation_and_taxonomy(spark):
     assert {r.id: r.seq for r in turned.collect()} == {"fwd": seqs[0][1], "rev": refs[3][0][10:120]}
     found = {r.id: r.taxon for r in N.classify(turned.select("id", "seq"), N.train(references)).collect()}
     assert found == {"fwd": "d__B;p__0;g__0", "rev": "d__B;p__1;g__3"}
+
+
+def test_closed_reference(spark):
+    draw = random.Random(6)
+    true = ["".join(draw.choice("ACGT") for _ in range(100)) for _ in range(3)]
+    refs = spark.createDataFrame([(f"r{i}", s, f"d__{i}") for i, s in enumerate(true)], "id string, seq string, taxon string")
+    reads = [("S1", k, (true[k % 3][:50] + "A" + true[k % 3][51:]) if k % 2 else true[k % 3]) for k in range(12)] + [("S2", 99, "A" * 100)]
+    frame = spark.createDataFrame(reads, "sample_id string, read_idx long, seq string")
+    table, taxa = N.closed_reference(frame, refs, tips=spark.createDataFrame([("r0",), ("r1",)], "feature_id string"))
+    assert {(r.feature_id, r.sample_id): r["count"] for r in table.collect()} == {("r0", "S1"): 4, ("r1", "S1"): 4}
+    assert {r.feature_id: r.taxon for r in taxa.collect()} == {"r0": "d__0", "r1": "d__1"}

@@ -134,6 +134,29 @@ def test_layout_and_checksums(spark, tmp_path):
     assert texts.checked_files(files, sums).first()["whole"]
 
 
+def test_workbook(spark, tmp_path):
+    """A workbook put together by hand: shared, inline and plain cells, and cells that are left out."""
+    import zipfile
+
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    row = lambda n, *cells: f'<row r="{n}">' + "".join(cells) + "</row>"
+    sheet = f'<worksheet xmlns="{main}"><sheetData>' + row(1, '<c r="A1" t="s"><v>0</v></c>', '<c r="C1" t="inlineStr"><is><t>Size</t></is></c>') + row(2, '<c r="A2" t="s"><v>1</v></c>', '<c r="C2"><v>12</v></c>') + row(3, '<c r="C3"><v>7</v></c>') + "</sheetData></worksheet>"
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="Run" sheetId="1" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="x"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>Name</t></si><si><r><t>so</t></r><r><t>il</t></r></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    table = texts.excel_sheets(spark, str(tmp_path / "a.xlsx"))["Run"]
+    assert table.columns == ["ord", "Name", "column1", "Size"]
+    assert [tuple(r) for r in table.orderBy("ord").collect()] == [(0, "soil", None, "12"), (1, None, None, "7")]
+
+
+def test_attribute_dictionary(spark):
+    text = "<BioSampleAttributes><Attribute><Name>host age</Name><HarmonizedName>host_age</HarmonizedName><Synonym>age</Synonym><Synonym>HostAge</Synonym></Attribute><Attribute><Name>x</Name></Attribute></BioSampleAttributes>"
+    rows = texts.attribute_dictionary(spark.createDataFrame([(text,)], "value string")).collect()
+    assert sorted(map(tuple, rows)) == [("host_age", "HostAge"), ("host_age", "age"), ("host_age", "host age")]
+
+
 def test_sheets_side_by_side(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "ord long, v string")
     b = spark.createDataFrame([(5, "p")], "ord long, w string")
