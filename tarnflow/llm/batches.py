@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,6 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: Bytes of text that one slice holds at most, unless a single row is longer.
 SLICE_BYTES = 1_000_000
 
+#: Of the C library, where it has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
 #: What this Python worker keeps between tasks, at most one thing: see ``held``.
 _HELD: dict[Hashable, object] = {}
 
@@ -24,6 +29,7 @@ def held(key: Hashable, make: Callable[[], object]):
     release(key)
     if key not in _HELD:
         _HELD[key] = make()
+        trim()
     return _HELD[key]
 
 
@@ -32,7 +38,14 @@ def release(but: Hashable = None) -> None:
     if any(k != but for k in _HELD):
         for k in [k for k in _HELD if k != but]:
             del _HELD[k]
-        pa.default_memory_pool().release_unused()
+        trim()
+
+
+def trim() -> None:
+    """Give memory that isn't used back to the system: workers live on after a task, and there are several on a machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -81,5 +94,6 @@ def map_slices(
             arrays = [part.column(c).cast(arrow.field(i).type) for i, c in enumerate(columns)]
             arrays += [pa.array(v, type=arrow.field(len(columns) + i).type) for i, v in enumerate(made)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        trim()
 
     return df.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)

@@ -18,14 +18,14 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tarnflow.llm.batches import held, slices, texts_of
+from tarnflow.llm.batches import held, slices, texts_of, trim
 from tarnflow.llm.token_counts import _UNSURE, STABLE, _bare, _tokenizer
 from tarnflow.session import stage
 
 CAPACITY, END = 4096, 1
 NEARLY = 0.98  # of the capacity: fuller bins are final at every level
 ITEMS = 100_000  # bins that one task of a level gets, about
-CACHED, LONGEST = 500_000, 40  # words that a worker keeps: some 80 MB, 180 MB if all are of the longest
+CACHED, LONGEST = 400_000, 40  # words that a worker keeps: some 65 MB, 150 MB if all are of the longest
 #: The pattern of pre-tokens that the fast path is for (fixed value of the vocabulary).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 POINTS = frozenset(",.;:!?")  # marks that, after letters only, are pre-tokens of their own
@@ -190,6 +190,7 @@ def _local(docs: DataFrame, vocabulary: str, text: str, capacity: int, nearly: i
                 ids, pieces, name, waiting = [], [], name + waiting, 0
         if waiting:
             yield from packed(ids, pieces, name)
+        trim()
 
     def packed(ids: list, pieces: list, name: int) -> Iterator[pa.RecordBatch]:
         table = np.concatenate(pieces)

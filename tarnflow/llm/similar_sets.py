@@ -1,8 +1,8 @@
 """Links between similar sets of shingles, from rows that share keys: bands of MinHash values, or the neighbourhoods of
 fingerprint segments.
 
-Rows that share a key are candidates. A key that more than ``FULL`` rows share is crowded: its rows are first verified
-against several leaders, drawn by independent hash orders. Where that leaves them in several components, all pairs of
+Rows that share a key are candidates. A key that more than ``FULL`` rows share is crowded: of its rows those whose own
+key it is are first verified against leaders, drawn by independent hash orders. Where that leaves them in several components, all pairs of
 different components are verified as well, in salted blocks of bounded size, so no candidate pair is left out and no
 key's rows are ever gathered in one task. Whole sets are made for candidates only.
 """
@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tarnflow.llm.components import components
 from tarnflow.llm.hot_keys import joined
-from tarnflow.session import drop_staged, stage
+from tarnflow.session import BROADCAST_ROWS, drop_staged, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
-FULL, LEADERS, BLOCK, CHUNK = 32, 4, 256, 4096
+FULL, LEADERS, BLOCK, CHUNK = 32, 2, 256, 4096
 _DRAW = np.random.default_rng(20240229)
 
 
@@ -50,24 +50,35 @@ def jaccard(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def roots(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, per_band: int, tag: str, full: int = FULL) -> DataFrame:
+def roots(
+    keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, per_band: int, tag: str, full: int = FULL, likely: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """``node`` and ``root``, the least ``rep`` that links reach, for every row that is linked to a lesser one.
 
-    ``keyed`` has distinct ``rep`` and ``keys`` (array<long>, ``per_band`` keys after another belong to one band).
-    Rows that share a key are linked if the Jaccard similarity of their sets is at least ``similarity``.
-    ``sets_of`` gives, for a frame of ``rep``, their ``shingles`` (array<long>, distinct).
+    ``keyed`` has distinct ``rep`` and ``keys`` (array<long>, ``per_band`` distinct keys after another belong to one
+    band, the row's own first; bands have keys of their own). Rows that share a key are linked if the Jaccard similarity of their sets is at
+    least ``similarity``. ``sets_of`` gives, for a frame of ``rep``, their ``shingles`` (array<long>, distinct);
+    ``likely`` may leave out pairs ``u``, ``v`` that can't be similar.
     """
-    rows = keyed.select("rep", F.posexplode("keys").alias("place", "key")).select("rep", F.floor(F.col("place") / per_band).cast("int").alias("band"), "key").distinct()
-    leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
-    buckets = stage(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), *leaders).where("n > 1").withColumn("size", F.col("n")), f"{tag}-buckets")
-    met = stage(joined(rows, buckets, ["band", "key"], buckets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).withColumnRenamed("size", "n"), f"{tag}-bands")
+    rows = keyed.select("rep", F.posexplode("keys").alias("place", "key"))
+    buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("size", F.col("n")), f"{tag}-buckets")
+    held = buckets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    met = rows.join(F.broadcast(buckets.drop("size")), "key") if held[0] <= BROADCAST_ROWS else joined(rows, buckets, ["key"], held[1]).withColumnRenamed("size", "n")
+    met = stage(met, f"{tag}-bands")
     drop_staged(buckets)
     small, crowded = met.where(F.col("n") <= full), met.where(F.col("n") > full)
-    a, b = small.select("band", "key", F.col("rep").alias("u")), small.select("band", "key", F.col("rep").alias("v"))
-    led = crowded.select(F.col("rep").alias("u"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("v")).where("u <> v")
-    pairs = stage(a.join(b, ["band", "key"]).where("u < v").select("u", "v").unionAll(led.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))).distinct(), f"{tag}-pairs")
+    a, b = small.select("key", F.col("rep").alias("u")), small.select("key", F.col("rep").alias("v"))
+    pairs = a.join(b, "key").where("u < v").select("u", "v")
     many = bool(crowded.head(1))
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("rep"))
+    if many:
+        own = crowded.where(F.col("place") % per_band == 0).select("key", "rep")
+        first = own.groupBy("key").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)], F.count(F.lit(1)).alias("n"))
+        led = joined(own, stage(first, f"{tag}-leaders"), ["key"], met.count())
+        for i in range(LEADERS):
+            pairs = pairs.unionAll(led.where(f"rep <> l{i}").select(F.least("rep", f"l{i}").alias("u"), F.greatest("rep", f"l{i}").alias("v")))
+    pairs = pairs.distinct()
+    pairs = stage(likely(pairs) if likely else pairs, f"{tag}-pairs")
+    asked = pairs.select(F.col("u").alias("rep")).unionAll(pairs.select(F.col("v").alias("rep")))
     asked = (asked.unionAll(crowded.select("rep")) if many else asked).distinct()
     sets = stage(sets_of(asked), f"{tag}-sets")
     left, right = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
@@ -75,7 +86,7 @@ def roots(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarit
     found = components(alike.select("u", "v"), f"{tag}-components")
     drop_staged(pairs)
     # One band first: its links leave the other bands little to verify.
-    for part in (F.col("band") == 0, F.col("band") > 0) if many else ():
+    for part in (F.col("place") < per_band, F.col("place") >= per_band) if many else ():
         more = components(_rest(crowded.where(part), found, sets, similarity, tag), f"{tag}-components")
         both = found.select("node", "root").unionAll(more.select("node", "root"))
         found = components(both.select(F.col("node").alias("u"), F.col("root").alias("v")), f"{tag}-components")
@@ -119,7 +130,7 @@ def _rest(crowded: DataFrame, found: DataFrame, sets: DataFrame, similarity: flo
 
     The rows of a key's most frequent component are only compared with the others.
     """
-    key = ["band", "key"]
+    key = ["key"]
     rows = stage(crowded.join(found, F.col("rep") == F.col("node"), "left").select(*key, "rep", F.coalesce("root", "rep").alias("root")), f"{tag}-crowded")
     most = rows.groupBy(*key).agg(F.mode("root").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*key, "main")
     left = stage(rows.join(most, key).withColumn("is_main", F.col("root") == F.col("main")), f"{tag}-open")
