@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,6 +71,25 @@ def _hadoop(spark: SparkSession, name: str) -> tuple:
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+#: Bytes of an Arrow batch between the JVM and Python while results are staged; both sides hold a few of them a task.
+ARROW_BYTES = 8 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_ARROW, None)
+    held = int(before.rstrip("b")) if before and before.rstrip("b").isdigit() else None
+    if held is None or 0 < held <= ARROW_BYTES:
+        yield  # unknown here, or smaller already
+        return
+    spark.conf.set(_ARROW, ARROW_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW, before)
+
+
 def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -76,7 +97,8 @@ def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=by)
+    with _small_batches(spark):
+        df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
