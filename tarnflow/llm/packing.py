@@ -23,9 +23,10 @@ from tarnflow.llm.token_counts import _UNSURE, STABLE, _bare, _tokenizer
 from tarnflow.session import stage
 
 CAPACITY, END = 4096, 1
+SLICE = 500_000  # bytes of text that are tokenised at once
 NEARLY = 0.98  # of the capacity: fuller bins are final at every level
 ITEMS = 100_000  # bins that one task of a level gets, about
-CACHED, LONGEST = 400_000, 40  # words that a worker keeps: some 65 MB, 150 MB if all are of the longest
+CACHED, LONGEST = 300_000, 40  # words that a worker keeps: some 50 MB, 110 MB if all are of the longest
 #: The pattern of pre-tokens that the fast path is for (fixed value of the vocabulary).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 POINTS = frozenset(",.;:!?")  # marks that, after letters only, are pre-tokens of their own
@@ -174,7 +175,7 @@ def _local(docs: DataFrame, vocabulary: str, text: str, capacity: int, nearly: i
         coder = held(("words", vocabulary), lambda: WordIds(vocabulary))
         end, name = np.array([END], "<u4").tobytes(), _first_name(0)
         ids, pieces, waiting = [], [], 0
-        for part in slices(batches, text):
+        for part in slices(batches, text, SLICE):
             rows, of = [], []
             for k, code in enumerate(coder.encode(texts_of(part, text))):
                 code += end

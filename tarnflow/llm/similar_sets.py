@@ -1,10 +1,10 @@
 """Links between similar sets of shingles, from rows that share keys: bands of MinHash values, or the neighbourhoods of
 fingerprint segments.
 
-Rows that share a key are candidates. A key that more than ``FULL`` rows share is crowded: of its rows those whose own
-key it is are first verified against leaders, drawn by independent hash orders. Where that leaves them in several components, all pairs of
-different components are verified as well, in salted blocks of bounded size, so no candidate pair is left out and no
-key's rows are ever gathered in one task. Whole sets are made for candidates only.
+Rows that share a key are candidates. The rows whose own key it is are first verified against one of them. Pairs that
+this leaves in different components are verified as well: one by one for keys of few rows, and for crowded keys, which
+more than ``FULL`` rows share, in salted blocks of bounded size. So no candidate pair is left out, no key's rows are ever
+gathered in one task, and pairs inside a component are not made. Whole sets are made for candidates only.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from tarnflow.llm.hot_keys import joined
 from tarnflow.session import BROADCAST_ROWS, drop_staged, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
-FULL, LEADERS, BLOCK, CHUNK = 32, 2, 256, 4096
+FULL, BLOCK, CHUNK = 32, 256, 4096
 _DRAW = np.random.default_rng(20240229)
 
 
@@ -66,35 +66,55 @@ def roots(
     met = rows.join(F.broadcast(buckets.drop("size")), "key") if held[0] <= BROADCAST_ROWS else joined(rows, buckets, ["key"], held[1]).withColumnRenamed("size", "n")
     met = stage(met, f"{tag}-bands")
     drop_staged(buckets)
-    small, crowded = met.where(F.col("n") <= full), met.where(F.col("n") > full)
-    a, b = small.select("key", F.col("rep").alias("u")), small.select("key", F.col("rep").alias("v"))
-    pairs = a.join(b, "key").where("u < v").select("u", "v")
-    many = bool(crowded.head(1))
-    if many:
-        own = crowded.where(F.col("place") % per_band == 0).select("key", "rep")
-        first = own.groupBy("key").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)], F.count(F.lit(1)).alias("n"))
-        led = joined(own, stage(first, f"{tag}-leaders"), ["key"], met.count())
-        for i in range(LEADERS):
-            pairs = pairs.unionAll(led.where(f"rep <> l{i}").select(F.least("rep", f"l{i}").alias("u"), F.greatest("rep", f"l{i}").alias("v")))
-    pairs = pairs.distinct()
-    pairs = stage(likely(pairs) if likely else pairs, f"{tag}-pairs")
-    asked = pairs.select(F.col("u").alias("rep")).unionAll(pairs.select(F.col("v").alias("rep")))
-    asked = (asked.unionAll(crowded.select("rep")) if many else asked).distinct()
-    sets = stage(sets_of(asked), f"{tag}-sets")
-    left, right = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
-    alike = pairs.join(left, "u").join(right, "v").where(jaccard(F.col("a"), F.col("b")) >= similarity)
-    found = components(alike.select("u", "v"), f"{tag}-components")
+    # Rows of one own key are compared with one of them first: copies of one text, however many, are linked by that.
+    own = met.where(F.col("place") % per_band == 0).select("key", "rep")
+    lead = stage(own.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), f"{tag}-leaders")
+    led = joined(own, lead, ["key"], met.count()).where("rep <> leader")
+    pairs = stage(led.select(F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v")).distinct(), f"{tag}-led")
+    found = components(_alike(likely(pairs) if likely else pairs, sets_of, similarity, tag), f"{tag}-components")
+    drop_staged(lead)
+
+    def closed(more: DataFrame) -> DataFrame:
+        links = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more.select("u", "v"))
+        return components(links, f"{tag}-components")
+
+    # Other pairs of a key's rows only matter where they are in different components.
+    placed = met.where(F.col("n") <= full).select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    a, b = placed.select("key", F.col("rep").alias("u"), F.col("root").alias("ru")), placed.select("key", F.col("rep").alias("v"), F.col("root").alias("rv"))
+    rest = a.join(b, "key").where("u < v and ru <> rv").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")
+    found = closed(_alike(likely(rest) if likely else rest, sets_of, similarity, tag))
     drop_staged(pairs)
+    crowded = met.where(F.col("n") > full)
     # One band first: its links leave the other bands little to verify.
-    for part in (F.col("place") < per_band, F.col("place") >= per_band) if many else ():
-        more = components(_rest(crowded.where(part), found, sets, similarity, tag), f"{tag}-components")
-        both = found.select("node", "root").unionAll(more.select("node", "root"))
-        found = components(both.select(F.col("node").alias("u"), F.col("root").alias("v")), f"{tag}-components")
+    for part in (F.col("place") < per_band, F.col("place") >= per_band) if crowded.head(1) else ():
+        found = closed(_rest(crowded.where(part), found, sets_of, similarity, tag))
     drop_staged(met)
-    drop_staged(sets)
     return found
 
 
+def _alike(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, tag: str) -> DataFrame:
+    """The ``pairs`` ``u``, ``v`` whose sets have the similarity, staged."""
+    pairs = stage(pairs, f"{tag}-pairs")
+    sets = _sets(pairs.select(F.col("u").alias("rep")).unionAll(pairs.select(F.col("v").alias("rep"))), sets_of, tag)
+    left, right = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
+    made = stage(pairs.join(left, "u").join(right, "v").where(jaccard(F.col("a"), F.col("b")) >= similarity).select("u", "v"), f"{tag}-alike")
+    drop_staged(pairs)
+    drop_staged(sets)
+    return made
+
+
+def _sets(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], tag: str) -> DataFrame:
+    """The sets of ``rep``, one row each, staged; they are only moved to drop repeats where there are any."""
+    asked = stage(reps.distinct(), f"{tag}-asked")
+    sets = stage(sets_of(asked), f"{tag}-sets")
+    if sets.count() > asked.count():
+        once = stage(sets.dropDuplicates(["rep"]), f"{tag}-sets")
+        drop_staged(sets)
+        sets = once
+    drop_staged(asked)
+    return sets
+
+
 def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Links ``u``, ``v`` of roots that connect what the similar pairs between the two blocks connect."""
     left, right = (block[block["block"] == block[side].iat[0]] for side in ("i", "j"))
@@ -125,7 +145,7 @@ def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
     return pd.DataFrame({"u": roots[moved], "v": roots[label[moved]]})
 
 
-def _rest(crowded: DataFrame, found: DataFrame, sets: DataFrame, similarity: float, tag: str) -> DataFrame:
+def _rest(crowded: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, tag: str) -> DataFrame:
     """Links ``u``, ``v`` of roots by the pairs of crowded keys that are in different components so far.
 
     The rows of a key's most frequent component are only compared with the others.
@@ -140,12 +160,13 @@ def _rest(crowded: DataFrame, found: DataFrame, sets: DataFrame, similarity: flo
     met = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
     dealt = dealt.withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
     dealt = dealt.select(*key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "root")
+    sets = _sets(left.select("rep"), sets_of, tag)
     whole = dealt.join(sets, "rep").select(*key, "i", "j", "block", "root", "shingles")
 
     def linked(block: pd.DataFrame) -> pd.DataFrame:
         return _linked(block, similarity)
 
     made = stage(whole.groupBy(*key, "i", "j").applyInPandas(linked, "u long, v long"), f"{tag}-rest")
-    drop_staged(rows)
-    drop_staged(left)
+    for old in (rows, left, sets):
+        drop_staged(old)
     return made

@@ -150,7 +150,7 @@ def paragraph_sets(docs: DataFrame, lines: DataFrame, id_col: str, text: str) ->
                         sets.append(np.unique(shingles[a : b - SHINGLE + 1]).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, schema.field(1).type)], schema=schema)
 
-    return _with_asked(docs, lines.select("doc", "rep", "from", "to", "d1", "d2"), id_col, text).mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    return _with_asked(docs, lines.select("doc", "rep", "from", "to", "d1", "d2"), id_col, text).mapInArrow(run, "rep long, shingles array<long>")
 
 
 def runs_in(docs: DataFrame, zones: DataFrame, id_col: str, text: str) -> DataFrame:
