@@ -89,7 +89,8 @@ def denoise(seqs: DataFrame, by: list[str], omega: float = OMEGA) -> DataFrame:
     first = most.select(*lane, F.col("top.id").alias("centre"), F.col("top.seq").alias("centre_seq"))
     rates = [1 - 3 * START if k % 5 == 0 else START for k in range(16)]
     pairs = stage(_substitutions(rows.join(first, lane)), "error-pairs")
-    own = Window.partitionBy(*lane, "id").orderBy(F.desc("log_p"), "centre")
+    # A centre is always its own: letters beyond ACGT don't count, so another centre may fit it better than it does itself.
+    own = Window.partitionBy(*lane, "id").orderBy(F.desc(F.col("id") == F.col("centre")), F.desc("log_p"), "centre")
     p_value = F.arrow_udf(lambda size, expected: pa.array(abundance_p(size.to_numpy(zero_copy_only=False), expected.to_numpy(zero_copy_only=False))), "double")
 
     while True:
