@@ -7,6 +7,7 @@ don't bring pairs. Candidates are verified with the JVM's bounded edit distance.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -76,28 +77,33 @@ def greedy_centroids(nodes: DataFrame, links: DataFrame, by: list[str], tag: str
 
     ``nodes`` has ``by``, ``id`` and ``rank``; ``links`` has ``by``, ``u`` and ``v``: u may join v, which ranks
     before it, with ``edits``. The result has ``centroid`` for each node. It equals the sequential algorithm:
-    in each round the nodes whose earlier neighbours are all decided are decided; rounds are written out.
+    in each round the nodes are decided whose best decided neighbour comes before all open ones. Only links of
+    nodes that are still open are carried on, with what is known of their ends; rounds are written out.
     """
-    state = stage(nodes.select(*by, "id", "rank", F.lit(None).cast("string").alias("centroid")), tag)
-    edges = stage(links.select(*by, "u", "v", "edits"), f"{tag}-links")
+    ends = nodes.select(*by, F.col("id").alias("v"), F.col("rank").alias("vr"))
+    edges = stage(links.select(*by, "u", "v", "edits").join(ends, [*by, "v"]).withColumn("is_centroid", F.lit(None).cast("boolean")), f"{tag}-links")
+    free = nodes.join(edges.select(*by, F.col("u").alias("id")).distinct(), [*by, "id"], "left_anti")
+    new = stage(free.select(*by, "id", F.col("id").alias("centroid")), tag)
+    decided = [new]
     while True:
-        left = state.where("centroid is null").select(*by, F.col("id").alias("u"), F.col("rank").alias("ur"))
-        if not left.head(1):
-            return state
-        seen = state.select(*by, F.col("id").alias("v"), F.col("rank").alias("vr"), "centroid")
-        near = left.join(edges, [*by, "u"]).join(seen, [*by, "v"])
-        is_centroid = F.col("centroid") == F.col("v")
-        best = F.min(F.when(is_centroid, F.struct("edits", "vr", "v")))
-        open_ = F.count_if(F.col("centroid").isNull())
-        verdict = near.groupBy(*by, "u").agg(best.alias("best"), open_.alias("open"))
-        decided = left.join(verdict, [*by, "u"], "left").where(F.coalesce("open", F.lit(0)) == 0).select(*by, F.col("u").alias("id"), F.coalesce("best.v", "u").alias("new"))
-        new = stage(state.join(decided, [*by, "id"], "left").select(*by, "id", "rank", F.coalesce("centroid", "new").alias("centroid")), tag)
-        drop_staged(state)
-        state = new
+        left = edges.join(new.select(*by, F.col("id").alias("u")), [*by, "u"], "left_anti").join(new.withColumnRenamed("id", "v"), [*by, "v"], "left")
+        more = stage(left.select(*by, "u", "v", "edits", "vr", F.coalesce("is_centroid", F.col("centroid") == F.col("v")).alias("is_centroid")), f"{tag}-links")
+        drop_staged(edges)
+        edges = more
+        if not edges.head(1):
+            break
+        best = F.min(F.when(F.col("is_centroid"), F.struct("edits", "vr", "v"))).alias("best")
+        open_ = F.min(F.when(F.col("is_centroid").isNull(), F.struct("edits", "vr"))).alias("open")
+        verdict = edges.groupBy(*by, "u").agg(best, open_)
+        sure = F.col("open").isNull() | F.coalesce(F.struct("best.edits", "best.vr") < F.col("open"), F.lit(False)) & F.col("best").isNotNull()
+        new = stage(verdict.where(sure).select(*by, F.col("u").alias("id"), F.coalesce("best.v", "u").alias("centroid")), tag)
+        decided.append(new)
+    return nodes.join(functools.reduce(DataFrame.unionAll, decided), [*by, "id"])
 
 
 def _ranked(seqs: DataFrame, by: list[str]) -> DataFrame:
-    return seqs.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("size"), "id")))
+    """``rank`` orders by size, largest first, then by id; no group has to be sorted for it."""
+    return seqs.withColumn("rank", F.struct((-F.col("size")).alias("smaller"), F.col("id").alias("name")))
 
 
 def cluster_otus(seqs: DataFrame, by: list[str], identity: float = 0.97) -> DataFrame:
