@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarnflow.functions.text import camel, norm_null
-from tarnflow.schema import CONTENT_PATTERNS, PRIORITY_COLUMNS, ROUTES, RUN
+from tarnflow.schema import CONTENT_PATTERNS, PRIORITY_COLUMNS, ROUTES, RUN, SOURCE_PREFIXES, SOURCE_SUFFIXES
 from tarnflow.session import stage
 
 # ---- identifiers -----------------------------------------------------------------------------------------------
@@ -130,7 +130,7 @@ def cleaned_names(profile: dict[str, dict]) -> list[tuple[str, str]]:
     for c, p in profile.items():
         if p["values"] and p["print"] not in seen:
             seen.add(p["print"])
-            kept.append((c, re.sub(r"(?:_sra|_biosample|_x|_y)$", "", re.sub(r"^(?:Sample_|Experiment_|Run_)(?=.)", "", c))))
+            kept.append((c, re.sub(SOURCE_SUFFIXES, "", re.sub(SOURCE_PREFIXES, "", c))))
     if kept and kept[0][1] == "ID":
         kept = kept[1:]
     used = {new for _, new in kept}

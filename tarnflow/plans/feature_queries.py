@@ -6,10 +6,12 @@ from pyspark.sql import Window, functions as F
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators import error_model as E, features as T, legacy as L, pairs as Q, reads as R, similarity as Y, taxonomy as N
+from tarnflow.pipeline.process import plan
 from tarnflow.plans.derived import FEATURES, MATES, META, READS, frame, sql
 from tarnflow.session import read_table, stage
 
 BY = ["project"]
+_PLATFORMS = ["Illumina MiSeq", "454 GS FLX", "Ion Torrent PGM", "PacBio Sequel II", "MinION", "BGISEQ-500"]
 
 
 def _table(spark, sf_dir):
@@ -167,6 +169,14 @@ def nb_taxonomy(spark, sf_dir):
     return N.classify(reads, N.train(unique)).join(reads.select("id", "reads"), "id")
 
 
+def study_plan(spark, sf_dir):
+    """Layout, quality, platform and route of each data set; the platform's name is by the project's digit."""
+    reads = frame(spark, sf_dir, READS).withColumns({"dataset_id": F.col("project"), "mate": S.mate_of_path(F.col("file"))})
+    texts = F.array(*map(F.lit, _PLATFORMS))
+    platforms = reads.select("dataset_id").distinct().withColumn("platform", F.get(texts, (F.right("dataset_id", F.lit(1)).cast("int") % len(_PLATFORMS)).cast("int")))
+    return plan(reads, platforms)
+
+
 def placement_split(spark, sf_dir):
     table = _table(spark, sf_dir)
     kept, removed = N.split_by_placement(table, table.where("count > 1").select("feature_id"))
@@ -231,7 +241,7 @@ def layout_by_counts(spark, sf_dir):
 NAMES = (
     "feature_totals sample_totals merge_feature_tables overlapping_samples merge_rep_seqs min_freq_filter synced_rep_seqs table_summary otu_pivot otu_unpivot "
     "feature_prefix abundance_order prefix_primer heavy_prefixes similar_pairs read_mapping97 otu_cluster97 unoise error_model chimera merge_pairs adapter_removal adapter_search "
-    "merge_gate orient nb_taxonomy placement_split nearest_tip source_tally prefix_routes attribute_synonyms joined_stats count_trim anchor_trim first_of_first_files "
+    "merge_gate orient nb_taxonomy study_plan placement_split nearest_tip source_tally prefix_routes attribute_synonyms joined_stats count_trim anchor_trim first_of_first_files "
     "plain_file_names layout_by_counts"
 ).split()
 QUERIES = {n: globals()[n] for n in NAMES}
@@ -326,6 +336,17 @@ ORACLE_SQL = {
         r as (select id, depth, array_to_string(string_split(taxon, ';')[1:depth], ';') as name, sum(w) / total as p from (select *, sum(w) over (partition by id) as total, unnest([1, 2, 3]) as depth from p) group by id, depth, name, total),
         b as (select id, name, p from r where p >= 0.7 qualify row_number() over (partition by id order by depth desc, p desc, name desc) = 1)
         select i.id, i.reads, coalesce(name, 'Unassigned') as taxon, round(coalesce(p, 0.0), 6) as confidence from all_reads i left join b on b.id = i.id""",
+    "study_plan": f"""
+        with r as (select *, cast(regexp_extract(file, '_R([12])', 1) as int) as mate from {_R}),
+        s as (select project, sample_id, count(distinct mate) = 2 as pe from r group by all), l as (select project, case when count(*) filter (where pe) * 2 >= count(*) then 'PE' else 'SE' end as layout from s group by project),
+        f as (select project, file, row_number() over (partition by project order by file) as k from (select distinct project, file from r where mate = 1)),
+        o as (select r.*, row_number() over (partition by r.project, r.file order by read_idx) as n from r join f on f.project = r.project and f.file = r.file where k <= 3),
+        q as (select project, count(distinct c) <= 1 as degraded from (select project, unnest(string_split(qual, '')) as c from o where n <= 1000) group by project),
+        p as (select project, ['ILLUMINA', 'LS454', 'ION_TORRENT', 'PACBIO_SMRT', 'OXFORD_NANOPORE', 'BGISEQ-500'][cast(right(project, 1) as int) % 6 + 1] as platform from l)
+        select r.project as dataset_id, count(*) as raw_reads, layout, degraded, platform,
+               case when platform = 'ILLUMINA' and degraded then 'illumina_degraded' when platform = 'ILLUMINA' then 'illumina' when platform = 'LS454' then 'ls454' when platform = 'ION_TORRENT' then 'ion_torrent'
+                    when platform = 'PACBIO_SMRT' then 'pacbio' when platform = 'OXFORD_NANOPORE' then 'unsupported' else 'failed' end as route
+        from r join l on l.project = r.project join q on q.project = r.project join p on p.project = r.project group by r.project, layout, degraded, platform""",
     "placement_split": f"""
         with p as (select distinct feature_id from {_F} where n > 1)
         select case when feature_id in (select feature_id from p) then 'kept' else 'removed' end as part, count(*) as rows, cast(sum(n) as bigint) as reads from {_F} group by all""",

@@ -11,7 +11,9 @@ BIOSAMPLE, EXPERIMENT = r"^SAM[CEDN][A-Z]?\d+$", r"^[CEDS]RX\d+$"
 CONTENT_PATTERNS = {"Run": RUN, "BioProject": PROJECT, "BioSample": BIOSAMPLE, "Experiment": EXPERIMENT}
 #: Routes of an identifier, first match first.
 ROUTES = {"biosample": BIOSAMPLE, "cncb": r"^PRJC[A-Z]\d+$", "ncbi": r"^PRJ[EDN][A-Z]\d+$"}
+# Columns that come first, and the affixes by which joined sources mark their columns.
 PRIORITY_COLUMNS = ["Run", "BioProject", "BioSample", "Experiment"]
+SOURCE_PREFIXES, SOURCE_SUFFIXES = r"^(?:Sample_|Experiment_|Run_)(?=.)", r"(?:_sra|_biosample|_x|_y)$"
 
 # Known 16S primers (IUPAC), forward and reverse, in the order in which ties are decided.
 FORWARD_PRIMERS = [
