@@ -264,7 +264,8 @@ def encode(docs: DataFrame, ranks: str, keep: list[str], text: str = "text") ->
     """``keep`` columns of every row with ``ids`` and ``offsets`` (array<long>, bytes) of its whole text.
 
     ``ranks`` is the path, on every machine, of a rank file. Null and empty texts have no ids and the one
-    offset 0. Rows are independent, so repeated rows give repeated results and an empty table an empty
+    offset 0. Whole texts are encoded, however long; of pairs of equal rank the leftmost merges first. Rows are
+    independent, so repeated rows give repeated results and an empty table an empty
     one. Columns that are not in ``keep`` are not read. One map, no shuffle.
     """
 
@@ -296,7 +297,10 @@ def decode(encoded: DataFrame, ranks: str, keep: list[str], ids: str = "ids") ->
 
 
 def round_trip(docs: DataFrame, ranks: str, keep: list[str], text: str = "text") -> DataFrame:
-    """As ``encode`` then ``decode`` in one map: ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every row."""
+    """As ``encode`` then ``decode`` in one map: ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every row.
+
+    Null, empty, very long and repeated texts and empty tables are as in ``encode``.
+    """
 
     def make():
         coder = Ranks.of(ranks)

@@ -28,7 +28,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text: str = "text", suppo
     """One row per row of ``docs``: the id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
     Texts are equal if they are identical after lower-casing A-Z; a null text equals an empty one. The
-    row with the largest id of a group stays; a null id ranks lowest. Of rows that repeat both the text
+    row with the largest id of a group stays, of equal ids the one read last; a null id ranks lowest. Texts of any length are digested whole. Of rows that repeat both the text
     and the winning id exactly one is kept. ``group_size`` counts rows. An empty table gives an empty
     result. Other columns of ``docs`` are not read.
     """

@@ -229,7 +229,8 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns of every row with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on).
 
-    Null counts as empty, and empty texts are scored like others. Rows are independent: repeated rows repeat
+    Null counts as empty, and empty texts are scored like others; features are counted over whole texts, however long.
+    A value at a bin's edge belongs to the bin above, a score at the threshold is 1. Rows are independent: repeated rows repeat
     their score, an empty table gives an empty result. Columns not in ``keep`` are not read.
     """
     table = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers

@@ -113,7 +113,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     A text's A-Z are lower-cased, words end at ASCII white space, and shingles of three words with repeats
     are hashed; a shorter text is one shingle, a text without words (null, empty) has fingerprint zero and is
     linked like any other. ``component_id`` is the least id that links reach, the row's own included; rows
-    with a null id have the component of their fingerprint, null if no row with an id shares it. Repeated
+    with a null id have the component of their fingerprint, null if no row with an id shares it. Very long texts are
+    fingerprinted whole; a bit that just half of the hashes have set is 0. Repeated
     rows repeat their result, an empty table has an empty one, and other columns are not read.
     """
     found = stage(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), ["id"]), "simhash-fingerprints")

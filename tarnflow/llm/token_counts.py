@@ -231,7 +231,8 @@ def token_counts(docs: DataFrame, vocabulary: str, keep: list[str], text: str =
     """``keep`` columns of every row with ``n_bytes`` (UTF-8) and ``n_tokens`` of its whole text.
 
     ``vocabulary`` is the path, on every machine, of a byte-level BPE file of the tokenizers library.
-    Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted each. An empty table gives
+    Null and empty texts have 0 bytes and 0 tokens. Whole texts count, however long; a long one is a slice of its own.
+    Rows are independent, so there are no ties, and repeated rows are counted each. An empty table gives
     an empty result. Columns of ``docs`` that are not in ``keep`` are not read, so their names don't matter.
     The work is one map over the texts after one map for the frequent pre-tokens; no text is shuffled.
     """

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarnflow.llm.batches import slices
+from tarnflow.llm.hot_keys import joined
 from tarnflow.session import stage
 
 #: Payloads of fewer bytes are always stored; others refer to an equal one.
@@ -129,15 +130,17 @@ def _framed(data: bytes) -> Record:
 def with_references(pages: DataFrame, id_col: str = "page_id", html: str = "html", least: int = REVISIT_LEAST) -> DataFrame:
     """``pages`` with ``__revisit`` and ``__refers``: of equal payloads the largest id is stored, others refer to it.
 
-    Equality is found on digests and ids; pages move once, by id, to meet their decision.
+    Equality is found on digests and ids, those of payloads that very many pages have by broadcast; pages move once, by
+    id, to meet their decision.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
-    narrow = pages.select(F.col(id_col).alias("__id"), F.sha1(payload.cast("binary")).alias("__d"), F.octet_length(payload).alias("n")).where(F.col("n") >= least)
-    best = narrow.groupBy("__d").agg(F.max("__id").alias("__refers"), F.count(F.lit(1)).alias("n")).where("n > 1 and __refers is not null").drop("n")
-    others = narrow.join(best, "__d").where(~F.col("__id").eqNullSafe(F.col("__refers"))).select("__id", "__d", "__refers").distinct()
+    sized = pages.select(F.col(id_col).alias("__id"), F.sha1(payload.cast("binary")).alias("__d"), F.octet_length(payload).alias("__n"))
+    narrow = stage(sized.where(F.col("__n") >= least).drop("__n"), "warc-digests")
+    best = narrow.groupBy("__d").agg(F.max("__id").alias("__refers"), F.count(F.lit(1)).alias("n")).where("n > 1 and __refers is not null")
+    others = joined(narrow, stage(best, "warc-equal"), ["__d"], narrow.count()).where(~F.col("__id").eqNullSafe(F.col("__refers"))).select("__id", "__d", "__refers").distinct()
     rows = pages.withColumn("__digest", F.sha1(payload.cast("binary")))
-    joined = rows.join(others, rows[id_col].eqNullSafe(others["__id"]) & (rows["__digest"] == others["__d"]), "left")
-    return joined.drop("__id", "__d", "__digest").withColumn("__revisit", F.col("__refers").isNotNull())
+    told = rows.join(others, rows[id_col].eqNullSafe(others["__id"]) & (rows["__digest"] == others["__d"]), "left")
+    return told.drop("__id", "__d", "__digest").withColumn("__revisit", F.col("__refers").isNotNull())
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", size: int = ARCHIVE_BYTES) -> DataFrame:
@@ -211,6 +214,11 @@ def read_archives(archives: DataFrame, content: str = "content") -> DataFrame:
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Write the archives into the shared folder and read them back, without the payloads themselves."""
+    """Write the archives into the shared folder and read them back, without the payloads themselves.
+
+    Null pages have an empty payload, very long ones are an archive of their own and read in pieces; rows that
+    repeat the largest id of a payload are responses too. Repeated rows are a record each, and an empty table gives an
+    empty result.
+    """
     archives = stage(write_archives(pages, id_col, url, html), "warc")
     return read_archives(archives).select(F.col("page_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to")
