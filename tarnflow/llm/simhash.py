@@ -12,7 +12,7 @@ lists the 65 values within distance 1, and two of them are linked exactly if the
 distance 2 of each other, so it is enough to link them to the least.
 
 A distance of 2 only finds copies with very few edits. De-duplication at a given Jaccard similarity therefore has a wider
-radius: ``near_dedup`` looks up six segments of 10 bits by balls of radius 1 on either side, so segments within two bits
+radius: ``near_dedup`` looks up six segments of 12 bits by balls of radius 1 on either side, so segments within two bits
 meet, and verifies candidates exactly.
 """
 
@@ -33,7 +33,7 @@ from tarnflow.llm.survivors import surviving
 from tarnflow.session import broadcast_if_small, stage
 
 SHINGLE, SEED, DISTANCE, FULL = 3, 42, 2, 64
-SEGMENTS, BITS = 6, 10  # of the fingerprint over distinct five-word shingles
+SEGMENTS, BITS = 6, 12  # neighbours share some bits; of the fingerprint over distinct five-word shingles
 NEAR_FULL = 16  # rows of a key that are all paired in ``near_dedup``
 ORDER_BY, ORDER_ADD = odd(SEGMENTS), odd(SEGMENTS)
 #: For each byte value, its bits in the eight bytes of a word, so that sums of up to 255 bytes don't overflow.
@@ -164,7 +164,7 @@ def neighbourhoods(words: np.ndarray) -> tuple[int, np.ndarray]:
     groups = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
     ones = groups.view(np.uint8).reshape(len(groups), 64).sum(axis=0, dtype=np.int64)
     value = np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0]
-    shifts = np.arange(SEGMENTS, dtype=np.uint64) * np.uint64(BITS)
+    shifts = np.linspace(0, 64 - BITS, SEGMENTS).astype(np.uint64)
     segments = (value >> shifts) & np.uint64((1 << BITS) - 1)
     balls = segments[:, None] ^ np.concatenate([[0], 1 << np.arange(BITS)]).astype(np.uint64)
     anchors = np.array([mixed(found * by + add).min() for by, add in zip(ORDER_BY, ORDER_ADD, strict=True)])
@@ -183,7 +183,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", simi
     Documents are linked whose sets of five-word shingles (A-Z lower-cased, words end at ASCII white space) have a Jaccard
     similarity of ``similarity`` or more. Two candidates have segments of their fingerprints within two bits and one
     anchor; candidates are verified by the distance of their whole fingerprints, then on their whole sets, and groups are
-    the components of the links. At a similarity of 0.8 a pair becomes a candidate with probability 0.998, more above.
+    the components of the links. At a similarity of 0.8 a pair becomes a candidate with probability 0.995, more above.
 
     Texts of the same words are one group, texts without words (null, empty) are too; a text of fewer than five
     words is one shingle. Rows with a null id rank last in their group, repeated rows are in one group, of which one

@@ -1,7 +1,7 @@
 """Links between similar sets of shingles, from rows that share keys: bands of MinHash values, or the neighbourhoods of
 fingerprint segments.
 
-Rows that share a key are candidates. The rows whose own key it is are first verified against one of them. Pairs that
+Rows that share a key are candidates. The rows whose own key it is are first verified against two of them. Pairs that
 this leaves in different components are verified as well: one by one for keys of few rows, and for crowded keys, which
 more than ``FULL`` rows share, in salted blocks of bounded size. So no candidate pair is left out, no key's rows are ever
 gathered in one task, and pairs inside a component are not made. Whole sets are made for candidates only.
@@ -9,6 +9,7 @@ gathered in one task, and pairs inside a component are not made. Whole sets are
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +21,7 @@ from tarnflow.llm.hot_keys import joined
 from tarnflow.session import BROADCAST_ROWS, drop_staged, stage
 
 SHINGLE, SIMILARITY = 5, 0.8
-FULL, BLOCK, CHUNK = 32, 256, 4096
+FULL, LEADERS, BLOCK, CHUNK = 32, 2, 256, 4096
 _DRAW = np.random.default_rng(20240229)
 
 
@@ -66,11 +67,13 @@ def roots(
     met = rows.join(F.broadcast(buckets.drop("size")), "key") if held[0] <= BROADCAST_ROWS else joined(rows, buckets, ["key"], held[1]).withColumnRenamed("size", "n")
     met = stage(met, f"{tag}-bands")
     drop_staged(buckets)
-    # Rows of one own key are compared with one of them first: copies of one text, however many, are linked by that.
+    # Rows of one own key are compared with a few of them first: copies of one text, however many, are linked by that.
     own = met.where(F.col("place") % per_band == 0).select("key", "rep")
-    lead = stage(own.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), f"{tag}-leaders")
-    led = joined(own, lead, ["key"], met.count()).where("rep <> leader")
-    pairs = stage(led.select(F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v")).distinct(), f"{tag}-led")
+    leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
+    lead = stage(own.groupBy("key").agg(*leaders, F.count(F.lit(1)).alias("n")).where("n > 1"), f"{tag}-leaders")
+    led = joined(own, lead, ["key"], met.count())
+    with_one = [led.where(f"rep <> l{i}").select(F.least("rep", f"l{i}").alias("u"), F.greatest("rep", f"l{i}").alias("v")) for i in range(LEADERS)]
+    pairs = stage(functools.reduce(DataFrame.unionAll, with_one).distinct(), f"{tag}-led")
     found = components(_alike(likely(pairs) if likely else pairs, sets_of, similarity, tag), f"{tag}-components")
     drop_staged(lead)
 
