@@ -1,8 +1,8 @@
 """Operators on similar sequences: candidates by exact words, verification by edit distance, greedy choices by rounds.
 
-Two sequences within e edits share a whole part if one of them is cut into e + 1 parts. Queries are cut into
-words of 16, or shorter ones if that gives fewer than e + 1 parts; the e + 1 words that fewest targets have are enough, so words that all sequences of a gene share
-don't bring pairs. Candidates are verified with the JVM's bounded edit distance.
+Two sequences within e edits share a whole part if one of them is cut into e + 1 parts, at places that differ by e at most.
+Queries are cut into words of 16, or shorter ones if that gives fewer than e + 2 parts; the e + 1 words that fewest targets
+have are enough, so words that all sequences of a gene share don't bring pairs. Candidates are verified with the JVM's bounded edit distance.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnflow.functions import sequence as S
-from tarnflow.session import drop_staged, stage
+from tarnflow.session import broadcast_if_small, drop_staged, stage
 
 WORD = 16
 
@@ -23,33 +23,50 @@ def _edits(length: Column, identity: float) -> Column:
     return F.floor(length * (1 - identity) + 1e-9).cast("int")
 
 
+def _allowed(length: Column, identity: float, most_edits: int | None) -> Column:
+    return _edits(length, identity) if most_edits is None else F.least(_edits(length, identity), F.lit(most_edits))
+
+
+def candidates(queries: DataFrame, targets: DataFrame, by: list[str], identity: float, same: bool = False, most_edits: int | None = None) -> DataFrame:
+    """``q`` and ``t`` of all pairs that may be similar: the target has one of the query's e + 1 rarest parts, at most e
+    letters away from the part's own place, and is at most e letters shorter or longer.
+
+    There is a spare part at least, so a word of the conserved region is only looked for if all parts are frequent. Words
+    are looked up by their hashes; a target is indexed at places where a part can be, for lengths of part that queries of about
+    its size have.
+    """
+    size = F.length("seq")
+    most = _allowed(size / identity, identity, most_edits)
+    cut = queries.select(*by, F.col("id").alias("q"), "seq", size.alias("size"), most.alias("most"))
+    cut = cut.withColumn("k", F.greatest(F.lit(1), F.least(F.lit(WORD), F.floor(F.col("size") / (F.col("most") + 2)).cast("int"))))
+    asked = cut.groupBy(*by, "k").agg(F.max("most").alias("e"), F.min(F.col("size") - F.col("most")).alias("low"), F.max(F.col("size") + F.col("most")).alias("high"))
+    asked = broadcast_if_small(stage(asked, "parts-asked"))
+    sized = targets.select(*by, F.col("id").alias("t"), "seq", size.alias("t_size"))
+    sized = (sized.join(asked, by) if by else sized.crossJoin(asked)).where("t_size between low and high")
+    hashed = lambda step: F.posexplode(F.transform(S.words(F.col("seq"), F.col("k"), step), lambda w: F.xxhash64(w))).alias("place", "word")
+    index = sized.select(*by, "t", "t_size", "k", "e", hashed(F.lit(1))).where(F.pmod(F.col("place") + F.col("e"), F.col("k")) <= 2 * F.col("e")).drop("k", "e")
+    held = index.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
+    parts = cut.select(*by, "q", "size", "most", "k", hashed(F.col("k"))).withColumn("place", F.col("place") * F.col("k")).drop("k")
+    ranked = parts.join(held, [*by, "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy(*by, "q").orderBy(F.coalesce("n", F.lit(0)), "place")))
+    seeds = ranked.where((F.col("rank") <= F.col("most") + 1) & F.col("n").isNotNull()).select(*by, "q", "size", "most", "word", F.col("place").alias("q_place"))
+    met = seeds.join(index, [*by, "word"]).where((F.abs(F.col("size") - F.col("t_size")) <= F.col("most")) & (F.abs(F.col("place") - F.col("q_place")) <= F.col("most")))
+    if same:
+        met = met.where("q <> t")
+    return met.select(*by, "q", "t").distinct()
+
+
 def similar_pairs(queries: DataFrame, targets: DataFrame, by: list[str], identity: float, same: bool = False, most_edits: int | None = None) -> DataFrame:
     """``q``, ``t`` and ``edits`` of all pairs with at least the identity, 1 - edits / the longer length, and, if it is
     given, at most ``most_edits``.
 
     Both sides have ``by`` columns, ``id`` and ``seq``. No pair is missed: each query has more
-    parts than it may have edits, and targets are indexed at each length of part that a query of their group
-    has. ``same`` leaves out pairs of a sequence with itself.
+    parts than it may have edits. ``same`` leaves out pairs of a sequence with itself.
     """
-    allowed = lambda length: _edits(length, identity) if most_edits is None else F.least(_edits(length, identity), F.lit(most_edits))
-    most = allowed(F.length("seq") / identity)
-    cut = queries.select(*by, F.col("id").alias("q"), "seq", most.alias("most")).withColumn("k", F.greatest(F.lit(1), F.least(F.lit(WORD), F.floor(F.length("seq") / (F.col("most") + 1)).cast("int"))))
-    asked = cut.select(*by, "k").distinct()
-    sized = targets.select(*by, F.col("id").alias("t"), "seq")
-    sized = sized.join(asked, by) if by else sized.crossJoin(asked)
-    words = lambda step: F.explode(F.array_distinct(S.words(F.col("seq"), F.col("k"), step))).alias("word")
-    index = sized.select(*by, "t", words(1))
-    held = index.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
-    parts = cut.select(*by, "q", "most", words(F.col("k")))
-    ranked = parts.join(held, [*by, "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy(*by, "q").orderBy(F.coalesce("n", F.lit(0)), "word")))
-    seeds = ranked.where((F.col("rank") <= F.col("most") + 1) & F.col("n").isNotNull()).select(*by, "q", "word")
-    pairs = seeds.join(index, [*by, "word"]).select(*by, "q", "t").distinct()
-    if same:
-        pairs = pairs.where("q <> t")
+    pairs = candidates(queries, targets, by, identity, same, most_edits)
     a = queries.select(*by, F.col("id").alias("q"), F.upper("seq").alias("qs"))
     b = targets.select(*by, F.col("id").alias("t"), F.upper("seq").alias("ts"))
     longer = F.greatest(F.length("qs"), F.length("ts"))
-    rows = pairs.join(a, [*by, "q"]).join(b, [*by, "t"]).withColumn("most", allowed(longer)).where(F.abs(F.length("qs") - F.length("ts")) <= F.col("most"))
+    rows = pairs.join(a, [*by, "q"]).join(b, [*by, "t"]).withColumn("most", _allowed(longer, identity, most_edits)).where(F.abs(F.length("qs") - F.length("ts")) <= F.col("most"))
     close = F.call_function("levenshtein", F.col("qs"), F.col("ts"), F.col("most"))  # -1 beyond the bound
     return rows.withColumn("edits", close).where("edits >= 0").select(*by, "q", "t", "edits", (1 - F.col("edits") / longer).alias("identity"))
 

@@ -49,6 +49,17 @@ def test_pairs_are_complete(spark):
     assert got == want
 
 
+def test_conserved_words_bring_no_candidates(spark):
+    """Short sequences behind one primer: two words of 16 letters, one of them the primer's, must not pair them all."""
+    seqs = ["CCAGCAGCCGCGGTAA" + dna(24 + i % 24) for i in range(150)]
+    seqs += [seqs[0][:-1], seqs[1][:20] + "A" + seqs[1][20:], mutated(seqs[2], 1)]
+    table = frame(spark, seqs)
+    assert Y.candidates(table, table, ["g"], 0.97, same=True).count() < 3 * len(seqs)
+    got = {(r.q, r.t): r.edits for r in Y.similar_pairs(table, table, ["g"], 0.97, same=True).collect()}
+    allowed = lambda a, b: int(max(len(a), len(b)) * (1 - 0.97) + 1e-9)
+    assert got == {(f"s{i:03d}", f"s{j:03d}"): d for i, a in enumerate(seqs) for j, b in enumerate(seqs) if i != j and abs(len(a) - len(b)) < 4 and (d := edits(a, b)) <= allowed(a, b)}
+
+
 def test_pairs_with_as_many_edits_as_words(spark):
     """An edit in each word of 16 letters leaves no such word whole, yet the pair counts."""
     seqs = [dna(n) for n in (12, 20, 33, 40, 40, 75, 111)]
