@@ -65,21 +65,15 @@ def table_summary(spark, sf_dir):
     return by_sample.unionByName(by_feature)
 
 
-def _samples(spark, sf_dir):
-    """The columns of the wide form: all samples."""
-    return [r[0] for r in _table(spark, sf_dir).select("sample_id").distinct().orderBy("sample_id").collect()]
-
-
 def otu_pivot(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
-    wide = T.pivoted(_table(spark, sf_dir), samples)
-    return wide.select("feature_id", F.concat_ws(" ", *[F.col(f"`{s}`").cast("string") for s in samples]).alias("counts"))
+    places = T.sample_places(_table(spark, sf_dir))
+    return T.pivoted(_table(spark, sf_dir), places).select("feature_id", T.dense(places.count(), " ").alias("counts"))
 
 
 def otu_unpivot(spark, sf_dir):
-    samples = _samples(spark, sf_dir)
-    wide = T.pivoted(_table(spark, sf_dir), samples).withColumn("#OTU ID", F.concat("feature_id", F.lit(";size=3"))).select("#OTU ID", *samples)
-    return T.unpivoted(wide).withColumnRenamed("count", "n")
+    places = T.sample_places(_table(spark, sf_dir))
+    wide = T.pivoted(_table(spark, sf_dir), places).select(F.concat("feature_id", F.lit(";size=3")).alias("#OTU ID"), "cells")
+    return T.unpivoted(wide, places).withColumnRenamed("count", "n")
 
 
 def feature_prefix(spark, sf_dir):

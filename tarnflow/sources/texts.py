@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators import metadata as M
+from tarnflow.session import broadcast_if_small, stage
 
 
 def id_lists(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,15 +182,22 @@ def attribute_dictionary(answers: DataFrame, text: str = "value") -> DataFrame:
 
 
 def otu_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Long form of a feature table in text, with or without comment lines before its header."""
-    from tarnflow.operators.features import unpivoted
+    """Long form of a feature table in text, with or without comment lines before its header.
 
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).where("trim(line) <> ''")
-    header = lines.where(F.col("line").rlike(r"^#?(?:OTU ID|OTU|Feature ID)\t")).orderBy("n").first()
-    names = ["id", *header["line"].split("\t")[1:]]
-    cells = F.split("line", "\t")
-    rows = lines.where(~F.col("line").startswith("#") & (F.col("n") > header["n"]))
-    return unpivoted(rows.select(*[cells[i].alias(c) for i, c in enumerate(names)]), "id")
+    The text may be one file or parts of one table; parts without a header have the first part's columns. Files are read
+    by lines, so tables may be larger than a cell.
+    """
+    at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), F.col("value").alias("line")).where("trim(line) <> ''")
+    is_header = F.col("line").rlike(r"^#?(?:OTU ID|OTU|Feature ID)\t")
+    heads = stage(lines.where(is_header).groupBy("file").agg(F.min_by("line", "at").alias("names"), F.min("at").alias("head")), "otu-heads")
+    first = heads.agg(F.min("file")).first()[0]
+    names = heads.select(F.col("file").alias("table"), F.posexplode(F.split("names", "\t")).alias("place", "sample_id")).where("place > 0")
+    below = lines.where(~F.col("line").startswith("#")).join(F.broadcast(heads.select("file", "head")), "file", "left").where("head is null or at > head")
+    cells = below.select(F.coalesce(F.when(F.col("head").isNotNull(), F.col("file")), F.lit(first)).alias("table"), F.split("line", "\t").alias("c"))
+    named = cells.select("table", S.header_id(F.col("c")[0]).alias("feature_id"), F.posexplode("c").alias("place", "v")).where("place > 0 and v <> '0'")
+    long = named.select("table", "feature_id", "place", F.col("v").cast("double").cast("long").alias("count")).where("count > 0")
+    return long.join(broadcast_if_small(stage(names, "otu-names")), ["table", "place"]).select("feature_id", "sample_id", "count")
 
 
 def biom_json(spark: SparkSession, path: str) -> DataFrame:

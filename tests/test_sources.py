@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tarnflow.operators import features as T
 from tarnflow.sources import connectors, formats, sinks, texts
 
 
@@ -111,6 +112,23 @@ def test_otu_and_seven_numbers(spark, tmp_path):
     assert [(r.pos, r.reads, r.q25) for r in texts.seven_numbers(spark, seven).orderBy("pos").collect()] == [(0, 10, 30.0), (1, 9, 29.0)]
 
 
+def many_samples(spark):
+    """More samples than a plan bears as columns, and the counts by feature and sample."""
+    rows = [(f"f{i % 50:02d}", f"S{i * 37 % 6000:04d}", 1 + i % 9) for i in range(9000)]
+    want = {}
+    for f, s, n in rows:
+        want[f, s] = want.get((f, s), 0) + n
+    return spark.createDataFrame(rows, "feature_id string, sample_id string, count long"), want
+
+
+def test_wide_rows_of_many_samples(spark):
+    table, want = many_samples(spark)
+    samples = sorted({s for _, s in want})
+    wide = T.pivoted(table, T.sample_places(table))
+    text = {r[0]: r[1] for r in wide.select("feature_id", T.dense(len(samples), " ")).collect()}
+    assert text == {f: " ".join(str(want.get((f, s), 0)) for s in samples) for f in {f for f, _ in want}}
+
+
 def test_biom_json(spark, tmp_path):
     head = '"rows": [{"id": "f1"}, {"id": "f2"}], "columns": [{"id": "S1"}, {"id": "S2"}]'
     put(tmp_path / "a.biom", '{%s, "matrix_type": "sparse", "data": [[0, 1, 5], [1, 0, 2.0]]}' % head)
