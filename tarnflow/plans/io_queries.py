@@ -124,13 +124,9 @@ def fasta_round_trip(spark, sf_dir):
 
 def otu_text(spark, sf_dir):
     """The wide table in text, with a comment before its header and abundances in the names, back in long form."""
-    table = frame(spark, sf_dir, FEATURES).groupBy("feature_id", "sample_id").agg(F.sum("n").alias("n"))
-    samples = [r[0] for r in table.select("sample_id").distinct().orderBy("sample_id").collect()]
-    cells = [F.coalesce(F.col(f"`{s}`"), F.lit(0)).cast("string") for s in samples]
-    wide = table.groupBy("feature_id").pivot("sample_id", samples).agg(F.sum("n")).select(F.concat_ws("\t", F.concat("feature_id", F.lit(";size=7")), *cells).alias("value"))
-    body = F.concat(F.lit("# made\n#OTU ID\t" + "\t".join(samples) + "\n"), F.array_join(F.collect_list("value"), "\n"))
+    table = frame(spark, sf_dir, FEATURES).select(F.concat("feature_id", F.lit(";size=7")).alias("feature_id"), "sample_id", F.col("n").alias("count"))
     path = _folder(spark, "otu")
-    wide.agg(body.alias("value")).coalesce(1).write.option("lineSep", "\n").text(path)  # a table for people
+    sinks.otu_tsv(table, path, "made")
     return texts.otu_tsv(spark, path).withColumnRenamed("count", "n")
 
 

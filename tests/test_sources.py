@@ -129,6 +129,15 @@ def test_wide_rows_of_many_samples(spark):
     assert text == {f: " ".join(str(want.get((f, s), 0)) for s in samples) for f in {f for f, _ in want}}
 
 
+def test_wide_text_of_many_samples(spark, tmp_path):
+    """Parts of one text, the first of which has the header."""
+    table, want = many_samples(spark)
+    sinks.otu_tsv(table.repartition(3), str(tmp_path / "otu"), "made")
+    parts = sorted((tmp_path / "otu").glob("part-*"))
+    assert len(parts) > 1 and parts[0].read_text().startswith("# made\n#OTU ID\tS0000\t")
+    assert {(r[0], r[1]): r[2] for r in texts.otu_tsv(spark, str(tmp_path / "otu")).collect()} == want
+
+
 def test_biom_json(spark, tmp_path):
     head = '"rows": [{"id": "f1"}, {"id": "f2"}], "columns": [{"id": "S1"}, {"id": "S2"}]'
     put(tmp_path / "a.biom", '{%s, "matrix_type": "sparse", "data": [[0, 1, 5], [1, 0, 2.0]]}' % head)
