@@ -138,6 +138,12 @@ def test_wide_text_of_many_samples(spark, tmp_path):
     assert {(r[0], r[1]): r[2] for r in texts.otu_tsv(spark, str(tmp_path / "otu")).collect()} == want
 
 
+def test_long_form_of_many_samples(spark):
+    table, want = many_samples(spark)
+    places = T.sample_places(table)
+    assert {(r[0], r[1]): r[2] for r in T.unpivoted(T.pivoted(table, places), places, "feature_id").collect()} == want
+
+
 def test_biom_json(spark, tmp_path):
     head = '"rows": [{"id": "f1"}, {"id": "f2"}], "columns": [{"id": "S1"}, {"id": "S2"}]'
     put(tmp_path / "a.biom", '{%s, "matrix_type": "sparse", "data": [[0, 1, 5], [1, 0, 2.0]]}' % head)
