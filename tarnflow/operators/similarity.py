@@ -80,13 +80,15 @@ def best_hits(pairs: DataFrame, by: list[str]) -> DataFrame:
 def map_reads(reads: DataFrame, centroids: DataFrame, by: list[str], identity: float = 0.97) -> DataFrame:
     """Feature counts: each read (``read_idx``, ``sample_id``, ``seq``) counts for its best centroid.
 
-    Equal reads are aligned once.
+    Equal reads are aligned once. Only reads with a centroid are counted, by its number instead of its name.
     """
-    own = reads.groupBy(*by, F.upper("seq").alias("seq"), "sample_id").agg(F.count(F.lit(1)).alias("n"))
-    unique = own.select(*by, "seq").distinct().withColumn("id", F.md5("seq"))
-    hits = best_hits(similar_pairs(unique, centroids, by, identity), by)
-    counted = own.withColumn("q", F.md5("seq")).join(hits, [*by, "q"])
-    return counted.groupBy(*by, F.col("t").alias("feature_id"), "sample_id").agg(F.sum("n").alias("count"))
+    unique = stage(reads.select(*by, F.upper("seq").alias("seq")).distinct().withColumn("id", F.md5("seq")), "mapped-unique")
+    hits = best_hits(similar_pairs(unique, centroids, by, identity), by).select(*by, F.col("q").alias("id"), F.col("t").alias("feature_id"))
+    hits = stage(hits.join(unique, [*by, "id"]).select(*by, "seq", "feature_id"), "mapped-hits")
+    features = broadcast_if_small(stage(hits.select("feature_id").distinct().withColumn("f", F.monotonically_increasing_id()), "mapped-features"))
+    known = broadcast_if_small(stage(hits.join(features, "feature_id").select(*by, "seq", "f"), "mapped-known"))
+    counted = reads.select(*by, F.upper("seq").alias("seq"), "sample_id").join(known, [*by, "seq"]).groupBy(*by, "f", "sample_id").agg(F.count(F.lit(1)).alias("count"))
+    return counted.join(features, "f").select(*by, "feature_id", "sample_id", "count")
 
 
 def greedy_centroids(nodes: DataFrame, links: DataFrame, by: list[str], tag: str) -> DataFrame:

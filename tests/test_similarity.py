@@ -131,6 +131,22 @@ def test_reads_count_for_their_best_centroid(spark):
     assert {(r.feature_id, r.sample_id): r["count"] for r in got} == {("s000", "S1"): 3, ("s001", "S2"): 1}
 
 
+def test_short_reads_behind_a_primer_are_mapped(spark):
+    """Reads of 40 letters behind a primer, most without a centroid: counts by all pairs, without pairing them all."""
+    centroids = ["CCAGCAGCCGCGGTAA" + dna(24) for _ in range(20)]
+    reads = [("g", f"S{i % 3}", (centroids[i % 20].lower() if i % 2 else mutated(centroids[i % 20], 1)) if i % 4 < 2 else "CCAGCAGCCGCGGTAA" + dna(24)) for i in range(120)]
+    table = spark.createDataFrame(reads, "g string, sample_id string, seq string")
+    want = {}
+    for _, sample, seq in reads:
+        near = [i for i, c in enumerate(centroids) if edits(c, seq.upper()) <= 1]
+        if near:
+            key = (f"s{min(near, key=lambda i: edits(centroids[i], seq.upper())):03d}", sample)
+            want[key] = want.get(key, 0) + 1
+    assert {(r.feature_id, r.sample_id): r["count"] for r in Y.map_reads(table, frame(spark, centroids), ["g"]).collect()} == want
+    unique = table.select("g", F.md5(F.upper("seq")).alias("id"), F.upper("seq").alias("seq")).distinct()
+    assert Y.candidates(unique, frame(spark, centroids), ["g"], 0.97).count() < 2 * unique.count()
+
+
 def test_pairs_merge_to_their_fragment(spark):
     back = str.maketrans("ACGT", "TGCA")
     rows, want = [], {}
