@@ -160,15 +160,30 @@ def chimeras(seqs: DataFrame, by: list[str], skew: float = 2.0) -> DataFrame:
     """``seqs`` (``id``, ``seq``, ``size``) with ``chimera``: whether a front of one and a back of another, both
     ``skew`` times as abundant, make up the whole sequence (the exact two-parent model of Edgar, 2011 and 2016).
 
-    Parents are found by grouping sequences on each of their fronts and backs, not by pairing them.
+    Parents are found by grouping those that can be any's parents on each of their fronts and backs, not by pairing them.
+    A front and a back that make up a sequence don't both end before its middle, and a part of a parent's front is one
+    too, so only sequences that share a half with a parent are looked at in full.
     """
-    rows = seqs.select(*by, "id", F.upper("seq").alias("seq"), "size").withColumn("len", F.length("seq"))
+    rows = stage(seqs.select(*by, "id", F.upper("seq").alias("seq"), "size").withColumn("len", F.length("seq")), "chimera-rows")
+    smallest = rows.agg(F.min("size")).first()[0]
+    parents = rows.where(F.col("size") >= (smallest or 0) * skew)
 
-    def reach(side: str) -> DataFrame:
+    def cut(frame: DataFrame, side: str, n: Column) -> DataFrame:
         part = F.substr(F.col("seq"), F.lit(1), F.col("n")) if side == "front" else F.substr(F.col("seq"), F.col("len") - F.col("n") + 1, F.col("n"))
-        cut = rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("len")))).select(*by, "id", "size", "n", F.xxhash64(part, F.lit(1)).alias("h1"), F.xxhash64(part, F.lit(2)).alias("h2"))
-        groups = cut.groupBy(*by, "n", "h1", "h2").agg(F.max(F.struct("size", "id")).alias("top"))
-        good = cut.join(groups, [*by, "n", "h1", "h2"]).where((F.col("top.id") != F.col("id")) & (F.col("top.size") >= F.col("size") * skew))
+        return frame.where("len > 0").withColumn("n", n).select(*by, "id", "size", "n", F.xxhash64(part, F.lit(1)).alias("h1"), F.xxhash64(part, F.lit(2)).alias("h2"))
+
+    key = [*by, "n", "h1", "h2"]
+    each = F.explode(F.sequence(F.lit(1), F.col("len")))
+    tops = {s: stage(cut(parents, s, each).groupBy(*key).agg(F.max(F.struct("size", "id")).alias("top")), f"chimera-{s}") for s in ("front", "back")}
+    above = (F.col("top.id") != F.col("id")) & (F.col("top.size") >= F.col("size") * skew)
+    open_ = rows
+    if skew > 1:
+        halves = [cut(rows, s, F.ceil(F.col("len") / 2).cast("int")).join(tops[s].hint("merge"), key).where(above).select(*by, "id") for s in tops]
+        open_ = stage(rows.join(halves[0].unionAll(halves[1]).distinct(), [*by, "id"], "left_semi"), "chimera-open")
+
+    def reach(side: str) -> DataFrame:
+        # Files of exploded parts look small enough for a broadcast, their rows are not.
+        good = cut(open_, side, each).join(tops[side].hint("merge"), key).where(above)
         return good.groupBy(*by, "id").agg(F.max(F.struct("n", F.col("top.id").alias("parent"))).alias(side))
 
     both = rows.join(reach("front"), [*by, "id"], "left").join(reach("back"), [*by, "id"], "left")

@@ -117,7 +117,7 @@ def error_model(spark, sf_dir):
 
 def chimera(spark, sf_dir):
     seqs = _unique(spark, sf_dir)
-    top = seqs.withColumn("k", F.row_number().over(Window.partitionBy("project").orderBy(F.desc("size"), "id")))
+    top = stage(seqs.select("project", "id", "seq", "size").withColumn("k", F.row_number().over(Window.partitionBy("project").orderBy(F.desc("size"), "id"))), "top")
     a, b = top.where("k % 2 = 1"), top.where("k % 2 = 0").select("project", (F.col("k") - 1).alias("k"), F.col("seq").alias("other"))
     made = a.join(b, ["project", "k"]).select("project", F.concat(F.left("seq", F.lit(30)), F.right("other", F.lit(25))).alias("seq")).select("project", F.md5("seq").alias("id"), "seq", F.lit(1).cast("long").alias("size"))
     both = top.select("project", "id", "seq", "size").unionByName(made.join(top.select("project", "id"), ["project", "id"], "left_anti").distinct())

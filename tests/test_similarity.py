@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tarnflow.operators import error_model as E, pairs as Q, similarity as Y, taxonomy as N
+from tarnflow.session import stage
 
 RANDOM = random.Random(5)
 
@@ -124,6 +125,19 @@ def test_chimeras(spark):
     assert found == {"a": (False, None, None), "b": (False, None, None), "c": (True, "a", "b"), "d": (False, None, None), "weak": (False, None, None)}
 
 
+def test_only_sequences_that_share_a_half_with_a_parent_are_cut(spark, monkeypatch):
+    """Singletons that share nothing but a primer are left out before parts of all lengths are made."""
+    a, b = dna(100), dna(100)
+    rows = [("g", "a", a, 100), ("g", "b", b, 90), ("g", "c", a[:70] + b[70:], 10), ("g", "e", a[:30] + b[30:], 10)] + [("g", f"x{i}", a[:16] + dna(84), 1) for i in range(60)]
+    kept = {}
+    monkeypatch.setattr(Y, "stage", lambda df, tag: kept.setdefault(tag, stage(df, tag)))
+    found = Y.chimeras(spark.createDataFrame(rows, "g string, id string, seq string, size long"), ["g"])
+    assert {r.id: (r.parent_a, r.parent_b) for r in found.where("chimera").collect()} == {"c": ("a", "b"), "e": ("a", "b")}
+    assert found.count() == len(rows)
+    assert {r.id for r in kept["chimera-open"].collect()} == {"c", "e"}
+    assert kept["chimera-front"].count() <= 4 * 100
+
+
 def test_reads_count_for_their_best_centroid(spark):
     a, b = dna(100), dna(100)
     reads = [("g", "S1", a), ("g", "S1", a), ("g", "S1", mutated(a, 2)), ("g", "S2", b), ("g", "S2", dna(100))]
