@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tarnflow.functions import sequence as S
 from tarnflow.operators.letters import bytes_of
 from tarnflow.operators.similarity import map_reads
-from tarnflow.session import stage
+from tarnflow.session import broadcast_if_small, stage
 
 K_ORIENT, K_CLASS = 12, 8
 CONFIDENCE = 0.7
@@ -52,11 +52,15 @@ def _gained_by_product(seqs: DataFrame, gains: DataFrame, sums: DataFrame, k: in
 
     The model is a matrix of words by taxa, small enough to be broadcast; a batch is scored by adding rows of it.
     """
-    table = gains.toPandas()  # the size is checked by the caller
-    others = sums.orderBy("taxon").toPandas()
-    taxa, words = others["taxon"].to_numpy(), np.unique(table["word"].to_numpy(str))
+    # The caller checks the size. Cells come to the driver by numbers, 16 bytes each, not by names.
+    number = lambda x, name, n: stage(x.withColumn(n, F.row_number().over(Window.orderBy(name)) - 1), "model-numbers")
+    by_taxon, by_word = number(sums, "taxon", "t"), number(gains.select("word").distinct(), "word", "w")
+    others = by_taxon.orderBy("t").toPandas()
+    taxa, words = others["taxon"].to_numpy(), by_word.orderBy("w").toPandas()["word"].to_numpy(str)
     weights = np.zeros((len(words) + 1, len(taxa)))
-    weights[np.searchsorted(words, table["word"].to_numpy(str)), np.searchsorted(taxa.astype(str), table["taxon"].to_numpy(str))] = table["gain"]
+    for cells in gains.join(broadcast_if_small(by_taxon), "taxon").join(broadcast_if_small(by_word), "word").select("w", "t", "gain").toArrow().to_batches():
+        w, t, gain = (c.to_numpy(zero_copy_only=False) for c in cells.columns)
+        weights[w, t] = gain
     held = seqs.sparkSession.sparkContext.broadcast((words.astype(f"S{k}"), weights, taxa, others["other"].to_numpy(float)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -185,6 +185,17 @@ def test_orientation_and_taxonomy(spark):
     assert found == {"fwd": "d__B;p__0;g__0", "rev": "d__B;p__1;g__3"}
 
 
+def test_model_comes_to_the_driver_by_numbers(spark, monkeypatch):
+    """The names of taxa and words are not repeated for every cell on the driver."""
+    refs = [(dna(150), f"d__B;p__{i // 2};g__{i}") for i in range(6)]
+    rows, frames = [], type(spark.range(1))
+    monkeypatch.setattr(frames, "toPandas", lambda self, own=frames.toPandas: (lambda x: rows.append(len(x)) or x)(own(self)))
+    seqs = spark.createDataFrame([(str(i), s[10:120]) for i, (s, _) in enumerate(refs)], "id string, seq string")
+    found = {r.id: r.taxon for r in N.classify(seqs, N.train(spark.createDataFrame(refs, "seq string, taxon string"))).collect()}
+    assert found == {str(i): t for i, (_, t) in enumerate(refs)}
+    assert sum(rows) <= 6 + len({s[i : i + 8] for s, _ in refs for i in range(143)})
+
+
 def test_closed_reference(spark):
     draw = random.Random(6)
     true = ["".join(draw.choice("ACGT") for _ in range(100)) for _ in range(3)]
