@@ -20,6 +20,8 @@ from tarnflow.session import broadcast_if_small, stage
 
 K_ORIENT, K_CLASS = 12, 8
 CONFIDENCE = 0.7
+USUAL, MOST_USUAL = 8, 200_000  # words of more tips are looked for last, as far as they are among the most usual ones
+SPARE = 3  # further words
 MODEL_CELLS = 8_000_000  # words by taxa of a model that is broadcast: 64 MB
 
 
@@ -141,18 +143,38 @@ def closed_reference(reads: DataFrame, references: DataFrame, tips: DataFrame |
 def place_near(seqs: DataFrame, tips: DataFrame, k: int = K_ORIENT, least: float = 0.5) -> DataFrame:
     """``feature_id`` and the ``tip`` with which each sequence shares most words, if it shares enough of its own.
 
-    A sequence of n words that shares m of them with a tip shares one of its n - m + 1 rarest; only those look for
-    candidates, so words that all sequences have don't. A stand-in for placement in a tree's likelihood: it
-    attaches to tips only.
+    A sequence of n words that shares m of them with a tip shares one of any n - m + 1 of them, and one more with each
+    further word; only so many look for candidates, words that very many tips have last. A sequence that is a tip itself
+    can only be equalled by tips that have all of its words, so one word and the further ones are enough. Words are looked up by their hashes, candidates are compared by the
+    words. A stand-in for placement in a tree's likelihood: it attaches to tips only.
     """
-    listed = seqs.select("id", F.array_distinct(S.words(F.col("seq"), k)).alias("words")).where(F.size("words") > 0)
-    known = tips.select(F.col("id").alias("tip"), F.array_distinct(S.words(F.col("seq"), k)).alias("tip_words"))
-    index = known.select("tip", F.explode("tip_words").alias("word"))
-    held = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(0)), "word"))
-    rare = listed.select("id", F.size("words").alias("size"), F.explode("words").alias("word")).join(held, "word", "left").withColumn("rank", rank)
-    seeds = rare.where((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * least) + 1) & F.col("n").isNotNull())
-    pairs = seeds.join(index, "word").select("id", "tip").distinct()
-    shared = pairs.join(listed, "id").join(known, "tip").withColumn("share", F.size(F.array_intersect("words", "tip_words")) / F.size("words"))
-    best = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("share"), "tip"))
-    return shared.where(F.col("share") >= least).withColumn("__n", best).where("__n = 1").select(F.col("id").alias("feature_id"), "tip", F.round("share", 6).alias("share"))
+    own = stage(seqs.select("id", F.upper("seq").alias("seq")).withColumn("q", F.monotonically_increasing_id()), "place-sequences")
+    known = stage(tips.select(F.col("id").alias("tip"), F.upper("seq").alias("seq")).withColumn("t", F.monotonically_increasing_id()), "place-tips")
+    hashed = F.transform(F.array_distinct(S.words(F.col("seq"), k)), lambda w: F.xxhash64(w))
+    index = known.select("t", F.explode(hashed).alias("word"))
+    usual = index.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > USUAL).orderBy(F.desc("n"), "word").limit(MOST_USUAL).orderBy("word").toArrow()
+    held = seqs.sparkSession.sparkContext.broadcast(tuple(np.append(usual.column(c).to_numpy(), 0) for c in ("word", "n")))
+    exact = known.select(F.xxhash64("seq").alias("h"), F.col("seq").alias("same")).distinct()
+    asked = own.join(exact, (F.xxhash64("seq") == F.col("h")) & (F.col("seq") == F.col("same")), "left").select("q", F.col("h").isNotNull().alias("is_tip"), hashed.alias("words"))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, times = held.value
+        for batch in batches:
+            at = batch.column("words").offsets.to_numpy()
+            words = batch.column("words").values.to_numpy()[at[0] : at[-1]]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            place = np.searchsorted(listed[:-1], words)
+            n = np.where((listed[place] == words) & (place < len(listed) - 1), times[place], 0)
+            order = np.lexsort((n, row))
+            size = np.diff(at)
+            needed = np.where(batch.column("is_tip").to_numpy(zero_copy_only=False), 1, np.minimum(size, size - np.ceil(size * least) + 1)).astype(np.int64)
+            spare = np.minimum(SPARE, size - needed)
+            first = (np.arange(len(row)) - (at[:-1] - at[0])[row]) < (needed + spare)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("q").to_numpy()[row[first]]), pa.array(words[order][first]), pa.array(spare[row[first]] + 1)], ["q", "word", "hits"])
+
+    seeds = asked.mapInArrow(rarest, "q long, word long, hits long")
+    pairs = seeds.join(index, "word").groupBy("q", "t").agg(F.count(F.lit(1)).alias("n"), F.max("hits").alias("hits")).where("n >= hits").select("q", "t")
+    both = pairs.join(own, "q").join(known.withColumnRenamed("seq", "tip_seq"), "t").select("id", "tip", F.array_distinct(S.words(F.col("seq"), k)).alias("words"), F.array_distinct(S.words(F.col("tip_seq"), k)).alias("tip_words"))
+    shared = both.select("id", "tip", (F.size(F.array_intersect("words", "tip_words")) / F.size("words")).alias("share")).where(F.col("share") >= least)
+    best = shared.groupBy("id").agg(F.min(F.struct((-F.col("share")).alias("less"), "tip")).alias("b"))
+    return best.select(F.col("id").alias("feature_id"), "b.tip", F.round(-F.col("b.less"), 6).alias("share"))

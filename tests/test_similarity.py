@@ -196,6 +196,22 @@ def test_model_comes_to_the_driver_by_numbers(spark, monkeypatch):
     assert sum(rows) <= 6 + len({s[i : i + 8] for s, _ in refs for i in range(143)})
 
 
+def test_nearest_tips_by_all_pairs(spark):
+    """Short and long sequences, tips among them, repeats of tips under other names: the tip with the largest share of words."""
+    roots = family(4, 5, 60)
+    seqs = roots + [r[:n] for r in roots[::3] for n in (11, 12, 15, 30)] + [roots[0], roots[0] + "ACGTACGTTT", dna(80)]
+    named = [(f"s{i:03d}", s) for i, s in enumerate(seqs)]
+    tips = [x for x in named if int(x[0][1:]) % 2 == 0] + [("r0", roots[0]), ("long", roots[0] + dna(30))]
+    words = lambda s: {s[i : i + 12] for i in range(len(s) - 11)}
+    want = {}
+    for name, s in named:
+        shares = [(-len(words(s) & words(t)) / len(words(s)), tip) for tip, t in tips] if words(s) else []
+        if shares and min(shares)[0] <= -0.5:
+            want[name] = (min(shares)[1], round(-min(shares)[0], 6))
+    found = N.place_near(spark.createDataFrame(named, "id string, seq string"), spark.createDataFrame(tips, "id string, seq string"))
+    assert {r.feature_id: (r.tip, r.share) for r in found.collect()} == want
+
+
 def test_closed_reference(spark):
     draw = random.Random(6)
     true = ["".join(draw.choice("ACGT") for _ in range(100)) for _ in range(3)]
