@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tarnflow.functions.text import camel, norm_null
 from tarnflow.schema import CONTENT_PATTERNS, PRIORITY_COLUMNS, ROUTES, RUN, SOURCE_PREFIXES, SOURCE_SUFFIXES
-from tarnflow.session import stage
+from tarnflow.session import broadcast_if_small, stage
 
 # ---- identifiers -----------------------------------------------------------------------------------------------
 
@@ -172,11 +172,21 @@ def standardized(table: DataFrame, dictionary: dict[str, str] | None = None, id_
 # ---- joins -----------------------------------------------------------------------------------------------------
 
 
+PAIRS_A_TASK = 10_000_000  # of rows without a key
+
+
 def full_join(left: DataFrame, right: DataFrame, key: str, suffix: str = "_biosample") -> DataFrame:
-    """Full outer join in which null keys match each other; the right side's clashing columns take the suffix."""
+    """Full outer join in which null keys match each other; the right side's clashing columns take the suffix.
+
+    Rows without a key are all pairs of such rows, which are dealt over tasks; as one key of a join they would be one task's.
+    """
     clash = set(left.columns) & set(right.columns) - {key}
     renamed = right.select(F.col(key).alias("__key"), *[F.col(c).alias(c + suffix if c in clash else c) for c in right.columns if c != key])
-    joined = left.join(renamed, F.col(key).eqNullSafe(F.col("__key")), "full")
+    joined = left.where(F.col(key).isNotNull()).join(renamed.where("__key is not null"), F.col(key) == F.col("__key"), "full")
+    a, b = stage(left.where(F.col(key).isNull()), "no-key-left"), stage(renamed.where("__key is null"), "no-key-right")
+    pairs = a.count() * b.count()
+    nulls = a.repartition(-(-pairs // PAIRS_A_TASK)).crossJoin(broadcast_if_small(b)) if pairs else a.unionByName(b, allowMissingColumns=True)
+    joined = joined.unionByName(nulls)
     return joined.withColumn(key, F.coalesce(key, "__key")).drop("__key")
 
 

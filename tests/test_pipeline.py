@@ -104,6 +104,16 @@ def test_consistency_errors(spark):
     M.require_same_ids(b, a, "id", subset=True)
 
 
+def test_rows_without_keys_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "PAIRS_A_TASK", 100)
+    left = spark.range(40).selectExpr("cast(null as string) as k", "id as a").unionAll(spark.createDataFrame([("x", 100)], "k string, a long"))
+    right = spark.range(30).selectExpr("cast(null as string) as k", "id as b")
+    joined = M.full_join(left, right, "k")
+    assert sorted(joined.collect(), key=str) == sorted([(None, a, b) for a in range(40) for b in range(30)] + [("x", 100, None)], key=str)
+    assert joined.where("k is null").groupBy(F.spark_partition_id()).count().count() > 4
+    assert sorted(M.full_join(left, right.limit(0), "k").collect(), key=str) == sorted([(None, a, None) for a in range(40)] + [("x", 100, None)], key=str)
+
+
 def test_null_keys_match_in_full_join(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 3), ("b", 4)], "k string, v int")
