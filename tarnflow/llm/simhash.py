@@ -35,7 +35,7 @@ from tarnflow.session import broadcast_if_small, stage
 SHINGLE, SEED, DISTANCE, FULL = 3, 42, 2, 64
 SEGMENTS, BITS = 6, 12  # neighbours share some bits; of the fingerprint over distinct five-word shingles
 NEAR_FULL = 16  # rows of a key that are all paired in ``near_dedup``
-ORDER_BY, ORDER_ADD = odd(SEGMENTS), odd(SEGMENTS)
+ORDER_BY, ORDER_ADD = odd("order by", SEGMENTS), odd("order add", SEGMENTS)
 #: For each byte value, its bits in the eight bytes of a word, so that sums of up to 255 bytes don't overflow.
 SPREAD = np.array([sum(((b >> i) & 1) << 8 * i for i in range(8)) for b in range(256)], np.uint64)
 

@@ -33,8 +33,8 @@ MIN_WORDS = 40
 BANDS, IN_BAND = 8, 3
 WINNOW, WINDOW = 20, 32
 RUN = WINNOW + WINDOW - 1  # words of a run that surely holds a window
-PERMUTE, SHIFT, WINDOW_BY, RUN_BY = odd(BANDS * IN_BAND), odd(BANDS * IN_BAND), odd(2 * WINDOW).reshape(2, WINDOW), odd(2 * RUN).reshape(2, RUN)
-BAND_BY = odd(IN_BAND)
+PERMUTE, SHIFT, BAND_BY = odd("permute", BANDS * IN_BAND), odd("shift", BANDS * IN_BAND), odd("band", IN_BAND)
+WINDOW_BY, RUN_BY = odd("window", 2 * WINDOW).reshape(2, WINDOW), odd("run", 2 * RUN).reshape(2, RUN)
 _SCHEMA = "kind string, uid long, doc long, `from` int, `to` int, d1 long, d2 long, bands array<long>"
 
 
