@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarnflow.operators import features as T
+from tarnflow.operators.metadata import numbered
+from tarnflow.session import broadcast_if_small, drop_staged, stage
 
 
 def _files(spark: SparkSession, name: str) -> tuple:
@@ -102,24 +107,38 @@ def otu_tsv(table: DataFrame, path: str, note: str) -> None:
     header.coalesce(1).unionAll(rows).write.mode("overwrite").text(path)
 
 
+#: In the ``generated_by`` of a document whose rows, columns and cells have a line each, in this order.
+BIOM_BY_LINES = "tarnflow, an item a line"
+
+
 def biom_json(table: DataFrame, path: str) -> None:
     """A feature table (``feature_id``, ``sample_id``, ``count``) in the sparse JSON layout of BIOM 1.0, for other tools.
 
-    The layout is one document, so this is for tables that other tools can open at all; Parquet is the engine's own form.
+    The folder's parts in the order of their names make up one document, of a line for each row, column and cell, so that
+    no task holds more than its own lines. A comma goes before every item but a list's first.
     """
-    ids = {}
-    for key in ("feature_id", "sample_id"):
-        ids[key] = table.agg(F.array_sort(F.collect_set(key)).alias(f"{key}s"))
-    numbered = [ids[k].select(F.posexplode(f"{k}s").alias(n, k)) for k, n in (("feature_id", "i"), ("sample_id", "j"))]
-    cells = table.join(numbered[0], "feature_id").join(numbered[1], "sample_id").select(F.array(F.col("i").cast("long"), F.col("j").cast("long"), F.col("count").cast("long")).alias("cell"))
-    data = cells.agg(F.array_sort(F.collect_list("cell")).alias("data"))
-    named = lambda c: F.transform(c, lambda x: F.struct(x.alias("id")))
-    whole = data.crossJoin(ids["feature_id"]).crossJoin(ids["sample_id"])  # one row each
-    parts = F.struct(
-        F.lit("Biological Observation Matrix 1.0.0").alias("format"), F.lit("OTU table").alias("type"), F.lit("sparse").alias("matrix_type"), F.lit("int").alias("matrix_element_type"),
-        F.array(F.size("feature_ids"), F.size("sample_ids")).alias("shape"), named(F.col("feature_ids")).alias("rows"), named(F.col("sample_ids")).alias("columns"), "data",
-    )
-    whole.select(F.to_json(parts).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    ids = {k: stage(numbered(table.select(k).where(F.col(k).isNotNull()).distinct(), k, "pos").select(k, (F.col("pos") - 1).alias(at)), f"biom-{k}") for k, at in (("feature_id", "i"), ("sample_id", "j"))}
+    placed = table.join(broadcast_if_small(ids["sample_id"]), "sample_id").join(broadcast_if_small(ids["feature_id"]), "feature_id")
+    cells = stage(placed.select("i", "j", F.col("count").cast("long").alias("n"), F.monotonically_increasing_id().alias("r")), "biom-cells")
+    first = cells.agg(F.min("r")).first()[0]
+    one = cells.sparkSession.range(1, numPartitions=1)
+    mark = {"id": None, "format": "Biological Observation Matrix 1.0.0", "type": "OTU table", "generated_by": BIOM_BY_LINES, "matrix_type": "sparse", "matrix_element_type": "int"}
+    head = json.dumps(mark | {"shape": [ids["feature_id"].count(), ids["sample_id"].count()]})[:-1]
+
+    def items(k: str, at: str) -> DataFrame:
+        text = F.to_json(F.struct(F.col(k).alias("id")))
+        return ids[k].repartitionByRange(at).sortWithinPartitions(at).select(F.concat(F.when(F.col(at) > 0, ",").otherwise(""), text).alias("value"))
+
+    cell = F.to_json(F.array("i", "j", "n"))
+    parts = [
+        one.select(F.lit(f'{head}, "rows": [').alias("value")), items("feature_id", "i"),
+        one.select(F.lit('], "columns": [').alias("value")), items("sample_id", "j"),
+        one.select(F.lit('], "data": [').alias("value")), cells.where(F.col("r") == first).select(cell.alias("value")).coalesce(1),
+        cells.where(F.col("r") != first).select(F.concat(F.lit(","), cell).alias("value")), one.select(F.lit("]}").alias("value")),
+    ]
+    functools.reduce(DataFrame.unionAll, parts).write.mode("overwrite").text(path)
+    for old in (*ids.values(), cells):
+        drop_staged(old)
 
 
 def finalize(spark: SparkSession, staging: str, final: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tarnflow.functions import sequence as S
 from tarnflow.operators import metadata as M
 from tarnflow.session import broadcast_if_small, stage
+from tarnflow.sources.sinks import BIOM_BY_LINES
 
 
 def id_lists(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,7 +202,13 @@ def otu_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def biom_json(spark: SparkSession, path: str) -> DataFrame:
-    """Long form of feature tables in the JSON layout of BIOM 1.0, sparse or dense, one file a table."""
+    """Long form of feature tables in the JSON layout of BIOM 1.0, sparse or dense, one file a table.
+
+    The document of ``sinks.biom_json``, which may be in parts and larger than a cell, is read by lines.
+    """
+    by_lines = F.col("value").startswith("{") & F.col("value").contains(f'"generated_by": "{BIOM_BY_LINES}"') & F.col("value").endswith("[")
+    if spark.read.text(path).where(by_lines).count() == 1:
+        return _biom_lines(spark, path)
     schema = "rows array<struct<id: string>>, columns array<struct<id: string>>, data array<array<double>>, matrix_type string"
     table = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("t")).select("t.*")
     cells = table.select("rows", "columns", "matrix_type", F.posexplode("data").alias("i", "d"))
@@ -211,6 +218,23 @@ def biom_json(spark: SparkSession, path: str) -> DataFrame:
     return long.select(F.get("rows", F.col("r"))["id"].alias("feature_id"), F.get("columns", F.col("c"))["id"].alias("sample_id"), F.col("v").cast("long").alias("count"))
 
 
+def _biom_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Long form of one document of a line for each row, column and cell; places are those of the lines."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select(at.alias("at"), "value")
+    is_cell = F.col("value").rlike(r"^,?\[")
+    # All other lines in one numbering: the head, the rows, the line between, the columns, and two more.
+    others = stage(M.numbered(lines.where(~is_cell), "at", "pos").drop("at"), "biom-lines")
+    between = others.where(F.col("value").startswith('], "columns"')).agg(F.min("pos")).first()[0]
+    items = others.where(F.col("value").rlike(r"^,?\{")).select("pos", F.get_json_object(F.ltrim(F.col("value"), F.lit(",")), "$.id").alias("id"))
+    rows = items.where((F.col("pos") > 1) & (F.col("pos") < between)).select((F.col("pos") - 2).alias("r"), F.col("id").alias("feature_id"))
+    columns = items.where(F.col("pos") > between).select((F.col("pos") - between - 1).alias("c"), F.col("id").alias("sample_id"))
+    cell = F.from_json(F.ltrim(F.col("value"), F.lit(",")), "array<double>")
+    cells = lines.where(is_cell).select(cell.alias("d")).select(F.col("d")[0].cast("long").alias("r"), F.col("d")[1].cast("long").alias("c"), F.col("d")[2].cast("long").alias("count"), F.col("d")[2].alias("v")).where("v > 0")
+    named = cells.join(broadcast_if_small(stage(columns, "biom-columns")), "c").join(broadcast_if_small(stage(rows, "biom-rows")), "r")
+    return named.select("feature_id", "sample_id", "count")
+
+
 def seven_numbers(spark: SparkSession, path: str) -> DataFrame:
     """``pos``, ``reads`` and quantiles of a seven-number table, whose first line has the positions."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).where("trim(line) <> ''")

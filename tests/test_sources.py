@@ -152,6 +152,27 @@ def test_biom_json(spark, tmp_path):
         assert sorted(map(tuple, texts.biom_json(spark, str(tmp_path / f"{name}.biom")).collect())) == [("f1", "S2", 5), ("f2", "S1", 2)]
 
 
+def test_biom_in_parts(spark, tmp_path):
+    """The sink's document is valid as a whole, is written and read by lines, and bears odd names, repeats and nulls."""
+    names = [f'f "{i}", {{[{i % 7}]}}\n' for i in range(60)]
+    rows = [(names[i % 60], f"S{i * 37 % 900:03d},", 1 + i % 9) for i in range(3000)] + [(names[0], None, 3), (None, "S000,", 3), (names[1], "S001,", None), ("zero", "S000,", 0)]
+    table = spark.createDataFrame(rows, "feature_id string, sample_id string, count long")
+    sinks.biom_json(table.repartition(3), str(tmp_path / "biom"))
+    parts = sorted((tmp_path / "biom").glob("part-*"))
+    lines = "".join(p.read_text() for p in parts).split("\n")
+    whole = json.loads("\n".join(lines))
+    assert len(parts) > 1 and max(map(len, lines)) < 300 and whole["shape"] == [len(whole["rows"]), len(whole["columns"])]
+    feature, sample = ([x["id"] for x in whole[k]] for k in ("rows", "columns"))
+    want = sorted(r for r in rows if r[0] and r[1] and r[2])
+    assert feature == sorted({r[0] for r in rows if r[0]}) and sample == sorted({r[1] for r in rows if r[1]})
+    assert sorted((feature[i], sample[j], n) for i, j, n in whole["data"] if n) == want
+    assert sorted(map(tuple, texts.biom_json(spark, str(tmp_path / "biom")).collect())) == want
+    one = put(tmp_path / "one.biom", "\n".join(lines))
+    assert sorted(map(tuple, texts.biom_json(spark, one).collect())) == want
+    sinks.biom_json(table.limit(0), str(tmp_path / "none"))
+    assert texts.biom_json(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_file_report(spark, tmp_path):
     path = put(tmp_path / "f.tsv", "run_accession\tfastq_ftp\nSRR1\th/SRR1.fastq.gz;h/SRR1_1.fastq.gz;h/SRR1_2.fastq.gz\nSRR2\th/SRR2.fastq.gz\n")
     files = texts.chosen_files(texts.file_report(spark, path))
