@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tarnflow.llm.hot_keys import joined
@@ -31,17 +35,42 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
-def components(edges: DataFrame, tag: str = "components") -> DataFrame:
+def _least(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges that aren't their own root, and their roots: hooking to the lesser label, then jumping."""
+    nodes, codes = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, label = codes[: len(u)], codes[len(u) :], np.arange(len(nodes))
+    while (label[a] != label[b]).any():
+        of_a, of_b = label[a], label[b]
+        np.minimum.at(label, np.maximum(of_a, of_b), np.minimum(of_a, of_b))
+        while (label[label] != label).any():
+            label = label[label]
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    if held:
+        u, v = (np.concatenate([x.column(c).to_numpy(zero_copy_only=False) for x in held]) for c in ("u", "v"))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _least(u, v)], names=["node", "root"])
+
+
+def components(edges: DataFrame, tag: str = "components", at_once: int = 0) -> DataFrame:
     """``node`` and ``root``, the least node it reaches, for every node of an edge that isn't its own root.
 
     ``edges`` has whole numbers ``u`` and ``v`` in any direction, repeats and loops allowed; edges with a
     null end count for nothing. Rounds grow with the logarithm of the components' size. A step moves
     each edge a bounded number of times, aggregates before it shuffles, and is written to the shared
-    folder, so no node's neighbours are ever gathered in one place. No edges give an empty result.
+    folder, so no node's neighbours are ever gathered in one place; but up to ``at_once`` distinct edges are taken by one
+    task, which some rounds over as many files cost more than. No edges give an empty result.
     """
     clean = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = stage(clean, tag)
     was = _state(now)
+    if 0 < was[0] <= at_once:
+        found = stage(now.coalesce(1).mapInArrow(_at_once, "node long, root long"), tag)
+        drop_staged(now)
+        return found
     while was[0]:
         large, least = _large_star(now, was[0], tag)
         new = stage(_small_star(large), tag)

@@ -30,11 +30,11 @@ from tarnflow.llm.batches import map_slices
 from tarnflow.llm.components import components
 from tarnflow.llm.similar_sets import SHINGLE_BY, SIMILARITY, mixed, odd, shingled
 from tarnflow.llm.survivors import surviving
-from tarnflow.session import broadcast_if_small, stage
+from tarnflow.session import BROADCAST_ROWS, broadcast_if_small, stage
 
 SHINGLE, SEED, DISTANCE, FULL = 3, 42, 2, 64
 SEGMENTS, BITS = 6, 12  # neighbours share some bits; of the fingerprint over distinct five-word shingles
-NEAR_FULL = 16  # rows of a key that are all paired in ``near_dedup``
+NEAR_FULL, NEAR_BLOCK = 16, 1024  # in ``near_dedup``: rows of a key that are all paired, rows of a block of a larger key's
 ORDER_BY, ORDER_ADD = odd("order by", SEGMENTS), odd("order add", SEGMENTS)
 #: For each byte value, its bits in the eight bytes of a word, so that sums of up to 255 bytes don't overflow.
 SPREAD = np.array([sum(((b >> i) & 1) << 8 * i for i in range(8)) for b in range(256)], np.uint64)
@@ -151,15 +151,15 @@ def _shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(found) if len(found) else mixed(np.add.reduce(words * SHINGLE_BY[: len(words)], keepdims=True))
 
 
-def neighbourhoods(words: np.ndarray) -> tuple[int, np.ndarray]:
-    """The fingerprint and the keys of a text: for each segment of its fingerprint, the values within one bit of it, with the segment's anchor.
+def neighbourhoods(words: np.ndarray) -> tuple[int, int, np.ndarray]:
+    """The fingerprint, the number of distinct shingles and the keys of a text: for each segment of its fingerprint, the values within one bit of it, with the segment's anchor.
 
     The fingerprint is made of the distinct shingles. A segment's anchor is the shingle that comes first in the
     segment's own order: a segment alone has too few values to keep unrelated documents apart, whatever their number.
     """
     found = _shingle_set(words)
     if not len(found):
-        return 0, np.empty(0, np.int64)
+        return 0, 0, np.empty(0, np.int64)
     lanes = SPREAD[found.view(np.uint8).reshape(-1, 8)]
     groups = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
     ones = groups.view(np.uint8).reshape(len(groups), 64).sum(axis=0, dtype=np.int64)
@@ -168,7 +168,7 @@ def neighbourhoods(words: np.ndarray) -> tuple[int, np.ndarray]:
     segments = (value >> shifts) & np.uint64((1 << BITS) - 1)
     balls = segments[:, None] ^ np.concatenate([[0], 1 << np.arange(BITS)]).astype(np.uint64)
     anchors = np.array([mixed(found * by + add).min() for by, add in zip(ORDER_BY, ORDER_ADD, strict=True)])
-    return int(value.view(np.int64)), mixed(anchors[:, None] + mixed(balls + np.uint64(1))).view(np.int64).ravel()
+    return int(value.view(np.int64)), len(found), mixed(anchors[:, None] + mixed(balls + np.uint64(1))).view(np.int64).ravel()
 
 
 def _most_distance(similarity: float) -> int:
@@ -182,7 +182,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", simi
 
     Documents are linked whose sets of five-word shingles (A-Z lower-cased, words end at ASCII white space) have a Jaccard
     similarity of ``similarity`` or more. Two candidates have segments of their fingerprints within two bits and one
-    anchor; candidates are verified by the distance of their whole fingerprints, then on their whole sets, and groups are
+    anchor; candidates are verified by the distance of their whole fingerprints and the sizes of their sets, then on their whole sets, and groups are
     the components of the links. At a similarity of 0.8 a pair becomes a candidate with probability 0.995, more above.
 
     Texts of the same words are one group, texts without words (null, empty) are too; a text of fewer than five
@@ -196,28 +196,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", simi
             words = [_hashed_words(t or b"") for t in part.column("text").cast(pa.binary()).to_pylist()]
             digests = [xxhash.xxh3_128_intdigest(w.tobytes()) for w in words]
             made = [neighbourhoods(w) for w in words]
-            return [[(d >> 64) - (1 << 63) for d in digests], [(d & (1 << 64) - 1) - (1 << 63) for d in digests], [v for v, _ in made], [k for _, k in made]]
+            return [[(d >> 64) - (1 << 63) for d in digests], [(d & (1 << 64) - 1) - (1 << 63) for d in digests], *map(list, zip(*made, strict=True))]
 
         return apply
 
     def make_sets():
         return lambda part: [[_shingle_set(_hashed_words(t or b"")).view(np.int64) for t in part.column("text").cast(pa.binary()).to_pylist()]]
 
-    fields = [T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))]
     found = stage(map_slices(source, ["id", "key", "r"], "text", fields, make), "near-keys")
     first = F.min(F.struct("r", "id", "key", "fp")).alias("first")
     nodes = stage(found.groupBy("d1", "d2").agg(first).select("d1", "d2", F.col("first.r").alias("rep"), "first.id", "first.key", "first.fp"), "near-nodes")
-    keyed = found.select(F.col("r").alias("rep"), "keys").join(nodes.select("rep"), "rep", "left_semi")
+    keyed = found.select(F.col("r").alias("rep"), "keys", F.struct("fp", "size").alias("sketch")).join(nodes.select("rep"), "rep", "left_semi")
 
     def sets_of(asked: DataFrame) -> DataFrame:
         wanted = stage(nodes.join(asked, "rep", "left_semi").select("rep", F.col("id").alias("own_id"), F.col("key").alias("own_key")), "near-asked")
         rows = source.drop("r").join(broadcast_if_small(wanted), F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key")))
         return map_slices(rows, ["rep"], "text", [T.StructField("shingles", T.ArrayType(T.LongType()))], make_sets)
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        of = lambda rep, fp: nodes.select(F.col("rep").alias(rep), F.col("fp").alias(fp))
-        return pairs.join(of("u", "fu"), "u").join(of("v", "fv"), "v").where(F.bit_count(F.col("fu").bitwiseXOR(F.col("fv"))) <= _most_distance(similarity)).select("u", "v")
+    def likely(a: Column, b: Column) -> Column:
+        near = F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= _most_distance(similarity)
+        return near & (F.least(a["size"], b["size"]) >= similarity * F.greatest(a["size"], b["size"]))
 
-    roots = similar_sets.roots(keyed, sets_of, similarity, BITS + 1, "near", full, likely)
+    roots = similar_sets.roots(keyed, sets_of, similarity, BITS + 1, "near", full, likely, BROADCAST_ROWS, NEAR_BLOCK)
     classes = nodes.join(roots, F.col("rep") == F.col("node"), "left").select("d1", "d2", F.coalesce("root", "rep").alias("component"))
-    return _kept(docs, id_col, key, found.drop("keys", "fp").join(classes, ["d1", "d2"]))
+    return _kept(docs, id_col, key, found.drop("keys", "fp", "size").join(classes, ["d1", "d2"]))

@@ -51,45 +51,49 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def roots(
-    keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, per_band: int, tag: str, full: int = FULL, likely: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
+    keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, per_band: int, tag: str, full: int = FULL,
+    likely: Callable[[Column, Column], Column] | None = None, at_once: int = 0, block: int | None = None,
+) -> DataFrame:
     """``node`` and ``root``, the least ``rep`` that links reach, for every row that is linked to a lesser one.
 
     ``keyed`` has distinct ``rep`` and ``keys`` (array<long>, ``per_band`` distinct keys after another belong to one
     band, the row's own first; bands have keys of their own). Rows that share a key are linked if the Jaccard similarity of their sets is at
     least ``similarity``. ``sets_of`` gives, for a frame of ``rep``, their ``shingles`` (array<long>, distinct);
-    ``likely`` may leave out pairs ``u``, ``v`` that can't be similar.
+    ``likely`` tells of two values of the column ``sketch``, which ``keyed`` has then, whether their sets can be similar.
+    Up to ``at_once`` links are made components of by one task. Crowded keys are cut in blocks of ``block`` rows.
     """
-    rows = keyed.select("rep", F.posexplode("keys").alias("place", "key"))
+    known = ["sketch"] if likely else []
+    can = (lambda a, b: likely(F.col(a), F.col(b))) if likely else (lambda a, b: F.lit(True))
+    rows = keyed.select("rep", *known, F.posexplode("keys").alias("place", "key"))
     buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("size", F.col("n")), f"{tag}-buckets")
     held = buckets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     met = rows.join(F.broadcast(buckets.drop("size")), "key") if held[0] <= BROADCAST_ROWS else joined(rows, buckets, ["key"], held[1]).withColumnRenamed("size", "n")
     met = stage(met, f"{tag}-bands")
     drop_staged(buckets)
     # Rows of one own key are compared with a few of them first: copies of one text, however many, are linked by that.
-    own = met.where(F.col("place") % per_band == 0).select("key", "rep")
-    leaders = [F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
+    own = met.where(F.col("place") % per_band == 0).select("key", "rep", *known)
+    leaders = [F.min_by(c, F.xxhash64("rep", F.lit(i))).alias(f"{name}{i}") for i in range(LEADERS) for c, name in (("rep", "l"), ("sketch", "s"))[: 1 + len(known)]]
     lead = stage(own.groupBy("key").agg(*leaders, F.count(F.lit(1)).alias("n")).where("n > 1"), f"{tag}-leaders")
     led = joined(own, lead, ["key"], met.count())
-    with_one = [led.where(f"rep <> l{i}").select(F.least("rep", f"l{i}").alias("u"), F.greatest("rep", f"l{i}").alias("v")) for i in range(LEADERS)]
+    with_one = [led.where(f"rep <> l{i}").where(can("sketch", f"s{i}")).select(F.least("rep", f"l{i}").alias("u"), F.greatest("rep", f"l{i}").alias("v")) for i in range(LEADERS)]
     pairs = stage(functools.reduce(DataFrame.unionAll, with_one).distinct(), f"{tag}-led")
-    found = components(_alike(likely(pairs) if likely else pairs, sets_of, similarity, tag), f"{tag}-components")
+    found = components(_alike(pairs, sets_of, similarity, tag), f"{tag}-components", at_once)
     drop_staged(lead)
 
     def closed(more: DataFrame) -> DataFrame:
         links = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more.select("u", "v"))
-        return components(links, f"{tag}-components")
+        return components(links, f"{tag}-components", at_once)
 
     # Other pairs of a key's rows only matter where they are in different components.
-    placed = met.where(F.col("n") <= full).select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    a, b = placed.select("key", F.col("rep").alias("u"), F.col("root").alias("ru")), placed.select("key", F.col("rep").alias("v"), F.col("root").alias("rv"))
-    rest = a.join(b, "key").where("u < v and ru <> rv").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")
-    found = closed(_alike(likely(rest) if likely else rest, sets_of, similarity, tag))
+    placed = met.where(F.col("n") <= full).join(found, F.col("rep") == F.col("node"), "left").select("key", "rep", *known, F.coalesce("root", "rep").alias("root"))
+    side = lambda at: placed.select("key", F.col("rep").alias(at), F.col("root").alias(f"r{at}"), *[F.col(c).alias(f"s{at}") for c in known])
+    rest = side("u").join(side("v"), "key").where("u < v and ru <> rv").where(can("su", "sv")).select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")
+    found = closed(_alike(rest, sets_of, similarity, tag))
     drop_staged(pairs)
     crowded = met.where(F.col("n") > full)
     # One band first: its links leave the other bands little to verify.
     for part in (F.col("place") < per_band, F.col("place") >= per_band) if crowded.head(1) else ():
-        found = closed(_rest(crowded.where(part), found, sets_of, similarity, tag))
+        found = closed(_rest(crowded.where(part).select("key", "rep"), found, sets_of, similarity, tag, block or BLOCK))
     drop_staged(met)
     return found
 
@@ -147,7 +151,7 @@ def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
     return pd.DataFrame({"u": roots[moved], "v": roots[label[moved]]})
 
 
-def _rest(crowded: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, tag: str) -> DataFrame:
+def _rest(crowded: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, tag: str, block: int) -> DataFrame:
     """Links ``u``, ``v`` of roots by the pairs of crowded keys that are in different components so far.
 
     The rows of a key's most frequent component are only compared with the others.
@@ -156,8 +160,11 @@ def _rest(crowded: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], D
     rows = stage(crowded.join(found, F.col("rep") == F.col("node"), "left").select(*key, "rep", F.coalesce("root", "rep").alias("root")), f"{tag}-crowded")
     most = rows.groupBy(*key).agg(F.mode("root").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*key, "main")
     left = stage(rows.join(most, key).withColumn("is_main", F.col("root") == F.col("main")), f"{tag}-open")
-    blocks = lambda is_main: F.ceil(F.count_if(F.col("is_main") == is_main) / BLOCK)
-    dealt = left.join(left.groupBy(*key).agg(blocks(False).alias("others"), blocks(True).alias("mains")), key)
+    blocks = lambda is_main: F.ceil(F.count_if(F.col("is_main") == is_main) / block)
+    # A key of one block's rows is compared at once, each row in one place.
+    single = F.count(F.lit(1)) <= block
+    counts = left.groupBy(*key).agg(F.when(single, 1).otherwise(blocks(False)).alias("others"), F.when(single, 0).otherwise(blocks(True)).alias("mains"))
+    dealt = left.join(counts, key).withColumn("is_main", F.col("is_main") & (F.col("mains") > 0))
     salt = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
     met = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
     dealt = dealt.withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))

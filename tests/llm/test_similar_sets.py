@@ -4,6 +4,11 @@ import os
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
+from tarnflow.llm import similar_sets
+from tarnflow.llm.components import components
+
 
 def test_constants_of_any_import_order():
     """Python workers import the modules in the order of their tasks; keys that two workers make must agree."""
@@ -11,3 +16,27 @@ def test_constants_of_any_import_order():
     show = f"print([[int(x) for x in getattr(substring_dedup, n, getattr(simhash, n, None)).ravel()] for n in {names}])"
     run = lambda order: subprocess.run([sys.executable, "-c", f"from tarnflow.llm import {order}\n{show}"], capture_output=True, text=True, check=True, env=os.environ).stdout
     assert run("simhash, substring_dedup") == run("substring_dedup, simhash") != ""
+
+
+def test_components_by_one_task(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (5, 5), (9, 8), (8, 7), (None, 3), *[(i, i + 1) for i in range(20, 60)], *[(100, i) for i in range(101, 160)]]
+    frame = spark.createDataFrame(edges, "u long, v long")
+    few, many = ({tuple(r) for r in components(frame, at_once=n).collect()} for n in (0, 1000))
+    assert few == many and len(many) > 90
+    assert components(frame.limit(0), at_once=1000).count() == 0
+
+
+def test_pairs_that_cannot_be_similar_are_not_made(spark):
+    """Rows of one key: sketches of unequal sizes bring no pairs, crowded keys of one block are dealt once."""
+    sets = {i: list(range(100)) if i < 3 else [*range(100), *range(1000 * i, 1000 * i + 300 + i)] for i in range(30)}
+    keyed = spark.createDataFrame([(i, [7], (len(s),)) for i, s in sets.items()], "rep long, keys array<long>, sketch struct<size: int>")
+    all_sets, asked = spark.createDataFrame(list(sets.items()), "rep long, shingles array<long>"), []
+
+    def sets_of(reps):
+        asked.append({r.rep for r in reps.collect()})
+        return all_sets.join(reps, "rep", "left_semi")
+
+    likely = lambda a, b: F.least(a["size"], b["size"]) >= 0.8 * F.greatest(a["size"], b["size"])
+    found = [{tuple(r) for r in similar_sets.roots(keyed.where(w), sets_of, 0.8, 1, "t", full, likely, 1000, 64).collect()} for w, full in (("rep < 4", 32), ("true", 4))]
+    assert found == [{(1, 0), (2, 0)}] * 2
+    assert asked[0] | asked[1] == {0, 1, 2} and any(3 in x for x in asked[2:])
