@@ -93,7 +93,7 @@ def roots(
     crowded = met.where(F.col("n") > full)
     # One band first: its links leave the other bands little to verify.
     for part in (F.col("place") < per_band, F.col("place") >= per_band) if crowded.head(1) else ():
-        found = closed(_rest(crowded.where(part).select("key", "rep"), found, sets_of, similarity, tag, block or BLOCK))
+        found = closed(_rest(crowded.where(part).select("key", "n", "rep"), found, sets_of, similarity, tag, block or BLOCK))
     drop_staged(met)
     return found
 
@@ -154,21 +154,27 @@ def _linked(block: pd.DataFrame, similarity: float) -> pd.DataFrame:
 def _rest(crowded: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float, tag: str, block: int) -> DataFrame:
     """Links ``u``, ``v`` of roots by the pairs of crowded keys that are in different components so far.
 
-    The rows of a key's most frequent component are only compared with the others.
+    ``crowded`` has ``key``, ``rep`` and ``n``, the key's number of rows. The rows of a key's most frequent component are
+    only compared with the others.
     """
     key = ["key"]
-    rows = stage(crowded.join(found, F.col("rep") == F.col("node"), "left").select(*key, "rep", F.coalesce("root", "rep").alias("root")), f"{tag}-crowded")
-    most = rows.groupBy(*key).agg(F.mode("root").alias("main"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*key, "main")
-    left = stage(rows.join(most, key).withColumn("is_main", F.col("root") == F.col("main")), f"{tag}-open")
-    blocks = lambda is_main: F.ceil(F.count_if(F.col("is_main") == is_main) / block)
-    # A key of one block's rows is compared at once, each row in one place.
-    single = F.count(F.lit(1)) <= block
-    counts = left.groupBy(*key).agg(F.when(single, 1).otherwise(blocks(False)).alias("others"), F.when(single, 0).otherwise(blocks(True)).alias("mains"))
-    dealt = left.join(counts, key).withColumn("is_main", F.col("is_main") & (F.col("mains") > 0))
+    rows = stage(crowded.join(found, F.col("rep") == F.col("node"), "left").select(*key, "n", "rep", F.coalesce("root", "rep").alias("root")), f"{tag}-crowded")
+    one, more = rows.where(F.col("n") <= block), rows.where(F.col("n") > block)
+    # A key of one block's rows is compared at once, each row in one place: nothing of the key is joined to its rows.
+    mixed_keys = one.groupBy(*key).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    zero = F.lit(0).cast("long")
+    one = one.join(mixed_keys, key, "left_semi").select(*key, "rep", "root", F.lit(False).alias("is_main"), (zero + 1).alias("others"), zero.alias("mains"))
+    # A larger key gets the numbers of blocks of its most frequent component and of the others, by one join.
+    held = more.groupBy(*key, "n", "root").agg(F.count(F.lit(1)).alias("c")).groupBy(*key, "n")
+    most = held.agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("c"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    most = most.select(*key, "main", F.ceil((F.col("n") - F.col("c")) / block).alias("others"), F.ceil(F.col("c") / block).alias("mains"))
+    more = more.join(most, key).select(*key, "rep", "root", (F.col("root") == F.col("main")).alias("is_main"), "others", "mains")
+    left = stage(one.unionByName(more), f"{tag}-open")
     salt = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
     met = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))
-    dealt = dealt.withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
-    dealt = dealt.select(*key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "root")
+    dealt = left.where("mains > 0").withColumn("block", salt + F.when(F.col("is_main"), F.col("others")).otherwise(0))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(zero, met - 1))).select(*key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "root")
+    dealt = dealt.unionByName(left.where("mains = 0").select(*key, zero.alias("i"), zero.alias("j"), zero.alias("block"), "rep", "root"))
     sets = _sets(left.select("rep"), sets_of, tag)
     whole = dealt.join(sets, "rep").select(*key, "i", "j", "block", "root", "shingles")
 

@@ -1,6 +1,7 @@
 """Links between similar sets: what does not hang on the worker, the order of modules, or the size of a group."""
 
 import os
+import re
 import subprocess
 import sys
 
@@ -40,3 +41,38 @@ def test_pairs_that_cannot_be_similar_are_not_made(spark):
     found = [{tuple(r) for r in similar_sets.roots(keyed.where(w), sets_of, 0.8, 1, "t", full, likely, 1000, 64).collect()} for w, full in (("rep < 4", 32), ("true", 4))]
     assert found == [{(1, 0), (2, 0)}] * 2
     assert asked[0] | asked[1] == {0, 1, 2} and any(3 in x for x in asked[2:])
+
+
+def joined_by_key(spark, since):
+    """Rows of all inner joins by ``key`` alone that queries from number ``since`` on made, and the next query's number."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, rows, last = spark._jsparkSession.sharedState().statusStore(), 0, since
+    runs = store.executionsList()
+    for run in (runs.apply(i) for i in range(runs.size())):
+        last = max(last, run.executionId() + 1)
+        if run.executionId() < since:
+            continue
+        values, nodes = store.executionMetrics(run.executionId()), store.planGraph(run.executionId()).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            if re.search(r"Join \[key#\d+L?\], \[key#\d+L?\], Inner(, Build\w+)?(, false)?$", node.desc()):
+                found = [node.metrics().apply(i) for i in range(node.metrics().size())]
+                told = [values.get(m.accumulatorId()) for m in found if m.name() == "number of output rows"]
+                rows += sum(int(x.get().replace(",", "")) for x in told if x.isDefined())
+    return rows, last
+
+
+def test_rows_of_crowded_keys_are_joined_once(spark):
+    """Keys of one block, whose rows are of many components: no more rows by joins of the key than there are rows of it."""
+    base = lambda i: range(1000 * i, 1000 * i + 90)
+    sets = {i: [*base(i - i % 10 if i % 10 < 2 else i), *range(10_000_000 + 10 * i, 10_000_000 + 10 * i + 5)] for i in range(60)}
+    shared = [7, 8, 9]
+    keyed = spark.createDataFrame([(i, [100 + i, *shared]) for i in sets], "rep long, keys array<long>").repartition(3)
+    all_sets = spark.createDataFrame(list(sets.items()), "rep long, shingles array<long>")
+    _, since = joined_by_key(spark, 0)
+    run = lambda block: {tuple(r) for r in similar_sets.roots(keyed, lambda reps: all_sets.join(reps, "rep", "left_semi"), 0.8, 4, "t", 4, block=block).collect()}
+    expected = {(i + 1, i) for i in range(0, 60, 10)}
+    assert run(64) == expected
+    made, since = joined_by_key(spark, since)
+    assert 0 < made <= len(sets) * len(shared)
+    assert run(8) == expected  # each key in many blocks
+    assert joined_by_key(spark, since)[0] <= 2 * len(sets) * len(shared)
