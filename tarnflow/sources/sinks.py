@@ -95,16 +95,17 @@ def feature_table(table: DataFrame, seqs: DataFrame, path: str) -> None:
     T.same_features(seqs, table).write.mode("overwrite").parquet(f"{path}/sequences")
 
 
-def otu_tsv(table: DataFrame, path: str, note: str) -> None:
+def otu_tsv(table: DataFrame, path: str, note: str, compression: str | None = None) -> None:
     """A feature table as text, a column a sample, below a comment and a header.
 
-    The folder's parts in the order of their names make up the text; the first holds the header.
+    The folder's parts in the order of their names make up the text; the first holds the header. Its zeros grow with
+    features times samples, so the parts of large tables should have a ``compression`` that the reader knows by their names.
     """
     places = T.sample_places(table)
     names = places.agg(F.sort_array(F.collect_list(F.struct("place", "sample_id"))).alias("x"))
     header = names.select(F.concat(F.lit(f"# {note}\n"), F.array_join(F.concat(F.array(F.lit("#OTU ID")), F.col("x")["sample_id"]), "\t")).alias("value"))
     rows = T.pivoted(table, places).select(F.concat("feature_id", F.lit("\t"), T.dense(places.count(), "\t")).alias("value"))
-    header.coalesce(1).unionAll(rows).write.mode("overwrite").text(path)
+    header.coalesce(1).unionAll(rows).write.mode("overwrite").text(path, compression=compression)
 
 
 #: In the ``generated_by`` of a document whose rows, columns and cells have a line each, in this order.

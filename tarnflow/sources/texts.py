@@ -6,12 +6,17 @@ import functools
 import io
 import re
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tarnflow.functions import sequence as S
 from tarnflow.operators import metadata as M
+from tarnflow.operators.letters import bytes_of
 from tarnflow.session import broadcast_if_small, stage
 from tarnflow.sources.sinks import BIOM_BY_LINES
 
@@ -182,22 +187,87 @@ def attribute_dictionary(answers: DataFrame, text: str = "value") -> DataFrame:
     return blocks.select(one("HarmonizedName").alias("name"), F.explode(words).alias("synonym")).where("name <> '' and synonym <> ''")
 
 
+#: Runs of zeros in a line of a wide table and the line breaks that stand for them, as no line holds any itself.
+_ZEROS = (("\t0" * 64, "\n"), ("\n" * 64, "\r"))
+#: Cells that begin at a byte.
+_CELLS = np.zeros(256, np.int64)
+_CELLS[[9, 10, 13]] = 1, 64, 64 * 64
+
+
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes between each start and end as strings."""
+    at = np.concatenate([[0], np.cumsum(end - start)])
+    own = data[np.arange(at[-1]) + np.repeat(start - at[:-1], end - start)]
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(own)])
+
+
+def filled_cells(lines: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray]:
+    """Of folded lines the first cells, the places and texts of the others that aren't 0, and which lines can't be read
+    folded: those where the last zero of a run was only the beginning of a cell, as in 0.5."""
+    data, offsets = bytes_of(lines)
+    seps = np.flatnonzero(_CELLS.astype(bool)[data])
+    first = np.searchsorted(seps, offsets)
+    row = np.repeat(np.arange(len(lines)), np.diff(first))
+    end = np.minimum(np.append(seps, len(data))[1:], offsets[row + 1])
+    before = np.concatenate([[0], np.cumsum(_CELLS[data[seps]])])
+    place = before[1:] - before[first[row]]
+    tab, size = data[seps] == 9, end - seps - 1
+    odd = np.zeros(len(lines), bool)
+    odd[row[~tab & (size > 0)]] = True
+    kept = np.flatnonzero(tab & ~((size == 1) & (np.append(data, 0)[seps + 1] == 48)))
+    named = np.minimum(np.append(seps, len(data))[first[:-1]], offsets[1:])
+    at = pa.array(np.searchsorted(row[kept], np.arange(len(lines) + 1)).astype(np.int32))
+    lists = (pa.array(place[kept].astype(np.int32)), _strings(data, seps[kept] + 1, end[kept]).cast(pa.string()))
+    return _strings(data, offsets[:-1], named).cast(pa.string()), *(pa.ListArray.from_arrays(at, x) for x in lists), odd
+
+
+def _wide_rows(lines: DataFrame) -> DataFrame:
+    """The first cell of each ``line`` and the ``places`` and ``texts`` of the others that aren't 0, beside the other columns.
+
+    Zeros are folded in the JVM, so that few bytes of a wide line go to Python.
+    """
+    kept = [c for c in lines.columns if c != "line"]
+    made = [T.StructField("name", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("texts", T.ArrayType(T.StringType()))]
+    schema = T.StructType([lines.schema[c] for c in kept] + made)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(batch: pa.RecordBatch, found: tuple) -> pa.RecordBatch:
+            columns = [*(batch.column(c) for c in kept), *found]
+            return pa.RecordBatch.from_arrays([c.cast(arrow.field(i).type) for i, c in enumerate(columns)], schema=arrow)
+
+        for batch in batches:
+            *found, odd = filled_cells(batch.column("line"))
+            plain = pa.array(~odd)
+            yield out(batch.filter(plain), [x.filter(plain) for x in found])
+            for i in np.flatnonzero(odd).tolist():  # one at a time, as they are as long as they were
+                text = batch.column("line")[i].as_py()
+                for run_of, mark in reversed(_ZEROS):
+                    text = text.replace(mark, run_of)
+                yield out(batch.slice(i, 1), filled_cells(pa.array([text]))[:3])
+
+    folded = functools.reduce(lambda c, x: F.replace(c, F.lit(x[0]), F.lit(x[1])), _ZEROS, F.col("line"))
+    return lines.select(*kept, folded.alias("line")).mapInArrow(run, schema)
+
+
 def otu_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Long form of a feature table in text, with or without comment lines before its header.
 
     The text may be one file or parts of one table; parts without a header have the first part's columns. Files are read
-    by lines, so tables may be larger than a cell.
+    by lines, so tables may be larger than a cell, and once, as their zeros may be many times the rest.
     """
     at = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), F.col("value").alias("line")).where("trim(line) <> ''")
-    is_header = F.col("line").rlike(r"^#?(?:OTU ID|OTU|Feature ID)\t")
-    heads = stage(lines.where(is_header).groupBy("file").agg(F.min_by("line", "at").alias("names"), F.min("at").alias("head")), "otu-heads")
+    is_header = functools.reduce(Column.__or__, (F.col("line").startswith(f"{mark}{name}\t") for mark in ("#", "") for name in ("OTU ID", "OTU", "Feature ID")))
+    needed = lines.where(is_header | ~F.col("line").startswith("#"))
+    rows = stage(_wide_rows(needed.select("file", "at", F.when(is_header, F.col("line")).alias("names"), "line")), "otu-rows")
+    heads = stage(rows.where("names is not null").groupBy("file").agg(F.min_by("names", "at").alias("names"), F.min("at").alias("head")), "otu-heads")
     first = heads.agg(F.min("file")).first()[0]
     names = heads.select(F.col("file").alias("table"), F.posexplode(F.split("names", "\t")).alias("place", "sample_id")).where("place > 0")
-    below = lines.where(~F.col("line").startswith("#")).join(F.broadcast(heads.select("file", "head")), "file", "left").where("head is null or at > head")
-    cells = below.select(F.coalesce(F.when(F.col("head").isNotNull(), F.col("file")), F.lit(first)).alias("table"), F.split("line", "\t").alias("c"))
-    named = cells.select("table", S.header_id(F.col("c")[0]).alias("feature_id"), F.posexplode("c").alias("place", "v")).where("place > 0 and v <> '0'")
-    long = named.select("table", "feature_id", "place", F.col("v").cast("double").cast("long").alias("count")).where("count > 0")
+    below = rows.where(~F.col("name").startswith("#")).join(F.broadcast(heads.select("file", "head")), "file", "left").where("head is null or at > head")
+    table = F.coalesce(F.when(F.col("head").isNotNull(), F.col("file")), F.lit(first))
+    named = below.select(table.alias("table"), S.header_id(F.col("name")).alias("feature_id"), F.explode(F.arrays_zip("places", "texts")).alias("c"))
+    long = named.select("table", "feature_id", F.col("c.places").alias("place"), F.col("c.texts").cast("double").cast("long").alias("count")).where("count > 0")
     return long.join(broadcast_if_small(stage(names, "otu-names")), ["table", "place"]).select("feature_id", "sample_id", "count")
 
 

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,3 +256,49 @@ def test_dataset_folders(spark, tmp_path):
         for part in parts:
             (tmp_path / f"dataset_id={name}" / part).mkdir(parents=True)
     assert {r.dataset_id: r.whole for r in texts.dataset_folders(spark, str(tmp_path), ["table", "sequences"]).collect()} == {"a": True, "b": False}
+
+
+def test_wide_text_zeros_take_little_room(spark, tmp_path):
+    """The parts of a compressed wide table hold its whole text in a small part of the bytes, and are read by their names."""
+    rows = [(f"f{i:04d}", f"S{i * 7 % 3000:04d}", 1 + i % 9) for i in range(3000)]
+    table = spark.createDataFrame(rows, "feature_id string, sample_id string, count long")
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    sinks.otu_tsv(table, plain, "made")
+    sinks.otu_tsv(table, packed, "made", compression="lz4")
+    size = lambda p: sum(x.stat().st_size for x in (tmp_path / p).glob("part-*"))
+    assert size("plain") > 18_000_000 and size("packed") < size("plain") / 50
+    text = lambda p: sorted(r[0] for r in spark.read.text(p).collect())
+    assert text(plain) == text(packed)
+    assert sorted(map(tuple, texts.otu_tsv(spark, packed).collect())) == sorted(rows)
+
+
+def test_wide_text_of_any_cells(spark, tmp_path):
+    """Runs of zeros around the lengths that are folded, beside cells that only begin like them and odd names."""
+    samples = [f"S{i}" for i in range(9000)]
+    rng = random.Random(5)
+    lines, want = [], []
+    for n, gap in enumerate([0, 1, 62, 63, 64, 65, 127, 128, 129, 4095, 4096, 4097, 4160, 8191, 8192, 8999]):
+        for v in ("7", "05", "0.9", "0.0", "3.0", "1e2", "10"):
+            cells = ["0"] * 9000
+            for at in {gap, 8999, *rng.sample(range(9000), n % 3)} - {9000}:
+                cells[at] = v
+                want += [(f"f'{n}_{v}", samples[at], int(float(v)))] * (float(v) >= 1)
+            lines.append("\t".join([f"f'{n}_{v};size=3", *cells]))
+    lines += ["\t".join(["zeros", *["0"] * 9000]), "name only", "\t".join(["OTU", "4"]), "\t".join(["0", "0", "0.5", "6"])]
+    want += [("OTU", "S0", 4), ("0", "S2", 6)]
+    path = put(tmp_path / "o.tsv", "\n".join(["# made", "before\t5", "\t".join(["#OTU ID", *samples]), *lines, "# end\t3"]) + "\n")
+    assert sorted(map(tuple, texts.otu_tsv(spark, path).collect())) == sorted(want)
+
+
+def test_wide_text_query_writes_no_reads_and_no_plain_zeros(spark, tmp_path, monkeypatch):
+    """On large tables the staged reads and the plain zeros of the wide text outgrew the disk."""
+    from conftest import DATA
+
+    from tarnflow.plans import derived, io_queries
+
+    monkeypatch.setattr(derived, "_STAGED", {})
+    monkeypatch.setattr(derived, "stage", lambda *_: pytest.fail("the reads are staged"))
+    monkeypatch.setattr(io_queries, "_folder", lambda _, name: str(tmp_path / name))
+    assert io_queries.otu_text(spark, DATA).count() > 0
+    parts = sorted(p.name for p in (tmp_path / "otu").glob("part-*"))
+    assert parts and all(p.endswith(".lz4") for p in parts)
