@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarnflow.operators import reads as R
-from tarnflow.plans.derived import BIOSAMPLE, FEATURES, META, READS, counted, frame, sql
+from tarnflow.plans.derived import BIOSAMPLE, FEATURES, META, READS, frame, sql, unstaged_reads
 from tarnflow.session import read_table, shared_folder
 from tarnflow.sources import connectors, formats, sinks, texts
 
@@ -123,8 +123,12 @@ def fasta_round_trip(spark, sf_dir):
 
 
 def otu_text(spark, sf_dir):
-    """The wide table in text, with a comment before its header and abundances in the names, back in long form."""
-    table = counted(spark, sf_dir).select(F.concat("feature_id", F.lit(";size=7")).alias("feature_id"), "sample_id", F.col("n").alias("count"))
+    """The wide table in text, with a comment before its header and abundances in the names, back in long form.
+
+    Reads are counted by the names that the sink counts by, so its rows need not be shuffled for that again.
+    """
+    named = unstaged_reads(spark, sf_dir).select(F.concat(F.md5(F.upper("seq")), F.lit(";size=7")).alias("feature_id"), "sample_id")
+    table = named.groupBy("feature_id", "sample_id").agg(F.count(F.lit(1)).alias("count"))
     path = _folder(spark, "otu")
     sinks.otu_tsv(table, path, "made", compression="lz4")
     return texts.otu_tsv(spark, path).withColumnRenamed("count", "n")
